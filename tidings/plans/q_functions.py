@@ -26,7 +26,7 @@ def _pick(words: list[str], idx: Column) -> Column:
 
 def _pick_sql(words: list[str], idx: str) -> str:
     lst = "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    return f"{lst}[CAST({idx} % {len(words)} + 1 AS INTEGER)]"
+    return f"{lst}[CAST(({idx}) % {len(words)} + 1 AS INTEGER)]"
 
 
 def _map_sql(expr: str, agg: str) -> str:
