@@ -180,3 +180,26 @@ def sourced(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> Dat
         F.date_format("dt_published", "yyyy/MM/dd").alias("date_published"),
         F.substring_index(F.col("text"), "\n", 1).alias("title"),
         status.alias("article_approval_status"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregation requests for topic_{user_id % 10} x aggregator: topic_8 and
+    topic_9 do not exist, topics 3 and 7 are inactive (F6 rejects them)."""
+    ev = read(spark, sf_dir, "events")
+    k = ev.select(F.concat(F.lit("topic_"), (F.col("user_id") % 10).cast("string")).alias("topic_id"),
+                  _aggregator_of(F.col("event_id")).alias("aggregator_id")).distinct()
+    return k.select("topic_id", "aggregator_id", F.lit(RUN_START).alias("start_dt"),
+                    (F.lit(RUN_START) + F.expr("INTERVAL 1 DAY")).alias("end_dt"),
+                    F.when(F.col("aggregator_id") == AGGREGATORS[0], F.lit("date"))
+                    .otherwise(F.lit("relevance")).alias("sorting"))
+
+
+def desired_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Desired trusted list: src3..src16 (every source listed twice, as a
+    provider file with a repeated line would)."""
+    docs = read(spark, sf_dir, "documents")
+    num = F.regexp_extract(F.col("source"), r"^src([0-9]+)$", 1)
+    s = docs.select("source").distinct().filter((F.length(num) > 0) & num.cast("int").between(3, 16))
+    one = s.select(F.lit("en").alias("language"), F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
+                   F.col("source").alias("provider_name"))
+    return one.unionByName(one)

@@ -106,3 +106,13 @@ def with_views(body: str, *names: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]}\n)" for n in order)
     return f"WITH {ctes}\n{body}"
+
+register("requests", (), f"""
+SELECT topic_id, aggregator_id, TIMESTAMP '2024-01-02 00:00:00' AS start_dt, TIMESTAMP '2024-01-03 00:00:00' AS end_dt,
+       CASE WHEN aggregator_id = 'bingnews' THEN 'date' ELSE 'relevance' END AS sorting
+FROM (SELECT DISTINCT 'topic_' || CAST(e.user_id % 10 AS VARCHAR) AS topic_id, {AGG_CASE} AS aggregator_id FROM events e) k""")
+register("desired", (), """
+SELECT 'en' AS language, source || '.example.com' AS provider_domain, source AS provider_name
+FROM (SELECT DISTINCT source FROM documents) s
+WHERE regexp_extract(source, '^src([0-9]+)$', 1) <> ''
+  AND CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INTEGER) BETWEEN 3 AND 16""")
