@@ -203,3 +203,13 @@ def desired_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = s.select(F.lit("en").alias("language"), F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
                    F.col("source").alias("provider_name"))
     return one.unionByName(one)
+
+
+def cluster_members(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFrame:
+    """clusters with the member's first-hit time and an article id."""
+    h = h if h is not None else hits(spark, sf_dir)
+    first = h.groupBy("doc_id").agg(F.min("published_dt").alias("published_dt"))
+    c = clusters(spark, sf_dir).join(first.withColumnRenamed("doc_id", "vec_id"), "vec_id", "left")
+    return c.select("*", F.col("vec_id").alias("member_idx"),
+                    F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("article_id"),
+                    F.lit("n/a").alias("category"))

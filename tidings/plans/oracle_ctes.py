@@ -116,3 +116,7 @@ SELECT 'en' AS language, source || '.example.com' AS provider_domain, source AS
 FROM (SELECT DISTINCT source FROM documents) s
 WHERE regexp_extract(source, '^src([0-9]+)$', 1) <> ''
   AND CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INTEGER) BETWEEN 3 AND 16""")
+
+register("cluster_members", ("clusters", "hits"), """
+SELECT c.*, f.published_dt, c.vec_id AS member_idx, 'vec-' || CAST(c.vec_id AS VARCHAR) AS article_id, 'n/a' AS category
+FROM clusters c LEFT JOIN (SELECT doc_id, min(published_dt) AS published_dt FROM hits GROUP BY doc_id) f ON f.doc_id = c.vec_id""")
