@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # a dimension side is broadcast only when a bounded probe proves it has at
@@ -29,3 +29,24 @@ def scalar_max(df: DataFrame, col: str) -> int | None:
     """
     v = df.agg(F.max(col)).first()[0]
     return None if v is None else int(v)
+
+
+def rank_within(df: DataFrame, part: list[str], order: str, bucket_width: int = 1 << 16,
+                name: str = "rank") -> DataFrame:
+    """Exact 1-based row_number() over (partition by ``part`` order by
+    ``order``) for a numeric, unique-per-partition order key, without
+    sending a whole partition to one task.
+
+    Rows are bucketed by ``order // bucket_width``; per-bucket counts are a
+    small partial aggregate whose running sum gives each bucket's offset, and
+    the final row_number only runs inside (partition, bucket). A partition
+    holding a third of all rows is therefore split across many tasks.
+    """
+    b = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
+    x = df.withColumn("_bucket", b)
+    counts = x.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(run), F.lit(0))).drop("_n")
+    j = x.join(offsets, [*part, "_bucket"])
+    w = Window.partitionBy(*part, "_bucket").orderBy(order)
+    return j.withColumn(name, F.col("_offset") + F.row_number().over(w)).drop("_bucket", "_offset")
