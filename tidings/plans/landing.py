@@ -1,7 +1,7 @@
 """Landed vendor responses derived from the hits adapter.
 
 Every (run, page of 100 hits) becomes one JSON envelope in its vendor's
-format; every 7th page (page % 7 = 6) is an error envelope instead, and the
+format; every 4th page (page % 4 = 3) is an error envelope instead, and the
 url of every document with doc_id % 13 = 0 is missing (a required field).
 Pages come from an exact distributed rank (no whole run in one task);
 each envelope holds at most one page, a bounded group.
@@ -53,7 +53,7 @@ def _article(vendor: str):
 def _envelope(vendor: str):
     arts = F.transform(F.array_sort(F.collect_list(F.struct("arrival_rank", _article(vendor).alias("a")))),
                        lambda x: x["a"])
-    err = (F.col("page") % 7) == 6
+    err = (F.col("page") % 4) == 3
     n = F.count(F.lit(1))
     if vendor == BING:
         ok = F.struct(F.col("envelope_id"), F.lit("News").alias("_type"),

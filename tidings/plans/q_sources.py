@@ -1 +1,120 @@
-"""Contract queries."""
+"""Contract queries for landed vendor responses."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..constants import BING, NEWSAPI_ORG, THENEWSAPI_COM
+from ..session import scratch_path
+from ..sources import jsonl as JL
+from ..sources import vendor as V
+from . import adapters as A
+from .catalog import UUID_SQL, query
+from .landing import land, vendor_path
+from .oracle_ctes import register, with_views
+from .q_functions import VENDOR_CAT_SQL
+
+register("paged_raw", ("raw_hits",), f"""
+SELECT *, topic_id || '/' || aggregator_id || '/' || CAST(page AS VARCHAR) AS envelope_id,
+       CASE WHEN strpos(text, chr(10)) > 0 THEN split_part(text, chr(10), 2) ELSE '' END AS description,
+       CASE WHEN doc_id % 13 = 0 THEN NULL ELSE url END AS url_or_null,
+       NULLIF(raw_published, '') AS date_or_null, {VENDOR_CAT_SQL} AS vendor_category
+FROM (SELECT *, (rn - 1) // 100 AS page, (rn - 1) % 100 AS pos FROM (
+        SELECT *, row_number() OVER (PARTITION BY topic_id, aggregator_id ORDER BY event_id) AS rn FROM raw_hits) a) b""")
+
+
+def _flat(spark, sf, vendor):
+    env = V.read_envelopes(spark, vendor_path(land(spark, sf), vendor), vendor)
+    data, _ = V.split_errors(env, vendor)
+    return V.flatten(data, vendor)
+
+
+def _data_sql(vendor: str, cols: str) -> str:
+    return with_views(f"SELECT envelope_id, CAST(pos AS INTEGER) AS pos, {cols} FROM paged_raw "
+                      f"WHERE aggregator_id = '{vendor}' AND page % 4 <> 3", "paged_raw")
+
+
+MISSING = "CASE WHEN url_or_null IS NULL THEN 'url' ELSE '' END AS missing_fields"
+
+
+@query("src_bing_flatten", _data_sql(BING, f"""title, url_or_null AS url, description, date_or_null AS date_published,
+    vendor_category AS category, source AS provider_name, {MISSING}"""))
+def src_bing_flatten(spark, sf):
+    """Landed Bing envelopes -> one row per article (snake_case)."""
+    f = _flat(spark, sf, BING)
+    return f.select("envelope_id", "pos", "title", "url", "description", "date_published", "category", "provider_name",
+                    "missing_fields")
+
+
+@query("src_newsapi_flatten", _data_sql(NEWSAPI_ORG, f"""title, url_or_null AS url, description,
+    date_or_null AS published_at, source AS source_name, '' AS author, substr(text, 1, 200) AS content,
+    CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,publishedAt' WHEN url_or_null IS NULL THEN 'url'
+         WHEN date_or_null IS NULL THEN 'publishedAt' ELSE '' END AS missing_fields"""))
+def src_newsapi_flatten(spark, sf):
+    """Landed NewsAPI.org envelopes -> one row per article."""
+    f = _flat(spark, sf, NEWSAPI_ORG)
+    return f.select("envelope_id", "pos", "title", "url", "description", "published_at", "source_name", "author",
+                    "content", "missing_fields")
+
+
+@query("src_thenewsapi_flatten", _data_sql(THENEWSAPI_COM, f"""title, url_or_null AS url, description,
+    date_or_null AS published_at, provider_domain AS source, vendor_category AS categories,
+    {UUID_SQL('event_id')} AS uuid, substr(text, 1, 100) AS snippet,
+    CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,published_at' WHEN url_or_null IS NULL THEN 'url'
+         WHEN date_or_null IS NULL THEN 'published_at' ELSE '' END AS missing_fields"""))
+def src_thenewsapi_flatten(spark, sf):
+    """S3: landed TheNewsAPI envelopes -> one row per article."""
+    f = _flat(spark, sf, THENEWSAPI_COM)
+    return f.select("envelope_id", "pos", "title", "url", "description", "published_at", "source",
+                    F.array_join("categories", ",").alias("categories"), "uuid", "snippet", "missing_fields")
+
+
+@query("src_error_split", with_views("""
+SELECT DISTINCT envelope_id, aggregator_id AS vendor,
+  CASE aggregator_id WHEN 'bingnews' THEN 'RateLimitExceeded' WHEN 'newsapi.org' THEN 'rateLimited'
+       ELSE 'rate_limit_reached' END AS error_code, 'rate limit exceeded' AS error_message
+FROM paged_raw WHERE page % 4 = 3""", "paged_raw"))
+def src_error_split(spark, sf):
+    """Error envelopes separated into a quarantine frame."""
+    path = land(spark, sf)
+    out = None
+    for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):
+        _, q = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
+@query("src_required_fields", with_views("""
+SELECT aggregator_id AS vendor, envelope_id, CAST(pos AS INTEGER) AS pos,
+  CASE WHEN aggregator_id = 'bingnews' THEN 'url'
+       WHEN aggregator_id = 'newsapi.org' THEN CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,publishedAt'
+                                                    WHEN url_or_null IS NULL THEN 'url' ELSE 'publishedAt' END
+       ELSE CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,published_at'
+                 WHEN url_or_null IS NULL THEN 'url' ELSE 'published_at' END END AS missing_fields
+FROM paged_raw WHERE page % 4 <> 3
+  AND (url_or_null IS NULL OR (aggregator_id <> 'bingnews' AND date_or_null IS NULL))""", "paged_raw"))
+def src_required_fields(spark, sf):
+    """Articles missing a required field are rejected with the field names."""
+    path = land(spark, sf)
+    out = None
+    for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):
+        env = V.read_envelopes(spark, vendor_path(path, vendor), vendor)
+        data, _ = V.split_errors(env, vendor)
+        _, bad = V.valid_articles(V.flatten(data, vendor))
+        b = bad.select(F.lit(vendor).alias("vendor"), "envelope_id", "pos", "missing_fields")
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
+@query("src_commented_jsonl", with_views(
+    "SELECT provider_domain AS domain, provider_name, country FROM trusted", "trusted"))
+def src_commented_jsonl(spark, sf):
+    """Provider list as JSON lines with comments and blank lines."""
+    t = A.trusted(spark, sf)
+    body = F.to_json(F.struct(F.col("provider_domain").alias("domain"), "provider_name", "country"))
+    lines = t.select(F.explode(F.array(
+        body, F.concat(F.lit("// provider "), F.col("provider_name")), F.lit(""),
+        F.concat(F.lit("   # "), F.col("provider_domain")))).alias("value"))
+    path = scratch_path(spark, "providers")
+    lines.write.mode("overwrite").text(path)
+    return JL.read_commented_jsonl(spark, path, JL.PROVIDER_SCHEMA)
