@@ -1 +1,74 @@
-"""Contract queries."""
+"""Contract queries for clustering."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import cluster as CL
+from . import adapters as A
+from .catalog import query
+from .oracle_ctes import with_views
+
+
+def _members(spark, sf):
+    return A.clusters(spark, sf).select("topic_id", "vec_id", F.col("cluster").alias("label"), "embedding")
+
+
+@query("clu_ward_select_k")
+def clu_ward_select_k(spark, sf):
+    """Ward clustering of each topic's vectors, k chosen by silhouette
+    (numpy per group; checked against brute force in tests, no SQL twin)."""
+    return CL.ward_clusters(_members(spark, sf), ["topic_id"], "vec_id")
+
+
+@query("clu_kmeans_select_k")
+def clu_kmeans_select_k(spark, sf):
+    """Seeded k-means sweep per topic scored by silhouette (no SQL twin)."""
+    return CL.kmeans_clusters(_members(spark, sf), ["topic_id"], "vec_id")
+
+
+def _silhouette_sql(points: str, group: str) -> str:
+    return f"""
+WITH pts AS ({points}),
+d AS (SELECT a.{group.replace(', ', ', a.')} , a.vec_id, a.label AS li, b.label AS lj, list_distance(a.e, b.e) AS dist
+      FROM pts a JOIN pts b ON {' AND '.join(f'a.{g} = b.{g}' for g in group.split(', '))} AND a.vec_id <> b.vec_id),
+m AS (SELECT {group}, vec_id, li, lj, avg(dist) AS md FROM d GROUP BY {group}, vec_id, li, lj),
+s AS (SELECT {group}, vec_id, max(CASE WHEN lj = li THEN md END) AS a, min(CASE WHEN lj <> li THEN md END) AS b
+      FROM m GROUP BY {group}, vec_id)
+SELECT {group}, avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS score
+FROM s GROUP BY {group}"""
+
+
+@query("clu_silhouette", "SELECT topic_id, round(score, 6) AS score FROM (" + _silhouette_sql(
+    "SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, vec_id, label, CAST(embedding AS DOUBLE[]) AS e "
+    "FROM embeddings", "topic_id") + ") x")
+def clu_silhouette(spark, sf):
+    """Mean Euclidean silhouette of the stored labels per topic."""
+    s = CL.silhouette_scores(_members(spark, sf), ["topic_id"], "label")
+    return s.select("topic_id", F.round("score", 6).alias("score"))
+
+
+@query("clu_argmax_k", """
+WITH sc AS (SELECT topic_id, k, score FROM (""" + _silhouette_sql(
+    "SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, g.k, vec_id, vec_id % g.k AS label, "
+    "CAST(embedding AS DOUBLE[]) AS e FROM embeddings, generate_series(2, 10) AS g(k)", "topic_id, k") + """) x)
+SELECT topic_id, k, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, k ASC) AS r FROM sc) y WHERE r = 1""")
+def clu_argmax_k(spark, sf):
+    """C4: per topic the first k (2..10, labels vec_id % k) with the best silhouette."""
+    m = _members(spark, sf).select("topic_id", "vec_id", "embedding",
+                                   F.explode(F.sequence(F.lit(2), F.lit(10))).alias("k"))
+    m = m.withColumn("label", F.col("vec_id") % F.col("k"))
+    s = CL.silhouette_scores(m, ["topic_id", "k"], "label")
+    a = CL.argmax_k(s, ["topic_id"])
+    return a.select("topic_id", F.col("k").cast("long").alias("k"), F.round("score", 6).alias("score"))
+
+
+@query("clu_small_bypass", with_views("""
+SELECT topic_id, cluster, vec_id, row_number() OVER (PARTITION BY topic_id, cluster ORDER BY vec_id) - 1 AS label,
+       n AS n_clusters, CAST('inf' AS DOUBLE) AS score
+FROM (SELECT *, count(*) OVER (PARTITION BY topic_id, cluster) AS n FROM clusters) x WHERE n <= 2""", "clusters"))
+def clu_small_bypass(spark, sf):
+    """(topic, cluster) groups of at most two vectors: one cluster each, score +inf."""
+    m = A.clusters(spark, sf).select("topic_id", "cluster", "vec_id")
+    return CL.small_bypass(m, ["topic_id", "cluster"], "vec_id")
