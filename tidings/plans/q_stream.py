@@ -19,14 +19,20 @@ from .catalog import ISO, query
 from .oracle_ctes import with_views
 
 
+N_ARRIVALS = 6
+
+
 def land_by_day(spark, sf):
-    """raw_hits written as one parquet file per day, oldest day first."""
+    """raw_hits landed as N_ARRIVALS files of consecutive days, oldest first
+    (file modification order is the stream's arrival order)."""
     h = A.raw_hits(spark, sf).select("event_id", "topic_id", "aggregator_id", "url", "raw_published", "published_dt")
     path = scratch_path(spark, "hits-stream")
-    days = [r[0] for r in h.select(F.to_date("published_dt").alias("d")).distinct().orderBy("d").collect()]
-    for i, d in enumerate(days):
-        (h.filter(F.to_date("published_dt") == F.lit(d)).coalesce(1)
-         .write.mode("overwrite").parquet(f"{path}/day={i:05d}"))
+    lo, hi = h.select(F.min(F.to_date("published_dt")), F.max(F.to_date("published_dt"))).first()
+    span = (hi - lo).days + 1
+    per = -(-span // N_ARRIVALS)
+    for i in range(N_ARRIVALS):
+        sel = F.floor(F.datediff(F.to_date("published_dt"), F.lit(lo)) / per) == i
+        h.filter(sel).coalesce(1).write.mode("overwrite").parquet(f"{path}/day={i:05d}")
     return path, h.schema
 
 
