@@ -227,9 +227,10 @@ def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "e
     return df.select(*group, label, vec).groupBy(*group).applyInPandas(run, schema)
 
 
-def argmax_k(scores: DataFrame, group: list[str]) -> DataFrame:
-    """C4: the first k (smallest) with the maximum score per group."""
-    w = Window.partitionBy(*group).orderBy(F.col("score").desc(), F.col("k").asc())
+def argmax_k(scores: DataFrame, group: list[str], digits: int = 6) -> DataFrame:
+    """C4: the first k (smallest) with the maximum score per group; scores
+    are compared at ``digits`` decimals so float noise cannot break ties."""
+    w = Window.partitionBy(*group).orderBy(F.round("score", digits).desc(), F.col("k").asc())
     return scores.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 

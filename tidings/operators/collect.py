@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import FETCH_MULTIPLIER, NEEDS_TRUST, PAGE_SIZE
 from ..functions.dates import std_published
 from ..functions.ids import article_id
-from .sizing import bounded_broadcast, scalar_max
+from .sizing import bounded_broadcast
 
 RUN = ["topic_id", "aggregator_id"]
 
@@ -56,8 +57,11 @@ def paged(df: DataFrame, runs: DataFrame, page_size: int = PAGE_SIZE,
           multiplier: int = FETCH_MULTIPLIER, order: str = "event_id") -> DataFrame:
     """Attach run parameters and the arrival rank / page of every hit that
     can matter (rank <= max_results * multiplier * page_size)."""
-    bound = (scalar_max(runs, "max_results") or 0) * multiplier * page_size
-    r = bounded_broadcast(runs.select(*RUN, "topic", "start_dt", "end_dt", "max_results", "sorting"))
+    # one small job gives both the plan-literal bound and the size check
+    mx, n_runs = runs.agg(F.max("max_results"), F.count(F.lit(1))).first()
+    bound = int(mx or 0) * multiplier * page_size
+    r = bounded_broadcast(runs.select(*RUN, "topic", "start_dt", "end_dt", "max_results", "sorting"),
+                          known_rows=int(n_runs))
     w = Window.partitionBy(*RUN).orderBy(order)
     j = df.join(r, RUN)
     ranked = j.withColumn("arrival_rank", F.row_number().over(w)).filter(F.col("arrival_rank") <= F.lit(bound))
@@ -101,7 +105,10 @@ def flt_window(df: DataFrame) -> DataFrame:
 
 
 def flt_has_body(df: DataFrame, body: str = "body") -> DataFrame:
-    """drop rows without an extracted body."""
+    """drop rows without an extracted body. ``body`` is the text or a
+    precomputed boolean flag (so large bodies need not travel with the row)."""
+    if isinstance(df.schema[body].dataType, T.BooleanType):
+        return df.filter(F.coalesce(F.col(body), F.lit(False)))
     return df.filter(F.col(body).isNotNull() & (F.length(F.col(body)) > 0))
 
 

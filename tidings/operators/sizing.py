@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it provably holds <= ``max_rows`` rows.
 
     The probe reads at most ``max_rows + 1`` rows (a LIMIT job), so the check
-    itself costs O(max_rows) whatever the table size.
+    itself costs O(max_rows) whatever the table size; ``known_rows`` skips
+    the probe when the caller already counted the table.
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -38,6 +38,23 @@ def topic_name(topic_id: Column) -> Column:
     return F.concat(F.lit("Topic "), F.substring_index(topic_id, "_", -1))
 
 
+def second_line(text: Column) -> Column:
+    """Second line of a text ('' when there is none). substring_index stops
+    at the second newline instead of splitting the whole text."""
+    return F.when(F.instr(text, "\n") > 0,
+                  F.substring_index(F.substring_index(text, "\n", 2), "\n", -1)).otherwise(F.lit(""))
+
+
+def doc_attributes(docs: DataFrame) -> DataFrame:
+    """Per-document attributes computed next to the scan, so that later
+    joins and shuffles carry short strings and flags, not the full text
+    (``text`` stays available and is pruned when nothing reads it)."""
+    return docs.select("doc_id", "text", "lang", "source",
+                       F.substring_index(F.col("text"), "\n", 1).alias("title"),
+                       second_line(F.col("text")).alias("description"),
+                       (F.coalesce(F.octet_length("text"), F.lit(0)) > 0).alias("has_body"))
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events x documents: one fetched article per event (arrival = event_id)."""
     docs = read(spark, sf_dir, "documents")
@@ -45,8 +62,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("published_dt"), "user_id",
         (F.col("event_id") % n_docs).alias("doc_id"))
-    d = docs.select("doc_id", "text", "lang", "source")
-    j = ev.join(d, "doc_id")
+    j = ev.join(doc_attributes(docs), "doc_id")
     return j.select(
         "event_id", "published_dt", "user_id",
         F.concat(F.lit("topic_"), (F.col("user_id") % N_TOPICS).cast("string")).alias("topic_id"),
@@ -55,7 +71,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"),
                  F.col("doc_id").cast("string")).alias("url"),
         F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
-        F.substring_index(F.col("text"), "\n", 1).alias("title"),
+        "title", "description", "has_body",
     )
 
 

@@ -25,9 +25,7 @@ def paged_hits(spark: SparkSession, sf: str) -> DataFrame:
     h = rank_within(h, ["topic_id", "aggregator_id"], "event_id", name="arrival_rank")
     h = h.withColumn("page", F.floor((F.col("arrival_rank") - 1) / PAGE_SIZE).cast("long"))
     h = h.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
-    second = F.when(F.instr("text", "\n") > 0, F.split_part("text", F.lit("\n"), F.lit(2))).otherwise(F.lit(""))
-    return (h.withColumn("description", second)
-            .withColumn("url_or_null", F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("url")))
+    return (h.withColumn("url_or_null", F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("url")))
             .withColumn("date_or_null", F.when(F.col("raw_published") == "", F.lit(None).cast("string"))
                         .otherwise(F.col("raw_published")))
             .withColumn("vendor_category", vendor_category(F.col("doc_id"), F.col("aggregator_id"))))

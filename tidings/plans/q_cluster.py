@@ -53,7 +53,7 @@ WITH sc AS (SELECT topic_id, k, score FROM (""" + _silhouette_sql(
     "SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, g.k, vec_id, vec_id % g.k AS label, "
     "CAST(embedding AS DOUBLE[]) AS e FROM embeddings, generate_series(2, 10) AS g(k)", "topic_id, k") + """) x)
 SELECT topic_id, k, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY score DESC, k ASC) AS r FROM sc) y WHERE r = 1""")
+  SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(score, 6) DESC, k ASC) AS r FROM sc) y WHERE r = 1""")
 def clu_argmax_k(spark, sf):
     """C4: per topic the first k (2..10, labels vec_id % k) with the best silhouette."""
     m = _members(spark, sf).select("topic_id", "vec_id", "embedding",

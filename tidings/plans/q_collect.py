@@ -15,18 +15,15 @@ from .oracle_ctes import register, with_views
 RUNK = ["topic_id", "aggregator_id"]
 
 
-def _second_line(text):
-    return F.when(F.instr(text, "\n") > 0, F.split_part(text, F.lit("\n"), F.lit(2))).otherwise(F.lit(""))
-
-
 def collect_input(spark: SparkSession, sf: str) -> DataFrame:
-    """raw_hits with the attributes the collect filters read."""
-    h = A.raw_hits(spark, sf)
-    return h.withColumn("body", F.col("text")).withColumn("description", _second_line(F.col("text")))
+    """raw_hits with the attributes the collect filters read (body presence
+    as a flag: the text itself never enters the collect shuffle)."""
+    return A.raw_hits(spark, sf).drop("text")
 
 
 def collect_until(spark: SparkSession, sf: str, until: str) -> DataFrame:
-    return C.collect(collect_input(spark, sf), A.runs(spark, sf), A.trusted(spark, sf), until=until)
+    return C.collect(collect_input(spark, sf), A.runs(spark, sf), A.trusted(spark, sf), body="has_body",
+                     until=until)
 
 
 # ------------------------------------------------------------------ oracle

@@ -137,7 +137,7 @@ def fn_embedding_docs(spark, sf):
     """The documents embedded per article, for all 11 modes."""
     d = A.read(spark, sf, "documents")
     d = d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"),
-                 F.when(F.instr("text", "\n") > 0, F.split_part("text", F.lit("\n"), F.lit(2))).otherwise(F.lit("")).alias("description"),
+                 A.second_line(F.col("text")).alias("description"),
                  "text")
     per_mode = F.array(*[F.struct(F.lit(m).alias("mode"),
                                   embedding_docs(m, F.col("title"), F.col("description"), F.col("text")).alias("docs"))
