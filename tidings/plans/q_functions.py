@@ -184,7 +184,7 @@ def fn_token_chunks(spark, sf):
 
 
 def _titles_by_cluster(spark, sf):
-    c = A.clusters(spark, sf)
+    c = A.clusters(spark, sf).filter(F.col("title").isNotNull())
     g = c.groupBy("topic_id", "cluster").agg(
         F.array_sort(F.collect_list(F.struct("vec_id", "title"))).alias("m"))
     return g.select("topic_id", "cluster", A.topic_name(F.col("topic_id")).alias("topic"),
@@ -199,7 +199,7 @@ def _sql_template(t: str) -> str:
 SELECT topic_id, cluster, md5(tp) AS title_prompt_md5, length(tp) AS title_prompt_chars FROM (
   SELECT topic_id, cluster, replace(replace({_sql_template(K.TITLE_TEMPLATE)}, '####topic####', 'Topic ' || split_part(topic_id, '_', 2)),
                                     '{{text}}', string_agg(title, chr(10) || chr(10) ORDER BY vec_id)) AS tp
-  FROM clusters GROUP BY topic_id, cluster) x""", "clusters"))
+  FROM clusters WHERE title IS NOT NULL GROUP BY topic_id, cluster) x""", "clusters"))
 def fn_render_prompts(spark, sf):
     """Title prompt per (topic, cluster): member titles stuffed into the template."""
     t = _titles_by_cluster(spark, sf)

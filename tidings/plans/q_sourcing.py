@@ -176,10 +176,12 @@ SELECT topic_id, cluster, {ISO('min(published_dt)')} AS dt_published,
        string_agg(provider_domain, ' ' ORDER BY member_idx) AS source_article_provider_domains,
        md5(string_agg(title, chr(10) ORDER BY member_idx)) AS titles_md5,
        string_agg(category, ',' ORDER BY member_idx) AS source_article_categories
-FROM cluster_members GROUP BY topic_id, cluster""", "cluster_members"))
+FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, cluster""", "cluster_members"))
 def agg_sourced_article(spark, sf):
-    """A4: cluster -> earliest published and the ordered member arrays."""
-    a = SO.sourced_article(A.cluster_members(spark, sf), ["topic_id"])
+    """A4: cluster -> earliest published and the ordered member arrays
+    (members that are articles: a document with a publish time)."""
+    m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
+    a = SO.sourced_article(m, ["topic_id"])
     return a.select("topic_id", "cluster", iso_utc(F.col("dt_published")).alias("dt_published"),
                     F.array_join("source_article_ids", ",").alias("source_article_ids"),
                     F.array_join("source_article_urls", " ").alias("source_article_urls"),

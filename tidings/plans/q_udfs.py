@@ -23,15 +23,16 @@ SELECT *, CASE WHEN length(full_summary) > 0 THEN trim(array_to_string(list_slic
        strftime(dt_published, '%Y/%m/%d') AS date_published
 FROM (SELECT *, CASE WHEN starts_with(t0, '"') AND ends_with(t0, '"') THEN CASE WHEN length(t0) >= 2 THEN substr(t0, 2, length(t0) - 2) ELSE '' END ELSE t0 END AS title
       FROM (SELECT topic_id, cluster, min(published_dt) AS dt_published,
-                   string_agg(text, chr(10) || chr(10) ORDER BY member_idx) AS full_summary,
-                   string_agg(title, chr(10) || chr(10) ORDER BY member_idx) AS titles_joined,
+                   coalesce(string_agg(text, chr(10) || chr(10) ORDER BY member_idx), '') AS full_summary,
+                   coalesce(string_agg(title, chr(10) || chr(10) ORDER BY member_idx), '') AS titles_joined,
                    trim(array_to_string(list_slice(regexp_extract_all(first(title ORDER BY member_idx), '(\\s*\\S+)', 1), 1, 20), '')) AS t0
-            FROM cluster_members GROUP BY topic_id, cluster) a) b""")
+            FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, cluster) a) b""")
 
 
 def digest(spark, sf):
-    """Per (topic, cluster): ordered members, default summaries and ids."""
-    m = A.cluster_members(spark, sf)
+    """Per (topic, cluster): ordered members, default summaries and ids.
+    Only members that are articles (a document with a publish time) count."""
+    m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
     s = F.struct("member_idx", "category", "article_id", "url", "provider_domain", "title", "text")
     g = m.groupBy("topic_id", "cluster").agg(F.min("published_dt").alias("dt_published"),
                                              F.array_sort(F.collect_list(s)).alias("_m"))
@@ -73,7 +74,7 @@ TOK = "len(regexp_extract_all({c}, '(\\s*\\S+)', 1))"
 
 
 @query("agg_processing_cost", with_views(f"""
-SELECT topic_id, cluster, round(CAST(({TOK.format(c='titles_joined')} + {TOK.format(c='title')}
+SELECT topic_id, cluster, round(CAST(({TOK.format(c='titles_joined')} + coalesce({TOK.format(c='title')}, 0)
   + {TOK.format(c='full_summary')} + {TOK.format(c='full_summary')}
   + {TOK.format(c='full_summary')} + coalesce({TOK.format(c='medium_summary')}, 0)
   + {TOK.format(c='full_summary')} + coalesce({TOK.format(c='short_summary')}, 0)) AS DOUBLE) * CAST({USD_PER_TOKEN} AS DOUBLE), 9) AS article_processing_cost
@@ -135,7 +136,8 @@ SELECT sourced_article_id AS article_id, title AS article_title, {ISO('dt_publis
        prefix || '/Short_summary.txt' AS short_summary_ref
 FROM (SELECT d.*, 'sourced_candidate_articles/' || topic_id || '/' || date_published || '/' || sourced_article_id AS prefix,
              (SELECT string_agg(article_id, ',' ORDER BY member_idx) FROM cluster_members m
-              WHERE m.topic_id = d.topic_id AND m.cluster = d.cluster) AS source_article_ids FROM digest d) x""",
+              WHERE m.topic_id = d.topic_id AND m.cluster = d.cluster AND m.published_dt IS NOT NULL) AS source_article_ids
+      FROM digest d) x""",
     "digest", "cluster_members"))
 def src_sourced_bundle(spark, sf):
     """Stored article JSON loaded back with its summary refs."""
