@@ -11,13 +11,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidings.plans import catalog  # noqa: E402
-from tidings.session import build_session  # noqa: E402
+from tidings.session import build_session, checkpoint_dir  # noqa: E402
 
 HEADLINE = [
     "win_accept_cap",        # whole collect stage F1..W4 over every run
@@ -44,8 +43,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app="tidings-bench", shuffle_partitions=int(cpus) * 2)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidings-bench-"))
+    checkpoint_dir(spark)   # reads spark.checkpoint.dir; a temp folder only when it is unset
     catalog.load_all()
     # warm-up: JVM start, class loading and the first parquet footer reads
     catalog.QUERIES["agg_oldest_horizon"](spark, sf_dir).write.format("noop").mode("overwrite").save()

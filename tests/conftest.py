@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,15 +10,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from tidings.session import configure
+    from tidings.session import checkpoint_dir, configure
 
     s = (SparkSession.builder.master("local[4]").appName("tidings-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidings-test-ckpt-"))
+    checkpoint_dir(s)   # reads spark.checkpoint.dir; a temp folder only when it is unset
     configure(s)
     yield s
     s.stop()

@@ -104,3 +104,22 @@ def test_spark_silhouette_and_argmax(spark):
     assert abs(s.score - naive_silhouette(x, np.array([i % 2 for i in range(6)]))) < 1e-9
     sc = df.sparkSession.createDataFrame([("a", 2, 0.5), ("a", 3, 0.5), ("a", 4, 0.2)], "g string, k int, score double")
     assert CL.argmax_k(sc, ["g"]).first().k == 2
+
+
+def test_large_groups_take_the_distributed_path(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(60):
+        c = i % 3
+        rows.append(("big", i, [float(v) for v in rng.normal(scale=0.3, size=2) + np.array([c * 10.0, -c * 10.0])]))
+    for i in range(6):
+        rows.append(("small", i, [float(i % 2) * 5, 0.0]))
+    df = spark.createDataFrame(rows, "g string, i long, embedding array<float>")
+    out = CL.ward_clusters(df, ["g"], "i", max_group=40).collect()   # 60 rows > 40: large path
+    assert len(out) == 66 and len({(r.g, r.i) for r in out}) == 66
+    big = {r.i: r.label for r in out if r.g == "big"}
+    assert {r.n_clusters for r in out if r.g == "big"} == {3}
+    for c in range(3):
+        assert len({big[i] for i in range(c, 60, 3)}) == 1
+    small = {r.i: r.label for r in out if r.g == "small"}
+    assert small[0] == small[2] != small[1]

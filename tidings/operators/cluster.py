@@ -28,18 +28,26 @@ def pairwise(x: np.ndarray) -> np.ndarray:
     return np.sqrt(d2)
 
 
-def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> float:
-    """Mean silhouette from point-to-cluster distance sums (n x k)."""
+def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray,
+                         w: np.ndarray | None = None) -> float:
+    """Mean silhouette from point-to-cluster distance sums (n x k).
+
+    With weights ``w`` every row stands for ``w`` points sitting at its
+    position (weighted micro-clusters); with unit weights this is the exact
+    silhouette.
+    """
     n = sums.shape[0]
     rows = np.arange(n)
+    w = np.ones(n) if w is None else w
     own_size = sizes[own]
-    a = np.where(own_size > 1, sums[rows, own] / np.maximum(own_size - 1, 1), 0.0)
+    rest = own_size - w
+    a = np.where(rest > 0, sums[rows, own] / np.where(rest > 0, rest, 1.0), 0.0)
     means = sums / sizes[None, :]
     means[rows, own] = np.inf
     b = means.min(axis=1)
     denom = np.maximum(a, b)
-    s = np.where((own_size > 1) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0)
-    return float(s.mean())
+    s = np.where((rest > 0) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0)
+    return float((s * w).sum() / w.sum())
 
 
 def silhouette(x: np.ndarray, labels: np.ndarray, d: np.ndarray | None = None) -> float:
@@ -51,12 +59,13 @@ def silhouette(x: np.ndarray, labels: np.ndarray, d: np.ndarray | None = None) -
     return silhouette_from_sums(d @ onehot, onehot.sum(axis=0), own)
 
 
-def ward_merges(x: np.ndarray) -> list[tuple[float, int, int]]:
+def ward_merges(x: np.ndarray, w: np.ndarray | None = None) -> list[tuple[float, int, int]]:
     """Ward agglomeration by nearest-neighbour chain: (distance, a, b) merges
-    sorted by distance; cluster ids are the lowest original member index."""
+    sorted by distance; cluster ids are the lowest original member index.
+    ``w`` gives initial cluster sizes (rows that are already centroids)."""
     n = len(x)
     cent = x.astype(np.float64).copy()
-    size = np.ones(n)
+    size = np.ones(n) if w is None else w.astype(np.float64).copy()
     active = np.ones(n, dtype=bool)
     merges: list[tuple[float, int, int]] = []
     chain: list[int] = []
@@ -93,18 +102,20 @@ def _relabel(root: np.ndarray) -> np.ndarray:
     return np.array([order[r] for r in root], dtype=np.int64)
 
 
-def ward_select_k(x: np.ndarray) -> tuple[np.ndarray, int, float]:
+def ward_select_k(x: np.ndarray, w: np.ndarray | None = None) -> tuple[np.ndarray, int, float]:
     """C1 + C4: Ward tree cut at every k in 2..n-1, keep the first k (in
     increasing k) with the best silhouette. Point-to-cluster distance sums
-    are updated per merge, so the sweep never recomputes pairwise terms."""
+    are updated per merge, so the sweep never recomputes pairwise terms.
+    ``w`` weights rows that stand for several points (micro-clusters)."""
     n = len(x)
     if n <= 2:
         return np.arange(n, dtype=np.int64), n, float("inf")
+    w = np.ones(n) if w is None else w.astype(np.float64)
     d = pairwise(x.astype(np.float64))
-    merges = ward_merges(x)
+    merges = ward_merges(x, w)
     root_of = np.arange(n)   # cluster (lowest member index) of every point
-    sums = d.copy()          # column c = sum of distances to cluster c
-    sizes = np.ones(n)
+    sums = d * w[None, :]    # column c = weighted sum of distances to cluster c
+    sizes = w.copy()
     alive = np.ones(n, dtype=bool)
     pos = np.full(n, -1)
     best = (-np.inf, None, None)
@@ -121,13 +132,24 @@ def ward_select_k(x: np.ndarray) -> tuple[np.ndarray, int, float]:
             break
         cols = np.flatnonzero(alive)
         pos[cols] = np.arange(len(cols))
-        score = silhouette_from_sums(sums[:, cols], sizes[cols], pos[root_of])
+        score = silhouette_from_sums(sums[:, cols], sizes[cols], pos[root_of], w)
         if score >= best[0]:    # sweeping k downwards: ties go to the smaller k
             best = (score, k, root_of.copy())
     score, k_best, roots = best
     return _relabel(roots), int(k_best), float(score)
 
 
+def ward_cut(x: np.ndarray, m: int, w: np.ndarray | None = None) -> np.ndarray:
+    """Ward tree of ``x`` (row weights ``w``) cut at ``m`` clusters."""
+    n = len(x)
+    root_of = np.arange(n)
+    for _dist, a, b in ward_merges(x, w)[: max(n - m, 0)]:
+        ra, rb = root_of[a], root_of[b]
+        lo, hi = min(ra, rb), max(ra, rb)
+        root_of[root_of == hi] = lo
+    return _relabel(root_of)
+
+
 def kmeans(x: np.ndarray, k: int, seed: int = KMEANS_SEED, iters: int = 300) -> np.ndarray:
     """k-means++ seeding then Lloyd iterations (deterministic for a seed)."""
     rng = np.random.default_rng(seed)
@@ -198,8 +220,109 @@ def _grouped(df: DataFrame, group: list[str], idx: str, vec: str, kernel, max_gr
 
 def ward_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding",
                   max_group: int = MAX_GROUP) -> DataFrame:
-    """C1 (+C4, C6): Ward clustering per group with silhouette-chosen k."""
-    return _grouped(df, group, idx, vec, ward_select_k, max_group)
+    """C1 (+C4, C6): Ward clustering per group with silhouette-chosen k.
+
+    Groups up to ``max_group`` rows are clustered exactly in one task each.
+    Larger groups take the distributed two-level path of
+    :func:`ward_clusters_large`, so no task ever holds a whole hot group.
+    """
+    base = df.select(*group, idx, vec)
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
+    large = base.join(sizes.filter(F.col("_n") > max_group), group)
+    exact = _grouped(small, group, idx, vec, ward_select_k, max_group)
+    return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group))
+
+
+REDUCTION = 4
+
+
+def ward_clusters_large(points: DataFrame, group: list[str], idx: str, vec: str,
+                        max_group: int = MAX_GROUP, reduction: int = REDUCTION) -> DataFrame:
+    """Ward clustering of groups too large for one task.
+
+    Level by level, every group still above ``max_group`` rows is hash-split
+    into chunks of about ``max_group / 2`` rows and each chunk is cut by
+    (weighted) Ward into ``rows / reduction`` micro-clusters, one bounded
+    task per chunk. Each level is checkpointed to the shared folder (lineage
+    cut, recomputation after executor loss starts there). When every group
+    fits, its weighted micro-clusters are swept over k with the weighted
+    silhouette, and labels flow back down the levels by equi-joins.
+    Scores of such groups are computed on micro-clusters, not on points.
+    """
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(points.sparkSession)
+    chunk = max(max_group // 2, 2)
+    keys = [points.schema[c] for c in group]
+    items = points.select(*group, F.col(idx).cast("string").alias("_item"),
+                          F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
+    level_schema = T.StructType(keys + [T.StructField("_item", T.StringType()),
+                                        T.StructField("_vec", T.ArrayType(T.DoubleType())),
+                                        T.StructField("_w", T.DoubleType()),
+                                        T.StructField("_members", T.ArrayType(T.StringType()))])
+    mappings: list[DataFrame] = []
+    level = 0
+    while True:
+        counted = items.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
+        biggest = counted.agg(F.max("_n")).first()[0]
+        if biggest is None or biggest <= max_group:
+            break
+        level += 1
+        tag = f"L{level}:"
+        over = counted.filter(F.col("_n") > max_group)
+        keep = counted.filter(F.col("_n") <= max_group).drop("_n")
+        n_chunks = F.ceil(F.col("_n") / F.lit(chunk)).cast("long")
+        over = over.withColumn("_chunk", F.pmod(F.xxhash64("_item"), n_chunks)).drop("_n")
+
+        reduce_chunk = _chunk_reducer(group, tag, reduction)
+        reduced = over.groupBy(*group, "_chunk").applyInPandas(reduce_chunk, level_schema).checkpoint()
+        mappings.append(reduced.select(*group, F.col("_item").alias("_parent"),
+                                       F.explode("_members").alias("_item")))
+        items = keep.unionByName(reduced.drop("_members"))
+    return _sweep_and_label(points, items, mappings, group, idx, keys)
+
+
+def _chunk_reducer(group: list[str], tag: str, reduction: int):
+    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_item")
+        x = np.stack(pdf["_vec"].map(np.asarray).to_numpy())
+        w = pdf["_w"].to_numpy(dtype=np.float64)
+        m = max(1, -(-len(pdf) // reduction))
+        lab = ward_cut(x, m, w)
+        out = []
+        c = int(pdf["_chunk"].iloc[0])
+        for j in range(lab.max() + 1):
+            sel = lab == j
+            ww = w[sel]
+            out.append([*pdf[group].iloc[0].tolist(), f"{tag}{c}:{j}",
+                        list((x[sel] * ww[:, None]).sum(axis=0) / ww.sum()), float(ww.sum()),
+                        pdf["_item"].to_numpy()[sel].tolist()])
+        return pd.DataFrame(out, columns=group + ["_item", "_vec", "_w", "_members"])
+
+    return reduce_chunk
+
+
+def _sweep_and_label(points: DataFrame, items: DataFrame, mappings: list[DataFrame], group: list[str],
+                     idx: str, keys: list) -> DataFrame:
+    out_schema = T.StructType(keys + [T.StructField("_item", T.StringType()), T.StructField("label", T.LongType()),
+                                      T.StructField("n_clusters", T.LongType()), T.StructField("score", T.DoubleType())])
+
+    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_item")
+        x = np.stack(pdf["_vec"].map(np.asarray).to_numpy())
+        labels, k, score = ward_select_k(x, pdf["_w"].to_numpy(dtype=np.float64))
+        out = pdf[group + ["_item"]].copy()
+        out["label"], out["n_clusters"], out["score"] = labels, k, score
+        return out
+
+    labelled = items.groupBy(*group).applyInPandas(sweep, out_schema)
+    for m in reversed(mappings):
+        down = m.join(labelled.withColumnRenamed("_item", "_parent"), [*group, "_parent"]).drop("_parent")
+        labelled = labelled.join(m.select(*group, F.col("_parent").alias("_item")).distinct(),
+                                 [*group, "_item"], "left_anti").unionByName(down)
+    pts = points.select(*group, idx, F.col(idx).cast("string").alias("_item"))
+    return pts.join(labelled, [*group, "_item"]).select(*group, idx, "label", "n_clusters", "score")
 
 
 def kmeans_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding",

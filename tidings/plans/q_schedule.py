@@ -154,3 +154,14 @@ def flt_watermark_sane(spark, sf):
         "topic_id", "aggregator_id", F.lit(dt.datetime(1, 1, 1)).alias("proposed_end"))
     p = p.unionByName(sentinel).filter(F.year("proposed_end") >= 2000)
     return p.select("topic_id", "aggregator_id", iso_utc(F.col("proposed_end")).alias("proposed_end"))
+
+
+@query("gen_sourcing_messages", with_views(f"""
+SELECT topic_id AS message_group_id,
+       '{{"topic_id":"' || topic_id || '","sourcing_date":"' || {ISO_OFFSET.format(c='sourcing_date')} ||
+       '","daily_sourcing_frequency":1.0}}' AS message_body
+FROM sourcing_dates""", "sourcing_dates"))
+def gen_sourcing_messages(spark, sf):
+    """G5 (sourcing side): routing key = topic, JSON body with the day and frequency."""
+    from ..constants import DAILY_SOURCING_FREQUENCY
+    return S.sourcing_messages(sourcing_dates(spark, sf), DAILY_SOURCING_FREQUENCY)

@@ -55,19 +55,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CHECKPOINT: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the setting is absent (local tests) a scratch folder is created
-    and registered; a cluster always provides its own shared folder.
+    and registered with the SparkContext; a cluster always provides its own
+    shared folder. (``spark.checkpoint.dir`` is a core setting and cannot be
+    changed on a running session, so it is only ever read here.)
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    global _LOCAL_CHECKPOINT
+    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="tidings-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    spark.sparkContext.setCheckpointDir(current)
+        if _LOCAL_CHECKPOINT is None:
+            _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="tidings-ckpt-")
+        current = _LOCAL_CHECKPOINT
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
