@@ -84,20 +84,20 @@ def _hits_files(spark):
 
 def test_stream_dedup_equals_batch(spark):
     df, path = _hits_files(spark)
-    s = ST.url_dedup_stream(spark, path, df.schema)
+    s = ST.url_dedup_stream(spark, path, df.schema, max_files_per_trigger=1)
     batch = df.filter("raw_published <> ''").select("topic_id", "aggregator_id", "url").distinct()
     assert sorted(map(tuple, s.select("topic_id", "aggregator_id", "url").collect())) == sorted(map(tuple, batch.collect()))
 
 
 def test_stream_high_watermark_equals_batch(spark):
     df, path = _hits_files(spark)
-    m = ST.high_watermark_stream(spark, path, df.schema).first()
+    m = ST.high_watermark_stream(spark, path, df.schema, max_files_per_trigger=1).first()
     assert m.last_end == df.agg(F.max("published_dt")).first()[0]
 
 
 def test_stream_daily_windows_only_closed(spark):
     df, path = _hits_files(spark)
-    w = ST.daily_window_stream(spark, path, df.schema)
+    w = ST.daily_window_stream(spark, path, df.schema, max_files_per_trigger=1)
     got = sorted((r.window_start.day, r.n_hits) for r in w.collect())
     # the last day (5th) stays open; row 99 (day 2) lands after the watermark
     # has passed day 2, so it is late and not counted

@@ -1,8 +1,9 @@
 """Contract queries for the streaming operators.
 
-Inputs are derived from the driver tables and landed as files in arrival
-order (one file per day, written day by day) before the stream starts, so
-watermarks advance the way they would for a live feed.
+Inputs are derived from the driver tables and landed as files (one
+parallel write) before the stream starts; ``availableNow`` then consumes
+everything available, and the final no-data batch advances the watermark
+to (newest event - delay), which closes the daily windows.
 """
 
 from __future__ import annotations
@@ -19,20 +20,12 @@ from .catalog import ISO, query
 from .oracle_ctes import with_views
 
 
-N_ARRIVALS = 6
-
-
-def land_by_day(spark, sf):
-    """raw_hits landed as N_ARRIVALS files of consecutive days, oldest first
-    (file modification order is the stream's arrival order)."""
+def land_hits(spark, sf):
+    """raw_hits landed once as the stream's input folder (one parallel
+    write, partitioned by day as a feed would land them)."""
     h = A.raw_hits(spark, sf).select("event_id", "topic_id", "aggregator_id", "url", "raw_published", "published_dt")
     path = scratch_path(spark, "hits-stream")
-    lo, hi = h.select(F.min(F.to_date("published_dt")), F.max(F.to_date("published_dt"))).first()
-    span = (hi - lo).days + 1
-    per = -(-span // N_ARRIVALS)
-    for i in range(N_ARRIVALS):
-        sel = F.floor(F.datediff(F.to_date("published_dt"), F.lit(lo)) / per) == i
-        h.filter(sel).coalesce(1).write.mode("overwrite").parquet(f"{path}/day={i:05d}")
+    h.withColumn("day", F.to_date("published_dt")).write.mode("overwrite").partitionBy("day").parquet(path)
     return path, h.schema
 
 
@@ -60,7 +53,7 @@ def st_requests(spark, sf):
     "raw_hits"))
 def st_url_dedup(spark, sf):
     """(run, url) keys kept by streaming dedup within the watermark."""
-    path, schema = land_by_day(spark, sf)
+    path, schema = land_hits(spark, sf)
     d = ST.url_dedup_stream(spark, _stream_files(path), schema)
     return d.select("topic_id", "aggregator_id", "url")
 
@@ -70,7 +63,7 @@ def st_url_dedup(spark, sf):
     "hits"))
 def st_high_watermark(spark, sf):
     """Per (topic, aggregator) the newest published time, kept as state."""
-    path, schema = land_by_day(spark, sf)
+    path, schema = land_hits(spark, sf)
     m = ST.high_watermark_stream(spark, _stream_files(path), schema)
     return m.select("topic_id", "aggregator_id", iso_utc(F.col("last_end")).alias("last_end"))
 
@@ -82,7 +75,7 @@ WHERE window_start + INTERVAL 1 DAY <= (SELECT max(published_dt) FROM hits) - IN
 GROUP BY window_start, aggregator_id""", "hits"))
 def st_daily_window(spark, sf):
     """T4: hits per closed 1-day window and aggregator (append mode)."""
-    path, schema = land_by_day(spark, sf)
+    path, schema = land_hits(spark, sf)
     w = ST.daily_window_stream(spark, _stream_files(path), schema)
     return w.select(iso_utc(F.col("window_start")).alias("window_start"), "aggregator_id", "n_hits")
 
@@ -94,5 +87,5 @@ FROM hits h JOIN runs r ON r.topic_id = h.topic_id AND r.aggregator_id = h.aggre
 GROUP BY h.topic_id, h.aggregator_id""", "hits", "runs"))
 def st_late_rows(spark, sf):
     """T5: per run, rows inside the requested window and rows outside it."""
-    path, schema = land_by_day(spark, sf)
+    path, schema = land_hits(spark, sf)
     return ST.late_rows_stream(spark, _stream_files(path), schema, A.runs(spark, sf))

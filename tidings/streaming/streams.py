@@ -32,6 +32,16 @@ def batch_writer(path: str, transform: Callable[[DataFrame, int], DataFrame] | N
     return write
 
 
+def file_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """File-stream source with an explicit schema; optionally rate-limited
+    (files are taken oldest first, so a limit replays the arrival order)."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.format(fmt).load(path)
+
+
 def run_available_now(stream: DataFrame, sink: Callable, checkpoint: str, mode: str = "append") -> None:
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -52,21 +62,21 @@ def requests_stream(spark: SparkSession, path: str, validate: Callable[[DataFram
     """Consume request messages, validate every micro-batch against the
     dimension tables (F6) and route rejects; returns the stored results."""
     out = out or scratch_path(spark, "requests-out")
-    src = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).json(path)
+    src = file_stream(spark, "json", path, REQUEST_SCHEMA)
     sink = batch_writer(out, lambda b, _i: validate(parse_requests(b)))
     run_available_now(src, sink, f"{out}/_checkpoint")
     return spark.read.parquet(out)
 
 
 def url_dedup_stream(spark: SparkSession, path: str, schema: T.StructType, delay: str = "60 days",
-                     out: str | None = None) -> DataFrame:
+                     out: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """First sighting of each (run, url) on a stream of dated hits.
 
     The watermark delay must exceed the span of a run so that state for a
     key lives as long as the run can repeat it.
     """
     out = out or scratch_path(spark, "dedup-out")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
     src = src.filter(F.col("raw_published").isNotNull() & (F.trim("raw_published") != ""))
     d = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
          .withWatermark("published_dt", delay)
@@ -83,10 +93,10 @@ def latest_per_key(stored: DataFrame, keys: list[str], values: list[str]) -> Dat
 
 
 def high_watermark_stream(spark: SparkSession, path: str, schema: T.StructType,
-                          out: str | None = None) -> DataFrame:
+                          out: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Running max(published_dt) per (topic, aggregator), update mode."""
     out = out or scratch_path(spark, "marks-out")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
     agg = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
            .groupBy("topic_id", "aggregator_id").agg(F.max("published_dt").alias("last_end")))
     run_available_now(agg, batch_writer(out), f"{out}/_checkpoint", mode="update")
@@ -94,11 +104,11 @@ def high_watermark_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def daily_window_stream(spark: SparkSession, path: str, schema: T.StructType, delay: str = "1 hour",
-                        out: str | None = None) -> DataFrame:
+                        out: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """T4: hits per 1-day tumbling window and aggregator; append mode emits
     a window only once the watermark has passed its end (closed windows)."""
     out = out or scratch_path(spark, "daily-out")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
     agg = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
            .withWatermark("published_dt", delay)
            .groupBy(F.window("published_dt", "1 day"), "aggregator_id")
@@ -110,11 +120,11 @@ def daily_window_stream(spark: SparkSession, path: str, schema: T.StructType, de
 
 
 def late_rows_stream(spark: SparkSession, path: str, schema: T.StructType, windows: DataFrame,
-                     out: str | None = None) -> DataFrame:
+                     out: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """T5: rows outside the window they were fetched for are flagged and
     counted per run (stream-static join with the requested windows)."""
     out = out or scratch_path(spark, "late-out")
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
     j = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
          .join(windows.select("topic_id", "aggregator_id", "start_dt", "end_dt"), ["topic_id", "aggregator_id"]))
     late = ~F.col("published_dt").between(F.col("start_dt"), F.col("end_dt"))
