@@ -22,16 +22,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_r
     return F.broadcast(df) if n <= max_rows else df
 
 
-def scalar_max(df: DataFrame, col: str) -> int | None:
-    """Maximum of a column of a small parameter table as a Python literal.
-
-    Used where the value must be a plan literal (e.g. so that Catalyst can
-    insert a per-partition WindowGroupLimit before the shuffle).
-    """
-    v = df.agg(F.max(col)).first()[0]
-    return None if v is None else int(v)
-
-
 def rank_within(df: DataFrame, part: list[str], order: str, bucket_width: int = 1 << 16,
                 name: str = "rank") -> DataFrame:
     """Exact 1-based row_number() over (partition by ``part`` order by
