@@ -118,7 +118,8 @@ def win_page_stop(spark, sf):
 @query("win_fetch_cap", rows_sql("c_w3", ", page, candidate_rank"))
 def win_fetch_cap(spark, sf):
     """First max_results x 2 unique rows per run."""
-    return collect_until(spark, sf, "W3").select(*RUNK, "event_id", "url", "page", "candidate_rank")
+    return collect_until(spark, sf, "W3").select(*RUNK, "event_id", "url", "page",
+                                                 F.col("candidate_rank").cast("long").alias("candidate_rank"))
 
 
 @query("flt_window", rows_sql("c_f2", f", {ISO('published_dt')} AS published"))
@@ -142,7 +143,9 @@ def join_trusted_semi(spark, sf):
 @query("win_accept_cap", rows_sql("c_w4", f", aggregation_index, article_id, {ISO('published_dt')} AS published"))
 def win_accept_cap(spark, sf):
     """Dense aggregation_index over accepted rows, first max_results per run."""
-    return collect_until(spark, sf, "W4").select(*RUNK, "event_id", "url", "aggregation_index", "article_id",
+    return collect_until(spark, sf, "W4").select(*RUNK, "event_id", "url",
+                                                 F.col("aggregation_index").cast("long").alias("aggregation_index"),
+                                                 "article_id",
                                                  iso_utc(F.col("published_dt")).alias("published"))
 
 
@@ -176,4 +179,4 @@ def flt_has_body(spark, sf):
     """pages whose extracted body is empty are dropped."""
     p = A.read(spark, sf, "pages")
     p = p.select("page_id", provider_domain(F.col("url")).alias("provider_domain"), html_body(F.col("html")).alias("body"))
-    return C.flt_has_body(p).select("page_id", "provider_domain", F.length("body").alias("body_chars"))
+    return C.flt_has_body(p).select("page_id", "provider_domain", F.length("body").cast("long").alias("body_chars"))

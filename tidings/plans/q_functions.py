@@ -92,7 +92,7 @@ def fn_html_article(spark, sf):
     """Page -> title + visible body text."""
     p = A.read(spark, sf, "pages").select("page_id", html_title(F.col("html")).alias("title"),
                                           html_body(F.col("html")).alias("body"))
-    return p.select("page_id", "title", F.md5("body").alias("body_md5"), F.length("body").alias("body_chars"))
+    return p.select("page_id", "title", F.md5("body").alias("body_md5"), F.length("body").cast("long").alias("body_chars"))
 
 
 @query("fn_sourced_keys", with_views(f"""
@@ -144,7 +144,7 @@ def fn_embedding_docs(spark, sf):
                          for m in EMBEDDING_MODES])
     x = d.select("doc_id", F.explode(per_mode).alias("m"))
     x = x.select("doc_id", F.col("m.mode").alias("mode"), F.posexplode("m.docs").alias("doc_pos", "doc"))
-    return x.select("doc_id", "mode", "doc_pos", F.md5("doc").alias("doc_md5"), F.length("doc").alias("doc_chars"))
+    return x.select("doc_id", "mode", "doc_pos", F.md5("doc").alias("doc_md5"), F.length("doc").cast("long").alias("doc_chars"))
 
 
 @query("fn_strip_quotes", """
@@ -162,8 +162,8 @@ def fn_strip_quotes(spark, sf):
 
 
 @query("fn_json_payload", with_views(
-    "SELECT event_id, to_json(struct_pack(event_id := event_id, url := url, title := title, "
-    "aggregator_id := aggregator_id)) AS article_data FROM hits", "hits"))
+    "SELECT event_id, CAST(to_json(struct_pack(event_id := event_id, url := url, title := title, "
+    "aggregator_id := aggregator_id)) AS VARCHAR) AS article_data FROM hits", "hits"))
 def fn_json_payload(spark, sf):
     """The original record kept as a JSON string."""
     h = A.hits(spark, sf)
@@ -180,7 +180,7 @@ def fn_token_chunks(spark, sf):
     """Documents split into 250-token chunks (word tokens, overlap 0)."""
     d = A.read(spark, sf, "documents")
     c = d.select("doc_id", F.posexplode(token_chunks(F.col("text"), K.CHUNK_TOKENS, K.CHUNK_OVERLAP)).alias("chunk_idx", "chunk"))
-    return c.select("doc_id", "chunk_idx", F.md5("chunk").alias("chunk_md5"), F.length("chunk").alias("chunk_chars"))
+    return c.select("doc_id", "chunk_idx", F.md5("chunk").alias("chunk_md5"), F.length("chunk").cast("long").alias("chunk_chars"))
 
 
 def _titles_by_cluster(spark, sf):
@@ -204,7 +204,7 @@ def fn_render_prompts(spark, sf):
     """Title prompt per (topic, cluster): member titles stuffed into the template."""
     t = _titles_by_cluster(spark, sf)
     p = PR.title_prompt(F.col("topic"), F.col("titles"))
-    return t.select("topic_id", "cluster", F.md5(p).alias("title_prompt_md5"), F.length(p).alias("title_prompt_chars"))
+    return t.select("topic_id", "cluster", F.md5(p).alias("title_prompt_md5"), F.length(p).cast("long").alias("title_prompt_chars"))
 
 
 @query("fn_refine_plan", f"""

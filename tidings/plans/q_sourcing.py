@@ -87,7 +87,7 @@ def sink_embeddings(spark, sf):
     path = scratch_path(spark, "embeddings")
     CS.store_embeddings(e, path, "title", "fixture")
     d = spark.read.parquet(path)
-    return d.select("article_id", "embedding_type", "embedding_model_name", F.size("embedding").alias("dims"))
+    return d.select("article_id", "embedding_type", "embedding_model_name", F.size("embedding").cast("long").alias("dims"))
 
 
 @query("flt_inventory_min", with_views("""
@@ -115,7 +115,7 @@ def _rank_sql(name: str) -> str:
 def _ranked(spark, sf, name):
     r = SO.rank_inventory(inventory(spark, sf), name)
     return r.select("topic_id", F.col("publishing_date").cast("string").alias("publishing_date"), "article_id",
-                    "inventory_rank")
+                    F.col("inventory_rank").cast("long").alias("inventory_rank"))
 
 
 @query("win_inventory_relevance", with_views(_rank_sql("relevance"), "inventory"))
@@ -166,7 +166,7 @@ def win_cluster_topk(spark, sf):
     m = A.cluster_members(spark, sf)
     s = SO.cluster_sizes(m, ["topic_id"])
     return SO.cluster_topk(s, A.topics(spark, sf), ["topic_id"], K.DAILY_SOURCING_FREQUENCY).select(
-        "topic_id", "cluster", "size", "cluster_rank")
+        "topic_id", "cluster", "size", F.col("cluster_rank").cast("long").alias("cluster_rank"))
 
 
 @query("agg_sourced_article", with_views(f"""
@@ -244,7 +244,7 @@ def win_chunk_interleave(spark, sf):
 
 
 @query("agg_token_stats", """
-SELECT conv_id AS cluster, sum(n) AS total_tokens, round(avg(n), 6) AS avg_tokens, max(n) AS max_tokens
+SELECT conv_id AS cluster, CAST(sum(n) AS BIGINT) AS total_tokens, round(avg(n), 6) AS avg_tokens, max(n) AS max_tokens
 FROM (SELECT conv_id, len(regexp_extract_all(text, '(\\s*\\S+)', 1)) AS n FROM conversations) x GROUP BY conv_id""")
 def agg_token_stats(spark, sf):
     """Per cluster total / mean / max tokens of its texts."""
@@ -254,7 +254,7 @@ def agg_token_stats(spark, sf):
 
 
 @query("agg_embedding_cost", with_views("""
-SELECT topic_id, CAST(publishing_date AS VARCHAR) AS publishing_date, sum(n) AS tokens, round(CAST(sum(n) AS DOUBLE) * CAST(0.0000001 AS DOUBLE), 9) AS cost_usd
+SELECT topic_id, CAST(publishing_date AS VARCHAR) AS publishing_date, CAST(sum(n) AS BIGINT) AS tokens, round(CAST(sum(n) AS DOUBLE) * CAST(0.0000001 AS DOUBLE), 9) AS cost_usd
 FROM (SELECT i.topic_id, i.publishing_date, len(regexp_extract_all(replace(h.title || ' ' || h.text, chr(10), ' '), '(\\s*\\S+)', 1)) AS n
       FROM inventory i JOIN hits h ON h.event_id = i.event_id) x GROUP BY topic_id, publishing_date""", "inventory", "hits"))
 def agg_embedding_cost(spark, sf):
