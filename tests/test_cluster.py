@@ -123,3 +123,24 @@ def test_large_groups_take_the_distributed_path(spark):
         assert len({big[i] for i in range(c, 60, 3)}) == 1
     small = {r.i: r.label for r in out if r.g == "small"}
     assert small[0] == small[2] != small[1]
+
+
+def test_weighted_silhouette_is_scale_invariant_and_exact_for_unit_weights():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(8, 2))
+    lab = np.array([0, 0, 1, 1, 2, 2, 2, 0])
+    w = np.array([1.0, 3.0, 1.0, 1.0, 2.0, 1.0, 4.0, 2.0])
+    assert abs(CL.silhouette(x, lab, w=w) - CL.silhouette(x, lab, w=3 * w)) < 1e-12
+    assert abs(CL.silhouette(x, lab, w=np.ones(8)) - naive_silhouette(x, lab)) < 1e-12
+
+
+def test_large_groups_kmeans_path(spark):
+    rng = np.random.default_rng(4)
+    rows = [("big", i, [float(v) for v in rng.normal(scale=0.3, size=2) + np.array([(i % 3) * 10.0, 0.0])])
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, i long, embedding array<float>")
+    out = CL.kmeans_clusters(df, ["g"], "i", max_group=40).collect()
+    lab = {r.i: r.label for r in out}
+    assert len(out) == 60 and {r.n_clusters for r in out} == {3}
+    for c in range(3):
+        assert len({lab[i] for i in range(c, 60, 3)}) == 1

@@ -32,15 +32,17 @@ def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray,
                          w: np.ndarray | None = None) -> float:
     """Mean silhouette from point-to-cluster distance sums (n x k).
 
-    With weights ``w`` every row stands for ``w`` points sitting at its
-    position (weighted micro-clusters); with unit weights this is the exact
-    silhouette.
+    With weights ``w`` every row stands for ``w`` points (a micro-cluster):
+    a(i) is the weighted mean distance to the other rows of its cluster, b(i)
+    the smallest weighted mean distance to another cluster, and the mean is
+    weighted. A row alone in its cluster scores 0, as a singleton does. With
+    unit weights this is the exact silhouette.
     """
     n = sums.shape[0]
     rows = np.arange(n)
     w = np.ones(n) if w is None else w
     own_size = sizes[own]
-    rest = own_size - w
+    rest = own_size - w        # a(i) averages over the *other* rows of the cluster
     a = np.where(rest > 0, sums[rows, own] / np.where(rest > 0, rest, 1.0), 0.0)
     means = sums / sizes[None, :]
     means[rows, own] = np.inf
@@ -50,13 +52,16 @@ def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray,
     return float((s * w).sum() / w.sum())
 
 
-def silhouette(x: np.ndarray, labels: np.ndarray, d: np.ndarray | None = None) -> float:
-    """Mean silhouette with Euclidean distance; singletons score 0."""
+def silhouette(x: np.ndarray, labels: np.ndarray, d: np.ndarray | None = None,
+               w: np.ndarray | None = None) -> float:
+    """Mean silhouette with Euclidean distance; singletons score 0.
+    ``w`` weights rows that stand for several points."""
     d = pairwise(x) if d is None else d
+    w = np.ones(len(labels)) if w is None else w
     uniq, own = np.unique(labels, return_inverse=True)
     onehot = np.zeros((len(labels), len(uniq)))
-    onehot[np.arange(len(labels)), own] = 1.0
-    return silhouette_from_sums(d @ onehot, onehot.sum(axis=0), own)
+    onehot[np.arange(len(labels)), own] = w
+    return silhouette_from_sums(d @ onehot, onehot.sum(axis=0), own, w)
 
 
 def ward_merges(x: np.ndarray, w: np.ndarray | None = None) -> list[tuple[float, int, int]]:
@@ -150,14 +155,18 @@ def ward_cut(x: np.ndarray, m: int, w: np.ndarray | None = None) -> np.ndarray:
     return _relabel(root_of)
 
 
-def kmeans(x: np.ndarray, k: int, seed: int = KMEANS_SEED, iters: int = 300) -> np.ndarray:
-    """k-means++ seeding then Lloyd iterations (deterministic for a seed)."""
+def kmeans(x: np.ndarray, k: int, seed: int = KMEANS_SEED, iters: int = 300,
+           w: np.ndarray | None = None) -> np.ndarray:
+    """k-means++ seeding then Lloyd iterations (deterministic for a seed);
+    ``w`` weights rows that stand for several points."""
     rng = np.random.default_rng(seed)
     n = len(x)
-    centers = [x[rng.integers(n)]]
+    w = np.ones(n) if w is None else w
+    centers = [x[rng.choice(n, p=w / w.sum())]]
     d2 = np.einsum("ij,ij->i", x - centers[0], x - centers[0])
     for _ in range(1, k):
-        p = d2 / d2.sum() if d2.sum() > 0 else np.full(n, 1.0 / n)
+        p = d2 * w
+        p = p / p.sum() if p.sum() > 0 else w / w.sum()
         c = x[rng.choice(n, p=p)]
         centers.append(c)
         d2 = np.minimum(d2, np.einsum("ij,ij->i", x - c, x - c))
@@ -172,11 +181,12 @@ def kmeans(x: np.ndarray, k: int, seed: int = KMEANS_SEED, iters: int = 300) ->
         for j in range(k):
             m = labels == j
             if m.any():
-                c[j] = x[m].mean(axis=0)
+                c[j] = (x[m] * w[m, None]).sum(axis=0) / w[m].sum()
     return labels
 
 
-def kmeans_select_k(x: np.ndarray, seed: int = KMEANS_SEED) -> tuple[np.ndarray, int, float]:
+def kmeans_select_k(x: np.ndarray, seed: int = KMEANS_SEED,
+                    w: np.ndarray | None = None) -> tuple[np.ndarray, int, float]:
     """K-means sweep over k in 2..n-1 scored by silhouette (first max)."""
     n = len(x)
     if n <= 2:
@@ -185,8 +195,8 @@ def kmeans_select_k(x: np.ndarray, seed: int = KMEANS_SEED) -> tuple[np.ndarray,
     d = pairwise(x)
     best = (-np.inf, None, None)
     for k in range(2, n):
-        labels = kmeans(x, k, seed)
-        score = silhouette(x, labels, d)
+        labels = kmeans(x, k, seed, w=w)
+        score = silhouette(x, labels, d, w)
         if score > best[0]:
             best = (score, k, labels)
     score, k_best, labels = best
@@ -238,7 +248,8 @@ REDUCTION = 4
 
 
 def ward_clusters_large(points: DataFrame, group: list[str], idx: str, vec: str,
-                        max_group: int = MAX_GROUP, reduction: int = REDUCTION) -> DataFrame:
+                        max_group: int = MAX_GROUP, reduction: int = REDUCTION,
+                        kernel=ward_select_k) -> DataFrame:
     """Ward clustering of groups too large for one task.
 
     Level by level, every group still above ``max_group`` rows is hash-split
@@ -280,7 +291,7 @@ def ward_clusters_large(points: DataFrame, group: list[str], idx: str, vec: str,
         mappings.append(reduced.select(*group, F.col("_item").alias("_parent"),
                                        F.explode("_members").alias("_item")))
         items = keep.unionByName(reduced.drop("_members"))
-    return _sweep_and_label(points, items, mappings, group, idx, keys)
+    return _sweep_and_label(points, items, mappings, group, idx, keys, kernel)
 
 
 def _chunk_reducer(group: list[str], tag: str, reduction: int):
@@ -304,14 +315,14 @@ def _chunk_reducer(group: list[str], tag: str, reduction: int):
 
 
 def _sweep_and_label(points: DataFrame, items: DataFrame, mappings: list[DataFrame], group: list[str],
-                     idx: str, keys: list) -> DataFrame:
+                     idx: str, keys: list, kernel) -> DataFrame:
     out_schema = T.StructType(keys + [T.StructField("_item", T.StringType()), T.StructField("label", T.LongType()),
                                       T.StructField("n_clusters", T.LongType()), T.StructField("score", T.DoubleType())])
 
     def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_item")
         x = np.stack(pdf["_vec"].map(np.asarray).to_numpy())
-        labels, k, score = ward_select_k(x, pdf["_w"].to_numpy(dtype=np.float64))
+        labels, k, score = kernel(x, w=pdf["_w"].to_numpy(dtype=np.float64))
         out = pdf[group + ["_item"]].copy()
         out["label"], out["n_clusters"], out["score"] = labels, k, score
         return out
@@ -327,8 +338,15 @@ def _sweep_and_label(points: DataFrame, items: DataFrame, mappings: list[DataFra
 
 def kmeans_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding",
                     max_group: int = MAX_GROUP) -> DataFrame:
-    """Seeded k-means sweep per group with silhouette-chosen k."""
-    return _grouped(df, group, idx, vec, kmeans_select_k, max_group)
+    """Seeded k-means sweep per group with silhouette-chosen k; groups
+    above ``max_group`` sweep weighted k-means over multi-level Ward
+    micro-clusters (same distributed reduction as C1)."""
+    base = df.select(*group, idx, vec)
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
+    large = base.join(sizes.filter(F.col("_n") > max_group), group)
+    exact = _grouped(small, group, idx, vec, kmeans_select_k, max_group)
+    return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group, kernel=kmeans_select_k))
 
 
 def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "embedding",

@@ -34,7 +34,7 @@ def needs_trust(aggregator: Column) -> Column:
 
 def flt_undated(df: DataFrame, raw: str = "raw_published") -> DataFrame:
     """drop rows whose published date is null or empty."""
-    return df.filter(F.col(raw).isNotNull() & (F.trim(F.col(raw)) != ""))
+    return df.filter(is_dated(raw))
 
 
 def is_dated(raw: str) -> Column:
