@@ -144,3 +144,16 @@ def test_large_groups_kmeans_path(spark):
     assert len(out) == 60 and {r.n_clusters for r in out} == {3}
     for c in range(3):
         assert len({lab[i] for i in range(c, 60, 3)}) == 1
+
+
+def test_large_group_silhouette_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(scale=0.5, size=(30, 2)) + np.array([c * 6.0, 0.0]) for c in range(3)])
+    lab = np.repeat(np.arange(3), 30)
+    rows = [("g", i, int(lab[i]), [float(v) for v in x[i]]) for i in range(90)]
+    df = spark.createDataFrame(rows, "g string, vec_id long, label long, embedding array<float>")
+    exact = CL.silhouette(x, lab)
+    approx = CL.silhouette_scores(df, ["g"], "label", max_group=40, idx="vec_id").first().score
+    small = CL.silhouette_scores(df, ["g"], "label", idx="vec_id").first().score
+    assert abs(small - exact) < 1e-6
+    assert abs(approx - exact) < 0.1

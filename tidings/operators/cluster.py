@@ -261,37 +261,51 @@ def ward_clusters_large(points: DataFrame, group: list[str], idx: str, vec: str,
     silhouette, and labels flow back down the levels by equi-joins.
     Scores of such groups are computed on micro-clusters, not on points.
     """
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(points.sparkSession)
-    chunk = max(max_group // 2, 2)
     keys = [points.schema[c] for c in group]
     items = points.select(*group, F.col(idx).cast("string").alias("_item"),
                           F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
-    level_schema = T.StructType(keys + [T.StructField("_item", T.StringType()),
-                                        T.StructField("_vec", T.ArrayType(T.DoubleType())),
-                                        T.StructField("_w", T.DoubleType()),
-                                        T.StructField("_members", T.ArrayType(T.StringType()))])
+    items, mappings = reduce_levels(items, group, [], max_group, reduction)
+    return _sweep_and_label(points, items, mappings, group, idx, keys, kernel)
+
+
+MAX_LEVELS = 32
+
+
+def reduce_levels(items: DataFrame, group: list[str], split: list[str], max_group: int,
+                  reduction: int = REDUCTION) -> tuple[DataFrame, list[DataFrame]]:
+    """Shrink every group above ``max_group`` rows into weighted micro-clusters.
+
+    ``items`` has the group columns, the ``split`` columns (micro-clusters
+    never mix their values, e.g. a given label), ``_item``, ``_vec`` and
+    ``_w``. Per level, oversized groups are hash-split into chunks of about
+    ``max_group / 2`` rows within (group, split) and each chunk is cut by
+    weighted Ward into ``rows / reduction`` micro-clusters (one bounded task
+    per chunk); the level is checkpointed to the shared folder. Returns the
+    final items and, per level, the (parent, child) mapping.
+    """
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(items.sparkSession)
+    chunk = max(max_group // 2, 2)
+    keyed = [*group, *split]
+    level_schema = T.StructType([items.schema[c] for c in keyed] + [
+        T.StructField("_item", T.StringType()), T.StructField("_vec", T.ArrayType(T.DoubleType())),
+        T.StructField("_w", T.DoubleType()), T.StructField("_members", T.ArrayType(T.StringType()))])
     mappings: list[DataFrame] = []
-    level = 0
-    while True:
+    for level in range(1, MAX_LEVELS + 1):
         counted = items.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
         biggest = counted.agg(F.max("_n")).first()[0]
         if biggest is None or biggest <= max_group:
             break
-        level += 1
-        tag = f"L{level}:"
-        over = counted.filter(F.col("_n") > max_group)
+        over = counted.filter(F.col("_n") > max_group).drop("_n")
         keep = counted.filter(F.col("_n") <= max_group).drop("_n")
-        n_chunks = F.ceil(F.col("_n") / F.lit(chunk)).cast("long")
-        over = over.withColumn("_chunk", F.pmod(F.xxhash64("_item"), n_chunks)).drop("_n")
-
-        reduce_chunk = _chunk_reducer(group, tag, reduction)
-        reduced = over.groupBy(*group, "_chunk").applyInPandas(reduce_chunk, level_schema).checkpoint()
-        mappings.append(reduced.select(*group, F.col("_item").alias("_parent"),
-                                       F.explode("_members").alias("_item")))
+        per_key = F.count(F.lit(1)).over(Window.partitionBy(*keyed))
+        over = over.withColumn("_chunk", F.pmod(F.xxhash64("_item"), F.ceil(per_key / F.lit(chunk)).cast("long")))
+        reduced = (over.groupBy(*keyed, "_chunk")
+                   .applyInPandas(_chunk_reducer(keyed, f"L{level}:", reduction), level_schema).checkpoint())
+        mappings.append(reduced.select(*group, F.col("_item").alias("_parent"), F.explode("_members").alias("_item")))
         items = keep.unionByName(reduced.drop("_members"))
-    return _sweep_and_label(points, items, mappings, group, idx, keys, kernel)
+    return items, mappings
 
 
 def _chunk_reducer(group: list[str], tag: str, reduction: int):
@@ -302,7 +316,8 @@ def _chunk_reducer(group: list[str], tag: str, reduction: int):
         m = max(1, -(-len(pdf) // reduction))
         lab = ward_cut(x, m, w)
         out = []
-        c = int(pdf["_chunk"].iloc[0])
+        # unique within the group: chunk number plus the split values
+        c = ":".join(str(v) for v in [pdf["_chunk"].iloc[0], *pdf[group].iloc[0].tolist()])
         for j in range(lab.max() + 1):
             sel = lab == j
             ww = w[sel]
@@ -350,22 +365,42 @@ def kmeans_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embed
 
 
 def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "embedding",
-                      max_group: int = MAX_GROUP) -> DataFrame:
-    """Mean Euclidean silhouette of given labels per group."""
+                      max_group: int = MAX_GROUP, idx: str | None = None) -> DataFrame:
+    """Mean Euclidean silhouette of given labels per group.
+
+    Groups up to ``max_group`` rows are scored exactly in one task. Larger
+    groups are first shrunk into weighted micro-clusters that never mix
+    labels (:func:`reduce_levels`, split by label), then scored with the
+    weighted silhouette; ``idx`` names a unique row id (a hash of the row
+    is used when it is absent).
+    """
     schema = T.StructType([df.schema[c] for c in group] + [T.StructField("score", T.DoubleType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > max_group:
-            raise ValueError(f"group of {len(pdf)} rows exceeds max_group={max_group}")
-        x = np.stack(pdf[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+    def score(pdf: pd.DataFrame, w_col: str | None, vcol: str) -> pd.DataFrame:
+        x = np.stack(pdf[vcol].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
         labels = pdf[label].to_numpy()
+        w = pdf[w_col].to_numpy(dtype=np.float64) if w_col else None
+        n = len(pdf) if w is None else w.sum()
         k = len(np.unique(labels))
-        score = silhouette(x, labels) if 2 <= k <= len(pdf) - 1 else float("nan")
         out = pdf[group].iloc[:1].copy()
-        out["score"] = score
+        out["score"] = silhouette(x, labels, w=w) if 2 <= k <= n - 1 else float("nan")
         return out
 
-    return df.select(*group, label, vec).groupBy(*group).applyInPandas(run, schema)
+    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
+        return score(pdf, None, vec)
+
+    def weighted(pdf: pd.DataFrame) -> pd.DataFrame:
+        return score(pdf, "_w", "_vec")
+
+    base = df.select(*group, label, vec, (F.col(idx) if idx else F.xxhash64(F.to_json(F.struct(*df.columns)))).alias("_id"))
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
+    large = base.join(sizes.filter(F.col("_n") > max_group).select(*group), group, "left_semi")
+    out = small.select(*group, label, vec).groupBy(*group).applyInPandas(exact, schema)
+    items = large.select(*group, label, F.col("_id").cast("string").alias("_item"),
+                         F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
+    reduced, _ = reduce_levels(items, group, [label], max_group)
+    return out.unionByName(reduced.groupBy(*group).applyInPandas(weighted, schema))
 
 
 def argmax_k(scores: DataFrame, group: list[str], digits: int = 6) -> DataFrame:

@@ -44,7 +44,7 @@ FROM s GROUP BY {group}"""
     "FROM embeddings", "topic_id") + ") x")
 def clu_silhouette(spark, sf):
     """Mean Euclidean silhouette of the stored labels per topic."""
-    s = CL.silhouette_scores(_members(spark, sf), ["topic_id"], "label")
+    s = CL.silhouette_scores(_members(spark, sf), ["topic_id"], "label", idx="vec_id")
     return s.select("topic_id", F.round("score", 6).alias("score"))
 
 
@@ -59,7 +59,7 @@ def clu_argmax_k(spark, sf):
     m = _members(spark, sf).select("topic_id", "vec_id", "embedding",
                                    F.explode(F.sequence(F.lit(2), F.lit(10))).alias("k"))
     m = m.withColumn("label", F.col("vec_id") % F.col("k"))
-    s = CL.silhouette_scores(m, ["topic_id", "k"], "label")
+    s = CL.silhouette_scores(m, ["topic_id", "k"], "label", idx="vec_id")
     a = CL.argmax_k(s, ["topic_id"])
     return a.select("topic_id", F.col("k").cast("long").alias("k"), F.round("score", 6).alias("score"))
 
