@@ -204,6 +204,21 @@ def kmeans_select_k(x: np.ndarray, seed: int = KMEANS_SEED,
 
 
 # ------------------------------------------------------------------ Spark operators
+def split_by_size(base: DataFrame, group: list[str], max_group: int) -> tuple[DataFrame, DataFrame | None]:
+    """(groups up to ``max_group`` rows, larger groups or None).
+
+    One aggregate job finds the largest group; when none is oversized the
+    exact path runs on the input as is, with no extra join.
+    """
+    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    biggest = sizes.agg(F.max("_n")).first()[0]
+    if biggest is None or biggest <= max_group:
+        return base, None
+    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
+    large = base.join(sizes.filter(F.col("_n") > max_group).select(*group), group, "left_semi")
+    return small, large
+
+
 def _out_schema(df: DataFrame, group: list[str], idx: str) -> T.StructType:
     fields = [df.schema[c] for c in group] + [df.schema[idx]]
     return T.StructType(fields + [T.StructField("label", T.LongType()), T.StructField("n_clusters", T.LongType()),
@@ -236,11 +251,10 @@ def ward_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embeddi
     Larger groups take the distributed two-level path of
     :func:`ward_clusters_large`, so no task ever holds a whole hot group.
     """
-    base = df.select(*group, idx, vec)
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
-    large = base.join(sizes.filter(F.col("_n") > max_group), group)
+    small, large = split_by_size(df.select(*group, idx, vec), group, max_group)
     exact = _grouped(small, group, idx, vec, ward_select_k, max_group)
+    if large is None:
+        return exact
     return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group))
 
 
@@ -356,11 +370,10 @@ def kmeans_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embed
     """Seeded k-means sweep per group with silhouette-chosen k; groups
     above ``max_group`` sweep weighted k-means over multi-level Ward
     micro-clusters (same distributed reduction as C1)."""
-    base = df.select(*group, idx, vec)
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
-    large = base.join(sizes.filter(F.col("_n") > max_group), group)
+    small, large = split_by_size(df.select(*group, idx, vec), group, max_group)
     exact = _grouped(small, group, idx, vec, kmeans_select_k, max_group)
+    if large is None:
+        return exact
     return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group, kernel=kmeans_select_k))
 
 
@@ -393,10 +406,10 @@ def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "e
         return score(pdf, "_w", "_vec")
 
     base = df.select(*group, label, vec, (F.col(idx) if idx else F.xxhash64(F.to_json(F.struct(*df.columns)))).alias("_id"))
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
-    large = base.join(sizes.filter(F.col("_n") > max_group).select(*group), group, "left_semi")
+    small, large = split_by_size(base, group, max_group)
     out = small.select(*group, label, vec).groupBy(*group).applyInPandas(exact, schema)
+    if large is None:
+        return out
     items = large.select(*group, label, F.col("_id").cast("string").alias("_item"),
                          F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
     reduced, _ = reduce_levels(items, group, [label], max_group)
