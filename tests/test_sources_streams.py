@@ -102,3 +102,18 @@ def test_stream_daily_windows_only_closed(spark):
     # the last day (5th) stays open; row 99 (day 2) lands after the watermark
     # has passed day 2, so it is late and not counted
     assert got == [(1, 4), (2, 4), (3, 4), (4, 4)]
+
+
+def test_sourced_rows_default_pending(spark):
+    from tidings.sources import bundles as BD
+    a = spark.createDataFrame(
+        [("t1", "2024-01-02-00-00-00-000000#x", dt.datetime(2024, 1, 2), "2024/01/02", "T", "Topic 1",
+          ["n/a"], ["a1"], ["u1"], ["d1"])],
+        "topic_id string, sourced_article_id string, dt_published timestamp, date_published string, title string, "
+        "topic string, source_article_categories array<string>, source_article_ids array<string>, "
+        "source_article_urls array<string>, source_article_provider_domains array<string>")
+    r = BD.sourced_rows(a, "run-1", dt.datetime(2024, 1, 3)).first()
+    assert r.article_approval_status == "PENDING" and r.short_summary_ref.endswith("/Short_summary.txt")
+    assert BD.sourced_rows(a, "run-1", dt.datetime(2024, 1, 3), "APPROVED").first().article_approval_status == "APPROVED"
+    both = BD.insert_sourced(BD.sourced_rows(a, "old", dt.datetime(2024, 1, 1)), BD.sourced_rows(a, "new", dt.datetime(2024, 1, 3)))
+    assert [x.sourcing_run_id for x in both.collect()] == ["old"]

@@ -62,3 +62,27 @@ def load_bundles(spark: SparkSession, path: str) -> DataFrame:
         "*", F.concat(F.col("prefix"), F.lit("/Short_summary.txt")).alias("short_summary_ref"),
         F.concat(F.col("prefix"), F.lit("/Medium_summary.txt")).alias("medium_summary_ref"),
         F.concat(F.col("prefix"), F.lit("/Full_summary.txt")).alias("full_summary_ref"))
+
+
+def sourced_rows(articles: DataFrame, sourcing_run_id: str, dt_sourced, initial_status: str = "PENDING",
+                 cost_col: str | None = None) -> DataFrame:
+    """Rows of the sourced-articles table written next to the bundles.
+
+    ``initial_status`` defaults to PENDING so new articles enter review
+    (the original service saved them as APPROVED as a temporary measure and
+    did not touch the published counter; pass "APPROVED" to reproduce that).
+    """
+    k = sourced_keys(F.col("topic_id"), F.col("date_published"), F.col("sourced_article_id"))
+    cost = F.col(cost_col).cast("double") if cost_col else F.lit(0.0)
+    return articles.select(
+        "topic_id", "sourced_article_id", F.lit(dt_sourced).cast("timestamp").alias("dt_sourced"),
+        "dt_published", "date_published", "title", "topic", "source_article_categories", "source_article_ids",
+        "source_article_urls", F.col("source_article_provider_domains").alias("providers"),
+        k["short_key"].alias("short_summary_ref"), k["medium_key"].alias("medium_summary_ref"),
+        k["full_key"].alias("full_summary_ref"), F.lit(sourcing_run_id).alias("sourcing_run_id"),
+        cost.alias("article_processing_cost"), F.lit(initial_status).alias("article_approval_status"))
+
+
+def insert_sourced(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """Conditional save: a sourced_article_id already stored is not replaced."""
+    return table.unionByName(rows.join(table.select("sourced_article_id"), "sourced_article_id", "left_anti"))
