@@ -40,9 +40,12 @@ def _article(vendor: str):
     if vendor == NEWSAPI_ORG:
         return F.struct(F.struct(F.lit(None).cast("string").alias("id"), F.col("source").alias("name")).alias("source"),
                         F.col("title"), F.col("description"), F.col("url_or_null").alias("url"),
-                        F.col("date_or_null").alias("publishedAt"), F.substring("text", 1, 200).alias("content"))
+                        F.col("date_or_null").alias("publishedAt"),
+                        # the vendor's own format: "content" is the article cut at 200 characters
+                        F.substring("text", 1, 200).alias("content"))
     return F.struct(uuid_of(F.col("event_id")).alias("uuid"), F.col("title"), F.col("description"),
-                    F.lit("").alias("keywords"), F.substring("text", 1, 100).alias("snippet"),
+                    F.lit("").alias("keywords"),
+                    F.substring("text", 1, 100).alias("snippet"),   # vendor snippet: a short lead
                     F.col("url_or_null").alias("url"), F.lit("").alias("image_url"), F.col("lang").alias("language"),
                     F.col("date_or_null").alias("published_at"), F.col("provider_domain").alias("source"),
                     F.array(F.col("vendor_category")).alias("categories"))
