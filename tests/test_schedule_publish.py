@@ -91,3 +91,16 @@ def test_entity_checks(spark):
     got = sorted((r.candidate_id, r.reject_reason) for r in P.entity_checks(cands, existing).collect())
     assert got == [("1", None), ("2", "duplicate in batch"), ("3", "max results not positive"),
                    ("4", "topic exists"), ("5", "language must have 2 letters")]
+
+
+def test_request_columns(spark):
+    from tidings.functions.requests import request_columns
+    w = spark.createDataFrame([("t", "bingnews", "Generative AI", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 8)),
+                               ("t", "bingnews", "Generative AI", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)),
+                               ("t", "thenewsapi.com", "Generative AI", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))],
+                              "topic_id string, aggregator_id string, topic string, start_dt timestamp, end_dt timestamp")
+    tr = spark.createDataFrame([("en", f"d{i}.com", True) for i in range(51)],
+                               "language string, provider_domain string, is_active boolean")
+    got = [(r.topic_query, r.freshness, r.request_error) for r in request_columns(w, tr).collect()]
+    assert got == [("Generative+AI", "Week", None), ("Generative+AI", None, "unsupported timeframe"),
+                   ("Generative+AI", None, "too many provider domains")]

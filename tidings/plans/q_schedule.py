@@ -77,7 +77,11 @@ SELECT topic_id, aggregator_id, replace(topic, ' ', '+') AS topic_query,
        CASE WHEN aggregator_id = 'bingnews' THEN
          CASE date_diff('day', start_dt, end_dt) WHEN 1 THEN 'Day' WHEN 7 THEN 'Week' WHEN 30 THEN 'Month' END END AS freshness,
        CASE WHEN aggregator_id = 'bingnews' THEN NULL ELSE
-         (SELECT string_agg(DISTINCT provider_domain, ',' ORDER BY provider_domain) FROM trusted WHERE is_active AND language = 'en') END AS include_domains
+         (SELECT string_agg(DISTINCT provider_domain, ',' ORDER BY provider_domain) FROM trusted WHERE is_active AND language = 'en') END AS include_domains,
+       CASE WHEN aggregator_id = 'bingnews' AND date_diff('day', start_dt, end_dt) NOT IN (1, 7, 30) THEN 'unsupported timeframe'
+            WHEN (aggregator_id = 'newsapi.org' AND (SELECT count(DISTINCT provider_domain) FROM trusted WHERE is_active AND language = 'en') > 500)
+              OR (aggregator_id = 'thenewsapi.com' AND (SELECT count(DISTINCT provider_domain) FROM trusted WHERE is_active AND language = 'en') > 50)
+            THEN 'too many provider domains' END AS request_error
 FROM windows""", "windows", "trusted"))
 def fn_request_columns(spark, sf):
     """P5: per planned window the request parameters of its vendor."""
