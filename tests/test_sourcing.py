@@ -91,3 +91,10 @@ def test_embedding_check(spark):
     vecs = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     got = sorted((r.k, r.violation) for r in SO.embedding_check(arts, vecs, "k").collect())
     assert got == [(1, "several vectors"), (3, "missing vector")]
+
+
+def test_empty_inventory(spark):
+    empty = spark.createDataFrame([], INV)
+    assert SO.rank_inventory(empty, "relevance").count() == 0
+    assert SO.inventory_status(empty).count() == 0
+    assert SO.sourceable(empty).count() == 0
