@@ -104,3 +104,10 @@ def test_request_columns(spark):
     got = [(r.topic_query, r.freshness, r.request_error) for r in request_columns(w, tr).collect()]
     assert got == [("Generative+AI", "Week", None), ("Generative+AI", None, "unsupported timeframe"),
                    ("Generative+AI", None, "too many provider domains")]
+
+
+def test_observed_counts_without_extra_job(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    out, obs = P.observed(df.filter("v > 1"), "after_filter", ["k"])
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 2, "distinct_dimensions": 2}
