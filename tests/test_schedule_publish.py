@@ -108,6 +108,6 @@ def test_request_columns(spark):
 
 def test_observed_counts_without_extra_job(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
-    out, obs = P.observed(df.filter("v > 1"), "after_filter", ["k"])
+    out, obs = P.observed(df.filter("v > 1"), "after_filter", ["v"])
     out.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"rows": 2, "distinct_dimensions": 2}
+    assert obs.get == {"rows": 2, "sum_v": 5}

@@ -171,15 +171,13 @@ def run_status(ledger: DataFrame) -> DataFrame:
         F.round(F.count_if(F.col("status") == "FAILED") / F.count(F.lit(1)), 6).alias("failure_rate"))
 
 
-def observed(df: DataFrame, name: str, dims: list[str] | None = None):
+def observed(df: DataFrame, name: str, sums: list[str] | None = None):
     """A14 without an extra job: attach an ``Observation`` that counts the
-    rows (and distinct dimension combinations) flowing through ``df`` while
-    the downstream action runs. Returns (df, observation); read
+    rows (and sums the given columns) flowing through ``df`` while the
+    downstream action runs. Returns (df, observation); read
     ``observation.get`` after the action."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    exprs = [F.count(F.lit(1)).alias("rows")]
-    if dims:
-        exprs.append(F.count_distinct(*[F.col(d) for d in dims]).alias("distinct_dimensions"))
+    exprs = [F.count(F.lit(1)).alias("rows")] + [F.sum(c).alias(f"sum_{c}") for c in (sums or [])]
     return df.observe(obs, *exprs), obs
