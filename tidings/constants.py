@@ -1,4 +1,4 @@
-"""Constants of the article pipeline.
+"""Constants of the article engine.
 
 FIXED VALUES: everything in the block below must equal the values the
 original service uses, or results differ (aggregator ids, date patterns,

@@ -1,4 +1,4 @@
-"""Views over the driver tables that give the article pipeline its inputs.
+"""Views over the driver tables that give the article engine its inputs.
 
 Every view is derived from the given tables by keys only (no clock, no
 randomness), so its size grows with the data. The DuckDB oracle builds the
