@@ -22,6 +22,9 @@ WATERMARK_BEFORE = dt.datetime(2024, 1, 21)
 RUN_MAX_RESULTS = 100
 N_TOPICS = 8
 TRUSTED_MAX_SOURCE = 13
+# the embeddings table is read as consecutive sourcing days of this many
+# vectors (100 per topic), so a (topic, day) inventory stays bounded
+VECTORS_PER_DAY = 800
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -156,6 +159,7 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = emb.join(docs, "vec_id", "left")
     return e.select(
         F.concat(F.lit("topic_"), (F.col("vec_id") % N_TOPICS).cast("string")).alias("topic_id"),
+        F.floor(F.col("vec_id") / VECTORS_PER_DAY).cast("long").alias("day"),
         F.col("label").alias("cluster"), "vec_id", "embedding",
         F.substring_index(F.col("text"), "\n", 1).alias("title"), "text",
         F.when(F.col("source").isNotNull(), F.concat(F.col("source"), F.lit(".example.com"))).alias("provider_domain"),

@@ -57,7 +57,8 @@ FROM (SELECT DISTINCT source FROM documents) s
 WHERE regexp_extract(source, '^src([0-9]+)$', 1) <> ''
   AND CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INTEGER) <= 13"""),
     "clusters": ((), """
-SELECT 'topic_' || CAST(e.vec_id % 8 AS VARCHAR) AS topic_id, e.label AS cluster, e.vec_id,
+SELECT 'topic_' || CAST(e.vec_id % 8 AS VARCHAR) AS topic_id, CAST(e.vec_id // 800 AS BIGINT) AS day,
+       e.label AS cluster, e.vec_id,
        e.embedding, split_part(d.text, chr(10), 1) AS title, d.text,
        CASE WHEN d.source IS NOT NULL THEN d.source || '.example.com' END AS provider_domain,
        CASE WHEN d.source IS NOT NULL THEN 'https://' || d.source || '.example.com/a/' || CAST(e.vec_id AS VARCHAR) END AS url

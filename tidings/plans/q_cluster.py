@@ -10,21 +10,25 @@ from .catalog import query
 from .oracle_ctes import with_views
 
 
+TOPIC_DAY = ["topic_id", "day"]
+DAY_SQL = "CAST(vec_id // 800 AS BIGINT) AS day"
+
+
 def _members(spark, sf):
-    return A.clusters(spark, sf).select("topic_id", "vec_id", F.col("cluster").alias("label"), "embedding")
+    return A.clusters(spark, sf).select("topic_id", "day", "vec_id", F.col("cluster").alias("label"), "embedding")
 
 
 @query("clu_ward_select_k")
 def clu_ward_select_k(spark, sf):
     """Ward clustering of each topic's vectors, k chosen by silhouette
     (numpy per group; checked against brute force in tests, no SQL twin)."""
-    return CL.ward_clusters(_members(spark, sf), ["topic_id"], "vec_id")
+    return CL.ward_clusters(_members(spark, sf), TOPIC_DAY, "vec_id")
 
 
 @query("clu_kmeans_select_k")
 def clu_kmeans_select_k(spark, sf):
     """Seeded k-means sweep per topic scored by silhouette (no SQL twin)."""
-    return CL.kmeans_clusters(_members(spark, sf), ["topic_id"], "vec_id")
+    return CL.kmeans_clusters(_members(spark, sf), TOPIC_DAY, "vec_id")
 
 
 def _silhouette_sql(points: str, group: str) -> str:
@@ -39,36 +43,36 @@ SELECT {group}, avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a
 FROM s GROUP BY {group}"""
 
 
-@query("clu_silhouette", "SELECT topic_id, round(score, 6) AS score FROM (" + _silhouette_sql(
-    "SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, vec_id, label, CAST(embedding AS DOUBLE[]) AS e "
-    "FROM embeddings", "topic_id") + ") x")
+@query("clu_silhouette", "SELECT topic_id, day, round(score, 6) AS score FROM (" + _silhouette_sql(
+    f"SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, {DAY_SQL}, vec_id, label, "
+    "CAST(embedding AS DOUBLE[]) AS e FROM embeddings", "topic_id, day") + ") x")
 def clu_silhouette(spark, sf):
-    """Mean Euclidean silhouette of the stored labels per topic."""
-    s = CL.silhouette_scores(_members(spark, sf), ["topic_id"], "label", idx="vec_id")
-    return s.select("topic_id", F.round("score", 6).alias("score"))
+    """Mean Euclidean silhouette of the stored labels per topic-day."""
+    s = CL.silhouette_scores(_members(spark, sf), TOPIC_DAY, "label", idx="vec_id")
+    return s.select(*TOPIC_DAY, F.round("score", 6).alias("score"))
 
 
 @query("clu_argmax_k", """
-WITH sc AS (SELECT topic_id, k, score FROM (""" + _silhouette_sql(
-    "SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, g.k, vec_id, vec_id % g.k AS label, "
-    "CAST(embedding AS DOUBLE[]) AS e FROM embeddings, generate_series(2, 10) AS g(k)", "topic_id, k") + """) x)
-SELECT topic_id, k, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY round(score, 6) DESC, k ASC) AS r FROM sc) y WHERE r = 1""")
+WITH sc AS (SELECT topic_id, day, k, score FROM (""" + _silhouette_sql(
+    f"SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, {DAY_SQL}, g.k, vec_id, vec_id % g.k AS label, "
+    "CAST(embedding AS DOUBLE[]) AS e FROM embeddings, generate_series(2, 10) AS g(k)", "topic_id, day, k") + """) x)
+SELECT topic_id, day, k, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic_id, day ORDER BY round(score, 6) DESC, k ASC) AS r FROM sc) y WHERE r = 1""")
 def clu_argmax_k(spark, sf):
     """C4: per topic the first k (2..10, labels vec_id % k) with the best silhouette."""
-    m = _members(spark, sf).select("topic_id", "vec_id", "embedding",
+    m = _members(spark, sf).select(*TOPIC_DAY, "vec_id", "embedding",
                                    F.explode(F.sequence(F.lit(2), F.lit(10))).alias("k"))
     m = m.withColumn("label", F.col("vec_id") % F.col("k"))
-    s = CL.silhouette_scores(m, ["topic_id", "k"], "label", idx="vec_id")
-    a = CL.argmax_k(s, ["topic_id"])
-    return a.select("topic_id", F.col("k").cast("long").alias("k"), F.round("score", 6).alias("score"))
+    s = CL.silhouette_scores(m, [*TOPIC_DAY, "k"], "label", idx="vec_id")
+    a = CL.argmax_k(s, TOPIC_DAY)
+    return a.select(*TOPIC_DAY, F.col("k").cast("long").alias("k"), F.round("score", 6).alias("score"))
 
 
 @query("clu_small_bypass", with_views("""
-SELECT topic_id, cluster, vec_id, row_number() OVER (PARTITION BY topic_id, cluster ORDER BY vec_id) - 1 AS label,
+SELECT topic_id, day, cluster, vec_id, row_number() OVER (PARTITION BY topic_id, day, cluster ORDER BY vec_id) - 1 AS label,
        n AS n_clusters, CAST('inf' AS DOUBLE) AS score
-FROM (SELECT *, count(*) OVER (PARTITION BY topic_id, cluster) AS n FROM clusters) x WHERE n <= 2""", "clusters"))
+FROM (SELECT *, count(*) OVER (PARTITION BY topic_id, day, cluster) AS n FROM clusters) x WHERE n <= 2""", "clusters"))
 def clu_small_bypass(spark, sf):
     """(topic, cluster) groups of at most two vectors: one cluster each, score +inf."""
-    m = A.clusters(spark, sf).select("topic_id", "cluster", "vec_id")
-    return CL.small_bypass(m, ["topic_id", "cluster"], "vec_id")
+    m = A.clusters(spark, sf).select(*TOPIC_DAY, "cluster", "vec_id")
+    return CL.small_bypass(m, [*TOPIC_DAY, "cluster"], "vec_id")

@@ -185,9 +185,9 @@ def fn_token_chunks(spark, sf):
 
 def _titles_by_cluster(spark, sf):
     c = A.clusters(spark, sf).filter(F.col("title").isNotNull())
-    g = c.groupBy("topic_id", "cluster").agg(
+    g = c.groupBy("topic_id", "day", "cluster").agg(
         F.array_sort(F.collect_list(F.struct("vec_id", "title", "text"))).alias("m"))
-    return g.select("topic_id", "cluster", A.topic_name(F.col("topic_id")).alias("topic"),
+    return g.select("topic_id", "day", "cluster", A.topic_name(F.col("topic_id")).alias("topic"),
                     F.array_join(F.transform("m", lambda x: x["title"]), PR.STUFF_SEPARATOR).alias("titles"),
                     F.array_join(F.transform("m", lambda x: x["text"]), PR.STUFF_SEPARATOR).alias("full_text"))
 
@@ -202,14 +202,14 @@ def _summary_sql(definition: str) -> str:
 
 
 @query("fn_render_prompts", with_views(f"""
-SELECT topic_id, cluster, md5(tp) AS title_prompt_md5, length(tp) AS title_prompt_chars,
+SELECT topic_id, day, cluster, md5(tp) AS title_prompt_md5, length(tp) AS title_prompt_chars,
        md5(mp) AS medium_prompt_md5, md5(sp) AS short_prompt_md5 FROM (
-  SELECT topic_id, cluster, replace(replace({_sql_template(K.TITLE_TEMPLATE)}, '####topic####', topic), '{{text}}', titles) AS tp,
+  SELECT topic_id, day, cluster, replace(replace({_sql_template(K.TITLE_TEMPLATE)}, '####topic####', topic), '{{text}}', titles) AS tp,
          {_summary_sql(K.MEDIUM_SUMMARY_DEFINITION)} AS mp, {_summary_sql(K.SHORT_SUMMARY_DEFINITION)} AS sp
-  FROM (SELECT topic_id, cluster, 'Topic ' || split_part(topic_id, '_', 2) AS topic,
+  FROM (SELECT topic_id, day, cluster, 'Topic ' || split_part(topic_id, '_', 2) AS topic,
                string_agg(title, chr(10) || chr(10) ORDER BY vec_id) AS titles,
                string_agg(text, chr(10) || chr(10) ORDER BY vec_id) AS full_text
-        FROM clusters WHERE title IS NOT NULL GROUP BY topic_id, cluster) a) x""", "clusters"))
+        FROM clusters WHERE title IS NOT NULL GROUP BY topic_id, day, cluster) a) x""", "clusters"))
 def fn_render_prompts(spark, sf):
     """Per (topic, cluster) the title prompt (member titles stuffed in)
     and the medium / short summary prompts over the full text."""
@@ -217,7 +217,7 @@ def fn_render_prompts(spark, sf):
     p = PR.title_prompt(F.col("topic"), F.col("titles"))
     m = PR.summary_prompt(F.col("topic"), "medium", F.col("full_text"))
     sh = PR.summary_prompt(F.col("topic"), "short", F.col("full_text"))
-    return t.select("topic_id", "cluster", F.md5(p).alias("title_prompt_md5"),
+    return t.select("topic_id", "day", "cluster", F.md5(p).alias("title_prompt_md5"),
                     F.length(p).cast("long").alias("title_prompt_chars"),
                     F.md5(m).alias("medium_prompt_md5"), F.md5(sh).alias("short_prompt_md5"))
 

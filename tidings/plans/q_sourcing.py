@@ -15,6 +15,9 @@ from .catalog import ISO, query
 from .oracle_ctes import register, with_views
 from .q_collect import collect_until
 
+# clusters are keyed by topic and sourcing day (see adapters.VECTORS_PER_DAY)
+TOPIC_DAY_C = ["topic_id", "day"]
+
 register("inventory", ("c_w4",), """
 SELECT topic_id, aggregator_id, event_id, url, article_id, aggregation_index, published_dt,
        CAST(published_dt AS DATE) AS publishing_date FROM c_w4""")
@@ -155,34 +158,35 @@ def set_union_sources(spark, sf):
 
 
 @query("win_cluster_topk", with_views("""
-SELECT topic_id, cluster, size, cluster_rank FROM (
+SELECT topic_id, day, cluster, size, cluster_rank FROM (
   SELECT s.*, t.daily_publishing_limit,
-         row_number() OVER (PARTITION BY s.topic_id ORDER BY size DESC, min_idx ASC, cluster ASC) AS cluster_rank
-  FROM (SELECT topic_id, cluster, count(*) AS size, min(member_idx) AS min_idx FROM cluster_members GROUP BY topic_id, cluster) s
+         row_number() OVER (PARTITION BY s.topic_id, s.day ORDER BY size DESC, min_idx ASC, cluster ASC) AS cluster_rank
+  FROM (SELECT topic_id, day, cluster, count(*) AS size, min(member_idx) AS min_idx FROM cluster_members
+        GROUP BY topic_id, day, cluster) s
   LEFT JOIN topics t ON t.topic_id = s.topic_id) x
 WHERE cluster_rank <= ceil(daily_publishing_limit / 1.0)""", "cluster_members", "topics"))
 def win_cluster_topk(spark, sf):
-    """Largest clusters first, ceil(daily_limit / frequency) per topic."""
+    """Largest clusters first, ceil(daily_limit / frequency) per topic-day."""
     m = A.cluster_members(spark, sf)
-    s = SO.cluster_sizes(m, ["topic_id"])
-    return SO.cluster_topk(s, A.topics(spark, sf), ["topic_id"], K.DAILY_SOURCING_FREQUENCY).select(
-        "topic_id", "cluster", "size", F.col("cluster_rank").cast("long").alias("cluster_rank"))
+    s = SO.cluster_sizes(m, TOPIC_DAY_C)
+    return SO.cluster_topk(s, A.topics(spark, sf), TOPIC_DAY_C, K.DAILY_SOURCING_FREQUENCY).select(
+        *TOPIC_DAY_C, "cluster", "size", F.col("cluster_rank").cast("long").alias("cluster_rank"))
 
 
 @query("agg_sourced_article", with_views(f"""
-SELECT topic_id, cluster, {ISO('min(published_dt)')} AS dt_published,
+SELECT topic_id, day, cluster, {ISO('min(published_dt)')} AS dt_published,
        string_agg(article_id, ',' ORDER BY member_idx) AS source_article_ids,
        string_agg(url, ' ' ORDER BY member_idx) AS source_article_urls,
        string_agg(provider_domain, ' ' ORDER BY member_idx) AS source_article_provider_domains,
        md5(string_agg(title, chr(10) ORDER BY member_idx)) AS titles_md5,
        string_agg(category, ',' ORDER BY member_idx) AS source_article_categories
-FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, cluster""", "cluster_members"))
+FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, day, cluster""", "cluster_members"))
 def agg_sourced_article(spark, sf):
     """A4: cluster -> earliest published and the ordered member arrays
     (members that are articles: a document with a publish time)."""
     m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
-    a = SO.sourced_article(m, ["topic_id"])
-    return a.select("topic_id", "cluster", iso_utc(F.col("dt_published")).alias("dt_published"),
+    a = SO.sourced_article(m, TOPIC_DAY_C)
+    return a.select(*TOPIC_DAY_C, "cluster", iso_utc(F.col("dt_published")).alias("dt_published"),
                     F.array_join("source_article_ids", ",").alias("source_article_ids"),
                     F.array_join("source_article_urls", " ").alias("source_article_urls"),
                     F.array_join("source_article_provider_domains", " ").alias("source_article_provider_domains"),
@@ -191,21 +195,22 @@ def agg_sourced_article(spark, sf):
 
 
 @query("clu_group_members", with_views(
-    "SELECT topic_id, cluster, string_agg(article_id, ',' ORDER BY member_idx) AS members FROM cluster_members "
-    "GROUP BY topic_id, cluster", "cluster_members"))
+    "SELECT topic_id, day, cluster, string_agg(article_id, ',' ORDER BY member_idx) AS members FROM cluster_members "
+    "GROUP BY topic_id, day, cluster", "cluster_members"))
 def clu_group_members(spark, sf):
     """Labels -> ordered member lists."""
-    g = SO.group_members(A.cluster_members(spark, sf), ["topic_id"])
-    return g.select("topic_id", "cluster", F.array_join("members", ",").alias("members"))
+    g = SO.group_members(A.cluster_members(spark, sf), TOPIC_DAY_C)
+    return g.select(*TOPIC_DAY_C, "cluster", F.array_join("members", ",").alias("members"))
 
 
 @query("clu_stats", with_views("""
-SELECT topic_id, count(*) AS n_clusters, string_agg(CAST(size AS VARCHAR), ',' ORDER BY size DESC) AS sizes
-FROM (SELECT topic_id, cluster, count(*) AS size FROM cluster_members GROUP BY topic_id, cluster) s GROUP BY topic_id""",
+SELECT topic_id, day, count(*) AS n_clusters, string_agg(CAST(size AS VARCHAR), ',' ORDER BY size DESC) AS sizes
+FROM (SELECT topic_id, day, cluster, count(*) AS size FROM cluster_members GROUP BY topic_id, day, cluster) s
+GROUP BY topic_id, day""",
     "cluster_members"))
 def clu_stats(spark, sf):
     """Cluster count and sizes (largest first) per topic."""
-    return SO.cluster_stats(A.cluster_members(spark, sf), ["topic_id"])
+    return SO.cluster_stats(A.cluster_members(spark, sf), TOPIC_DAY_C)
 
 
 @query("clu_embedding_check", """
@@ -219,15 +224,15 @@ def clu_embedding_check(spark, sf):
 
 
 @query("agg_embedding_mean", """
-SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, label AS cluster, CAST(g.i - 1 AS INTEGER) AS pos,
-       round(avg(CAST(embedding[g.i] AS DOUBLE)), 6) AS value
+SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, CAST(vec_id // 800 AS BIGINT) AS day, label AS cluster,
+       CAST(g.i - 1 AS INTEGER) AS pos, round(avg(CAST(embedding[g.i] AS DOUBLE)), 6) AS value
 FROM embeddings, generate_series(1, len(embedding)) AS g(i)
-GROUP BY topic_id, cluster, pos""")
+GROUP BY topic_id, day, cluster, pos""")
 def agg_embedding_mean(spark, sf):
     """Element-wise mean vector per (topic, cluster)."""
     c = A.clusters(spark, sf)
-    m = SO.embedding_mean(c, ["topic_id", "cluster"])
-    return m.select("topic_id", "cluster", F.col("pos").cast("int").alias("pos"), F.round("value", 6).alias("value"))
+    m = SO.embedding_mean(c, [*TOPIC_DAY_C, "cluster"])
+    return m.select(*TOPIC_DAY_C, "cluster", F.col("pos").cast("int").alias("pos"), F.round("value", 6).alias("value"))
 
 
 @query("win_chunk_interleave", f"""

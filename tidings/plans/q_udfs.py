@@ -19,14 +19,14 @@ USD_PER_TOKEN = 0.002 / 1000  # default summarising price per token (parameter)
 register("digest", ("cluster_members",), f"""
 SELECT *, CASE WHEN length(full_summary) > 0 THEN trim(array_to_string(list_slice(regexp_extract_all(full_summary, '(\\s*\\S+)', 1), 1, 600), '')) END AS medium_summary,
        CASE WHEN length(full_summary) > 0 THEN trim(array_to_string(list_slice(regexp_extract_all(full_summary, '[^.!?]+[.!?]*', 0), 1, 3), '')) END AS short_summary,
-       strftime(dt_published, '%Y-%m-%d-%H-%M-%S-%f') || '#' || {UUID_SQL('topic_id', 'cluster')} AS sourced_article_id,
+       strftime(dt_published, '%Y-%m-%d-%H-%M-%S-%f') || '#' || {UUID_SQL('topic_id', 'day', 'cluster')} AS sourced_article_id,
        strftime(dt_published, '%Y/%m/%d') AS date_published
 FROM (SELECT *, CASE WHEN starts_with(t0, '"') AND ends_with(t0, '"') THEN CASE WHEN length(t0) >= 2 THEN substr(t0, 2, length(t0) - 2) ELSE '' END ELSE t0 END AS title
-      FROM (SELECT topic_id, cluster, min(published_dt) AS dt_published,
+      FROM (SELECT topic_id, day, cluster, min(published_dt) AS dt_published,
                    coalesce(string_agg(text, chr(10) || chr(10) ORDER BY member_idx), '') AS full_summary,
                    coalesce(string_agg(title, chr(10) || chr(10) ORDER BY member_idx), '') AS titles_joined,
                    trim(array_to_string(list_slice(regexp_extract_all(first(title ORDER BY member_idx), '(\\s*\\S+)', 1), 1, 20), '')) AS t0
-            FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, cluster) a) b""")
+            FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, day, cluster) a) b""")
 
 
 def digest(spark, sf):
@@ -34,47 +34,48 @@ def digest(spark, sf):
     Only members that are articles (a document with a publish time) count."""
     m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
     s = F.struct("member_idx", "category", "article_id", "url", "provider_domain", "title", "text")
-    g = m.groupBy("topic_id", "cluster").agg(F.min("published_dt").alias("dt_published"),
+    g = m.groupBy("topic_id", "day", "cluster").agg(F.min("published_dt").alias("dt_published"),
                                              F.array_sort(F.collect_list(s)).alias("_m"))
     pick = lambda f: F.transform("_m", lambda x: x[f])
-    g = g.select("topic_id", "cluster", "dt_published", A.topic_name(F.col("topic_id")).alias("topic"),
+    g = g.select("topic_id", "day", "cluster", "dt_published", A.topic_name(F.col("topic_id")).alias("topic"),
                  pick("category").alias("source_article_categories"), pick("article_id").alias("source_article_ids"),
                  pick("url").alias("source_article_urls"), pick("provider_domain").alias("source_article_provider_domains"),
                  pick("title").alias("source_article_titles"), pick("title").alias("titles"), pick("text").alias("texts"))
     d = U.summarise_default(g)
-    return d.select("*", sourced_article_id(F.col("dt_published"), F.col("topic_id"), F.col("cluster")).alias("sourced_article_id"),
+    return d.select("*", sourced_article_id(F.col("dt_published"), F.col("topic_id"), F.col("day"),
+                                            F.col("cluster")).alias("sourced_article_id"),
                     lexicographic_date(F.col("dt_published")).alias("date_published"),
                     iso_utc(F.col("dt_published")).alias("dt_published_iso"))
 
 
 @query("udf_summarise", with_views("""
-SELECT topic_id, cluster, title, md5(full_summary) AS full_md5, md5(medium_summary) AS medium_md5,
+SELECT topic_id, day, cluster, title, md5(full_summary) AS full_md5, md5(medium_summary) AS medium_md5,
        md5(short_summary) AS short_md5 FROM digest""", "digest"))
 def udf_summarise(spark, sf):
     """Title, full, medium and short text per cluster (default extractive)."""
     d = digest(spark, sf)
-    return d.select("topic_id", "cluster", "title", F.md5("full_summary").alias("full_md5"),
+    return d.select("topic_id", "day", "cluster", "title", F.md5("full_summary").alias("full_md5"),
                     F.md5("medium_summary").alias("medium_md5"), F.md5("short_summary").alias("short_md5"))
 
 
 @query("chk_summary_contract", with_views("""
-SELECT topic_id, cluster, v AS violation FROM (
-  SELECT topic_id, cluster, CASE WHEN NOT len(string_split_regex(trim(title), '\\s+')) BETWEEN 5 AND 20 THEN 'title_length' END AS v FROM digest
-  UNION ALL SELECT topic_id, cluster, CASE WHEN length(coalesce(full_summary, '')) > 0 AND len(regexp_extract_all(short_summary, '[^.!?]+[.!?]*', 0)) > 3 THEN 'short_sentences' END FROM digest
-  UNION ALL SELECT topic_id, cluster, CASE WHEN length(coalesce(full_summary, '')) > 0 AND NOT len(string_split_regex(trim(medium_summary), '\\s+')) BETWEEN 300 AND 600 THEN 'medium_length' END FROM digest
-  UNION ALL SELECT topic_id, cluster, CASE WHEN length(coalesce(full_summary, '')) = 0 THEN 'medium_without_full' END FROM digest
-  UNION ALL SELECT topic_id, cluster, CASE WHEN length(coalesce(full_summary, '')) = 0 THEN 'short_without_full' END FROM digest) x
+SELECT topic_id, day, cluster, v AS violation FROM (
+  SELECT topic_id, day, cluster, CASE WHEN NOT len(string_split_regex(trim(title), '\\s+')) BETWEEN 5 AND 20 THEN 'title_length' END AS v FROM digest
+  UNION ALL SELECT topic_id, day, cluster, CASE WHEN length(coalesce(full_summary, '')) > 0 AND len(regexp_extract_all(short_summary, '[^.!?]+[.!?]*', 0)) > 3 THEN 'short_sentences' END FROM digest
+  UNION ALL SELECT topic_id, day, cluster, CASE WHEN length(coalesce(full_summary, '')) > 0 AND NOT len(string_split_regex(trim(medium_summary), '\\s+')) BETWEEN 300 AND 600 THEN 'medium_length' END FROM digest
+  UNION ALL SELECT topic_id, day, cluster, CASE WHEN length(coalesce(full_summary, '')) = 0 THEN 'medium_without_full' END FROM digest
+  UNION ALL SELECT topic_id, day, cluster, CASE WHEN length(coalesce(full_summary, '')) = 0 THEN 'short_without_full' END FROM digest) x
 WHERE v IS NOT NULL""", "digest"))
 def chk_summary_contract(spark, sf):
     """Summaries breaking the length / sentence contract."""
-    return U.contract_violations(digest(spark, sf), ["topic_id", "cluster"])
+    return U.contract_violations(digest(spark, sf), ["topic_id", "day", "cluster"])
 
 
 TOK = "len(regexp_extract_all({c}, '(\\s*\\S+)', 1))"
 
 
 @query("agg_processing_cost", with_views(f"""
-SELECT topic_id, cluster, round(CAST(({TOK.format(c='titles_joined')} + coalesce({TOK.format(c='title')}, 0)
+SELECT topic_id, day, cluster, round(CAST(({TOK.format(c='titles_joined')} + coalesce({TOK.format(c='title')}, 0)
   + {TOK.format(c='full_summary')} + {TOK.format(c='full_summary')}
   + {TOK.format(c='full_summary')} + coalesce({TOK.format(c='medium_summary')}, 0)
   + {TOK.format(c='full_summary')} + coalesce({TOK.format(c='short_summary')}, 0)) AS DOUBLE) * CAST({USD_PER_TOKEN} AS DOUBLE), 9) AS article_processing_cost
@@ -82,10 +83,10 @@ FROM digest""", "digest"))
 def agg_processing_cost(spark, sf):
     """Title + full + medium + short cost of every sourced article."""
     d = digest(spark, sf).withColumn("titles_joined", F.array_join("titles", "\n\n"))
-    c = U.processing_cost(d, ["topic_id", "cluster"], USD_PER_TOKEN, {
+    c = U.processing_cost(d, ["topic_id", "day", "cluster"], USD_PER_TOKEN, {
         "title": ("titles_joined", "title"), "full": ("full_summary", "full_summary"),
         "medium": ("full_summary", "medium_summary"), "short": ("full_summary", "short_summary")})
-    return c.select("topic_id", "cluster", F.round("article_processing_cost", 9).alias("article_processing_cost"))
+    return c.select("topic_id", "day", "cluster", F.round("article_processing_cost", 9).alias("article_processing_cost"))
 
 
 @query("udf_embed")
@@ -136,7 +137,8 @@ SELECT sourced_article_id AS article_id, title AS article_title, {ISO('dt_publis
        prefix || '/Short_summary.txt' AS short_summary_ref
 FROM (SELECT d.*, 'sourced_candidate_articles/' || topic_id || '/' || date_published || '/' || sourced_article_id AS prefix,
              (SELECT string_agg(article_id, ',' ORDER BY member_idx) FROM cluster_members m
-              WHERE m.topic_id = d.topic_id AND m.cluster = d.cluster AND m.published_dt IS NOT NULL) AS source_article_ids
+              WHERE m.topic_id = d.topic_id AND m.day = d.day AND m.cluster = d.cluster
+                AND m.published_dt IS NOT NULL) AS source_article_ids
       FROM digest d) x""",
     "digest", "cluster_members"))
 def src_sourced_bundle(spark, sf):
