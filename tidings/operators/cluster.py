@@ -307,14 +307,17 @@ def reduce_levels(items: DataFrame, group: list[str], split: list[str], max_grou
         T.StructField("_w", T.DoubleType()), T.StructField("_members", T.ArrayType(T.StringType()))])
     mappings: list[DataFrame] = []
     for level in range(1, MAX_LEVELS + 1):
-        counted = items.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
-        biggest = counted.agg(F.max("_n")).first()[0]
+        # sizes by grouped counts (partial aggregation), never a window over a hot group
+        sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+        biggest = sizes.agg(F.max("_n")).first()[0]
         if biggest is None or biggest <= max_group:
             break
-        over = counted.filter(F.col("_n") > max_group).drop("_n")
-        keep = counted.filter(F.col("_n") <= max_group).drop("_n")
-        per_key = F.count(F.lit(1)).over(Window.partitionBy(*keyed))
-        over = over.withColumn("_chunk", F.pmod(F.xxhash64("_item"), F.ceil(per_key / F.lit(chunk)).cast("long")))
+        big = sizes.filter(F.col("_n") > max_group).select(*group)
+        keep = items.join(big, group, "left_anti")
+        over = items.join(big, group, "left_semi")
+        per_key = over.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_k"))
+        over = over.join(per_key, keyed).withColumn(
+            "_chunk", F.pmod(F.xxhash64("_item"), F.ceil(F.col("_k") / F.lit(chunk)).cast("long"))).drop("_k")
         reduced = (over.groupBy(*keyed, "_chunk")
                    .applyInPandas(_chunk_reducer(keyed, f"L{level}:", reduction), level_schema).checkpoint())
         mappings.append(reduced.select(*group, F.col("_item").alias("_parent"), F.explode("_members").alias("_item")))
@@ -425,8 +428,8 @@ def argmax_k(scores: DataFrame, group: list[str], digits: int = 6) -> DataFrame:
 
 def small_bypass(members: DataFrame, group: list[str], idx: str, max_size: int = 2) -> DataFrame:
     """Groups of at most two articles -> one cluster each, score +inf."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    m = members.withColumn("_n", n).filter(F.col("_n") <= max_size)
+    small = members.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= max_size)
+    m = members.join(small, group)   # only groups of <= max_size rows reach the window below
     label = F.row_number().over(Window.partitionBy(*group).orderBy(idx)) - 1
     return m.select(*group, idx, label.cast("long").alias("label"), F.col("_n").alias("n_clusters"),
                     F.lit(float("inf")).alias("score"))

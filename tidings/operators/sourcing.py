@@ -52,9 +52,10 @@ def inventory_status(inv: DataFrame, minimum: int = MIN_INVENTORY_TO_SOURCE) ->
 
 
 def sourceable(inv: DataFrame, minimum: int = MIN_INVENTORY_TO_SOURCE) -> DataFrame:
-    """F10 as a filter: keep only inventories that reach the minimum size."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*TOPIC_DAY))
-    return inv.withColumn("_n", n).filter(F.col("_n") >= minimum).drop("_n")
+    """F10 as a filter: keep only inventories that reach the minimum size
+    (grouped count + semi join: partial aggregation, no window)."""
+    ok = inv.groupBy(*TOPIC_DAY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= minimum)
+    return inv.join(ok.select(*TOPIC_DAY), TOPIC_DAY, "left_semi")
 
 
 def cluster_sizes(members: DataFrame, group: list[str]) -> DataFrame:
