@@ -40,7 +40,12 @@ def sort_spec(name: str) -> list[Column]:
 
 
 def rank_inventory(inv: DataFrame, sorting: str = RELEVANCE_SORTING) -> DataFrame:
-    """Position of every article in its topic-day inventory."""
+    """Position of every article in its topic-day inventory.
+
+    A topic-day inventory is bounded by the collect caps (at most
+    ``max_results`` accepted rows per run and window), so one window
+    partition per topic-day stays small whatever the input size.
+    """
     w = Window.partitionBy(*TOPIC_DAY).orderBy(*sort_spec(sorting))
     return inv.withColumn("inventory_rank", F.row_number().over(w))
 
