@@ -22,6 +22,7 @@ def _bing_envelope(n):
              "clusteredArticles": [{"name": "inner", "url": "u", "description": "d", "provider": []}]}
             for i in range(n)]
     arts[3].pop("url")
+    arts[5]["provider"] = []
     return {"_type": "News", "envelope_id": "e1", "queryContext": {"originalQuery": "AI", "adultIntent": False},
             "totalEstimatedMatches": 36, "sort": [{"name": "Best match", "id": "relevance", "isSelected": True,
                                                    "url": "u"}], "value": arts}
@@ -43,6 +44,7 @@ def test_bing_envelope_flatten(spark):
     assert good.count() == 9 and [r.missing_fields for r in bad.collect()] == ["url"]
     first = flat.filter("pos = 0").first()
     assert first.title == "title 0" and first.provider_name == "X" and "inner" in first.clustered_articles
+    assert flat.filter("pos = 5").first().provider_name is None
 
 
 def test_commented_jsonl(spark):

@@ -144,8 +144,8 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     num = F.regexp_extract(F.col("source"), r"^src([0-9]+)$", 1)
     s = (docs.select("source").distinct()
-         .filter((F.length(num) > 0) & (num.cast("int") <= TRUSTED_MAX_SOURCE)))
-    n = F.regexp_extract(F.col("source"), r"^src([0-9]+)$", 1).cast("int")
+         .filter(num.try_cast("int") <= TRUSTED_MAX_SOURCE))
+    n = F.regexp_extract(F.col("source"), r"^src([0-9]+)$", 1).try_cast("int")
     return s.select(
         F.lit("en").alias("language"),
         F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
@@ -219,7 +219,7 @@ def desired_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     provider file with a repeated line would)."""
     docs = read(spark, sf_dir, "documents")
     num = F.regexp_extract(F.col("source"), r"^src([0-9]+)$", 1)
-    s = docs.select("source").distinct().filter((F.length(num) > 0) & num.cast("int").between(3, 16))
+    s = docs.select("source").distinct().filter(num.try_cast("int").between(3, 16))
     one = s.select(F.lit("en").alias("language"), F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
                    F.col("source").alias("provider_name"))
     return one.unionByName(one)

@@ -59,7 +59,7 @@ def topic_candidates(spark, sf):
     d = A.read(spark, sf, "documents")
     num = F.regexp_extract("source", r"^src([0-9]+)$", 1)
     s = d.select("source", num.alias("ns")).distinct().filter(F.length("ns") > 0)
-    n = F.col("ns").cast("int")
+    n = F.col("ns").try_cast("int")
     return s.select(F.col("source").alias("candidate_id"), F.concat(F.lit("Topic "), (n % 10).cast("string")).alias("topic"),
                     (n - 1).cast("int").alias("max_aggregator_results"),
                     F.when(n == 19, F.lit("eng")).otherwise(F.lit("en")).alias("language"))

@@ -72,7 +72,8 @@ def split_errors(env: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
     """(data envelopes, quarantined error envelopes with code and message)."""
     err = is_error(vendor)
     if vendor == BING:
-        code, msg = F.col("errors")[0]["code"], F.col("errors")[0]["message"]
+        first = F.try_element_at(F.col("errors"), F.lit(1))   # null, not an error, when empty
+        code, msg = first["code"], first["message"]
     elif vendor == NEWSAPI_ORG:
         code, msg = F.col("code"), F.col("message")
     else:
@@ -100,7 +101,7 @@ def flatten(env: DataFrame, vendor: str) -> DataFrame:
         cols = [F.col("a.name").alias("title"), F.col("a.url").alias("url"),
                 F.col("a.description").alias("description"), F.col("a.datePublished").alias("date_published"),
                 F.coalesce(F.col("a.category"), F.lit("")).alias("category"),
-                F.col("a.provider")[0]["name"].alias("provider_name"),
+                F.try_element_at(F.col("a.provider"), F.lit(1))["name"].alias("provider_name"),
                 F.col("a.image.thumbnail.contentUrl").alias("thumbnail_url"),
                 F.col("a.clusteredArticles").alias("clustered_articles")]
     elif vendor == NEWSAPI_ORG:

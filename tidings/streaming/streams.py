@@ -52,7 +52,7 @@ def run_available_now(stream: DataFrame, sink: Callable, checkpoint: str, mode:
 
 def parse_requests(raw: DataFrame) -> DataFrame:
     """Request messages -> typed columns (ISO strings with offsets -> timestamps)."""
-    ts = lambda c: F.to_timestamp(F.col(c))
+    ts = lambda c: F.try_to_timestamp(F.col(c))  # noqa: E731  (malformed -> null, F6 rejects)
     return raw.select("topic_id", "aggregator_id", ts("aggregation_data_start_dt").alias("start_dt"),
                       ts("aggregation_data_end_dt").alias("end_dt"), "sorting")
 
