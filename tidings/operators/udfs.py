@@ -65,7 +65,7 @@ def summarise_default(clusters: DataFrame) -> DataFrame:
     """
     full = SM.default_full(F.array_join("texts", "\n\n"))
     c = clusters.withColumn("full_summary", full)
-    return (c.withColumn("title", SM.default_title(F.element_at("titles", 1)))
+    return (c.withColumn("title", SM.default_title(F.try_element_at(F.col("titles"), F.lit(1))))
             .withColumn("medium_summary", SM.default_medium(F.col("full_summary")))
             .withColumn("short_summary", SM.default_short(F.col("full_summary"))))
 

@@ -21,7 +21,7 @@ TNA_WORDS = list(K.THENEWSAPI_COM_CATEGORIES) + ["other"]
 
 
 def _pick(words: list[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(w) for w in words]), (idx % len(words) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(idx, F.lit(len(words))) + 1).cast("int"))
 
 
 def _pick_sql(words: list[str], idx: str) -> str:
