@@ -118,3 +118,16 @@ def test_url_first_seen_over_whole_runs(spark):
     h = spark.createDataFrame([hit(3, "a"), hit(1, "a"), hit(2, "b", date="")], SCHEMA)
     out = C.url_first_seen(h).collect()
     assert [(r.url, r.first_event_id, r.n_seen) for r in out] == [("a", 1, 2)]
+
+
+def test_plan_limits_runs_before_the_single_run_exchange(spark):
+    """Scale guard: hits are limited per run on the map side (partial
+    WindowGroupLimit) before the one hash exchange on the run key, and no
+    other exchange repartitions the hits."""
+    df = run_collect(spark, [hit(i, f"u{i}") for i in range(5)])
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    hits_exchanges = [i for i, ln in enumerate(lines)
+                      if "Exchange hashpartitioning(topic_id" in ln and "aggregator_id" in ln]
+    assert len(hits_exchanges) == 1
+    below = lines[hits_exchanges[0] + 1:]
+    assert any("WindowGroupLimit" in ln and "Partial" in ln for ln in below[:3])
