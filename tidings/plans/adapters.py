@@ -155,13 +155,13 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read(spark, sf_dir, "embeddings")
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", "source")
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", "source",
+                                                   F.substring_index(F.col("text"), "\n", 1).alias("title"))
     e = emb.join(docs, "vec_id", "left")
     return e.select(
         F.concat(F.lit("topic_"), (F.col("vec_id") % N_TOPICS).cast("string")).alias("topic_id"),
         F.floor(F.col("vec_id") / VECTORS_PER_DAY).cast("long").alias("day"),
-        F.col("label").alias("cluster"), "vec_id", "embedding",
-        F.substring_index(F.col("text"), "\n", 1).alias("title"), "text",
+        F.col("label").alias("cluster"), "vec_id", "embedding", "title", "text",
         F.when(F.col("source").isNotNull(), F.concat(F.col("source"), F.lit(".example.com"))).alias("provider_domain"),
         F.when(F.col("source").isNotNull(), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"),
                                                      F.col("vec_id").cast("string"))).alias("url"))
@@ -187,7 +187,8 @@ def sourced(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> Dat
     """
     h = h if h is not None else hits(spark, sf_dir)
     g = h.groupBy("doc_id").agg(F.min("published_dt").alias("dt_published"))
-    g = g.join(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    titles = read(spark, sf_dir, "documents").select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("title"))
+    g = g.join(titles, "doc_id")   # only the title crosses the join, not the text
     status = (F.when(F.col("doc_id") % 4 == 0, F.lit("APPROVED"))
               .when(F.col("doc_id") % 4 == 1, F.lit("REJECTED")).otherwise(F.lit("PENDING")))
     topic_id = F.concat(F.lit("topic_"), (F.col("doc_id") % N_TOPICS).cast("string"))
@@ -198,8 +199,7 @@ def sourced(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> Dat
         "doc_id", "dt_published",
         (F.col("dt_published") + F.expr("INTERVAL 1 HOUR")).alias("dt_sourced"),
         F.date_format("dt_published", "yyyy/MM/dd").alias("date_published"),
-        F.substring_index(F.col("text"), "\n", 1).alias("title"),
-        status.alias("article_approval_status"))
+        "title", status.alias("article_approval_status"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
