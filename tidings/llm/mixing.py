@@ -28,6 +28,7 @@ from itertools import islice
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import words_of, written
 
@@ -151,7 +152,7 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), b
                     (F.col("_rounds") * F.col("size") + cut).cast("long").alias("taken")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def first_words(texts: pd.Series, n: pd.Series) -> pd.Series:
     """The text up to the end of its n-th word, white space kept."""
     def cut(text: str, k: int) -> str:
