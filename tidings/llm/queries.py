@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, packing, rules, secrets
-from .common import read
+from . import chat, decontaminate, jaccard, mixing, packing, quality, rules, secrets
+from .common import bucket_of, read
 from .oracles import OP4_SQL, OP8_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents")).mapInArrow(digest, schema)
 
 
+def quality_score(spark: SparkSession, sf_dir: str, docs: DataFrame):
+    """The score learned from the labels whose document is not held out."""
+    labels = read(spark, sf_dir, "labels").filter(bucket_of(F.col("doc_id"), 5) != 0)
+    return quality.fit(docs, labels)
+
+
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; one in five is held out of training."""
+    docs = read(spark, sf_dir, "documents")
+    scores = quality.scored(docs, quality_score(spark, sf_dir, docs))
+    return scores.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document under links of 90 % shared 3-word shingles."""
+    return jaccard.join_classes(read(spark, sf_dir, "documents"))
+
+
 @query("op4_quality_rules", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every document, and the verdict of the current policy."""
