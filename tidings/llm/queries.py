@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, mixing, packing, quality, rules, secrets
+from . import chat, decontaminate, jaccard, kneser_ney, mixing, packing, quality, rules, secrets
 from .common import bucket_of, read
 from .oracles import OP4_SQL, OP8_SQL
 
@@ -82,6 +82,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+@query("op6_lm_score")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's log probability of every document; one in seven is held out of training."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = bucket_of(F.col("doc_id"), 7) == 2
+    model = kneser_ney.train(docs.filter(~held_out))
+    scores = kneser_ney.score(docs, model).withColumn("held_out", held_out)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 @query("op7_source_mix")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
