@@ -35,3 +35,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(n)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+OP10_SQL = r"""
+WITH l AS (SELECT doc_id, i - 1 AS line, regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+') AS w
+           FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i
+                 FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+m AS (SELECT *, len(w) AS n, array_to_string(w, ' ') AS s FROM l WHERE len(w) > 0),
+first AS (SELECT s, any_value(w) AS w, any_value(n) AS n, min((doc_id, line)) AS place FROM m GROUP BY s),
+long AS (SELECT * FROM first WHERE n >= 5),
+v AS (SELECT s, n, place, j, array_to_string(w[1:j - 1], ' ') || '|' || array_to_string(w[j + 1:], ' ') AS gap,
+             array_to_string(list_concat(w[1:j - 1], w[j + 1:]), ' ') AS closed
+      FROM (SELECT *, unnest(generate_series(1, n)) AS j FROM long)),
+near AS (SELECT s FROM v QUALIFY min(place) OVER (PARTITION BY n, j, gap) < place
+         UNION SELECT v.s FROM v JOIN long AS b ON v.closed = b.s AND b.n = v.n - 1 WHERE b.place < v.place
+         UNION SELECT b.s FROM v JOIN long AS b ON v.closed = b.s AND b.n = v.n - 1 WHERE v.place < b.place),
+k AS (SELECT m.doc_id, m.line, first.place < (m.doc_id, m.line) AS equal, near.s IS NOT NULL AS near
+      FROM m JOIN first USING (s) LEFT JOIN near USING (s)),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE equal) AS n_equal, count(*) FILTER (WHERE near AND NOT equal) AS n_near,
+             coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (WHERE equal OR near), '') AS dropped FROM k GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near, coalesce(dropped, '') AS dropped
+FROM (SELECT doc_id FROM documents) LEFT JOIN d USING (doc_id)
+"""

@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, kneser_ney, mixing, packing, quality, rules, secrets
+from . import chat, decontaminate, jaccard, kneser_ney, linededup, mixing, packing, quality, rules, secrets
 from .common import bucket_of, read
-from .oracles import OP4_SQL, OP8_SQL
+from .oracles import OP4_SQL, OP8_SQL, OP10_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the benchmark's items are covered by tiles on every document."""
     return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op10_line_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document that stand, equal or with one word changed, earlier in the corpus."""
+    found = linededup.report(read(spark, sf_dir, "documents"))
+    return found.withColumn("dropped", F.array_join(F.col("dropped").cast("array<string>"), ","))
