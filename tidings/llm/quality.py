@@ -12,7 +12,7 @@ training. The id, labels, language and source are no inputs of a score.
 
 Defined cases: a null text counts as empty and gets a score; a document with
 several labels counts with the lowest; without labels of both classes the score
-is the share of label 1, (n1 + 1) / (n + 2), everywhere; rows with one doc_id are
+is the share of label 1 in the n rows, (n1 + 1) / (n + 2), everywhere; rows with one doc_id are
 scored one by one; an empty table gives no rows; further columns are not read.
 """
 
