@@ -120,14 +120,27 @@ def test_url_first_seen_over_whole_runs(spark):
     assert [(r.url, r.first_event_id, r.n_seen) for r in out] == [("a", 1, 2)]
 
 
-def test_plan_limits_runs_before_the_single_run_exchange(spark):
-    """Scale guard: hits are limited per run on the map side (partial
-    WindowGroupLimit) before the one hash exchange on the run key, and no
-    other exchange repartitions the hits."""
-    df = run_collect(spark, [hit(i, f"u{i}") for i in range(5)])
-    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
-    hits_exchanges = [i for i, ln in enumerate(lines)
-                      if "Exchange hashpartitioning(topic_id" in ln and "aggregator_id" in ln]
-    assert len(hits_exchanges) == 1
-    below = lines[hits_exchanges[0] + 1:]
-    assert any("WindowGroupLimit" in ln and "Partial" in ln for ln in below[:3])
+def test_whitespace_date_is_a_date(spark):
+    # only null and empty strings are undated; a blank one claims its URL and fails to parse later
+    assert ids(run_collect(spark, [hit(1, "a", date=" "), hit(2, "a")], "W3")) == [1]
+    assert ids(run_collect(spark, [hit(1, "a", date=" "), hit(2, "a")], "F2")) == []
+
+
+def test_page_stops_counts_whole_runs(spark):
+    # 30 000 distinct dated hits in one run: every one of its 300 pages is new
+    big = spark.range(1, 30_001).select(F.col("id").alias("event_id"), F.lit("t1").alias("topic_id"), F.lit("bingnews").alias("aggregator_id"),
+                                        F.concat(F.lit("u"), "id").alias("url"), F.lit("x").alias("raw_published"))
+    assert [tuple(r)[2:] for r in C.page_stops(big).collect()] == [(300, None, 30_000)]
+    again = big.withColumn("url", F.concat(F.lit("u"), F.when(F.col("event_id") > 25_000, F.lit(1)).otherwise(F.col("event_id")).cast("string")))
+    assert [tuple(r)[2:] for r in C.page_stops(again).collect()] == [(300, 250, 25_000)]
+
+
+def test_only_arrivals_that_can_matter_pass_the_cut(spark):
+    """Scale guard: buckets of arrivals beyond the quota go before any window over a run."""
+    hot = spark.range(0, 300_000).select(F.col("id").alias("event_id"), F.lit("t1").alias("topic_id"), F.lit("bingnews").alias("aggregator_id"))
+    assert C.paged(hot, runs(spark, max_results=3)).count() == 600
+    kept = C.bucket_offsets(hot, C.RUN, "event_id").filter("_offset < 600")
+    assert kept.count() == 1
+    plan = C.paged(hot, runs(spark))._jdf.queryExecution().executedPlan().toString()
+    ranks = [line for line in plan.splitlines() if "row_number()" in line]
+    assert ranks and all("_bucket" in line for line in ranks)

@@ -1,9 +1,9 @@
-"""Plan helpers: distributed exact rank and size-checked broadcast."""
+"""Plan helpers: distributed exact rank."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidings.operators.sizing import bounded_broadcast, rank_within
+from tidings.operators.sizing import bucket_offsets, rank_within
 
 
 def test_rank_within_equals_row_number(spark):
@@ -17,11 +17,8 @@ def test_rank_within_equals_row_number(spark):
     assert got.count() == ref.count() == 5000
 
 
-def _broadcast_hint(df):
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_bounded_broadcast_only_under_the_bound(spark):
-    small = spark.range(10)
-    assert _broadcast_hint(bounded_broadcast(small, max_rows=100))
-    assert not _broadcast_hint(bounded_broadcast(small, max_rows=5))
+def test_rank_within_chosen_buckets(spark):
+    df = spark.range(0, 1000).select(F.lit("p").alias("p"), F.col("id").alias("o"))
+    kept = bucket_offsets(df, ["p"], "o", bucket_width=64).filter("_offset < 100").withColumn("extra", F.lit(7))
+    got = rank_within(df, ["p"], "o", bucket_width=64, name="r", offsets=kept).orderBy("o").collect()
+    assert [(r.o, r.r, r.extra) for r in got] == [(k, k + 1, 7) for k in range(128)]

@@ -1,20 +1,20 @@
 """Collect stage: F1 -> W1 -> W2 -> W3 -> F2 -> F3 -> F4 -> J2 -> W4.
 
-All runs are processed in one plan. Every step is keyed by the run
-(topic_id, aggregator_id), so after a single hash exchange on the run the
-later windows (partitioned by run, by run+url, by run+page) reuse that
-partitioning: one shuffle for the whole stage.
-
-Skew: a hot run can hold a third of all hits, but only its first
-``quota * page_size`` hits in arrival order can ever become candidates (each
-page before the stop page adds at least one new row, so the quota is met by
-page ``quota``). That bound is a plan literal, so Catalyst inserts a partial
-WindowGroupLimit *before* the exchange: each map task forwards at most that
-many rows per run, and no task ever sees the whole hot run.
+All runs are processed in one plan keyed by the run (topic_id, aggregator_id).
+A run's quota is met by page ``quota`` at the latest, because every page before
+the stop page adds a new row. So only its first ``quota * page_size`` arrivals
+can become candidates, and ``paged`` finds them from grouped counts of (run,
+arrival bucket): it keeps the buckets that begin below that rank and ranks rows
+within their bucket. Later windows over a run see those arrivals alone, however
+many hits the run has, and attributes of the hits are joined after the cut.
+
+``page_stops`` (W2) reports on whole runs and uses grouped sums only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..constants import FETCH_MULTIPLIER, NEEDS_TRUST, PAGE_SIZE
 from ..functions.dates import std_published
 from ..functions.ids import article_id
-from .sizing import bounded_broadcast
+from .sizing import bucket_offsets, rank_within
 
 RUN = ["topic_id", "aggregator_id"]
 
@@ -38,7 +38,7 @@ def flt_undated(df: DataFrame, raw: str = "raw_published") -> DataFrame:
 
 
 def is_dated(raw: str) -> Column:
-    return F.col(raw).isNotNull() & (F.trim(F.col(raw)) != "")
+    return F.col(raw).isNotNull() & (F.col(raw) != "")
 
 
 def url_first_seen(df: DataFrame, raw: str | None = "raw_published",
@@ -56,15 +56,11 @@ def url_first_seen(df: DataFrame, raw: str | None = "raw_published",
 def paged(df: DataFrame, runs: DataFrame, page_size: int = PAGE_SIZE,
           multiplier: int = FETCH_MULTIPLIER, order: str = "event_id") -> DataFrame:
     """Attach run parameters and the arrival rank / page of every hit that
-    can matter (rank <= max_results * multiplier * page_size)."""
-    # one small job gives both the plan-literal bound and the size check
-    mx, n_runs = runs.agg(F.max("max_results"), F.count(F.lit(1))).first()
-    bound = int(mx or 0) * multiplier * page_size
-    r = bounded_broadcast(runs.select(*RUN, "topic", "start_dt", "end_dt", "max_results", "sorting"),
-                          known_rows=int(n_runs))
-    w = Window.partitionBy(*RUN).orderBy(order)
-    j = df.join(r, RUN)
-    ranked = j.withColumn("arrival_rank", F.row_number().over(w)).filter(F.col("arrival_rank") <= F.lit(bound))
+    can matter (rank <= max_results * multiplier * page_size of its run)."""
+    bound = F.col("max_results") * F.lit(multiplier * page_size)
+    r = runs.select(*RUN, "topic", "start_dt", "end_dt", "max_results", "sorting")
+    kept = bucket_offsets(df, RUN, order).join(r, RUN).filter(F.col("_offset") < bound)
+    ranked = rank_within(df, RUN, order, name="arrival_rank", offsets=kept).filter(F.col("arrival_rank") <= bound)
     return ranked.withColumn("page", F.floor((F.col("arrival_rank") - 1) / page_size).cast("long"))
 
 
@@ -77,13 +73,28 @@ def mark_new(df: DataFrame, raw: str = "raw_published") -> DataFrame:
 
 
 def page_stop(df: DataFrame) -> DataFrame:
-    """Paging ends at the first page that brought no new unique row."""
+    """W2 on the paged rows: paging ends at the first page without a new row."""
     new_in_page = F.sum(F.col("is_new").cast("int")).over(Window.partitionBy(*RUN, "page"))
     df = df.withColumn("new_in_page", new_in_page)
     stop = F.min(F.when(F.col("new_in_page") == 0, F.col("page"))).over(Window.partitionBy(*RUN))
     return df.withColumn("stop_page", stop)
 
 
+def page_stops(df: DataFrame, page_size: int = PAGE_SIZE, raw: str = "raw_published",
+               order: str = "event_id") -> DataFrame:
+    """W2 over whole runs: n_pages, stop_page (null if every page brought a
+    new row) and n_new_before_stop per run, from sums per page."""
+    first = url_first_seen(df, raw, order).select(*RUN, F.col("first_event_id").alias(order), F.lit(1).alias("_new"))
+    rows = rank_within(df.select(*RUN, order), RUN, order, name="arrival_rank").join(first, [*RUN, order], "left")
+    page = F.floor((F.col("arrival_rank") - 1) / page_size).cast("long").alias("page")
+    pages = rows.groupBy(*RUN, page).agg(F.count("_new").alias("new_in_page"))
+    stop = pages.groupBy(*RUN).agg(F.min(F.when(F.col("new_in_page") == 0, F.col("page"))).alias("stop_page"))
+    before = F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))
+    return (pages.join(stop, RUN).groupBy(*RUN)
+            .agg(F.count(F.lit(1)).alias("n_pages"), F.min("stop_page").alias("stop_page"),
+                 F.coalesce(F.sum(F.when(before, F.col("new_in_page"))), F.lit(0)).alias("n_new_before_stop")))
+
+
 def fetch_cap(df: DataFrame, multiplier: int = FETCH_MULTIPLIER) -> DataFrame:
     """The first ``max_results * multiplier`` new rows before the stop page."""
     keep = F.col("is_new") & (F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))
@@ -123,11 +134,11 @@ def join_trusted(df: DataFrame, trusted: DataFrame, language: str = "en") -> Dat
     (aggregators without a trust rule pass).
 
     The provider list is bounded by the per-request domain caps (500 / 50
-    per language), and its size is probed before it is broadcast.
+    per language), so the planner broadcasts it by its size.
     """
     t = (trusted.filter((F.col("language") == language) & F.col("is_active"))
          .select("provider_domain").distinct().withColumn("_trusted", F.lit(True)))
-    j = df.join(bounded_broadcast(t), "provider_domain", "left")
+    j = df.join(t, "provider_domain", "left")
     return j.filter(~needs_trust(F.col("aggregator_id")) | F.col("_trusted").isNotNull()).drop("_trusted")
 
 
@@ -142,32 +153,23 @@ def accept_cap(df: DataFrame) -> DataFrame:
 
 def collect(hits: DataFrame, runs: DataFrame, trusted: DataFrame, raw: str | None = "raw_published",
             body: str = "body", description: str = "description", until: str = "W4",
-            page_size: int = PAGE_SIZE, multiplier: int = FETCH_MULTIPLIER) -> DataFrame:
+            page_size: int = PAGE_SIZE, multiplier: int = FETCH_MULTIPLIER,
+            attributes: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The whole collect stage for every run at once; ``until`` stops early
-    (W2, W3, F2, F3, F4, J2, W4) so each step can be inspected."""
+    (W3, F2, F3, F4, J2, W4) so each step can be inspected. ``attributes``
+    joins what the filters read to the arrivals that can matter."""
     if raw is None:
         hits = hits.withColumn("_raw_present", F.lit("x"))
-        raw_col = "_raw_present"
-    else:
-        raw_col = raw
     p = paged(hits, runs, page_size, multiplier)
-    p = mark_new(p, raw_col)
-    p = page_stop(p)
-    if until == "W2":
-        return p
-    c = fetch_cap(p, multiplier)
-    if until == "W3":
-        return c
-    c = flt_window(with_published(c, raw))
-    if until == "F2":
-        return c
-    c = flt_has_body(c, body)
-    if until == "F3":
-        return c
-    c = flt_has_description(c, description)
-    if until == "F4":
-        return c
-    c = join_trusted(c, trusted)
-    if until == "J2":
-        return c
-    return accept_cap(c)
+    p = page_stop(mark_new(attributes(p) if attributes else p, raw or "_raw_present"))
+    steps = [("W3", lambda c: fetch_cap(c, multiplier)),
+             ("F2", lambda c: flt_window(with_published(c, raw))),
+             ("F3", lambda c: flt_has_body(c, body)),
+             ("F4", lambda c: flt_has_description(c, description)),
+             ("J2", lambda c: join_trusted(c, trusted)),
+             ("W4", accept_cap)]
+    for name, step in steps:
+        p = step(p)
+        if name == until:
+            return p
+    raise ValueError(f"no step {until}")

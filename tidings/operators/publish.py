@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import DOMAIN_CAP, NEEDS_TRUST
-from .sizing import bounded_broadcast
 
 REQUIRED = ("topic_id", "aggregator_id", "start_dt", "end_dt")
 
@@ -17,7 +16,7 @@ def request_lookup(requests: DataFrame, topics: DataFrame, aggregators: DataFram
                       F.col("max_aggregator_results"))
     a = aggregators.select("aggregator_id", F.col("is_active").alias("aggregator_active"),
                            F.lit(True).alias("_agg_found"))
-    return requests.join(bounded_broadcast(t), "topic_id", "left").join(bounded_broadcast(a), "aggregator_id", "left")
+    return requests.join(t, "topic_id", "left").join(a, "aggregator_id", "left")
 
 
 def validate_requests(requests: DataFrame, topics: DataFrame, aggregators: DataFrame,
@@ -110,9 +109,9 @@ def review_queue(pending_df: DataFrame) -> DataFrame:
 
 
 def with_topic_name(pending_df: DataFrame, topics: DataFrame) -> DataFrame:
-    """Pending article -> topic name (bounded broadcast lookup)."""
+    """Pending article -> topic name (lookup)."""
     t = topics.select("topic_id", F.col("topic").alias("topic_name"))
-    return pending_df.join(bounded_broadcast(t), "topic_id", "left")
+    return pending_df.join(t, "topic_id", "left")
 
 
 def apply_decisions(pending_df: DataFrame, decisions: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -128,7 +127,7 @@ def daily_limit_reached(sourced: DataFrame, topics: DataFrame) -> DataFrame:
     a = sourced.groupBy("topic_id", "date_published").agg(
         F.count_if(F.col("article_approval_status") == "APPROVED").alias("n_approved"))
     t = topics.select("topic_id", "daily_publishing_limit")
-    a = a.join(bounded_broadcast(t), "topic_id", "left")
+    a = a.join(t, "topic_id", "left")
     return a.withColumn("limit_reached", F.col("n_approved") >= F.col("daily_publishing_limit"))
 
 

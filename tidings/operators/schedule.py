@@ -9,25 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import OLDEST_SUPPORTED_PUBLISHING_DATE
-from .sizing import bounded_broadcast
 
 OLDEST = OLDEST_SUPPORTED_PUBLISHING_DATE.replace(tzinfo=None)
-# the aggregator dimension is the set of vendor integrations: a handful of rows
-MAX_AGGREGATORS = 1024
 
 
 def active_pairs(topics: DataFrame, aggregators: DataFrame) -> DataFrame:
     """Every active topic with every active aggregator.
 
-    The active aggregator ids become one bounded array (scalar subquery,
-    size-guarded) that is exploded per topic: a generator instead of a
-    cartesian join, with no shuffle of the topic side.
+    The active aggregator ids (one for each vendor integration) become one
+    array in a scalar subquery that is exploded per topic: a generator instead
+    of a cartesian join, with no shuffle of the topic side.
     """
     ids = (aggregators.filter(F.col("is_active"))
            .select(F.array_sort(F.collect_set("aggregator_id")).alias("ids")).scalar())
-    guarded = F.when(F.size(ids) > MAX_AGGREGATORS,
-                     F.raise_error(F.lit("aggregator dimension exceeds its bound"))).otherwise(ids)
-    return topics.filter(F.col("is_active")).select("*", F.explode(guarded).alias("aggregator_id"))
+    return topics.filter(F.col("is_active")).select("*", F.explode(ids).alias("aggregator_id"))
 
 
 def horizon_start(today: dt.datetime, horizon_days: Column) -> Column:
@@ -38,7 +33,7 @@ def horizon_start(today: dt.datetime, horizon_days: Column) -> Column:
 def fetch_windows(pairs: DataFrame, watermarks: DataFrame, aggregators: DataFrame,
                   today: dt.datetime) -> DataFrame:
     """1-day windows from the mark (or the horizon) while start <= today."""
-    a = bounded_broadcast(aggregators.select("aggregator_id", "horizon_days"))
+    a = aggregators.select("aggregator_id", "horizon_days")
     w = pairs.join(watermarks, ["topic_id", "aggregator_id"], "left").join(a, "aggregator_id", "left")
     start = F.coalesce(F.col("last_end"), horizon_start(today, F.col("horizon_days")))
     w = w.withColumn("first_start", start).filter(F.col("first_start") <= F.lit(today))

@@ -1,43 +1,38 @@
-"""Size-checked broadcast and other plan helpers shared by operators."""
+"""Exact ranks within hot partitions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# a dimension side is broadcast only when a bounded probe proves it has at
-# most this many rows; beyond it the planner keeps a shuffle join (AQE may
-# still convert it at runtime from real shuffle statistics)
-BROADCAST_MAX_ROWS = 200_000
+BUCKET_WIDTH = 1 << 16
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds <= ``max_rows`` rows.
+def _bucket(order: str, bucket_width: int):
+    return F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
 
-    The probe reads at most ``max_rows + 1`` rows (a LIMIT job), so the check
-    itself costs O(max_rows) whatever the table size; ``known_rows`` skips
-    the probe when the caller already counted the table.
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def bucket_offsets(df: DataFrame, part: list[str], order: str, bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+    """(part, _bucket, _offset): how many rows of the partition stand before
+    each bucket of the order key. A grouped count, then a running sum over counts."""
+    counts = df.groupBy(*part, _bucket(order, bucket_width).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("_offset", F.coalesce(F.sum("_n").over(run), F.lit(0))).drop("_n")
 
 
-def rank_within(df: DataFrame, part: list[str], order: str, bucket_width: int = 1 << 16,
-                name: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, part: list[str], order: str, bucket_width: int = BUCKET_WIDTH,
+                name: str = "rank", offsets: DataFrame | None = None) -> DataFrame:
     """Exact 1-based row_number() over (partition by ``part`` order by
     ``order``) for a numeric, unique-per-partition order key, without
     sending a whole partition to one task.
 
-    Rows are bucketed by ``order // bucket_width``; per-bucket counts are a
-    small partial aggregate whose running sum gives each bucket's offset, and
-    the final row_number only runs inside (partition, bucket). A partition
+    Rows are bucketed by ``order // bucket_width`` and row_number only runs
+    inside (partition, bucket), on top of the bucket's offset. A partition
     holding a third of all rows is therefore split across many tasks.
+    ``offsets`` may be some of ``bucket_offsets``, with columns of its own: rows
+    of other buckets go, and the columns are attached.
     """
-    b = F.floor(F.col(order) / F.lit(bucket_width)).cast("long")
-    x = df.withColumn("_bucket", b)
-    counts = x.groupBy(*part, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(run), F.lit(0))).drop("_n")
-    j = x.join(offsets, [*part, "_bucket"])
+    offsets = bucket_offsets(df, part, order, bucket_width) if offsets is None else offsets
+    j = df.withColumn("_bucket", _bucket(order, bucket_width)).join(offsets, [*part, "_bucket"])
     w = Window.partitionBy(*part, "_bucket").orderBy(order)
     return j.withColumn(name, F.col("_offset") + F.row_number().over(w)).drop("_bucket", "_offset")

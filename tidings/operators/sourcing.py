@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..constants import (ARTICLE_SEPARATOR, CHUNK_OVERLAP, CHUNK_TOKENS, DATE_SORTING,
                          EMBEDDING_USD_PER_TOKEN, MIN_INVENTORY_TO_SOURCE, RELEVANCE_SORTING)
 from ..functions.text import token_chunks, token_count
-from .sizing import bounded_broadcast
 
 TOPIC_DAY = ["topic_id", "publishing_date"]
 
@@ -72,7 +71,7 @@ def cluster_topk(sizes: DataFrame, limits: DataFrame, group: list[str],
                  frequency: float = 1.0) -> DataFrame:
     """Clusters by size (ties: smallest member index), first
     ceil(daily_limit / frequency) per group."""
-    s = sizes.join(bounded_broadcast(limits.select("topic_id", "daily_publishing_limit")), "topic_id", "left")
+    s = sizes.join(limits.select("topic_id", "daily_publishing_limit"), "topic_id", "left")
     w = Window.partitionBy(*group).orderBy(F.col("size").desc(), F.col("min_idx").asc(), F.col("cluster").asc())
     s = s.withColumn("cluster_rank", F.row_number().over(w))
     top_k = F.ceil(F.col("daily_publishing_limit") / F.lit(float(frequency)))

@@ -58,36 +58,50 @@ def doc_attributes(docs: DataFrame) -> DataFrame:
                        (F.coalesce(F.octet_length("text"), F.lit(0)) > 0).alias("has_body"))
 
 
-def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events x documents: one fetched article per event (arrival = event_id)."""
+def hit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One fetched article per event (arrival = event_id), by keys only: the
+    event names its document, so no document is read."""
     docs = read(spark, sf_dir, "documents")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    ev = read(spark, sf_dir, "events").select(
+    return read(spark, sf_dir, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("published_dt"), "user_id",
-        (F.col("event_id") % n_docs).alias("doc_id"))
-    j = ev.join(doc_attributes(docs), "doc_id")
-    return j.select(
-        "event_id", "published_dt", "user_id",
         F.concat(F.lit("topic_"), (F.col("user_id") % N_TOPICS).cast("string")).alias("topic_id"),
         _aggregator_of(F.col("event_id")).alias("aggregator_id"),
-        "doc_id", "source", "lang", "text",
-        F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"),
-                 F.col("doc_id").cast("string")).alias("url"),
-        F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
-        "title", "description", "has_body",
-    )
+        (F.col("event_id") % n_docs).alias("doc_id"))
 
 
-def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """hits with the published date as the vendor string (raw_dates view):
-    every row with event_id % 50 = 0 is blank, every event_id % 97 = 0 is
-    malformed (a space instead of the 'T')."""
-    h = hits(spark, sf_dir)
+def with_documents(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
+    """Adds the attributes of each event's document."""
+    j = ev.join(doc_attributes(read(spark, sf_dir, "documents")), "doc_id")
+    return j.withColumns({
+        "url": F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"), F.col("doc_id").cast("string")),
+        "provider_domain": F.concat(F.col("source"), F.lit(".example.com"))})
+
+
+def with_raw_dates(ev: DataFrame) -> DataFrame:
+    """Adds the published date as the vendor string (raw_dates view): every
+    row with event_id % 50 = 0 is blank, every event_id % 97 = 0 is malformed
+    (a space instead of the 'T')."""
     s = vendor_date_string(F.col("published_dt"), F.col("aggregator_id"))
     raw = (F.when(F.col("event_id") % 50 == 0, F.lit(""))
            .when(F.col("event_id") % 97 == 0, F.replace(s, F.lit("T"), F.lit(" ")))
            .otherwise(s))
-    return h.withColumn("raw_published", raw)
+    return ev.withColumn("raw_published", raw)
+
+
+def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events x documents: one fetched article per event."""
+    return with_documents(spark, sf_dir, hit_events(spark, sf_dir))
+
+
+def raw_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hits with the published date as the vendor string."""
+    return with_raw_dates(hits(spark, sf_dir))
+
+
+def first_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, published_dt) of every document's first hit, from events alone."""
+    return hit_events(spark, sf_dir).groupBy("doc_id").agg(F.min("published_dt").alias("published_dt"))
 
 
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +147,8 @@ def runs(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFr
         F.lit(RUN_MAX_RESULTS).alias("max_results"), F.lit("relevance").alias("sorting"))
 
 
-def watermarks(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFrame:
-    h = h if h is not None else hits(spark, sf_dir)
+def watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hit_events(spark, sf_dir)
     return (h.filter((F.col("published_dt") < F.lit(WATERMARK_BEFORE)) & (F.col("topic_id") != "topic_5"))
             .groupBy("topic_id", "aggregator_id").agg(F.max("published_dt").alias("last_end")))
 
@@ -179,14 +193,13 @@ def cluster_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("cluster"), F.col("turn").alias("position"), "text")
 
 
-def sourced(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFrame:
+def sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored sourced article per document seen in hits.
 
     status: doc_id % 4 = 0 APPROVED, 1 REJECTED, else PENDING; published day
     is the day of the document's first hit; topic is topic_{doc_id % 8}.
     """
-    h = h if h is not None else hits(spark, sf_dir)
-    g = h.groupBy("doc_id").agg(F.min("published_dt").alias("dt_published"))
+    g = first_hits(spark, sf_dir).withColumnRenamed("published_dt", "dt_published")
     titles = read(spark, sf_dir, "documents").select("doc_id", F.substring_index(F.col("text"), "\n", 1).alias("title"))
     g = g.join(titles, "doc_id")   # only the title crosses the join, not the text
     status = (F.when(F.col("doc_id") % 4 == 0, F.lit("APPROVED"))
@@ -225,10 +238,9 @@ def desired_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(one)
 
 
-def cluster_members(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFrame:
+def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """clusters with the member's first-hit time and an article id."""
-    h = h if h is not None else hits(spark, sf_dir)
-    first = h.groupBy("doc_id").agg(F.min("published_dt").alias("published_dt"))
+    first = first_hits(spark, sf_dir)
     c = clusters(spark, sf_dir).join(first.withColumnRenamed("doc_id", "vec_id"), "vec_id", "left")
     return c.select("*", F.col("vec_id").alias("member_idx"),
                     F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("article_id"),

@@ -15,15 +15,12 @@ from .oracle_ctes import register, with_views
 RUNK = ["topic_id", "aggregator_id"]
 
 
-def collect_input(spark: SparkSession, sf: str) -> DataFrame:
-    """raw_hits with the attributes the collect filters read (body presence
-    as a flag: the text itself never enters the collect shuffle)."""
-    return A.raw_hits(spark, sf).drop("text")
-
-
 def collect_until(spark: SparkSession, sf: str, until: str) -> DataFrame:
-    return C.collect(collect_input(spark, sf), A.runs(spark, sf), A.trusted(spark, sf), body="has_body",
-                     until=until)
+    """The collect stage over all runs: arrivals are cut on events alone, then
+    joined to what the filters read of their documents (never the text)."""
+    arrivals = A.with_raw_dates(A.hit_events(spark, sf)).drop("published_dt")
+    return C.collect(arrivals, A.runs(spark, sf), A.trusted(spark, sf), body="has_body", until=until,
+                     attributes=lambda ev: A.with_documents(spark, sf, ev).drop("text"))
 
 
 # ------------------------------------------------------------------ oracle
@@ -42,11 +39,10 @@ SELECT q.*, (arrival_rank - 1) // 100 AS page FROM (
          CASE WHEN strpos(h.text, chr(10)) > 0 THEN split_part(h.text, chr(10), 2) ELSE '' END AS description,
          h.raw_published, r.topic, r.start_dt, r.end_dt, r.max_results,
          row_number() OVER (PARTITION BY h.topic_id, h.aggregator_id ORDER BY h.event_id) AS arrival_rank
-  FROM raw_hits h JOIN runs r ON h.topic_id = r.topic_id AND h.aggregator_id = r.aggregator_id) q
-WHERE arrival_rank <= 20000""")
+  FROM raw_hits h JOIN runs r ON h.topic_id = r.topic_id AND h.aggregator_id = r.aggregator_id) q""")
 register("c_marked", ("c_paged",), """
 SELECT *, dated AND row_number() OVER (PARTITION BY topic_id, aggregator_id, url, dated ORDER BY arrival_rank) = 1 AS is_new
-FROM (SELECT *, raw_published IS NOT NULL AND trim(raw_published) <> '' AS dated FROM c_paged) x""")
+FROM (SELECT *, raw_published IS NOT NULL AND raw_published <> '' AS dated FROM c_paged) x""")
 register("c_w2", ("c_marked",), """
 SELECT *, min(CASE WHEN new_in_page = 0 THEN page END) OVER (PARTITION BY topic_id, aggregator_id) AS stop_page
 FROM (SELECT *, sum(CAST(is_new AS INTEGER)) OVER (PARTITION BY topic_id, aggregator_id, page) AS new_in_page FROM c_marked) x""")
@@ -88,7 +84,7 @@ def fn_std_published(spark, sf):
 
 @query("flt_undated", with_views(
     "SELECT event_id, topic_id, aggregator_id, raw_published FROM raw_hits "
-    "WHERE raw_published IS NOT NULL AND trim(raw_published) <> ''", "raw_hits"))
+    "WHERE raw_published IS NOT NULL AND raw_published <> ''", "raw_hits"))
 def flt_undated(spark, sf):
     """rows without a published date are dropped before dedup."""
     return C.flt_undated(A.raw_hits(spark, sf)).select("event_id", "topic_id", "aggregator_id", "raw_published")
@@ -96,7 +92,7 @@ def flt_undated(spark, sf):
 
 @query("win_url_dedup", with_views(
     "SELECT topic_id, aggregator_id, url, min(event_id) AS first_event_id, count(*) AS n_seen FROM raw_hits "
-    "WHERE raw_published IS NOT NULL AND trim(raw_published) <> '' GROUP BY topic_id, aggregator_id, url",
+    "WHERE raw_published IS NOT NULL AND raw_published <> '' GROUP BY topic_id, aggregator_id, url",
     "raw_hits"))
 def win_url_dedup(spark, sf):
     """First dated occurrence of every URL within its run (whole runs)."""
@@ -109,10 +105,7 @@ SELECT topic_id, aggregator_id, count(DISTINCT page) AS n_pages, min(stop_page)
 FROM c_w2 GROUP BY topic_id, aggregator_id""", "c_w2"))
 def win_page_stop(spark, sf):
     """Per run, the first page without new rows and the rows before it."""
-    p = collect_until(spark, sf, "W2")
-    keep = F.col("is_new") & (F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))
-    return p.groupBy(*RUNK).agg(F.count_distinct("page").alias("n_pages"), F.min("stop_page").alias("stop_page"),
-                                F.count_if(keep).alias("n_new_before_stop"))
+    return C.page_stops(A.raw_hits(spark, sf))
 
 
 @query("win_fetch_cap", rows_sql("c_w3", ", page, candidate_rank"))
