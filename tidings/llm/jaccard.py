@@ -256,7 +256,8 @@ def links(docs: DataFrame, sketch: DataFrame, sizes: Sizes, chunk: int = CHUNK)
                     b.append(first[name])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    texts = docs.selectExpr("cast(doc_id AS long) doc_id", "text").join(members, "doc_id")
+    # members grow with the documents, so they are never broadcast
+    texts = docs.selectExpr("cast(doc_id AS long) doc_id", "text").join(members.hint("merge"), "doc_id")
     found = texts.mapInArrow(sets, "doc_id long, bundle long, tasks array<long>, shingles array<long>")
     found = found.select("doc_id", "bundle", "shingles", F.explode("tasks").alias("task"))
     return found.groupBy("task").applyInArrow(join, "a long, b long")
