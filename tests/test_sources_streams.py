@@ -58,10 +58,11 @@ def test_commented_jsonl(spark):
 
 
 def test_candidate_store_roundtrip_and_mark(spark):
-    rows = [(f"a{i}", "t1", "bingnews", dt.datetime(2024, 1, 2 + i % 2, 5)) for i in range(8)]
-    acc = spark.createDataFrame(rows, "article_id string, topic_id string, aggregator_id string, published_dt timestamp")
+    rows = [(f"a{i}", "t1", "bingnews", dt.datetime(2024, 1, 2 + i % 2, 5), dt.datetime(2024, 1, 1)) for i in range(8)]
+    acc = spark.createDataFrame(rows, "article_id string, topic_id string, aggregator_id string, published_dt timestamp, start_dt timestamp")
     path = scratch_path(spark, "cand-test")
     CS.store_candidates(acc, path)
+    CS.store_candidates(acc, path)      # a rerun adds nothing
     day = CS.load_unsourced(spark, path, "t1", dt.date(2024, 1, 2))
     assert day.count() == 4
     considered = day.select("article_id", "topic_id", "published_date")
@@ -71,6 +72,25 @@ def test_candidate_store_roundtrip_and_mark(spark):
     assert got == {("2024-01-02", True): 4, ("2024-01-03", False): 4}
 
 
+def test_same_article_in_two_daily_runs(spark):
+    """Marks are inclusive: an article on the border is fetched by two runs at
+    the same index, is stored twice, and only the considered copy is flagged."""
+    from tidings.operators.collect import accept_cap
+    row = "topic_id string, aggregator_id string, url string, start_dt timestamp, published_dt timestamp, arrival_rank long, max_results int"
+    days = [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)]
+    runs = [accept_cap(spark.createDataFrame([("t1", "bingnews", "u", d, days[1], 1, 5)], row)) for d in days]
+    got = [r.collect()[0] for r in runs]
+    assert got[0].aggregation_index == got[1].aggregation_index == 0 and got[0].article_id != got[1].article_id
+    assert all(len(r.article_id) == 43 for r in got)
+    path = scratch_path(spark, "two-runs")
+    for r in runs:
+        CS.store_candidates(r, path)
+    considered = CS.load_unsourced(spark, path).filter(F.col("article_id") == got[0].article_id)
+    after = CS.mark_sourced(spark, path, considered)
+    assert {(r.article_id, r.is_sourced, r.aggregation_run_id) for r in after.collect()} == {
+        (got[0].article_id, True, "t1/bingnews/2024-01-02 00:00:00"), (got[1].article_id, False, "t1/bingnews/2024-01-03 00:00:00")}
+
+
 def _hits_files(spark):
     rows = [(i, "t", "a", f"u{i % 5}", "2024-01-01T00:00:00Z", dt.datetime(2024, 1, 1 + i // 4, i % 24))
             for i in range(20)]

@@ -18,8 +18,6 @@ AGGREGATORS = (BING, NEWSAPI_ORG, THENEWSAPI_COM)
 
 DATE_SORTING = "date"
 RELEVANCE_SORTING = "relevance"
-POPULARITY_SORTING = "popularity"
-SUPPORTED_SORTING = (DATE_SORTING, RELEVANCE_SORTING, POPULARITY_SORTING)
 
 OLDEST_SUPPORTED_PUBLISHING_DATE = _dt.datetime(2023, 1, 1, tzinfo=_dt.timezone.utc)
 
@@ -61,8 +59,6 @@ BING_FRESHNESS = {1: "Day", 7: "Week", 30: "Month"}
 
 PAGE_SIZE = 100
 FETCH_MULTIPLIER = 2
-DEFAULT_MAX_RESULTS = 100
-DEFAULT_DAILY_PUBLISHING_LIMIT = 5
 DAILY_SOURCING_FREQUENCY = 1.0
 MIN_INVENTORY_TO_SOURCE = 6
 DOMAIN_CAP = {NEWSAPI_ORG: 500, THENEWSAPI_COM: 50}
@@ -73,7 +69,6 @@ CHUNK_TOKENS = 250
 CHUNK_OVERLAP = 0
 ARTICLE_SEPARATOR = "===================="
 EMBEDDING_USD_PER_TOKEN = 0.0001 / 1000
-SUMMARIZATION_FAILURE_MESSAGE = "Summarization failed."
 
 TITLE_MIN_WORDS, TITLE_MAX_WORDS = 5, 20
 SHORT_MAX_SENTENCES = 3

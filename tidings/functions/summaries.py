@@ -7,17 +7,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import MEDIUM_MAX_WORDS, SHORT_MAX_SENTENCES, TITLE_MAX_WORDS
-from .text import strip_wrapping_quotes, word_tokens
+from .text import strip_wrapping_quotes
 
 SENTENCE_PATTERN = r"[^.!?]+[.!?]*"
 
 
 def lead_words(text: Column, n: int) -> Column:
-    return F.trim(F.array_join(F.slice(word_tokens(text), 1, n), ""))
+    """The first n words: one match that stops there, however long the text."""
+    return F.trim(F.regexp_extract(text, rf"(?:\s*\S++){{1,{n}}}", 0))
 
 
 def lead_sentences(text: Column, n: int) -> Column:
-    return F.trim(F.array_join(F.slice(F.regexp_extract_all(text, F.lit(SENTENCE_PATTERN), 0), 1, n), ""))
+    return F.trim(F.regexp_extract(text, rf"(?:{SENTENCE_PATTERN}){{1,{n}}}", 0))
 
 
 def default_title(first_title: Column) -> Column:

@@ -77,10 +77,14 @@ def token_chunks(text: Column, size: int, overlap: int = 0) -> Column:
     if size <= overlap:
         raise ValueError("chunk size must exceed overlap")
     step = size - overlap
-    toks = word_tokens(text)
-    n = F.size(toks)
-    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, F.lit(size)), ""))
+
+    def chunks(toks: Column) -> Column:
+        n = F.size(toks)
+        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda s: F.array_join(F.slice(toks, s + 1, F.lit(size)), ""))
+
+    # bound to a lambda variable, the tokens are computed once, not once per chunk
+    return F.element_at(F.transform(F.array(word_tokens(text)), chunks), 1)
 
 
 def token_count(text: Column) -> Column:

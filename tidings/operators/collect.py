@@ -143,12 +143,14 @@ def join_trusted(df: DataFrame, trusted: DataFrame, language: str = "en") -> Dat
 
 
 def accept_cap(df: DataFrame) -> DataFrame:
-    """Dense 0-based aggregation_index over accepted rows, first max_results."""
+    """Dense 0-based aggregation_index over accepted rows, first max_results.
+    The id names the run's window too, so an article on the border of two
+    windows (marks are inclusive) has an id in each."""
     w = Window.partitionBy(*RUN).orderBy("arrival_rank")
     a = df.withColumn("aggregation_index", F.row_number().over(w) - 1)
     a = a.filter(F.col("aggregation_index") < F.col("max_results"))
     return a.withColumn("article_id", article_id(F.col("aggregation_index"), F.col("topic_id"),
-                                                 F.col("aggregator_id"), F.col("url")))
+                                                 F.col("aggregator_id"), F.col("start_dt"), F.col("url")))
 
 
 def collect(hits: DataFrame, runs: DataFrame, trusted: DataFrame, raw: str | None = "raw_published",

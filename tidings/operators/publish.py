@@ -45,6 +45,21 @@ def validate_requests(requests: DataFrame, topics: DataFrame, aggregators: DataF
     return j.withColumn("reject_reason", reason).drop("_agg_found")
 
 
+def validate_sourcing_requests(requests: DataFrame, topics: DataFrame) -> DataFrame:
+    """F6 for sourcing requests (topic_id, sourcing_date, daily_sourcing_frequency):
+    ordered checks -> reject_reason, and top_k of the valid ones."""
+    t = topics.select("topic_id", F.col("is_active").alias("topic_active"), "daily_publishing_limit")
+    j = requests.join(t, "topic_id", "left")
+    frequency = F.col("daily_sourcing_frequency")
+    reason = (F.when(F.coalesce(F.col("topic_id"), F.lit("")) == "", F.lit("topic_id must be specified"))
+              .when(F.col("sourcing_date").isNull(), F.lit("sourcing_date must be specified"))
+              .when(F.coalesce(frequency, F.lit(0.0)) == 0, F.lit("daily_sourcing_frequency must be specified"))
+              .when(F.col("topic_active").isNull(), F.lit("topic not found"))
+              .when(~F.col("topic_active"), F.lit("inactive topic")))
+    top_k = F.when(reason.isNull(), F.ceil(F.col("daily_publishing_limit") / F.nullif(frequency, F.lit(0.0)))).cast("long")
+    return j.withColumns({"reject_reason": reason, "top_k": top_k})
+
+
 def entity_checks(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     """new topics are lower-cased, need a positive result cap, a 2-letter
     language and must not duplicate a stored topic or an earlier candidate."""
@@ -161,11 +176,21 @@ def metric_counts(df: DataFrame, name: str, dims: list[str]) -> DataFrame:
         F.lit(name).alias("metric"), "dimensions", "value")
 
 
+def published_counts(sourced: DataFrame, decisions: DataFrame, key: str = "doc_id") -> DataFrame:
+    """A6 over a whole table in one pass: articles already approved plus
+    pending ones whose decision approves them, per (topic, day)."""
+    j = sourced.join(decisions.select(key, "decision"), key, "left")
+    approved = F.col("article_approval_status") == "APPROVED"
+    now = (F.col("article_approval_status") == "PENDING") & (F.col("decision") == "PUBLISH")
+    return (j.groupBy("topic_id", "date_published").agg(F.count_if(approved | now).alias("published_count"))
+            .filter("published_count > 0"))
+
+
 def run_status(ledger: DataFrame) -> DataFrame:
     """Latest state of each run from an append-only ledger, and per
     aggregator the complete / failed counts and failure rate."""
     last = ledger.groupBy("run_id", "aggregator_id").agg(
-        F.max_by("status", "event_time").alias("status"))
+        F.max(F.struct("event_time", "status"))["status"].alias("status"))   # ties: the later name
     return last.groupBy("aggregator_id").agg(
         F.count(F.lit(1)).alias("n_runs"), F.count_if(F.col("status") == "COMPLETE").alias("n_complete"),
         F.count_if(F.col("status") == "FAILED").alias("n_failed"),

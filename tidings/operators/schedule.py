@@ -87,10 +87,15 @@ def sourcing_messages(dates: DataFrame, frequency: float) -> DataFrame:
     return dates.select(F.col("topic_id").alias("message_group_id"), body.alias("message_body"))
 
 
-def high_watermark(old: DataFrame, proposed: DataFrame) -> DataFrame:
+def high_watermark(old: DataFrame, proposed: DataFrame, now: dt.datetime | None = None) -> DataFrame:
     """A12 + F8: last_end = greater of old and new per (topic, aggregator);
-    a proposed end before year 2000 (an empty-run sentinel) is ignored."""
+    a proposed end before year 2000 (an empty-run sentinel) is ignored. With
+    ``now``, dt_last_aggregated is set beside every mark that a run proposed."""
     p = (proposed.filter(F.year("proposed_end") >= 2000)
          .groupBy("topic_id", "aggregator_id").agg(F.max("proposed_end").alias("proposed_end")))
     j = old.join(p, ["topic_id", "aggregator_id"], "full_outer")
-    return j.select("topic_id", "aggregator_id", F.greatest("last_end", "proposed_end").alias("last_end"))
+    cols = ["topic_id", "aggregator_id", F.greatest("last_end", "proposed_end").alias("last_end")]
+    if now is not None:
+        kept = F.col("dt_last_aggregated") if "dt_last_aggregated" in old.columns else F.lit(None).cast("timestamp")
+        cols.append(F.when(F.col("proposed_end").isNotNull(), F.lit(now)).otherwise(kept).alias("dt_last_aggregated"))
+    return j.select(*cols)

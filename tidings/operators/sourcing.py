@@ -4,8 +4,6 @@ cost statistics (A9, A10), embedding mean (A11) and checks (C7)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,7 +155,3 @@ def embedding_check(articles: DataFrame, vectors: DataFrame, key: str) -> DataFr
     many = (vectors.groupBy(key).agg(F.count(F.lit(1)).alias("n_vectors")).filter("n_vectors > 1")
             .select(key, F.lit("several vectors").alias("violation"), "n_vectors"))
     return missing.unionByName(many)
-
-
-def top_k_for(limit: int, frequency: float) -> int:
-    return int(math.ceil(limit / frequency))

@@ -62,7 +62,7 @@ register("c_j2", ("c_f4", "trusted"), """
 SELECT * FROM c_f4 c WHERE c.aggregator_id NOT IN ('newsapi.org', 'thenewsapi.com')
    OR c.provider_domain IN (SELECT provider_domain FROM trusted WHERE language = 'en' AND is_active)""")
 register("c_w4", ("c_j2",), f"""
-SELECT *, {PAD6('aggregation_index')} || '#' || {UUID_SQL('topic_id', 'aggregator_id', 'url')} AS article_id
+SELECT *, {PAD6('aggregation_index')} || '#' || {UUID_SQL('topic_id', 'aggregator_id', 'start_dt', 'url')} AS article_id
 FROM (SELECT *, row_number() OVER (PARTITION BY topic_id, aggregator_id ORDER BY arrival_rank) - 1 AS aggregation_index
       FROM c_j2) x
 WHERE aggregation_index < max_results""")

@@ -40,6 +40,29 @@ def flt_request_valid(spark, sf):
     return validated(spark, sf).select("topic_id", "aggregator_id", "reject_reason")
 
 
+@query("flt_sourcing_request_valid", with_views("""
+SELECT request_id, CASE WHEN coalesce(r.topic_id, '') = '' THEN 'topic_id must be specified'
+  WHEN sourcing_date IS NULL THEN 'sourcing_date must be specified'
+  WHEN coalesce(frequency, 0) = 0 THEN 'daily_sourcing_frequency must be specified'
+  WHEN t.topic_id IS NULL THEN 'topic not found' WHEN NOT t.is_active THEN 'inactive topic' END AS reject_reason,
+  CASE WHEN coalesce(r.topic_id, '') <> '' AND sourcing_date IS NOT NULL AND coalesce(frequency, 0) <> 0 AND t.is_active
+       THEN CAST(ceil(t.daily_publishing_limit / frequency) AS BIGINT) END AS top_k
+FROM (SELECT event_id AS request_id, CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 13 <> 0 THEN 'topic_' || CAST(user_id % 10 AS VARCHAR) END AS topic_id,
+             CASE WHEN event_id % 7 <> 0 THEN ts END AS sourcing_date,
+             CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(0 AS DOUBLE) ELSE (event_id % 5) / CAST(2 AS DOUBLE) END AS frequency FROM events) r
+LEFT JOIN topics t ON t.topic_id = r.topic_id""", "topics"))
+def flt_sourcing_request_valid(spark, sf):
+    """F6, sourcing side: one request per event with missing fields, unknown
+    and inactive topics; valid ones get their top_k."""
+    n = F.col("event_id")
+    topic = F.when(n % 11 == 0, F.lit("")).when(n % 13 != 0, F.concat(F.lit("topic_"), (F.col("user_id") % 10).cast("string")))
+    frequency = F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, F.lit(0.0)).otherwise((n % 5) / 2)
+    r = A.read(spark, sf, "events").select(n.alias("request_id"), topic.alias("topic_id"),
+                                           F.when(n % 7 != 0, F.col("ts")).alias("sourcing_date"),
+                                           frequency.cast("double").alias("daily_sourcing_frequency"))
+    return P.validate_sourcing_requests(r, A.topics(spark, sf)).select("request_id", "reject_reason", "top_k")
+
+
 @query("join_request_lookup", with_views(
     "SELECT topic_id, aggregator_id, topic, topic_active, aggregator_active FROM validated", "validated"))
 def join_request_lookup(spark, sf):
@@ -194,11 +217,7 @@ FULL OUTER JOIN (SELECT topic_id, date_published, count(*) AS n FROM reviewed WH
 ON a.topic_id = c.topic_id AND a.date_published = c.date_published""", "sourced", "reviewed"))
 def agg_published_upsert(spark, sf):
     """Published counters per (topic, day) plus one per new approval."""
-    s = A.sourced(spark, sf)
-    counters = (s.filter(F.col("article_approval_status") == "APPROVED")
-                .groupBy("topic_id", "date_published").agg(F.count(F.lit(1)).alias("published_count")))
-    approvals = reviewed(spark, sf).filter(F.col("new_status") == "APPROVED")
-    return P.published_upsert(counters, approvals)
+    return P.published_counts(A.sourced(spark, sf), A.decisions(spark, sf))
 
 
 @query("agg_daily_limit", with_views("""

@@ -125,7 +125,8 @@ def gen_sourcing_dates(spark, sf):
 register("marks", ("watermarks", "c_w4"), """
 SELECT coalesce(o.topic_id, p.topic_id) AS topic_id, coalesce(o.aggregator_id, p.aggregator_id) AS aggregator_id,
        CASE WHEN o.last_end IS NULL THEN p.proposed_end WHEN p.proposed_end IS NULL THEN o.last_end
-            ELSE greatest(o.last_end, p.proposed_end) END AS last_end
+            ELSE greatest(o.last_end, p.proposed_end) END AS last_end,
+       CASE WHEN p.proposed_end IS NOT NULL THEN TIMESTAMP '2024-01-31 00:00:00' END AS dt_last_aggregated
 FROM watermarks o FULL OUTER JOIN (
   SELECT topic_id, aggregator_id, max(published_dt) AS proposed_end FROM c_w4
   WHERE year(published_dt) >= 2000 GROUP BY topic_id, aggregator_id) p
@@ -138,11 +139,13 @@ def proposed_marks(spark, sf):
 
 
 @query("agg_high_watermark", with_views(
-    f"SELECT topic_id, aggregator_id, {ISO('last_end')} AS last_end FROM marks", "marks"))
+    f"SELECT topic_id, aggregator_id, {ISO('last_end')} AS last_end, {ISO('dt_last_aggregated')} AS dt_last_aggregated FROM marks",
+    "marks"))
 def agg_high_watermark(spark, sf):
     """last_end = greater of the stored mark and the run's newest article."""
-    m = S.high_watermark(A.watermarks(spark, sf), proposed_marks(spark, sf))
-    return m.select("topic_id", "aggregator_id", iso_utc(F.col("last_end")).alias("last_end"))
+    m = S.high_watermark(A.watermarks(spark, sf), proposed_marks(spark, sf), A.TODAY)
+    return m.select("topic_id", "aggregator_id", iso_utc(F.col("last_end")).alias("last_end"),
+                    iso_utc(F.col("dt_last_aggregated")).alias("dt_last_aggregated"))
 
 
 @query("flt_watermark_sane", with_views(f"""

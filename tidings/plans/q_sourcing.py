@@ -25,7 +25,7 @@ SELECT topic_id, aggregator_id, event_id, url, article_id, aggregation_index, pu
 
 def inventory(spark, sf):
     acc = collect_until(spark, sf, "W4")
-    return SO.with_publishing_date(acc.select("topic_id", "aggregator_id", "event_id", "url", "article_id",
+    return SO.with_publishing_date(acc.select("topic_id", "aggregator_id", "start_dt", "event_id", "doc_id", "url", "article_id",
                                               "aggregation_index", "published_dt", "title", "provider_domain"))
 
 
@@ -138,11 +138,14 @@ def win_inventory_date(spark, sf):
     + _rank_sql("date") + ") b", "inventory"))
 def udf_sort_spec(spark, sf):
     """U4: the ranking chosen by name (relevance / date; others raise)."""
-    out = None
-    for name in (K.RELEVANCE_SORTING, K.DATE_SORTING):
-        r = _ranked(spark, sf, name).select(F.lit(name).alias("sorting"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+    names = (K.RELEVANCE_SORTING, K.DATE_SORTING)
+    ranked = inventory(spark, sf)
+    for name in names:      # both ranks on one inventory, then a row for each
+        ranked = SO.rank_inventory(ranked, name).withColumnRenamed("inventory_rank", f"rank_{name}")
+    each = F.array(*[F.struct(F.lit(n).alias("sorting"), F.col(f"rank_{n}").cast("long").alias("inventory_rank")) for n in names])
+    ranked = ranked.select("topic_id", F.col("publishing_date").cast("string").alias("publishing_date"), "article_id",
+                           F.explode(each).alias("r"))
+    return ranked.select("r.sorting", "topic_id", "publishing_date", "article_id", "r.inventory_rank")
 
 
 @query("set_union_sources", with_views("""
@@ -150,7 +153,9 @@ SELECT aggregator_id, event_id, CASE WHEN aggregator_id = 'bingnews' THEN NULL E
        CASE WHEN aggregator_id = 'bingnews' THEN title END AS title FROM c_w4""", "c_w4"))
 def set_union_sources(spark, sf):
     """Per-aggregator candidate frames (different columns) as one inventory."""
-    acc = collect_until(spark, sf, "W4")
+    path = scratch_path(spark, "accepted")      # collected once, read per aggregator
+    collect_until(spark, sf, "W4").select("aggregator_id", "event_id", "title", "provider_domain").write.parquet(path)
+    acc = spark.read.parquet(path)
     bing = acc.filter(F.col("aggregator_id") == K.BING).select("aggregator_id", "event_id", "title")
     n1 = acc.filter(F.col("aggregator_id") == K.NEWSAPI_ORG).select("aggregator_id", "event_id", "provider_domain")
     n2 = acc.filter(F.col("aggregator_id") == K.THENEWSAPI_COM).select("aggregator_id", "event_id", "provider_domain")
@@ -260,15 +265,16 @@ def agg_token_stats(spark, sf):
 
 @query("agg_embedding_cost", with_views("""
 SELECT topic_id, CAST(publishing_date AS VARCHAR) AS publishing_date, CAST(sum(n) AS BIGINT) AS tokens, round(CAST(sum(n) AS DOUBLE) * CAST(0.0000001 AS DOUBLE), 9) AS cost_usd
-FROM (SELECT i.topic_id, i.publishing_date, len(regexp_extract_all(replace(h.title || ' ' || h.text, chr(10), ' '), '(\\s*\\S+)', 1)) AS n
+FROM (SELECT i.topic_id, i.publishing_date, len(regexp_extract_all(replace(h.title || ' ' || CASE WHEN strpos(h.text, chr(10)) > 0 THEN split_part(h.text, chr(10), 2) ELSE '' END || ' ' || h.text, chr(10), ' '), '(\\s*\\S+)', 1)) AS n
       FROM inventory i JOIN hits h ON h.event_id = i.event_id) x GROUP BY topic_id, publishing_date""", "inventory", "hits"))
 def agg_embedding_cost(spark, sf):
-    """A10: embedding tokens of each topic-day inventory and their price."""
+    """A10: embedding tokens of each topic-day inventory and their price
+    (title, description and content: the default documents)."""
     from ..functions.text import embedding_docs
-    inv = inventory(spark, sf).select("event_id", "topic_id", "publishing_date")
-    h = A.hits(spark, sf).select("event_id", "title", "text")
-    d = inv.join(h, "event_id").select("topic_id", "publishing_date", F.explode(
-        embedding_docs("title_and_content_concat", F.col("title"), F.lit(None).cast("string"), F.col("text"))).alias("doc"))
+    inv = inventory(spark, sf).select("doc_id", "topic_id", "publishing_date")
+    docs = A.doc_attributes(A.read(spark, sf, "documents")).select("doc_id", "title", "description", "text")
+    d = inv.join(docs, "doc_id").select("topic_id", "publishing_date", F.explode(embedding_docs(
+        "title_and_description_and_content_concat", F.col("title"), F.col("description"), F.col("text"))).alias("doc"))
     c = SO.embedding_cost(d, ["topic_id", "publishing_date"])
     return c.select("topic_id", F.col("publishing_date").cast("string").alias("publishing_date"),
                     F.col("tokens").cast("long").alias("tokens"), "cost_usd")

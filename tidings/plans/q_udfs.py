@@ -115,9 +115,10 @@ SELECT 'sourced_candidate_articles/' || topic_id || '/' || date_published || '/'
 SELECT prefix || '/' || sourced_article_id || '.json' AS object_key, NULL AS body_md5 FROM ({BUNDLE_KEYS_SQL}) a
 UNION ALL SELECT prefix || '/Short_summary.txt', md5(short_summary) FROM ({BUNDLE_KEYS_SQL}) a
 UNION ALL SELECT prefix || '/Medium_summary.txt', md5(medium_summary) FROM ({BUNDLE_KEYS_SQL}) a
-UNION ALL SELECT prefix || '/Full_summary.txt', md5(full_summary) FROM ({BUNDLE_KEYS_SQL}) a""", "digest"))
+UNION ALL SELECT prefix || '/Full_summary.txt', md5(full_summary) FROM ({BUNDLE_KEYS_SQL}) a
+UNION ALL SELECT prefix || '/__SUCCESS__', md5('') FROM ({BUNDLE_KEYS_SQL}) a""", "digest"))
 def sink_sourced_bundle(spark, sf):
-    """Four objects per sourced article written under one prefix."""
+    """Four objects and a marker per sourced article written under one prefix."""
     d = spark.read.parquet(_stored_bundles(spark, sf))
     return d.select("object_key", F.when(~F.col("object_key").endswith(".json"), F.md5("body")).alias("body_md5"))
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,16 +58,18 @@ _LOCAL_CHECKPOINT: str | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered with the SparkContext; a cluster always provides its own
-    shared folder. (``spark.checkpoint.dir`` is a core setting and cannot be
-    changed on a running session, so it is only ever read here.)
+    Only when the setting is absent and Spark runs in this one process
+    (``local[...]``, as in tests) a temporary folder is used, and removed at
+    the end; on a cluster the missing setting is an error.
     """
     global _LOCAL_CHECKPOINT
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that the driver and all executors share")
         if _LOCAL_CHECKPOINT is None:
-            _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="tidings-ckpt-")
+            _LOCAL_CHECKPOINT = tempfile.mkdtemp(prefix="tidings-")
+            atexit.register(shutil.rmtree, _LOCAL_CHECKPOINT, ignore_errors=True)
         current = _LOCAL_CHECKPOINT
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
@@ -72,12 +77,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh path in the shared checkpoint folder, of any file system; the
+    writer makes the folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

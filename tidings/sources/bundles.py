@@ -1,9 +1,10 @@
 """Sourced-article bundles: sink (S10), prefix scan (S11) and load.
 
-A bundle is four objects under one prefix: the article JSON and the
-short / medium / full summaries. They are stored as rows (object_key, body)
-of a Parquet table partitioned by topic and publishing day; the committer's
-_SUCCESS file is the completion marker.
+A bundle is five objects under one prefix: the article JSON, the short /
+medium / full summaries and an empty success marker. They are stored as rows
+(object_key, body) of a Parquet table partitioned by topic and publishing day.
+A topic-day is committed as a whole and replaced as a whole, so a marker is
+visible only beside the other four, and a rerun adds no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ REF_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
 
 
 def bundle_rows(articles: DataFrame) -> DataFrame:
-    """Four (object_key, body) rows per sourced article via stack()."""
+    """Five (object_key, body) rows per sourced article via stack()."""
     k = sourced_keys(F.col("topic_id"), F.col("date_published"), F.col("sourced_article_id"))
     ref = F.to_json(F.struct(
         F.col("sourced_article_id").alias("article_id"), F.col("title").alias("article_title"),
@@ -32,17 +33,18 @@ def bundle_rows(articles: DataFrame) -> DataFrame:
     a = articles.select("topic_id", "date_published", k["json_key"].alias("k0"), ref.alias("b0"),
                         k["short_key"].alias("k1"), F.col("short_summary").alias("b1"),
                         k["medium_key"].alias("k2"), F.col("medium_summary").alias("b2"),
-                        k["full_key"].alias("k3"), F.col("full_summary").alias("b3"))
+                        k["full_key"].alias("k3"), F.col("full_summary").alias("b3"),
+                        k["marker_key"].alias("k4"), F.lit("").alias("b4"))
     return a.selectExpr("topic_id", "date_published",
-                        "stack(4, k0, b0, k1, b1, k2, b2, k3, b3) AS (object_key, body)")
+                        "stack(5, k0, b0, k1, b1, k2, b2, k3, b3, k4, b4) AS (object_key, body)")
 
 
 def store_bundles(articles: DataFrame, path: str) -> None:
-    """Write the bundles; _SUCCESS appears only after every object."""
+    """Write the bundles of whole topic-days, in the place of earlier ones."""
     rows = bundle_rows(articles).withColumn("publishing_day", F.regexp_replace("date_published", "/", "-"))
     # range partitioning keeps a topic-day in few files yet splits a hot one
     (rows.drop("date_published").repartitionByRange("topic_id", "publishing_day", "object_key")
-     .write.mode("append").partitionBy("topic_id", "publishing_day").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("topic_id", "publishing_day").parquet(path))
 
 
 def article_prefixes(objects: DataFrame, key: str = "object_key") -> DataFrame:

@@ -9,24 +9,31 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITIONS = ["topic_id", "published_date"]
 
 
-def store_candidates(accepted: DataFrame, path: str, run_id_col: str | None = None) -> None:
-    """Append accepted articles under topic + published day, flagged unsourced.
+def store_candidates(accepted: DataFrame, path: str) -> None:
+    """Add accepted articles under topic + published day, flagged
+    unsourced. Articles that the store has already are not added again, so a
+    rerun of a run changes nothing.
 
     Rows are range-partitioned on (topic, day, article id) first: each
     writer task gets a contiguous slice, so a topic-day lands in few files,
     and a hot topic-day is split across several tasks instead of one.
     """
     out = accepted.withColumn("published_date", F.to_date("published_dt")).withColumn("is_sourced", F.lit(False))
-    if run_id_col is None:
-        out = out.withColumn("aggregation_run_id", F.concat_ws("/", "topic_id", "aggregator_id"))
-    (out.repartitionByRange(*PARTITIONS, "article_id").write.mode("append")
-     .partitionBy(*PARTITIONS).parquet(path))
+    out = out.withColumn("aggregation_run_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("start_dt").cast("string")))
+    key = [*PARTITIONS, "article_id"]
+    try:
+        out = out.join(accepted.sparkSession.read.parquet(path).select(*key), key, "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    out.repartitionByRange(*key).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def load_unsourced(spark: SparkSession, path: str, topic_id: str | None = None,
@@ -63,14 +70,10 @@ def mark_sourced(spark: SparkSession, path: str, considered: DataFrame, key: str
     store = spark.read.parquet(path)
     touched = considered.select(*PARTITIONS).distinct()
     affected = store.join(touched, PARTITIONS, "left_semi")
-    flag = considered.select(key, F.lit(True).alias("_considered")).distinct()
-    updated = (affected.join(flag, key, "left")
+    flag = considered.select(*PARTITIONS, key, F.lit(True).alias("_considered")).distinct()
+    updated = (affected.join(flag, [*PARTITIONS, key], "left")
                .withColumn("is_sourced", F.col("is_sourced") | F.coalesce(F.col("_considered"), F.lit(False)))
                .drop("_considered")).checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        updated.select(*store.columns).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (updated.select(*store.columns).repartitionByRange(*PARTITIONS, key).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
     return spark.read.parquet(path)
