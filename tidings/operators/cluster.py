@@ -1,10 +1,10 @@
 """Clustering of topic-day inventories.
 
-Each group (topic-day) is clustered inside one ``applyInPandas`` task with
-numpy: Spark shuffles the groups, Arrow ships their vectors, and no pair of
-rows is ever materialised as a Spark row. Group size is bounded by
-``max_group`` (groups above it are rejected with a clear error rather than
-silently sampled; see README for the scale path).
+An inventory holds the accepted articles of one topic and day, at most
+``max_results`` of each run, so it is small whatever the input size. Each is
+clustered in one ``applyInPandas`` task with numpy, by one exact algorithm:
+Spark shuffles the groups, Arrow ships their vectors, and no pair of rows is
+ever a Spark row. The k-means sweep (C3) is MLlib's, over all vectors.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_GROUP = 2000
 KMEANS_SEED = 10
 
 
@@ -28,49 +27,32 @@ def pairwise(x: np.ndarray) -> np.ndarray:
     return np.sqrt(d2)
 
 
-def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray,
-                         w: np.ndarray | None = None) -> float:
-    """Mean silhouette from point-to-cluster distance sums (n x k).
-
-    With weights ``w`` every row stands for ``w`` points (a micro-cluster):
-    a(i) is the weighted mean distance to the other rows of its cluster, b(i)
-    the smallest weighted mean distance to another cluster, and the mean is
-    weighted. A row alone in its cluster scores 0, as a singleton does. With
-    unit weights this is the exact silhouette.
-    """
-    n = sums.shape[0]
-    rows = np.arange(n)
-    w = np.ones(n) if w is None else w
-    own_size = sizes[own]
-    rest = own_size - w        # a(i) averages over the *other* rows of the cluster
+def silhouette_from_sums(sums: np.ndarray, sizes: np.ndarray, own: np.ndarray) -> float:
+    """Mean silhouette from point-to-cluster distance sums (n x k)."""
+    rows = np.arange(len(own))
+    rest = sizes[own] - 1        # a(i) averages over the *other* rows of the cluster
     a = np.where(rest > 0, sums[rows, own] / np.where(rest > 0, rest, 1.0), 0.0)
     means = sums / sizes[None, :]
     means[rows, own] = np.inf
     b = means.min(axis=1)
     denom = np.maximum(a, b)
-    s = np.where((rest > 0) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0)
-    return float((s * w).sum() / w.sum())
+    return float(np.where((rest > 0) & (denom > 0), (b - a) / np.where(denom > 0, denom, 1.0), 0.0).mean())
 
 
-def silhouette(x: np.ndarray, labels: np.ndarray, d: np.ndarray | None = None,
-               w: np.ndarray | None = None) -> float:
-    """Mean silhouette with Euclidean distance; singletons score 0.
-    ``w`` weights rows that stand for several points."""
-    d = pairwise(x) if d is None else d
-    w = np.ones(len(labels)) if w is None else w
+def silhouette(x: np.ndarray, labels: np.ndarray) -> float:
+    """Mean silhouette with Euclidean distance; singletons score 0."""
     uniq, own = np.unique(labels, return_inverse=True)
     onehot = np.zeros((len(labels), len(uniq)))
-    onehot[np.arange(len(labels)), own] = w
-    return silhouette_from_sums(d @ onehot, onehot.sum(axis=0), own, w)
+    onehot[np.arange(len(labels)), own] = 1.0
+    return silhouette_from_sums(pairwise(x) @ onehot, onehot.sum(axis=0), own)
 
 
-def ward_merges(x: np.ndarray, w: np.ndarray | None = None) -> list[tuple[float, int, int]]:
+def ward_merges(x: np.ndarray) -> list[tuple[float, int, int]]:
     """Ward agglomeration by nearest-neighbour chain: (distance, a, b) merges
-    sorted by distance; cluster ids are the lowest original member index.
-    ``w`` gives initial cluster sizes (rows that are already centroids)."""
+    sorted by distance; cluster ids are the lowest original member index."""
     n = len(x)
     cent = x.astype(np.float64).copy()
-    size = np.ones(n) if w is None else w.astype(np.float64).copy()
+    size = np.ones(n)
     active = np.ones(n, dtype=bool)
     merges: list[tuple[float, int, int]] = []
     chain: list[int] = []
@@ -107,25 +89,21 @@ def _relabel(root: np.ndarray) -> np.ndarray:
     return np.array([order[r] for r in root], dtype=np.int64)
 
 
-def ward_select_k(x: np.ndarray, w: np.ndarray | None = None) -> tuple[np.ndarray, int, float]:
+def ward_select_k(x: np.ndarray) -> tuple[np.ndarray, int, float]:
     """C1 + C4: Ward tree cut at every k in 2..n-1, keep the first k (in
     increasing k) with the best silhouette. Point-to-cluster distance sums
-    are updated per merge, so the sweep never recomputes pairwise terms.
-    ``w`` weights rows that stand for several points (micro-clusters)."""
+    are updated per merge, so the sweep never recomputes pairwise terms."""
     n = len(x)
     if n <= 2:
         return np.arange(n, dtype=np.int64), n, float("inf")
-    w = np.ones(n) if w is None else w.astype(np.float64)
-    d = pairwise(x.astype(np.float64))
-    merges = ward_merges(x, w)
     root_of = np.arange(n)   # cluster (lowest member index) of every point
-    sums = d * w[None, :]    # column c = weighted sum of distances to cluster c
-    sizes = w.copy()
+    sums = pairwise(x.astype(np.float64))    # column c = sum of distances to cluster c
+    sizes = np.ones(n)
     alive = np.ones(n, dtype=bool)
     pos = np.full(n, -1)
     best = (-np.inf, None, None)
     k = n
-    for _dist, a, b in merges:
+    for _dist, a, b in ward_merges(x):
         ra, rb = root_of[a], root_of[b]
         lo, hi = min(ra, rb), max(ra, rb)
         root_of[root_of == hi] = lo
@@ -137,286 +115,79 @@ def ward_select_k(x: np.ndarray, w: np.ndarray | None = None) -> tuple[np.ndarra
             break
         cols = np.flatnonzero(alive)
         pos[cols] = np.arange(len(cols))
-        score = silhouette_from_sums(sums[:, cols], sizes[cols], pos[root_of], w)
+        score = silhouette_from_sums(sums[:, cols], sizes[cols], pos[root_of])
         if score >= best[0]:    # sweeping k downwards: ties go to the smaller k
             best = (score, k, root_of.copy())
     score, k_best, roots = best
     return _relabel(roots), int(k_best), float(score)
 
 
-def ward_cut(x: np.ndarray, m: int, w: np.ndarray | None = None) -> np.ndarray:
-    """Ward tree of ``x`` (row weights ``w``) cut at ``m`` clusters."""
-    n = len(x)
-    root_of = np.arange(n)
-    for _dist, a, b in ward_merges(x, w)[: max(n - m, 0)]:
-        ra, rb = root_of[a], root_of[b]
-        lo, hi = min(ra, rb), max(ra, rb)
-        root_of[root_of == hi] = lo
-    return _relabel(root_of)
-
-
-def kmeans(x: np.ndarray, k: int, seed: int = KMEANS_SEED, iters: int = 300,
-           w: np.ndarray | None = None) -> np.ndarray:
-    """k-means++ seeding then Lloyd iterations (deterministic for a seed);
-    ``w`` weights rows that stand for several points."""
-    rng = np.random.default_rng(seed)
-    n = len(x)
-    w = np.ones(n) if w is None else w
-    centers = [x[rng.choice(n, p=w / w.sum())]]
-    d2 = np.einsum("ij,ij->i", x - centers[0], x - centers[0])
-    for _ in range(1, k):
-        p = d2 * w
-        p = p / p.sum() if p.sum() > 0 else w / w.sum()
-        c = x[rng.choice(n, p=p)]
-        centers.append(c)
-        d2 = np.minimum(d2, np.einsum("ij,ij->i", x - c, x - c))
-    c = np.array(centers)
-    labels = np.zeros(n, dtype=np.int64)
-    for it in range(iters):
-        dist = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-        new = dist.argmin(axis=1)
-        if it > 0 and np.array_equal(new, labels):
-            break
-        labels = new
-        for j in range(k):
-            m = labels == j
-            if m.any():
-                c[j] = (x[m] * w[m, None]).sum(axis=0) / w[m].sum()
-    return labels
-
-
-def kmeans_select_k(x: np.ndarray, seed: int = KMEANS_SEED,
-                    w: np.ndarray | None = None) -> tuple[np.ndarray, int, float]:
-    """K-means sweep over k in 2..n-1 scored by silhouette (first max)."""
-    n = len(x)
-    if n <= 2:
-        return np.arange(n, dtype=np.int64), n, float("inf")
-    x = x.astype(np.float64)
-    d = pairwise(x)
-    best = (-np.inf, None, None)
-    for k in range(2, n):
-        labels = kmeans(x, k, seed, w=w)
-        score = silhouette(x, labels, d, w)
-        if score > best[0]:
-            best = (score, k, labels)
-    score, k_best, labels = best
-    return _relabel(labels), int(k_best), float(score)
-
-
 # ------------------------------------------------------------------ Spark operators
-def split_by_size(base: DataFrame, group: list[str], max_group: int) -> tuple[DataFrame, DataFrame | None]:
-    """(groups up to ``max_group`` rows, larger groups or None).
-
-    One aggregate job finds the largest group; when none is oversized the
-    exact path runs on the input as is, with no extra join.
-    """
-    sizes = base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    biggest = sizes.agg(F.max("_n")).first()[0]
-    if biggest is None or biggest <= max_group:
-        return base, None
-    small = base.join(sizes.filter(F.col("_n") <= max_group).select(*group), group, "left_semi")
-    large = base.join(sizes.filter(F.col("_n") > max_group).select(*group), group, "left_semi")
-    return small, large
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
 
 
-def _out_schema(df: DataFrame, group: list[str], idx: str) -> T.StructType:
-    fields = [df.schema[c] for c in group] + [df.schema[idx]]
-    return T.StructType(fields + [T.StructField("label", T.LongType()), T.StructField("n_clusters", T.LongType()),
-                                  T.StructField("score", T.DoubleType())])
-
-
-def _grouped(df: DataFrame, group: list[str], idx: str, vec: str, kernel, max_group: int) -> DataFrame:
-    schema = _out_schema(df, group, idx)
+def ward_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding") -> DataFrame:
+    """C1 (+C4, C6): Ward clustering per group with silhouette-chosen k."""
+    schema = T.StructType([df.schema[c] for c in [*group, idx]] + [
+        T.StructField("label", T.LongType()), T.StructField("n_clusters", T.LongType()), T.StructField("score", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(idx)
-        if len(pdf) > max_group:
-            raise ValueError(f"group of {len(pdf)} rows exceeds max_group={max_group}")
-        x = np.stack(pdf[vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()) if len(pdf) else np.zeros((0, 0))
-        labels, k, score = kernel(x)
-        out = pdf[group + [idx]].copy()
-        out["label"] = labels
-        out["n_clusters"] = k
-        out["score"] = score
-        return out
+        labels, k, score = ward_select_k(_matrix(pdf[vec]))
+        return pdf[[*group, idx]].assign(label=labels, n_clusters=k, score=score)
 
     return df.select(*group, idx, vec).groupBy(*group).applyInPandas(run, schema)
 
 
-def ward_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding",
-                  max_group: int = MAX_GROUP) -> DataFrame:
-    """C1 (+C4, C6): Ward clustering per group with silhouette-chosen k.
-
-    Groups up to ``max_group`` rows are clustered exactly in one task each.
-    Larger groups take the distributed two-level path of
-    :func:`ward_clusters_large`, so no task ever holds a whole hot group.
-    """
-    small, large = split_by_size(df.select(*group, idx, vec), group, max_group)
-    exact = _grouped(small, group, idx, vec, ward_select_k, max_group)
-    if large is None:
-        return exact
-    return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group))
-
-
-REDUCTION = 4
-
-
-def ward_clusters_large(points: DataFrame, group: list[str], idx: str, vec: str,
-                        max_group: int = MAX_GROUP, reduction: int = REDUCTION,
-                        kernel=ward_select_k) -> DataFrame:
-    """Ward clustering of groups too large for one task.
-
-    Level by level, every group still above ``max_group`` rows is hash-split
-    into chunks of about ``max_group / 2`` rows and each chunk is cut by
-    (weighted) Ward into ``rows / reduction`` micro-clusters, one bounded
-    task per chunk. Each level is checkpointed to the shared folder (lineage
-    cut, recomputation after executor loss starts there). When every group
-    fits, its weighted micro-clusters are swept over k with the weighted
-    silhouette, and labels flow back down the levels by equi-joins.
-    Scores of such groups are computed on micro-clusters, not on points.
-    """
-    keys = [points.schema[c] for c in group]
-    items = points.select(*group, F.col(idx).cast("string").alias("_item"),
-                          F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
-    items, mappings = reduce_levels(items, group, [], max_group, reduction)
-    return _sweep_and_label(points, items, mappings, group, idx, keys, kernel)
-
-
-MAX_LEVELS = 32
-
-
-def reduce_levels(items: DataFrame, group: list[str], split: list[str], max_group: int,
-                  reduction: int = REDUCTION) -> tuple[DataFrame, list[DataFrame]]:
-    """Shrink every group above ``max_group`` rows into weighted micro-clusters.
-
-    ``items`` has the group columns, the ``split`` columns (micro-clusters
-    never mix their values, e.g. a given label), ``_item``, ``_vec`` and
-    ``_w``. Per level, oversized groups are hash-split into chunks of about
-    ``max_group / 2`` rows within (group, split) and each chunk is cut by
-    weighted Ward into ``rows / reduction`` micro-clusters (one bounded task
-    per chunk); the level is checkpointed to the shared folder. Returns the
-    final items and, per level, the (parent, child) mapping.
-    """
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(items.sparkSession)
-    chunk = max(max_group // 2, 2)
-    keyed = [*group, *split]
-    level_schema = T.StructType([items.schema[c] for c in keyed] + [
-        T.StructField("_item", T.StringType()), T.StructField("_vec", T.ArrayType(T.DoubleType())),
-        T.StructField("_w", T.DoubleType()), T.StructField("_members", T.ArrayType(T.StringType()))])
-    mappings: list[DataFrame] = []
-    for level in range(1, MAX_LEVELS + 1):
-        # sizes by grouped counts (partial aggregation), never a window over a hot group
-        sizes = items.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-        biggest = sizes.agg(F.max("_n")).first()[0]
-        if biggest is None or biggest <= max_group:
-            break
-        big = sizes.filter(F.col("_n") > max_group).select(*group)
-        keep = items.join(big, group, "left_anti")
-        over = items.join(big, group, "left_semi")
-        per_key = over.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_k"))
-        over = over.join(per_key, keyed).withColumn(
-            "_chunk", F.pmod(F.xxhash64("_item"), F.ceil(F.col("_k") / F.lit(chunk)).cast("long"))).drop("_k")
-        reduced = (over.groupBy(*keyed, "_chunk")
-                   .applyInPandas(_chunk_reducer(keyed, f"L{level}:", reduction), level_schema).checkpoint())
-        mappings.append(reduced.select(*group, F.col("_item").alias("_parent"), F.explode("_members").alias("_item")))
-        items = keep.unionByName(reduced.drop("_members"))
-    return items, mappings
-
-
-def _chunk_reducer(group: list[str], tag: str, reduction: int):
-    def reduce_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_item")
-        x = np.stack(pdf["_vec"].map(np.asarray).to_numpy())
-        w = pdf["_w"].to_numpy(dtype=np.float64)
-        m = max(1, -(-len(pdf) // reduction))
-        lab = ward_cut(x, m, w)
-        out = []
-        # unique within the group: chunk number plus the split values
-        c = ":".join(str(v) for v in [pdf["_chunk"].iloc[0], *pdf[group].iloc[0].tolist()])
-        for j in range(lab.max() + 1):
-            sel = lab == j
-            ww = w[sel]
-            out.append([*pdf[group].iloc[0].tolist(), f"{tag}{c}:{j}",
-                        list((x[sel] * ww[:, None]).sum(axis=0) / ww.sum()), float(ww.sum()),
-                        pdf["_item"].to_numpy()[sel].tolist()])
-        return pd.DataFrame(out, columns=group + ["_item", "_vec", "_w", "_members"])
-
-    return reduce_chunk
-
-
-def _sweep_and_label(points: DataFrame, items: DataFrame, mappings: list[DataFrame], group: list[str],
-                     idx: str, keys: list, kernel) -> DataFrame:
-    out_schema = T.StructType(keys + [T.StructField("_item", T.StringType()), T.StructField("label", T.LongType()),
-                                      T.StructField("n_clusters", T.LongType()), T.StructField("score", T.DoubleType())])
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_item")
-        x = np.stack(pdf["_vec"].map(np.asarray).to_numpy())
-        labels, k, score = kernel(x, w=pdf["_w"].to_numpy(dtype=np.float64))
-        out = pdf[group + ["_item"]].copy()
-        out["label"], out["n_clusters"], out["score"] = labels, k, score
-        return out
-
-    labelled = items.groupBy(*group).applyInPandas(sweep, out_schema)
-    for m in reversed(mappings):
-        down = m.join(labelled.withColumnRenamed("_item", "_parent"), [*group, "_parent"]).drop("_parent")
-        labelled = labelled.join(m.select(*group, F.col("_parent").alias("_item")).distinct(),
-                                 [*group, "_item"], "left_anti").unionByName(down)
-    pts = points.select(*group, idx, F.col(idx).cast("string").alias("_item"))
-    return pts.join(labelled, [*group, "_item"]).select(*group, idx, "label", "n_clusters", "score")
-
-
-def kmeans_clusters(df: DataFrame, group: list[str], idx: str, vec: str = "embedding",
-                    max_group: int = MAX_GROUP) -> DataFrame:
-    """Seeded k-means sweep per group with silhouette-chosen k; groups
-    above ``max_group`` sweep weighted k-means over multi-level Ward
-    micro-clusters (same distributed reduction as C1)."""
-    small, large = split_by_size(df.select(*group, idx, vec), group, max_group)
-    exact = _grouped(small, group, idx, vec, kmeans_select_k, max_group)
-    if large is None:
-        return exact
-    return exact.unionByName(ward_clusters_large(large, group, idx, vec, max_group, kernel=kmeans_select_k))
-
-
-def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "embedding",
-                      max_group: int = MAX_GROUP, idx: str | None = None) -> DataFrame:
-    """Mean Euclidean silhouette of given labels per group.
-
-    Groups up to ``max_group`` rows are scored exactly in one task. Larger
-    groups are first shrunk into weighted micro-clusters that never mix
-    labels (:func:`reduce_levels`, split by label), then scored with the
-    weighted silhouette; ``idx`` names a unique row id (a hash of the row
-    is used when it is absent).
-    """
+def ward_checks(clusters: DataFrame, points: DataFrame, group: list[str], idx: str, vec: str = "embedding") -> DataFrame:
+    """Per group what any C1 result must satisfy: n_members, whether k lies in
+    2..n-1 (n for two members or fewer), whether the labels are 0..k-1, and
+    whether the score is C2's for these labels."""
+    labelled = points.select(*group, idx, vec).join(clusters, [*group, idx])
+    again = silhouette_scores(labelled, group, "label", vec).withColumnRenamed("score", "_again")
+    g = clusters.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n_members"), F.max("n_clusters").alias("_k"), F.max("score").alias("_score"),
+        (F.min("n_clusters") == F.max("n_clusters")).alias("_one"), F.min("label").alias("_low"),
+        F.max("label").alias("_high"), F.count_distinct("label").alias("_labels"))
+    n, k = F.col("n_members"), F.col("_k")
+    small = n <= 2
+    return g.join(again, group, "left").select(
+        *group, "n_members", (F.col("_one") & F.when(small, k == n).otherwise(k.between(2, n - 1))).alias("k_in_range"),
+        ((F.col("_low") == 0) & (F.col("_high") == k - 1) & (F.col("_labels") == k)).alias("labels_contiguous"),
+        F.when(small, F.col("_score") == float("inf")).otherwise(F.abs(F.col("_score") - F.col("_again")) < 1e-9).alias("score_is_silhouette"))
+
+
+def kmeans_select_k(df: DataFrame, idx: str, ks: range, vec: str = "embedding", seed: int = KMEANS_SEED) -> DataFrame:
+    """MLlib k-means for every k, the first k with the best MLlib
+    silhouette; per row idx, label, n_clusters, score."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    x = df.select(idx, array_to_vector(F.col(vec).cast("array<double>")).alias("features")).persist()
+    best = (-np.inf, None, None)
+    for k in ks:
+        model = KMeans(k=k, seed=seed).fit(x)
+        score = ClusteringEvaluator().evaluate(model.transform(x))
+        if score > best[0]:
+            best = (score, k, model)
+    score, k, model = best
+    return model.transform(x).select(idx, F.col("prediction").cast("long").alias("label"), F.lit(k).cast("long").alias("n_clusters"),
+                                     F.lit(score).alias("score"))
+
+
+def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "embedding") -> DataFrame:
+    """Mean Euclidean silhouette of given labels per group; no
+    score (NaN or null) unless there are 2..n-1 labels."""
     schema = T.StructType([df.schema[c] for c in group] + [T.StructField("score", T.DoubleType())])
 
-    def score(pdf: pd.DataFrame, w_col: str | None, vcol: str) -> pd.DataFrame:
-        x = np.stack(pdf[vcol].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         labels = pdf[label].to_numpy()
-        w = pdf[w_col].to_numpy(dtype=np.float64) if w_col else None
-        n = len(pdf) if w is None else w.sum()
-        k = len(np.unique(labels))
-        out = pdf[group].iloc[:1].copy()
-        out["score"] = silhouette(x, labels, w=w) if 2 <= k <= n - 1 else float("nan")
-        return out
-
-    def exact(pdf: pd.DataFrame) -> pd.DataFrame:
-        return score(pdf, None, vec)
-
-    def weighted(pdf: pd.DataFrame) -> pd.DataFrame:
-        return score(pdf, "_w", "_vec")
-
-    base = df.select(*group, label, vec, (F.col(idx) if idx else F.xxhash64(F.to_json(F.struct(*df.columns)))).alias("_id"))
-    small, large = split_by_size(base, group, max_group)
-    out = small.select(*group, label, vec).groupBy(*group).applyInPandas(exact, schema)
-    if large is None:
-        return out
-    items = large.select(*group, label, F.col("_id").cast("string").alias("_item"),
-                         F.col(vec).cast("array<double>").alias("_vec"), F.lit(1.0).alias("_w"))
-    reduced, _ = reduce_levels(items, group, [label], max_group)
-    return out.unionByName(reduced.groupBy(*group).applyInPandas(weighted, schema))
+        valid = 2 <= len(np.unique(labels)) <= len(pdf) - 1
+        return pdf[group].iloc[:1].assign(score=silhouette(_matrix(pdf[vec]), labels) if valid else float("nan"))
+
+    return df.select(*group, label, vec).groupBy(*group).applyInPandas(run, schema)
 
 
 def argmax_k(scores: DataFrame, group: list[str], digits: int = 6) -> DataFrame:

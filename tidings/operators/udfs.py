@@ -2,8 +2,8 @@
 contract check (U3) and processing cost (A8).
 
 Caller-supplied functions run in ``mapInPandas`` (Arrow batches, one call
-per batch, never per row). The defaults are Spark-native: hashed TF-IDF from
-MLlib for embeddings and built-in string expressions for summaries.
+per batch, never per row). The defaults are built-in functions: hashed TF-IDF
+for embeddings and string expressions for summaries.
 """
 
 from __future__ import annotations
@@ -24,21 +24,24 @@ EmbedFn = Callable[[list[str]], list[list[float]]]
 SummariseFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
-def embed_default(docs: DataFrame, text: str = "doc", num_features: int = 1 << 12) -> DataFrame:
-    """U1 default: lower-cased word tokens -> HashingTF -> IDF -> L2 norm."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
-
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"\W+", toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_vec", p=2.0),
-    ])
-    model = pipe.fit(docs)
-    out = model.transform(docs)
-    return out.drop("_tok", "_tf", "_tfidf").withColumnRenamed("_vec", "embedding_vector")
+def embed_default(docs: DataFrame, key: str, text: str = "doc", num_features: int = 1 << 12) -> DataFrame:
+    """U1 default: hashed TF-IDF with L2 norm as sparse vectors (key, indices,
+    values): lower-case ASCII word tokens, feature = md5 prefix modulo
+    ``num_features``, idf = ln((n + 1) / (df + 1)). Built-in functions only;
+    counts are summed on the map side, and a document without tokens, or whose
+    tokens all stand in every document, has an empty vector."""
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    token = F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), 0)).alias("_token")
+    feature = (F.conv(F.substring(F.md5("_token"), 1, 8), 16, 10).cast("long") % num_features).cast("int")
+    tf = docs.select(key, token).groupBy(key, feature.alias("_f")).agg(F.count(F.lit(1)).alias("_tf"))
+    df = tf.groupBy("_f").agg(F.count(F.lit(1)).alias("_df"))      # at most num_features rows
+    w = tf.join(F.broadcast(df), "_f").withColumn("_w", F.col("_tf") * F.log((n_docs + 1) / (F.col("_df") + 1))).filter("_w <> 0")
+    v = w.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_f", "_w"))).alias("_v"), F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
+    v = v.select(F.col(key).alias("_key"), F.transform("_v", lambda x: x["_f"]).alias("indices"),
+                 F.transform("_v", lambda x: x["_w"] / F.col("_norm")).alias("values"))
+    out = docs.select(key).join(v, F.col(key) == F.col("_key"), "left")
+    return out.select(key, F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
+                      F.coalesce("values", F.array().cast("array<double>")).alias("values"))
 
 
 def embed_with(docs: DataFrame, fn: EmbedFn, text: str = "doc") -> DataFrame:

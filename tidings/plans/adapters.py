@@ -22,9 +22,6 @@ WATERMARK_BEFORE = dt.datetime(2024, 1, 21)
 RUN_MAX_RESULTS = 100
 N_TOPICS = 8
 TRUSTED_MAX_SOURCE = 13
-# the embeddings table is read as consecutive sourcing days of this many
-# vectors (100 per topic), so a (topic, day) inventory stays bounded
-VECTORS_PER_DAY = 800
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,20 +164,6 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n % 5 != 0).alias("is_active"))
 
 
-def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = read(spark, sf_dir, "embeddings")
-    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", "source",
-                                                   F.substring_index(F.col("text"), "\n", 1).alias("title"))
-    e = emb.join(docs, "vec_id", "left")
-    return e.select(
-        F.concat(F.lit("topic_"), (F.col("vec_id") % N_TOPICS).cast("string")).alias("topic_id"),
-        F.floor(F.col("vec_id") / VECTORS_PER_DAY).cast("long").alias("day"),
-        F.col("label").alias("cluster"), "vec_id", "embedding", "title", "text",
-        F.when(F.col("source").isNotNull(), F.concat(F.col("source"), F.lit(".example.com"))).alias("provider_domain"),
-        F.when(F.col("source").isNotNull(), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"),
-                                                     F.col("vec_id").cast("string"))).alias("url"))
-
-
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read(spark, sf_dir, "labels")
     d = (F.when((F.col("quality") == 1) & (F.col("toxic") == 0), F.lit("PUBLISH"))
@@ -236,12 +219,3 @@ def desired_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = s.select(F.lit("en").alias("language"), F.concat(F.col("source"), F.lit(".example.com")).alias("provider_domain"),
                    F.col("source").alias("provider_name"))
     return one.unionByName(one)
-
-
-def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """clusters with the member's first-hit time and an article id."""
-    first = first_hits(spark, sf_dir)
-    c = clusters(spark, sf_dir).join(first.withColumnRenamed("doc_id", "vec_id"), "vec_id", "left")
-    return c.select("*", F.col("vec_id").alias("member_idx"),
-                    F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("article_id"),
-                    F.lit("n/a").alias("category"))

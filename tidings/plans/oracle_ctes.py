@@ -56,13 +56,6 @@ SELECT 'en' AS language, source || '.example.com' AS provider_domain, source AS
 FROM (SELECT DISTINCT source FROM documents) s
 WHERE regexp_extract(source, '^src([0-9]+)$', 1) <> ''
   AND CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INTEGER) <= 13"""),
-    "clusters": ((), """
-SELECT 'topic_' || CAST(e.vec_id % 8 AS VARCHAR) AS topic_id, CAST(e.vec_id // 800 AS BIGINT) AS day,
-       e.label AS cluster, e.vec_id,
-       e.embedding, split_part(d.text, chr(10), 1) AS title, d.text,
-       CASE WHEN d.source IS NOT NULL THEN d.source || '.example.com' END AS provider_domain,
-       CASE WHEN d.source IS NOT NULL THEN 'https://' || d.source || '.example.com/a/' || CAST(e.vec_id AS VARCHAR) END AS url
-FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id"""),
     "decisions": ((), """
 SELECT doc_id, CASE WHEN quality = 1 AND toxic = 0 THEN 'PUBLISH' WHEN toxic = 1 THEN 'REJECT'
                     ELSE 'SKIP' END AS decision
@@ -117,7 +110,3 @@ SELECT 'en' AS language, source || '.example.com' AS provider_domain, source AS
 FROM (SELECT DISTINCT source FROM documents) s
 WHERE regexp_extract(source, '^src([0-9]+)$', 1) <> ''
   AND CAST(regexp_extract(source, '^src([0-9]+)$', 1) AS INTEGER) BETWEEN 3 AND 16""")
-
-register("cluster_members", ("clusters", "hits"), """
-SELECT c.*, f.published_dt, c.vec_id AS member_idx, 'vec-' || CAST(c.vec_id AS VARCHAR) AS article_id, 'n/a' AS category
-FROM clusters c LEFT JOIN (SELECT doc_id, min(published_dt) AS published_dt FROM hits GROUP BY doc_id) f ON f.doc_id = c.vec_id""")

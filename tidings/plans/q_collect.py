@@ -35,7 +35,7 @@ END"""
 
 register("c_paged", ("raw_hits", "runs"), """
 SELECT q.*, (arrival_rank - 1) // 100 AS page FROM (
-  SELECT h.event_id, h.topic_id, h.aggregator_id, h.url, h.provider_domain, h.title, h.text AS body,
+  SELECT h.event_id, h.doc_id, h.topic_id, h.aggregator_id, h.url, h.provider_domain, h.title, h.text AS body,
          CASE WHEN strpos(h.text, chr(10)) > 0 THEN split_part(h.text, chr(10), 2) ELSE '' END AS description,
          h.raw_published, r.topic, r.start_dt, r.end_dt, r.max_results,
          row_number() OVER (PARTITION BY h.topic_id, h.aggregator_id ORDER BY h.event_id) AS arrival_rank

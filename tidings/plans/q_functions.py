@@ -13,6 +13,7 @@ from ..functions.text import (EMBEDDING_MODES, embedding_docs, html_body, html_t
                               provider_domain, strip_wrapping_quotes, token_chunks)
 from . import adapters as A
 from .catalog import BODY_SQL, DOMAIN_SQL, ISO, PAD6, TITLE_SQL, UUID_SQL, query
+from .q_sourcing import cluster_members, with_texts
 from .oracle_ctes import with_views
 
 # vendor category words used to label hits (the map keys plus one unmapped word)
@@ -184,9 +185,9 @@ def fn_token_chunks(spark, sf):
 
 
 def _titles_by_cluster(spark, sf):
-    c = A.clusters(spark, sf).filter(F.col("title").isNotNull())
+    c = with_texts(spark, sf, cluster_members(spark, sf)).filter(F.col("title").isNotNull())
     g = c.groupBy("topic_id", "day", "cluster").agg(
-        F.array_sort(F.collect_list(F.struct("vec_id", "title", "text"))).alias("m"))
+        F.array_sort(F.collect_list(F.struct("member_idx", "title", "text"))).alias("m"))
     return g.select("topic_id", "day", "cluster", A.topic_name(F.col("topic_id")).alias("topic"),
                     F.array_join(F.transform("m", lambda x: x["title"]), PR.STUFF_SEPARATOR).alias("titles"),
                     F.array_join(F.transform("m", lambda x: x["text"]), PR.STUFF_SEPARATOR).alias("full_text"))
@@ -207,9 +208,9 @@ SELECT topic_id, day, cluster, md5(tp) AS title_prompt_md5, length(tp) AS title_
   SELECT topic_id, day, cluster, replace(replace({_sql_template(K.TITLE_TEMPLATE)}, '####topic####', topic), '{{text}}', titles) AS tp,
          {_summary_sql(K.MEDIUM_SUMMARY_DEFINITION)} AS mp, {_summary_sql(K.SHORT_SUMMARY_DEFINITION)} AS sp
   FROM (SELECT topic_id, day, cluster, 'Topic ' || split_part(topic_id, '_', 2) AS topic,
-               string_agg(title, chr(10) || chr(10) ORDER BY vec_id) AS titles,
-               string_agg(text, chr(10) || chr(10) ORDER BY vec_id) AS full_text
-        FROM clusters WHERE title IS NOT NULL GROUP BY topic_id, day, cluster) a) x""", "clusters"))
+               string_agg(title, chr(10) || chr(10) ORDER BY member_idx) AS titles,
+               string_agg(text, chr(10) || chr(10) ORDER BY member_idx) AS full_text
+        FROM cluster_members WHERE title IS NOT NULL GROUP BY topic_id, day, cluster) a) x""", "cluster_members"))
 def fn_render_prompts(spark, sf):
     """Per (topic, cluster) the title prompt (member titles stuffed in)
     and the medium / short summary prompts over the full text."""

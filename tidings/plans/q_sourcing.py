@@ -15,7 +15,6 @@ from .catalog import ISO, query
 from .oracle_ctes import register, with_views
 from .q_collect import collect_until
 
-# clusters are keyed by topic and sourcing day (see adapters.VECTORS_PER_DAY)
 TOPIC_DAY_C = ["topic_id", "day"]
 
 register("inventory", ("c_w4",), """
@@ -29,6 +28,26 @@ def inventory(spark, sf):
                                               "aggregation_index", "published_dt", "title", "provider_domain"))
 
 
+register("cluster_members", ("c_w4",), """
+SELECT w.topic_id, CAST(CAST(w.published_dt AS DATE) AS VARCHAR) AS day, e.label AS cluster, w.event_id AS member_idx, w.article_id, w.url,
+       w.provider_domain, w.title, w.body AS text, 'n/a' AS category, w.published_dt, e.embedding
+FROM c_w4 w JOIN embeddings e ON e.vec_id = w.doc_id""")
+
+
+def cluster_members(spark, sf):
+    """The accepted inventory joined to the vectors of its documents: what a
+    topic and day is clustered from (the stored label stands for the cluster)."""
+    inv = inventory(spark, sf).select("topic_id", F.col("publishing_date").cast("string").alias("day"), "event_id", "doc_id",
+                                      "article_id", "url", "provider_domain", "title", "published_dt")
+    e = A.read(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("cluster"))
+    return inv.join(e, "doc_id").withColumnRenamed("event_id", "member_idx").withColumn("category", F.lit("n/a"))
+
+
+def with_texts(spark, sf, members):
+    """Adds the members' document texts."""
+    return members.join(A.read(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+
+
 def stored(spark, sf):
     path = scratch_path(spark, "candidates")
     CS.store_candidates(inventory(spark, sf).drop("publishing_date"), path)
@@ -172,7 +191,7 @@ SELECT topic_id, day, cluster, size, cluster_rank FROM (
 WHERE cluster_rank <= ceil(daily_publishing_limit / 1.0)""", "cluster_members", "topics"))
 def win_cluster_topk(spark, sf):
     """Largest clusters first, ceil(daily_limit / frequency) per topic-day."""
-    m = A.cluster_members(spark, sf)
+    m = cluster_members(spark, sf)
     s = SO.cluster_sizes(m, TOPIC_DAY_C)
     return SO.cluster_topk(s, A.topics(spark, sf), TOPIC_DAY_C, K.DAILY_SOURCING_FREQUENCY).select(
         *TOPIC_DAY_C, "cluster", "size", F.col("cluster_rank").cast("long").alias("cluster_rank"))
@@ -185,11 +204,10 @@ SELECT topic_id, day, cluster, {ISO('min(published_dt)')} AS dt_published,
        string_agg(provider_domain, ' ' ORDER BY member_idx) AS source_article_provider_domains,
        md5(string_agg(title, chr(10) ORDER BY member_idx)) AS titles_md5,
        string_agg(category, ',' ORDER BY member_idx) AS source_article_categories
-FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, day, cluster""", "cluster_members"))
+FROM cluster_members GROUP BY topic_id, day, cluster""", "cluster_members"))
 def agg_sourced_article(spark, sf):
-    """A4: cluster -> earliest published and the ordered member arrays
-    (members that are articles: a document with a publish time)."""
-    m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
+    """A4: cluster -> earliest published and the ordered member arrays."""
+    m = cluster_members(spark, sf)
     a = SO.sourced_article(m, TOPIC_DAY_C)
     return a.select(*TOPIC_DAY_C, "cluster", iso_utc(F.col("dt_published")).alias("dt_published"),
                     F.array_join("source_article_ids", ",").alias("source_article_ids"),
@@ -204,7 +222,7 @@ def agg_sourced_article(spark, sf):
     "GROUP BY topic_id, day, cluster", "cluster_members"))
 def clu_group_members(spark, sf):
     """Labels -> ordered member lists."""
-    g = SO.group_members(A.cluster_members(spark, sf), TOPIC_DAY_C)
+    g = SO.group_members(cluster_members(spark, sf), TOPIC_DAY_C)
     return g.select(*TOPIC_DAY_C, "cluster", F.array_join("members", ",").alias("members"))
 
 
@@ -215,7 +233,7 @@ GROUP BY topic_id, day""",
     "cluster_members"))
 def clu_stats(spark, sf):
     """Cluster count and sizes (largest first) per topic."""
-    return SO.cluster_stats(A.cluster_members(spark, sf), TOPIC_DAY_C)
+    return SO.cluster_stats(cluster_members(spark, sf), TOPIC_DAY_C)
 
 
 @query("clu_embedding_check", """
@@ -228,15 +246,13 @@ def clu_embedding_check(spark, sf):
     return SO.embedding_check(docs, A.read(spark, sf, "embeddings"), "vec_id")
 
 
-@query("agg_embedding_mean", """
-SELECT 'topic_' || CAST(vec_id % 8 AS VARCHAR) AS topic_id, CAST(vec_id // 800 AS BIGINT) AS day, label AS cluster,
-       CAST(g.i - 1 AS INTEGER) AS pos, round(avg(CAST(embedding[g.i] AS DOUBLE)), 6) AS value
-FROM embeddings, generate_series(1, len(embedding)) AS g(i)
-GROUP BY topic_id, day, cluster, pos""")
+@query("agg_embedding_mean", with_views("""
+SELECT topic_id, day, cluster, CAST(g.i - 1 AS INTEGER) AS pos, round(avg(CAST(embedding[g.i] AS DOUBLE)), 6) AS value
+FROM cluster_members, generate_series(1, 64) AS g(i)
+GROUP BY topic_id, day, cluster, pos""", "cluster_members"))
 def agg_embedding_mean(spark, sf):
     """Element-wise mean vector per (topic, cluster)."""
-    c = A.clusters(spark, sf)
-    m = SO.embedding_mean(c, [*TOPIC_DAY_C, "cluster"])
+    m = SO.embedding_mean(cluster_members(spark, sf), [*TOPIC_DAY_C, "cluster"])
     return m.select(*TOPIC_DAY_C, "cluster", F.col("pos").cast("int").alias("pos"), F.round("value", 6).alias("value"))
 
 

@@ -13,6 +13,7 @@ from ..sources import bundles as BD
 from . import adapters as A
 from .catalog import ISO, UUID_SQL, query
 from .oracle_ctes import register, with_views
+from .q_sourcing import cluster_members, with_texts
 
 USD_PER_TOKEN = 0.002 / 1000  # default summarising price per token (parameter)
 
@@ -26,13 +27,12 @@ FROM (SELECT *, CASE WHEN starts_with(t0, '"') AND ends_with(t0, '"') THEN CASE
                    coalesce(string_agg(text, chr(10) || chr(10) ORDER BY member_idx), '') AS full_summary,
                    coalesce(string_agg(title, chr(10) || chr(10) ORDER BY member_idx), '') AS titles_joined,
                    trim(array_to_string(list_slice(regexp_extract_all(first(title ORDER BY member_idx), '(\\s*\\S+)', 1), 1, 20), '')) AS t0
-            FROM cluster_members WHERE published_dt IS NOT NULL GROUP BY topic_id, day, cluster) a) b""")
+            FROM cluster_members GROUP BY topic_id, day, cluster) a) b""")
 
 
 def digest(spark, sf):
-    """Per (topic, cluster): ordered members, default summaries and ids.
-    Only members that are articles (a document with a publish time) count."""
-    m = A.cluster_members(spark, sf).filter(F.col("published_dt").isNotNull())
+    """Per (topic, day, cluster): ordered members, default summaries and ids."""
+    m = with_texts(spark, sf, cluster_members(spark, sf))
     s = F.struct("member_idx", "category", "article_id", "url", "provider_domain", "title", "text")
     g = m.groupBy("topic_id", "day", "cluster").agg(F.min("published_dt").alias("dt_published"),
                                              F.array_sort(F.collect_list(s)).alias("_m"))
@@ -89,16 +89,25 @@ def agg_processing_cost(spark, sf):
     return c.select("topic_id", "day", "cluster", F.round("article_processing_cost", 9).alias("article_processing_cost"))
 
 
-@query("udf_embed")
+@query("udf_embed", """
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(split_part(text, chr(10), 1), '') || ' ' || coalesce(text, '')), '[a-z0-9]+')) AS w FROM documents),
+tf AS (SELECT doc_id, f, count(*) AS tf FROM (SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % 4096 AS f FROM t) h GROUP BY doc_id, f),
+df AS (SELECT f, count(*) AS df FROM tf GROUP BY f),
+w AS (SELECT doc_id, f, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS w FROM tf JOIN df USING (f)),
+v AS (SELECT doc_id, f, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM w WHERE w <> 0)
+SELECT doc_id, coalesce(n, 0) AS n_nonzero, coalesce(round(norm, 6), 0.0) AS norm, coalesce(round(checksum, 4), 0.0) AS checksum
+FROM (SELECT doc_id FROM documents) d LEFT JOIN (SELECT doc_id, count(*) AS n, sqrt(sum(w * w)) AS norm, sum(w * (f + 1)) AS checksum FROM v GROUP BY doc_id) s
+USING (doc_id)""")
 def udf_embed(spark, sf):
-    """Default hashed TF-IDF embedding of every document's title+text
-    (no SQL twin: the hashing is MLlib's)."""
-    from pyspark.ml.functions import vector_to_array
-    d = A.read(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("doc"))
-    e = U.embed_default(d)
-    arr = vector_to_array("embedding_vector")
-    return e.select("doc_id", F.size(F.filter(arr, lambda x: x != 0)).alias("n_nonzero"),
-                    F.round(F.sqrt(F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x * x)), 6).alias("norm"))
+    """Default hashed TF-IDF embedding of every document's title and text."""
+    from ..functions.text import embedding_docs
+    d = A.doc_attributes(A.read(spark, sf, "documents"))
+    d = d.select("doc_id", F.get(embedding_docs("title_and_content_concat", F.col("title"), F.lit(None), F.col("text")), F.lit(0)).alias("doc"))
+    e = U.embed_default(d, "doc_id")
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+    return e.select("doc_id", F.size("indices").cast("long").alias("n_nonzero"),
+                    F.round(F.sqrt(total(F.transform("values", lambda x: x * x))), 6).alias("norm"),
+                    F.round(total(F.zip_with("indices", "values", lambda i, x: x * (i + 1))), 4).alias("checksum"))
 
 
 def _stored_bundles(spark, sf):
@@ -138,8 +147,7 @@ SELECT sourced_article_id AS article_id, title AS article_title, {ISO('dt_publis
        prefix || '/Short_summary.txt' AS short_summary_ref
 FROM (SELECT d.*, 'sourced_candidate_articles/' || topic_id || '/' || date_published || '/' || sourced_article_id AS prefix,
              (SELECT string_agg(article_id, ',' ORDER BY member_idx) FROM cluster_members m
-              WHERE m.topic_id = d.topic_id AND m.day = d.day AND m.cluster = d.cluster
-                AND m.published_dt IS NOT NULL) AS source_article_ids
+              WHERE m.topic_id = d.topic_id AND m.day = d.day AND m.cluster = d.cluster) AS source_article_ids
       FROM digest d) x""",
     "digest", "cluster_members"))
 def src_sourced_bundle(spark, sf):
