@@ -67,9 +67,10 @@ def hit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % n_docs).alias("doc_id"))
 
 
-def with_documents(spark: SparkSession, sf_dir: str, ev: DataFrame) -> DataFrame:
-    """Adds the attributes of each event's document."""
-    j = ev.join(doc_attributes(read(spark, sf_dir, "documents")), "doc_id")
+def with_documents(spark: SparkSession, sf_dir: str, ev: DataFrame, **more: Column) -> DataFrame:
+    """Adds the attributes of each event's document, and ``more`` computed
+    beside the scan from its columns."""
+    j = ev.join(doc_attributes(read(spark, sf_dir, "documents")).withColumns(more), "doc_id")
     return j.withColumns({
         "url": F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/a/"), F.col("doc_id").cast("string")),
         "provider_domain": F.concat(F.col("source"), F.lit(".example.com"))})

@@ -1,15 +1,16 @@
 """Landed vendor responses derived from the hits adapter.
 
 Every (run, page of 100 hits) becomes one JSON envelope in its vendor's
-format; every 4th page (page % 4 = 3) is an error envelope instead, and the
-url of every document with doc_id % 13 = 0 is missing (a required field).
-Pages come from an exact distributed rank (no whole run in one task);
-each envelope holds at most one page, a bounded group.
+format; beside every 4th page (page % 4 = 3) stands an error envelope, as left
+by a try before, and the url of every document with doc_id % 13 = 0 is missing
+(a required field). Pages come from an exact distributed rank on events alone;
+texts are cut to what a vendor sends beside the documents scan, and one grouped
+pass builds the envelopes of all vendors, each of one page, a bounded group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BING, NEWSAPI_ORG, PAGE_SIZE, THENEWSAPI_COM
@@ -19,73 +20,89 @@ from ..session import scratch_path
 from . import adapters as A
 from .q_functions import vendor_category
 
+# documented vendor forms: content is the article cut at 200 characters, a snippet its first 60
+CONTENT_CHARS, SNIPPET_CHARS = 200, 60
+
 
 def paged_hits(spark: SparkSession, sf: str) -> DataFrame:
-    h = A.raw_hits(spark, sf)
-    h = rank_within(h, ["topic_id", "aggregator_id"], "event_id", name="arrival_rank")
-    h = h.withColumn("page", F.floor((F.col("arrival_rank") - 1) / PAGE_SIZE).cast("long"))
-    h = h.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
-    return (h.withColumn("url_or_null", F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("url")))
-            .withColumn("date_or_null", F.when(F.col("raw_published") == "", F.lit(None).cast("string"))
-                        .otherwise(F.col("raw_published")))
-            .withColumn("vendor_category", vendor_category(F.col("doc_id"), F.col("aggregator_id"))))
-
-
-def _article(vendor: str):
-    if vendor == BING:
-        return F.struct(F.col("vendor_category").alias("category"), F.col("date_or_null").alias("datePublished"),
-                        F.col("description"), F.col("title").alias("name"),
-                        F.array(F.struct(F.col("source").alias("name"))).alias("provider"),
-                        F.col("url_or_null").alias("url"))
-    if vendor == NEWSAPI_ORG:
-        return F.struct(F.struct(F.lit(None).cast("string").alias("id"), F.col("source").alias("name")).alias("source"),
-                        F.col("title"), F.col("description"), F.col("url_or_null").alias("url"),
-                        F.col("date_or_null").alias("publishedAt"),
-                        # the vendor's own format: "content" is the article cut at 200 characters
-                        F.substring("text", 1, 200).alias("content"))
-    return F.struct(uuid_of(F.col("event_id")).alias("uuid"), F.col("title"), F.col("description"),
-                    F.lit("").alias("keywords"),
-                    F.substring("text", 1, 100).alias("snippet"),   # vendor snippet: a short lead
-                    F.col("url_or_null").alias("url"), F.lit("").alias("image_url"), F.col("lang").alias("language"),
-                    F.col("date_or_null").alias("published_at"), F.col("provider_domain").alias("source"),
-                    F.array(F.col("vendor_category")).alias("categories"))
-
-
-def _envelope(vendor: str):
-    arts = F.transform(F.array_sort(F.collect_list(F.struct("arrival_rank", _article(vendor).alias("a")))),
-                       lambda x: x["a"])
-    err = (F.col("page") % 4) == 3
-    n = F.count(F.lit(1))
-    if vendor == BING:
-        ok = F.struct(F.col("envelope_id"), F.lit("News").alias("_type"),
-                      F.struct(F.first("topic").alias("originalQuery"), F.lit(False).alias("adultIntent")).alias("queryContext"),
-                      n.alias("totalEstimatedMatches"), arts.alias("value"))
-        bad = F.struct(F.col("envelope_id"), F.lit("ErrorResponse").alias("_type"),
-                       F.array(F.struct(F.lit("RateLimitExceeded").alias("code"),
-                                        F.lit("rate limit exceeded").alias("message"))).alias("errors"))
-    elif vendor == NEWSAPI_ORG:
-        ok = F.struct(F.col("envelope_id"), F.lit("ok").alias("status"), n.alias("totalResults"), arts.alias("articles"))
-        bad = F.struct(F.col("envelope_id"), F.lit("error").alias("status"), F.lit("rateLimited").alias("code"),
-                       F.lit("rate limit exceeded").alias("message"), F.lit(0).alias("totalResults"))
-    else:
-        ok = F.struct(F.col("envelope_id"), F.struct(n.alias("found"), n.alias("returned"), F.lit(100).alias("limit"),
-                                                     (F.col("page") + 1).alias("page")).alias("meta"),
-                      arts.alias("data"))
-        bad = F.struct(F.col("envelope_id"), F.struct(F.lit("rate_limit_reached").alias("code"),
-                                                      F.lit("rate limit exceeded").alias("message")).alias("error"))
-    return F.when(err, F.to_json(bad)).otherwise(F.to_json(ok))
+    ev = A.with_raw_dates(A.hit_events(spark, sf))
+    ev = rank_within(ev, ["topic_id", "aggregator_id"], "event_id", name="arrival_rank")
+    ev = ev.withColumn("page", F.floor((F.col("arrival_rank") - 1) / PAGE_SIZE).cast("long"))
+    ev = ev.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
+    h = A.with_documents(spark, sf, ev, content=F.substring("text", 1, CONTENT_CHARS),
+                         snippet=F.substring("text", 1, SNIPPET_CHARS)).drop("text")
+    return h.withColumns({
+        "url_or_null": F.when(F.col("doc_id") % 13 != 0, F.col("url")),
+        "date_or_null": F.nullif(F.col("raw_published"), F.lit("")),
+        "vendor_category": vendor_category(F.col("doc_id"), F.col("aggregator_id")),
+        "topic": A.topic_name(F.col("topic_id"))})
+
+
+def _image(x: Column) -> Column:
+    return F.concat(x["url"], F.lit("/image"))
+
+
+def _bing(x: Column) -> Column:
+    with_image, with_video = x["doc_id"] % 3 == 0, x["doc_id"] % 5 == 0
+    return F.struct(
+        x["vendor_category"].alias("category"), x["date_or_null"].alias("datePublished"), x["description"],
+        (x["doc_id"] % 2 == 0).alias("headline"), x["doc_id"].cast("string").alias("id"),
+        F.when(with_image, F.struct(F.struct(_image(x).alias("contentUrl"), F.lit(90).alias("height"), F.lit(120).alias("width")).alias("thumbnail"))).alias("image"),
+        F.array(F.struct(x["source"].alias("name")), F.struct(x["lang"].alias("name"))).alias("mentions"),
+        x["title"].alias("name"),
+        F.array(F.struct(x["source"].alias("name")), F.struct(F.concat(F.lit("via "), x["lang"]).alias("name"))).alias("provider"),
+        x["url_or_null"].alias("url"),
+        F.when(with_video, F.struct(x["title"].alias("name"), _image(x).alias("thumbnailUrl"), x["url"].alias("motionThumbnailUrl"))).alias("video"))
+
+
+def _newsapi(x: Column) -> Column:
+    return F.struct(
+        F.struct(F.when(x["doc_id"] % 2 == 0, x["source"]).alias("id"), x["source"].alias("name")).alias("source"),
+        F.when(x["doc_id"] % 3 == 0, x["lang"]).alias("author"), x["title"], x["description"], x["url_or_null"].alias("url"),
+        F.when(x["doc_id"] % 3 == 0, _image(x)).alias("urlToImage"), x["date_or_null"].alias("publishedAt"), x["content"])
+
+
+def _thenewsapi(x: Column) -> Column:
+    return F.struct(
+        uuid_of(x["event_id"]).alias("uuid"), x["title"], x["description"], F.concat(x["lang"], F.lit(", news")).alias("keywords"),
+        x["snippet"], x["url_or_null"].alias("url"), _image(x).alias("image_url"), x["lang"].alias("language"),
+        x["date_or_null"].alias("published_at"), x["provider_domain"].alias("source"), F.array(x["vendor_category"]).alias("categories"),
+        F.when(x["doc_id"] % 2 == 0, (x["doc_id"] % 7) / 2).alias("relevance_score"), F.lit("us").alias("locale"))
+
+
+FIELDS = ("arrival_rank", "event_id", "doc_id", "title", "description", "content", "snippet", "url", "url_or_null", "date_or_null",
+          "source", "provider_domain", "lang", "vendor_category")
+
+
+def _envelopes() -> Column:
+    """The lines of one page, by its vendor: the response, and an error before every 4th."""
+    hits, n = F.col("_hits"), F.size("_hits")
+    page, vendor, id_ = F.col("page"), F.col("aggregator_id"), F.col("envelope_id")
+    limit = F.lit("rate limit exceeded").alias("message")
+    bing = (F.struct(id_, F.lit("News").alias("_type"),
+                     F.struct(F.col("topic").alias("originalQuery"), F.lit(False).alias("adultIntent")).alias("queryContext"),
+                     n.alias("totalEstimatedMatches"), F.transform(hits, _bing).alias("value")),
+            F.struct(id_, F.lit("ErrorResponse").alias("_type"),
+                     F.array(F.struct(F.lit("RateLimitExceeded").alias("code"), limit)).alias("errors")))
+    newsapi = (F.struct(id_, F.lit("ok").alias("status"), n.alias("totalResults"), F.transform(hits, _newsapi).alias("articles")),
+               F.struct(id_, F.lit("error").alias("status"), F.lit("rateLimited").alias("code"), limit, F.lit(0).alias("totalResults")))
+    thenewsapi = (F.struct(id_, F.struct(n.alias("found"), n.alias("returned"), F.lit(PAGE_SIZE).alias("limit"), (page + 1).alias("page")).alias("meta"),
+                           F.transform(hits, _thenewsapi).alias("data")),
+                  F.struct(id_, F.struct(F.lit("rate_limit_reached").alias("code"), limit).alias("error")))
+    out = None
+    for name, (ok, bad) in ((BING, bing), (NEWSAPI_ORG, newsapi), (THENEWSAPI_COM, thenewsapi)):
+        lines = F.array_compact(F.array(F.when(page % 4 == 3, F.to_json(bad)), F.to_json(ok)))
+        out = F.when(vendor == name, lines) if out is None else out.when(vendor == name, lines)
+    return out
 
 
 def land(spark: SparkSession, sf: str) -> str:
     """Write the envelopes as JSON lines under <scratch>/vendor=<id>/."""
     path = scratch_path(spark, "landed")
-    h = paged_hits(spark, sf).withColumn("topic", A.topic_name(F.col("topic_id")))
-    out = None
-    for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):
-        e = (h.filter(F.col("aggregator_id") == vendor).groupBy("envelope_id", "page")
-             .agg(_envelope(vendor).alias("value")).select(F.lit(vendor).alias("vendor"), "value"))
-        out = e if out is None else out.unionByName(e)
-    out.write.mode("overwrite").partitionBy("vendor").text(path)
+    pages = paged_hits(spark, sf).groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
+        F.array_sort(F.collect_list(F.struct(*FIELDS))).alias("_hits"))
+    lines = pages.select(F.col("aggregator_id").alias("vendor"), F.explode(_envelopes()).alias("value"))
+    lines.write.mode("overwrite").partitionBy("vendor").text(path)
     return path
 
 

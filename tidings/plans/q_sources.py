@@ -18,7 +18,8 @@ register("paged_raw", ("raw_hits",), f"""
 SELECT *, topic_id || '/' || aggregator_id || '/' || CAST(page AS VARCHAR) AS envelope_id,
        CASE WHEN strpos(text, chr(10)) > 0 THEN split_part(text, chr(10), 2) ELSE '' END AS description,
        CASE WHEN doc_id % 13 = 0 THEN NULL ELSE url END AS url_or_null,
-       NULLIF(raw_published, '') AS date_or_null, {VENDOR_CAT_SQL} AS vendor_category
+       NULLIF(raw_published, '') AS date_or_null, {VENDOR_CAT_SQL} AS vendor_category, url || '/image' AS image,
+       count(*) OVER (PARTITION BY topic_id, aggregator_id, page) AS total_results
 FROM (SELECT *, (rn - 1) // 100 AS page, (rn - 1) % 100 AS pos FROM (
         SELECT *, row_number() OVER (PARTITION BY topic_id, aggregator_id ORDER BY event_id) AS rn FROM raw_hits) a) b""")
 
@@ -31,42 +32,52 @@ def _flat(spark, sf, vendor):
 
 def _data_sql(vendor: str, cols: str) -> str:
     return with_views(f"SELECT envelope_id, CAST(pos AS INTEGER) AS pos, {cols} FROM paged_raw "
-                      f"WHERE aggregator_id = '{vendor}' AND page % 4 <> 3", "paged_raw")
+                      f"WHERE aggregator_id = '{vendor}'", "paged_raw")
 
 
 MISSING = "CASE WHEN url_or_null IS NULL THEN 'url' ELSE '' END AS missing_fields"
 
 
 @query("src_bing_flatten", _data_sql(BING, f"""title, url_or_null AS url, description, date_or_null AS date_published,
-    vendor_category AS category, source AS provider_name, {MISSING}"""))
+    vendor_category AS category, source AS provider_name, source || '|via ' || lang AS providers, source || '|' || lang AS mentions,
+    doc_id % 2 = 0 AS headline, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 3 = 0 THEN image END AS thumbnail_url,
+    CASE WHEN doc_id % 3 = 0 THEN 90::BIGINT END AS thumbnail_height, CASE WHEN doc_id % 3 = 0 THEN 120::BIGINT END AS thumbnail_width,
+    CASE WHEN doc_id % 5 = 0 THEN title END AS video_name, CASE WHEN doc_id % 5 = 0 THEN image END AS video_thumbnail_url,
+    CASE WHEN doc_id % 5 = 0 THEN url END AS video_motion_thumbnail_url, total_results, {MISSING}"""))
 def src_bing_flatten(spark, sf):
     """Landed Bing envelopes -> one row per article (snake_case)."""
     f = _flat(spark, sf, BING)
     return f.select("envelope_id", "pos", "title", "url", "description", "date_published", "category", "provider_name",
-                    "missing_fields")
+                    F.array_join("providers", "|").alias("providers"), F.array_join("mentions", "|").alias("mentions"), "headline", "id",
+                    "thumbnail_url", "thumbnail_height", "thumbnail_width", "video_name", "video_thumbnail_url",
+                    "video_motion_thumbnail_url", "total_results", "missing_fields")
 
 
 @query("src_newsapi_flatten", _data_sql(NEWSAPI_ORG, f"""title, url_or_null AS url, description,
-    date_or_null AS published_at, source AS source_name, '' AS author, substr(text, 1, 200) AS content,
+    date_or_null AS published_at, CASE WHEN doc_id % 2 = 0 THEN source END AS source_id, source AS source_name,
+    CASE WHEN doc_id % 3 = 0 THEN lang ELSE '' END AS author, substr(text, 1, 200) AS content,
+    CASE WHEN doc_id % 3 = 0 THEN image END AS url_to_image, total_results,
     CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,publishedAt' WHEN url_or_null IS NULL THEN 'url'
          WHEN date_or_null IS NULL THEN 'publishedAt' ELSE '' END AS missing_fields"""))
 def src_newsapi_flatten(spark, sf):
     """Landed NewsAPI.org envelopes -> one row per article."""
     f = _flat(spark, sf, NEWSAPI_ORG)
-    return f.select("envelope_id", "pos", "title", "url", "description", "published_at", "source_name", "author",
-                    "content", "missing_fields")
+    return f.select("envelope_id", "pos", "title", "url", "description", "published_at", "source_id", "source_name", "author",
+                    "content", "url_to_image", "total_results", "missing_fields")
 
 
 @query("src_thenewsapi_flatten", _data_sql(THENEWSAPI_COM, f"""title, url_or_null AS url, description,
     date_or_null AS published_at, provider_domain AS source, vendor_category AS categories,
-    {UUID_SQL('event_id')} AS uuid, substr(text, 1, 100) AS snippet,
+    {UUID_SQL('event_id')} AS uuid, substr(text, 1, 60) AS snippet, lang || ', news' AS keywords, image AS image_url, lang AS language,
+    CASE WHEN doc_id % 2 = 0 THEN (doc_id % 7) / CAST(2 AS DOUBLE) END AS relevance_score, 'us' AS locale, total_results,
     CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,published_at' WHEN url_or_null IS NULL THEN 'url'
          WHEN date_or_null IS NULL THEN 'published_at' ELSE '' END AS missing_fields"""))
 def src_thenewsapi_flatten(spark, sf):
     """S3: landed TheNewsAPI envelopes -> one row per article."""
     f = _flat(spark, sf, THENEWSAPI_COM)
     return f.select("envelope_id", "pos", "title", "url", "description", "published_at", "source",
-                    F.array_join("categories", ",").alias("categories"), "uuid", "snippet", "missing_fields")
+                    F.array_join("categories", ",").alias("categories"), "uuid", "snippet", "keywords", "image_url", "language",
+                    "relevance_score", "locale", "total_results", "missing_fields")
 
 
 @query("src_error_split", with_views("""
@@ -91,8 +102,7 @@ SELECT aggregator_id AS vendor, envelope_id, CAST(pos AS INTEGER) AS pos,
                                                     WHEN url_or_null IS NULL THEN 'url' ELSE 'publishedAt' END
        ELSE CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,published_at'
                  WHEN url_or_null IS NULL THEN 'url' ELSE 'published_at' END END AS missing_fields
-FROM paged_raw WHERE page % 4 <> 3
-  AND (url_or_null IS NULL OR (aggregator_id <> 'bingnews' AND date_or_null IS NULL))""", "paged_raw"))
+FROM paged_raw WHERE (url_or_null IS NULL OR (aggregator_id <> 'bingnews' AND date_or_null IS NULL))""", "paged_raw"))
 def src_required_fields(spark, sf):
     """Articles missing a required field are rejected with the field names."""
     path = land(spark, sf)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import BING, NEWSAPI_ORG, THENEWSAPI_COM
+from ..functions.categories import category_map, category_multi
+from ..functions.text import provider_domain
 
 S, B, L, D = T.StringType(), T.BooleanType(), T.LongType(), T.DoubleType()
 
@@ -84,8 +86,9 @@ def split_errors(env: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _articles(env: DataFrame, vendor: str) -> DataFrame:
-    arr = {BING: "value", NEWSAPI_ORG: "articles", THENEWSAPI_COM: "data"}[vendor]
-    return env.select("envelope_id", F.posexplode(arr).alias("pos", "a"))
+    arr, total = {BING: ("value", "totalEstimatedMatches"), NEWSAPI_ORG: ("articles", "totalResults"),
+                  THENEWSAPI_COM: ("data", "meta.found")}[vendor]
+    return env.select("envelope_id", F.col(total).alias("total_results"), F.posexplode(arr).alias("pos", "a"))
 
 
 def missing_fields(vendor: str) -> Column:
@@ -97,28 +100,56 @@ def missing_fields(vendor: str) -> Column:
 def flatten(env: DataFrame, vendor: str) -> DataFrame:
     """One row per article with snake_case columns (+ envelope, pos)."""
     a = _articles(env, vendor)
+    names = lambda x: F.transform(x, lambda p: p["name"])
     if vendor == BING:
         cols = [F.col("a.name").alias("title"), F.col("a.url").alias("url"),
                 F.col("a.description").alias("description"), F.col("a.datePublished").alias("date_published"),
                 F.coalesce(F.col("a.category"), F.lit("")).alias("category"),
                 F.try_element_at(F.col("a.provider"), F.lit(1))["name"].alias("provider_name"),
+                names(F.col("a.provider")).alias("providers"), names(F.col("a.mentions")).alias("mentions"),
+                F.col("a.headline").alias("headline"), F.col("a.id").alias("id"),
                 F.col("a.image.thumbnail.contentUrl").alias("thumbnail_url"),
+                F.col("a.image.thumbnail.height").alias("thumbnail_height"), F.col("a.image.thumbnail.width").alias("thumbnail_width"),
+                F.col("a.video.name").alias("video_name"), F.col("a.video.thumbnailUrl").alias("video_thumbnail_url"),
+                F.col("a.video.motionThumbnailUrl").alias("video_motion_thumbnail_url"),
                 F.col("a.clusteredArticles").alias("clustered_articles")]
     elif vendor == NEWSAPI_ORG:
         cols = [F.col("a.title").alias("title"), F.col("a.url").alias("url"),
                 F.col("a.description").alias("description"), F.col("a.publishedAt").alias("published_at"),
-                F.col("a.source.name").alias("source_name"), F.coalesce(F.col("a.author"), F.lit("")).alias("author"),
+                F.col("a.source.id").alias("source_id"), F.col("a.source.name").alias("source_name"),
+                F.coalesce(F.col("a.author"), F.lit("")).alias("author"),
                 F.col("a.content").alias("content"), F.col("a.urlToImage").alias("url_to_image")]
     else:
         cols = [F.col("a.title").alias("title"), F.col("a.url").alias("url"),
                 F.col("a.description").alias("description"), F.col("a.published_at").alias("published_at"),
                 F.col("a.source").alias("source"), F.col("a.categories").alias("categories"),
-                F.col("a.uuid").alias("uuid"), F.col("a.snippet").alias("snippet"),
+                F.col("a.uuid").alias("uuid"), F.col("a.snippet").alias("snippet"), F.col("a.keywords").alias("keywords"),
+                F.col("a.image_url").alias("image_url"), F.col("a.language").alias("language"),
                 F.col("a.relevance_score").alias("relevance_score"), F.col("a.locale").alias("locale")]
-    return a.select("envelope_id", "pos", *cols, missing_fields(vendor).alias("missing_fields"))
+    return a.select("envelope_id", "pos", "total_results", *cols, F.to_json("a").alias("article_data"),
+                    missing_fields(vendor).alias("missing_fields"))
 
 
 def valid_articles(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their missing fields)."""
     bad = F.length("missing_fields") > 0
     return flat.filter(~bad), flat.filter(bad)
+
+
+def raw_articles(flat: DataFrame, vendor: str) -> DataFrame:
+    """Valid flattened rows of any vendor as raw articles: title, url,
+    description, snippet, author, category (mapped), raw_published,
+    provider_domain and the original record as JSON."""
+    none = F.lit(None).cast("string")
+    aggregator = F.lit(vendor)
+    if vendor == BING:
+        author, snippet, published, category = none, none, F.col("date_published"), category_map(F.col("category"), aggregator)
+    elif vendor == NEWSAPI_ORG:
+        author, snippet, published, category = F.col("author"), F.col("content"), F.col("published_at"), none
+    else:
+        author, snippet, published = none, F.col("snippet"), F.col("published_at")
+        category = category_multi(F.col("categories"), aggregator)
+    return flat.select(
+        "envelope_id", "pos", aggregator.alias("aggregator_id"), "title", "url", provider_domain(F.col("url")).alias("provider_domain"),
+        F.col("description").alias("article_text_description"), snippet.alias("article_text_snippet"), author.alias("author"),
+        category.alias("category"), F.coalesce(published, F.lit("")).alias("raw_published"), "article_data")
