@@ -38,7 +38,7 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from . import (q_collect, q_functions, q_sources, q_schedule, q_sourcing,  # noqa: F401
-                   q_publish, q_cluster, q_stream, q_udfs)
+                   q_publish, q_cluster, q_stream, q_udfs, q_pipelines)
 
 
 def ISO(expr: str) -> str:

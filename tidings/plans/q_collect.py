@@ -33,41 +33,46 @@ STD_SQL = """CASE
     THEN TRY_CAST(replace(substr(raw_published, 1, 26), 'T', ' ') AS TIMESTAMP)
 END"""
 
-register("c_paged", ("raw_hits", "runs"), """
+def register_collect(p: str, hits: str) -> None:
+    """The collect stage as views ``p``_paged .. ``p``_w4 over a hits view."""
+    register(f"{p}_paged", (hits, "runs"), f"""
 SELECT q.*, (arrival_rank - 1) // 100 AS page FROM (
   SELECT h.event_id, h.doc_id, h.topic_id, h.aggregator_id, h.url, h.provider_domain, h.title, h.text AS body,
          CASE WHEN strpos(h.text, chr(10)) > 0 THEN split_part(h.text, chr(10), 2) ELSE '' END AS description,
          h.raw_published, r.topic, r.start_dt, r.end_dt, r.max_results,
          row_number() OVER (PARTITION BY h.topic_id, h.aggregator_id ORDER BY h.event_id) AS arrival_rank
-  FROM raw_hits h JOIN runs r ON h.topic_id = r.topic_id AND h.aggregator_id = r.aggregator_id) q""")
-register("c_marked", ("c_paged",), """
+  FROM {hits} h JOIN runs r ON h.topic_id = r.topic_id AND h.aggregator_id = r.aggregator_id) q""")
+    register(f"{p}_marked", (f"{p}_paged",), f"""
 SELECT *, dated AND row_number() OVER (PARTITION BY topic_id, aggregator_id, url, dated ORDER BY arrival_rank) = 1 AS is_new
-FROM (SELECT *, raw_published IS NOT NULL AND raw_published <> '' AS dated FROM c_paged) x""")
-register("c_w2", ("c_marked",), """
+FROM (SELECT *, raw_published IS NOT NULL AND raw_published <> '' AS dated FROM {p}_paged) x""")
+    register(f"{p}_w2", (f"{p}_marked",), f"""
 SELECT *, min(CASE WHEN new_in_page = 0 THEN page END) OVER (PARTITION BY topic_id, aggregator_id) AS stop_page
-FROM (SELECT *, sum(CAST(is_new AS INTEGER)) OVER (PARTITION BY topic_id, aggregator_id, page) AS new_in_page FROM c_marked) x""")
-register("c_w3", ("c_w2",), """
+FROM (SELECT *, sum(CAST(is_new AS INTEGER)) OVER (PARTITION BY topic_id, aggregator_id, page) AS new_in_page FROM {p}_marked) x""")
+    register(f"{p}_w3", (f"{p}_w2",), f"""
 SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY topic_id, aggregator_id ORDER BY arrival_rank) AS candidate_rank
-  FROM c_w2 WHERE is_new AND (stop_page IS NULL OR page < stop_page)) x
+  FROM {p}_w2 WHERE is_new AND (stop_page IS NULL OR page < stop_page)) x
 WHERE candidate_rank <= max_results * 2""")
-register("c_f2", ("c_w3",), f"""
-SELECT * FROM (SELECT *, {STD_SQL} AS published_dt FROM c_w3) x
+    register(f"{p}_f2", (f"{p}_w3",), f"""
+SELECT * FROM (SELECT *, {STD_SQL} AS published_dt FROM {p}_w3) x
 WHERE published_dt BETWEEN start_dt AND end_dt""")
-register("c_f3", ("c_f2",), "SELECT * FROM c_f2 WHERE body IS NOT NULL AND length(body) > 0")
-register("c_f4", ("c_f3",), """
-SELECT * FROM c_f3 WHERE aggregator_id NOT IN ('newsapi.org', 'thenewsapi.com')
+    register(f"{p}_f3", (f"{p}_f2",),  f"SELECT * FROM {p}_f2 WHERE body IS NOT NULL AND length(body) > 0")
+    register(f"{p}_f4", (f"{p}_f3",), f"""
+SELECT * FROM {p}_f3 WHERE aggregator_id NOT IN ('newsapi.org', 'thenewsapi.com')
    OR (description IS NOT NULL AND length(description) > 0)""")
-register("c_j2", ("c_f4", "trusted"), """
-SELECT * FROM c_f4 c WHERE c.aggregator_id NOT IN ('newsapi.org', 'thenewsapi.com')
+    register(f"{p}_j2", (f"{p}_f4", "trusted"), f"""
+SELECT * FROM {p}_f4 c WHERE c.aggregator_id NOT IN ('newsapi.org', 'thenewsapi.com')
    OR c.provider_domain IN (SELECT provider_domain FROM trusted WHERE language = 'en' AND is_active)""")
-register("c_w4", ("c_j2",), f"""
+    register(f"{p}_w4", (f"{p}_j2",), f"""
 SELECT *, {PAD6('aggregation_index')} || '#' || {UUID_SQL('topic_id', 'aggregator_id', 'start_dt', 'url')} AS article_id
 FROM (SELECT *, row_number() OVER (PARTITION BY topic_id, aggregator_id ORDER BY arrival_rank) - 1 AS aggregation_index
-      FROM c_j2) x
+      FROM {p}_j2) x
 WHERE aggregation_index < max_results""")
 
 
+register_collect("c", "raw_hits")
+
+
 def rows_sql(view: str, extra: str = "") -> str:
     return with_views(f"SELECT topic_id, aggregator_id, event_id, url{extra} FROM {view}", view)
 

@@ -32,7 +32,12 @@ FROM (SELECT *, CASE WHEN starts_with(t0, '"') AND ends_with(t0, '"') THEN CASE
 
 def digest(spark, sf):
     """Per (topic, day, cluster): ordered members, default summaries and ids."""
-    m = with_texts(spark, sf, cluster_members(spark, sf))
+    return assemble(with_texts(spark, sf, cluster_members(spark, sf)))
+
+
+def assemble(m):
+    """Members of clusters -> sourced articles with summaries and ids. A
+    cluster is part of one topic-day's inventory, which the run caps bound."""
     s = F.struct("member_idx", "category", "article_id", "url", "provider_domain", "title", "text")
     g = m.groupBy("topic_id", "day", "cluster").agg(F.min("published_dt").alias("dt_published"),
                                              F.array_sort(F.collect_list(s)).alias("_m"))
