@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 WHITE = " \t\n\x0b\f\r"          # \x20 and \x09-\x0D
 WHITE_RUN = "[ \\x09-\\x0D]+"    # the same as a Java regular expression
@@ -28,14 +26,9 @@ def bucket_of(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the cluster names (spark.checkpoint.dir)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read again: lineage
     ends here, and what is read more than once is computed once."""
-    path = scratch(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

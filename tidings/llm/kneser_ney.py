@@ -40,7 +40,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from ..session import scratch_path
+from .common import written
 from .hashing import word_hashes
 
 BATCH_CHARS = 8_000_000
@@ -364,7 +365,7 @@ SENT = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("before", pa.bi
 
 def train(docs: DataFrame) -> Model:
     """Counts the texts of docs (doc_id, text) into a model in the shared folder."""
-    model = Model(scratch(docs.sparkSession, "lm"))
+    model = Model(scratch_path(docs.sparkSession, "lm"))
     rows = docs.selectExpr("cast(doc_id AS long) doc_id", "text")
     frequent = _count_words(rows, model)
     if model.tokens:
