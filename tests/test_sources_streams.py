@@ -117,6 +117,17 @@ def test_stream_high_watermark_equals_batch(spark):
     assert m.last_end == df.agg(F.max("published_dt")).first()[0]
 
 
+def test_stream_state_keeps_two_batches_and_survives_a_replay(spark):
+    path = scratch_path(spark, "state")
+    write = ST.state_writer(path, ["k"])
+    batches = [[("a", 1)], [("b", 1)], [("a", 2), ("c", 1)], [("b", 5)]]
+    for n, rows in enumerate(batches):
+        for _ in range(2):      # the second write is a replay
+            write(spark.createDataFrame(rows, "k string, v long"), n)
+    assert ST._states(spark, path) == [2, 3]
+    assert {tuple(r) for r in ST.last_state(spark, path).collect()} == {("a", 2), ("b", 5), ("c", 1)}
+
+
 def test_stream_daily_windows_only_closed(spark):
     df, path = _hits_files(spark)
     w = ST.daily_window_stream(spark, path, df.schema, max_files_per_trigger=1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.dates import iso_utc, std_published
 from ..functions.text import html_body, provider_domain
 from ..operators import collect as C
@@ -24,14 +25,11 @@ def collect_until(spark: SparkSession, sf: str, until: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ oracle
-STD_SQL = """CASE
-  WHEN aggregator_id = 'bingnews' AND regexp_matches(raw_published, '^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}.[0-9]{7}Z)$')
-    THEN TRY_CAST(replace(substr(raw_published, 1, 26), 'T', ' ') AS TIMESTAMP)
-  WHEN aggregator_id = 'newsapi.org' AND regexp_matches(raw_published, '^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z)$')
-    THEN TRY_CAST(replace(substr(raw_published, 1, 19), 'T', ' ') AS TIMESTAMP)
-  WHEN aggregator_id = 'thenewsapi.com' AND regexp_matches(raw_published, '^([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}.[0-9]{6}Z)$')
-    THEN TRY_CAST(replace(substr(raw_published, 1, 26), 'T', ' ') AS TIMESTAMP)
-END"""
+_DIGITS = {K.BING: 26, K.NEWSAPI_ORG: 19, K.THENEWSAPI_COM: 26}     # characters of the date that DuckDB reads
+STD_SQL = "CASE " + " ".join(
+    f"WHEN aggregator_id = '{a}' AND regexp_matches(raw_published, '{K.PUBLISHED_DATE_REGEX[a]}') "
+    f"THEN TRY_CAST(replace(substr(raw_published, 1, {n}), 'T', ' ') AS TIMESTAMP)" for a, n in _DIGITS.items()) + " END"
+
 
 def register_collect(p: str, hits: str) -> None:
     """The collect stage as views ``p``_paged .. ``p``_w4 over a hits view."""

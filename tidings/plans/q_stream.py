@@ -43,13 +43,14 @@ def st_requests(spark, sf):
                                          "sorting")).alias("value"))
     path = scratch_path(spark, "requests-in")
     msgs.write.mode("overwrite").text(path)
-    topics, aggs, trusted = A.topics(spark, sf), A.aggregators(spark, sf), A.trusted(spark, sf)
+    # dimensions are kept between micro-batches
+    topics, aggs, trusted = A.topics(spark, sf).persist(), A.aggregators(spark, sf).persist(), A.trusted(spark, sf).persist()
     out = ST.requests_stream(spark, path, lambda b: P.validate_requests(b, topics, aggs, trusted))
     return out.select("topic_id", "aggregator_id", "reject_reason")
 
 
 @query("st_url_dedup", with_views(
-    "SELECT DISTINCT topic_id, aggregator_id, url FROM raw_hits WHERE raw_published IS NOT NULL AND trim(raw_published) <> ''",
+    "SELECT DISTINCT topic_id, aggregator_id, url FROM raw_hits WHERE raw_published IS NOT NULL AND raw_published <> ''",
     "raw_hits"))
 def st_url_dedup(spark, sf):
     """(run, url) keys kept by streaming dedup within the watermark."""

@@ -32,6 +32,44 @@ def batch_writer(path: str, transform: Callable[[DataFrame, int], DataFrame] | N
     return write
 
 
+def state_writer(path: str, keys: list[str]):
+    """foreachBatch sink of an update-mode aggregate: batch n writes the whole
+    state, the rows of batch n - 1 whose keys it does not change and its own,
+    to <path>/state=n and drops n - 2. Two states are kept however long the
+    stream lives, a replayed batch writes the same, and a reader takes the last."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _states(spark, path)
+        out = batch
+        if batch_id - 1 in before:
+            old = spark.read.parquet(f"{path}/state={batch_id - 1}")
+            out = old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        out.write.mode("overwrite").parquet(f"{path}/state={batch_id}")
+        for n in before:
+            if n < batch_id - 1:
+                _fs(spark, path).delete(_path(spark, f"{path}/state={n}"), True)
+
+    return write
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _states(spark: SparkSession, path: str) -> list[int]:
+    found = _fs(spark, path).globStatus(_path(spark, f"{path}/state=*"))
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in found or [])
+
+
+def last_state(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/state={_states(spark, path)[-1]}")
+
+
 def file_stream(spark: SparkSession, fmt: str, path: str, schema: T.StructType,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """File-stream source with an explicit schema; optionally rate-limited
@@ -77,7 +115,7 @@ def url_dedup_stream(spark: SparkSession, path: str, schema: T.StructType, delay
     """
     out = out or scratch_path(spark, "dedup-out")
     src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
-    src = src.filter(F.col("raw_published").isNotNull() & (F.trim("raw_published") != ""))
+    src = src.filter(F.col("raw_published").isNotNull() & (F.col("raw_published") != ""))
     d = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
          .withWatermark("published_dt", delay)
          .dropDuplicatesWithinWatermark(["topic_id", "aggregator_id", "url"]))
@@ -85,13 +123,6 @@ def url_dedup_stream(spark: SparkSession, path: str, schema: T.StructType, delay
     return spark.read.parquet(out).drop("batch_id")
 
 
-def latest_per_key(stored: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Final state of an update-mode sink: the last batch's row per key."""
-    s = F.struct("batch_id", *values)
-    g = stored.groupBy(*keys).agg(F.max(s).alias("_s"))
-    return g.select(*keys, *[F.col(f"_s.{v}").alias(v) for v in values])
-
-
 def high_watermark_stream(spark: SparkSession, path: str, schema: T.StructType,
                           out: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Running max(published_dt) per (topic, aggregator), update mode."""
@@ -99,8 +130,8 @@ def high_watermark_stream(spark: SparkSession, path: str, schema: T.StructType,
     src = file_stream(spark, "parquet", path, schema, max_files_per_trigger)
     agg = (src.withColumn("published_dt", F.col("published_dt").cast("timestamp"))
            .groupBy("topic_id", "aggregator_id").agg(F.max("published_dt").alias("last_end")))
-    run_available_now(agg, batch_writer(out), f"{out}/_checkpoint", mode="update")
-    return latest_per_key(spark.read.parquet(out), ["topic_id", "aggregator_id"], ["last_end"])
+    run_available_now(agg, state_writer(out, ["topic_id", "aggregator_id"]), f"{out}/_checkpoint", mode="update")
+    return last_state(spark, out)
 
 
 def daily_window_stream(spark: SparkSession, path: str, schema: T.StructType, delay: str = "1 hour",
@@ -130,5 +161,5 @@ def late_rows_stream(spark: SparkSession, path: str, schema: T.StructType, windo
     late = ~F.col("published_dt").between(F.col("start_dt"), F.col("end_dt"))
     agg = j.groupBy("topic_id", "aggregator_id").agg(F.count_if(~late).alias("n_in_window"),
                                                      F.count_if(late).alias("n_late"))
-    run_available_now(agg, batch_writer(out), f"{out}/_checkpoint", mode="update")
-    return latest_per_key(spark.read.parquet(out), ["topic_id", "aggregator_id"], ["n_in_window", "n_late"])
+    run_available_now(agg, state_writer(out, ["topic_id", "aggregator_id"]), f"{out}/_checkpoint", mode="update")
+    return last_state(spark, out)
