@@ -129,7 +129,7 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), b
     sources = written(targets(sources.withColumn("weight", weight)), "mix-targets")
     total = sources.agg(F.sum("source_size")).first()[0] or 0
     block = max(1, -(-total // blocks))
-    sources = sources.withColumns({"_corpus": F.lit(0), "_seats": F.lit(total // block)})
+    sources = written(sources.withColumns({"_corpus": F.lit(0), "_seats": F.lit(total // block)}), "mix-seats")
     sources = apportion(sources, ["_corpus"], "target", "_seats", ["_source"])
     sources = written(sources.withColumn("_shards", F.ceil(F.col("_docs") / shard_docs)), "mix-quotas")
 
@@ -165,15 +165,14 @@ def first_words(texts: pd.Series, n: pd.Series) -> pd.Series:
 def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The documents of the mix, with the columns of docs: each whole copy a
     row, and the taken part of one more copy a row that ends after that word.
-    A row without a taken word goes. Rows with one doc_id count as one
-    document whose first row (by text) stands for it."""
-    plan = mix(docs, seed).select("doc_id", "size", "taken").filter("taken > 0").dropDuplicates(["doc_id"])
-    names = docs.columns
-    d = docs.dropDuplicates(["doc_id"]).select([F.struct("*").alias("row"), F.col("doc_id").alias("_id")])
-    j = d.join(plan, d["_id"].eqNullSafe(plan["doc_id"]))
-    whole, part = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
-    lead = first_words("row.text", part)
-    texts = F.concat(F.array_repeat(F.col("row.text"), whole),
-                     F.when(part > 0, F.array(lead)).otherwise(F.array().cast("array<string>")))
-    out = j.select("row", F.explode(texts).alias("_text"))
-    return out.select([F.col("_text").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in names])
+    A row without a taken word goes. Equal rows (doc_id and text) give the
+    copies of all of them, with the other columns of one."""
+    row = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    plan = mix(row.select(F.col("_row").alias("doc_id"), "text", "source"), seed).filter("taken > 0")
+    plan = plan.groupBy(F.col("doc_id").alias("_row")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+    j = row.dropDuplicates(["_row"]).join(plan, "_row")
+    whole, part = F.floor(F.col("_taken") / F.col("_size")).cast("int"), F.col("_taken") % F.col("_size")
+    texts = F.concat(F.array_repeat("text", whole),
+                     F.when(part > 0, F.array(first_words("text", part))).otherwise(F.array().cast("array<string>")))
+    out = j.select(*[c for c in docs.columns if c != "text"], F.explode(texts).alias("text"))
+    return out.select(*docs.columns)
