@@ -3,8 +3,9 @@
 Each step points every node's neighbours at the least node it knows (large
 star), then every node at its least neighbour (small star), until the table no
 longer changes. A node's links are never gathered: each step is a grouped
-minimum joined back, so a hot node is summed on the map side and its rows are
-split by the skew join. Every round is written to the shared folder.
+minimum joined back, so a hot node is summed on the map side. The minima are
+written first: a join of two plain shuffles is one whose hot partitions Spark
+splits. Every round is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ def components(links: DataFrame) -> DataFrame:
     mark = _mark(now)
     while mark[0]:
         both = now.selectExpr("hi AS u", "lo AS v").union(now.selectExpr("lo AS u", "hi AS v"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        wide = both.join(least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo").distinct()
-        least = wide.groupBy("hi").agg(F.min("lo").alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        wide = written(both.join(least, "u").filter("v > u").selectExpr("v AS hi", "m AS lo").distinct(), "wide")
+        least = written(wide.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         near = wide.join(least, "hi").filter("lo <> m").selectExpr("lo AS hi", "m AS lo")
         now = written(near.union(least.selectExpr("hi", "m AS lo")).distinct(), "links")
         before, mark = mark, _mark(now)

@@ -207,15 +207,17 @@ def linked(sets: list[np.ndarray], sizes: Sizes) -> np.ndarray:
     return label
 
 
-def links(docs: DataFrame, sketch: DataFrame, sizes: Sizes, chunk: int = CHUNK) -> DataFrame:
+def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, chunk: int = CHUNK) -> DataFrame:
     """(a, b): links between documents of different sets, one for each set at
-    most in each task, that join the same documents as all links do."""
-    firsts = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
-    firsts = firsts.filter(F.col("n_shingles") >= sizes.least).select("doc_id", "f1", "f2")
+    most in each task, that join the same documents as all links do. ``firsts``
+    (f1, f2, n_shingles, first) names the least document of each set."""
+    firsts = firsts.filter(F.col("n_shingles") >= sizes.least).select(F.col("first").alias("doc_id"), "f1", "f2")
     keys = sketch.join(firsts, ["doc_id", "f1", "f2"], "left_semi").select("doc_id", F.explode("keys").alias("key"))
     keys = written(keys, "jaccard-keys")
+    # written, so that the join below is one whose hot keys Spark can split
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_max")).filter("b < _max")
-    edges = keys.join(shared.select("key", "b"), "key").select(F.col("doc_id").alias("a"), "b").distinct()
+    shared = written(shared.select("key", "b"), "jaccard-shared")
+    edges = keys.join(shared, "key").select(F.col("doc_id").alias("a"), "b").distinct()
     bundles = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("bundle"))
 
     size = sketch.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
@@ -268,10 +270,11 @@ def join_classes(docs: DataFrame, sizes: Sizes | None = None, chunk: int = CHUNK
     sizes = sizes or Sizes()
     sketch = written(sketches(docs, sizes), "jaccard-sketch")
     first = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
+    first = written(first, "jaccard-first")
     rows = sketch.select("doc_id", "n_shingles", "f1", "f2")
     rows = written(rows.join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", "first"), "jaccard-rows")
     copies = rows.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    whole = components(links(docs, sketch, sizes, chunk).union(copies))
+    whole = components(links(docs, sketch, first, sizes, chunk).union(copies))
     return rows.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
