@@ -15,8 +15,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidings.llm import chat, decontaminate, jaccard, kneser_ney, linededup, mixing, packing, rules, secrets
+from tidings.llm.files import load, save
 from tidings.llm.hashing import word_hashes
 from tidings.llm.queries import QUERIES
+from tidings.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = packing.TOKENIZER
@@ -187,6 +189,33 @@ def test_packing_round_trip(spark, texts):
         assert np.flatnonzero(places == 0).tolist() == [c for c in r.cu_seqlens if c < packing.SEQ_LEN]
 
 
+def test_matrices_on_disk(spark):
+    path = scratch_path(spark, "matrices")
+    packed = QUERIES["op5_token_packing"](spark, SF)
+    files = packing.write_matrices(packed, path, rows=7).collect()
+    want = sorted((r.ids, r.positions, tuple(r.cu_seqlens)) for r in packed.collect())
+    got = []
+    for f in files:
+        ids, places = (load(path, f"{f.name}.{x}", "<u2").reshape(f.n_rows, packing.SEQ_LEN) for x in ("ids", "positions"))
+        cu, segments = load(path, f"{f.name}.cu", "<i4"), load(path, f"{f.name}.segments", "<i8")
+        cuts = np.split(cu, np.cumsum(segments + 1)[:-1])
+        got += [(a.tobytes(), b.tobytes(), tuple(c.tolist())) for a, b, c in zip(ids, places, cuts, strict=True)]
+    assert sorted(got) == want
+
+
+def test_files_through_a_file_system_give_the_same(tmp_path):
+    a = np.arange(5, dtype="<u8")
+    save(str(tmp_path), "x", a)
+    assert (load(f"file://{tmp_path}", "x", "<u8") == a).all()
+    import tidings.llm.files as files
+    local, files._local = files._local, lambda path: None       # as where the folder is not mounted
+    try:
+        save(f"file://{tmp_path}", "y", a)
+        assert (load(f"file://{tmp_path}", "y", "<u8") == a).all() and (load(f"file://{tmp_path}", "x", "<u8") == a).all()
+    finally:
+        files._local = local
+
+
 def test_words_encoded_one_by_one_give_the_same_ids(texts):
     import base64
 

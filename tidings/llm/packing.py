@@ -8,7 +8,7 @@ of a full row and a rest; every piece keeps its document and its offset in it,
 so the ids of every document can be put together again. No shuffle is needed,
 a task holds one window, and a task that runs again gives the same rows.
 
-A row of the result: ``ids`` (little-endian uint16, or uint32 for larger
+A row of the result (``write_matrices`` writes them as binary files): ``ids`` (little-endian uint16, or uint32 for larger
 vocabularies; ``seq_len`` of them, padded at the end), ``cu_seqlens``
 (cumulative segment lengths, from 0), ``positions`` (as ``ids``; they start
 again at 0 in every segment and in the padding), ``doc_ids`` and ``offsets`` of the segments.
@@ -28,6 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import written
+from .files import save
+
 SEQ_LEN = 2048
 WINDOW_TOKENS = 1_000_000
 CACHE_WORDS = 200_000
@@ -190,6 +193,32 @@ def unpacked(packed: DataFrame, id_bytes: int = 2) -> DataFrame:
     return packed.mapInArrow(run, "doc_id long, offset long, ids array<int>")
 
 
-def write_packed(packed: DataFrame, path: str) -> None:
-    """Writes the rows as Parquet: one id matrix, with its lengths and positions, for each file."""
-    packed.write.parquet(path)
+def write_matrices(packed: DataFrame, path: str, rows: int = 8192) -> DataFrame:
+    """Writes the rows as raw binary files of the shared folder ``path``, up to
+    ``rows`` rows in each: ``<name>.ids`` and ``<name>.positions`` (matrices of
+    rows x seq_len), ``<name>.cu`` (int32: the cumulative segment lengths of all
+    rows, one after another) and ``<name>.segments`` (int64: how many each row
+    has). Gives one row for each name (name, n_rows); names follow partition
+    and place, so a task that runs again replaces its own files."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        def put(held: list[dict], k: int) -> pa.RecordBatch:
+            name = f"part-{TaskContext.get().partitionId():05d}-{k:05d}"
+            for of in ("ids", "positions"):
+                save(path, f"{name}.{of}", np.frombuffer(b"".join(r[of] for r in held), np.uint8))
+            save(path, f"{name}.cu", np.array([c for r in held for c in r["cu_seqlens"]], "<i4"))
+            save(path, f"{name}.segments", np.array([len(r["doc_ids"]) for r in held], "<i8"))
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(held)], pa.int64())], ["name", "n_rows"])
+
+        held, k = [], 0
+        for b in batches:
+            for r in b.to_pylist():
+                held.append(r)
+                if len(held) == rows:
+                    yield put(held, k)
+                    held, k = [], k + 1
+        if held:
+            yield put(held, k)
+
+    return written(packed.mapInArrow(run, "name string, n_rows long"), "packed-files")
