@@ -1,4 +1,4 @@
-"""The run ledger (R1-style table of aggregation runs): save if absent, then
+"""The run ledger, a table of aggregation runs: save if absent, then
 update with the outcome. Each step gives the new table; runs are one row each."""
 
 from __future__ import annotations

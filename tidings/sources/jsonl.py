@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 PROVIDER_SCHEMA = T.StructType([T.StructField("domain", T.StringType()),
                                 T.StructField("provider_name", T.StringType()),
                                 T.StructField("country", T.StringType())])
-USER_SCHEMA = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("name", T.StringType())])
 
 
 def read_commented_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
