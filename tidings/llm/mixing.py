@@ -36,7 +36,7 @@ MAX_EPOCHS = 3
 SHARD_DOCS = 4096
 BLOCKS = 1 << 20         # blocks the corpus is counted in, at most
 GRID = 64                # divisors tried in one grouped sum
-ROUNDS = 6
+ROUNDS = 4               # then GRID ** ROUNDS > 3 * BLOCKS: at most one seat of a part is open
 
 
 def _key(source: Column) -> Column:
