@@ -124,5 +124,6 @@ def accepted(docs: DataFrame, score: Column, threshold: float = THRESHOLD) -> Da
     own = docs.toDF(*names)
     s = statistics(own.withColumnRenamed(names[docs.columns.index("text")], "text"), *[
         "text" if c == "text" else n for c, n in zip(docs.columns, names, strict=True)])
-    kept = s.filter(score >= threshold)
+    # generated, so that the filter is not pushed below and each statistic computed for every rule
+    kept = s.withColumn("_score", F.explode(F.array(score.cast("double")))).filter(F.col("_score") >= threshold)
     return kept.select(*["text" if c == "text" else F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
