@@ -66,7 +66,6 @@ def _candidates(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """(doc_id, line, words) of the distinct lines that share a half with another."""
     keys = written(firsts.select("doc_id", "line", "h1", F.explode("halves").alias("half")), "line-halves")
     shared = keys.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a < b").select("half")
-    shared = written(shared, "line-shared")     # a join of plain shuffles, whose hot keys Spark can split
     chosen = keys.join(shared, "half", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("_chosen"))
     texts = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("_lines", _lines())
     one = F.explode(F.transform("_chosen", lambda i: F.struct(i.alias("line"), F.get("_lines", i).alias("text"))))
@@ -116,7 +115,6 @@ def _near(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     keys = written(_variants(lines), "line-variants")
     least = [F.min(F.when(F.col("role") == k, F.col("place"))).alias(f"m{k}") for k in range(3)]
     groups = keys.groupBy("key").agg(F.min("place").alias("a"), F.max("place").alias("b"), *least).filter("a < b").drop("a", "b")
-    groups = written(groups, "line-groups")     # as above
     other = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
     pairs = keys.join(groups, "key").withColumn("other", other).filter("other < place").select("place", "other").distinct()
     words = lines.select(F.struct("doc_id", "line").alias("place"), "words")
