@@ -7,10 +7,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidings.llm import packing
+from tidings.llm import jaccard, packing
 from tidings.llm.common import written
 
-from .test_exact import brute_classes
+from .test_exact import brute_classes, near_copies
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,6 +40,30 @@ def test_one_document_of_each_class_stays(stages):
     assert sorted(r.doc_id for r in stages[2].collect()) == sorted({c for _, c in classes.values()})
 
 
+def test_near_duplicates_share_four_fifths_of_five_words(stages):
+    texts = {r.doc_id: r.text for r in stages[1].collect()}
+    assert sorted(r.doc_id for r in stages[2].collect()) == sorted({c for _, c in brute_classes(texts, 5, 80).values()})
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_near_duplicates_on_made_copies(spark, seed):
+    docs = near_copies(seed, families=30)
+    want = sorted({c for _, c in brute_classes(docs, 5, 80).values()})
+    assert want != sorted({c for _, c in brute_classes(docs).values()})
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, df, SF).collect()) == want
+
+
+def test_sets_that_link_at_four_fifths_share_a_key():
+    sizes, rng = corpus_pipeline.SIZES, np.random.default_rng(6)
+    for n in rng.integers(1, 600, 600).tolist():
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.permutation(n)[int(rng.integers(0, n // 5 + 1)):]], rng.integers(0, 2**64, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both) and not np.array_equal(a, b):
+            assert set(jaccard.keys_of(a, sizes).tolist()) & set(jaccard.keys_of(b, sizes).tolist())
+
+
 def test_documents_with_items_go(spark, stages):
     plain = lambda t: " " + " ".join(re.findall(r"\w+", t.lower())) + " "
     items = [plain(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

@@ -9,8 +9,8 @@ A document is the set of its distinct word shingles. Two link when
    Sets that link differ in at most r shingles, where r follows from the size,
    so of r + 1 blocks one at least has equal content. Every set emits a key for
    each of its blocks; sets of one size class that share a key are candidates.
-   Sizes near a class border emit keys for both classes, and one spare block
-   lets empty blocks emit nothing unless a set has several (see ``keys_of``).
+   Sizes near a class border emit keys for both classes, and spare blocks
+   let empty blocks emit nothing unless a set has several (see ``keys_of``).
    No link is lost.
 3. Candidates that hang together through keys form a bundle (connected
    components of key to least holder). A bundle's sets meet in one task; a
@@ -33,6 +33,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,15 +49,20 @@ SHINGLE = 3
 NUMERATOR, DENOMINATOR = 90, 100
 CHUNK = 1_000_000        # shingles of one chunk
 LEAF = 16                # points of an R-tree leaf, and children of a node
-SPARE = 1                # blocks beyond r + 1
+SPARE = 1                # blocks beyond r + 1, at least
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>"
 
 
 class Sizes:
-    """Size classes and the differences they allow, for one threshold."""
+    """Size classes and the differences they allow, for one threshold.
 
-    def __init__(self, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, limit: int = 1 << 40) -> None:
-        self.num, self.den = numerator, denominator
+    ``share``: further spare blocks, for each difference. A lower threshold has
+    fewer shingles a block (about 4 at 0.8), so more blocks are empty.
+    """
+
+    def __init__(self, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, limit: int = 1 << 40,
+                 share: float = 0.0) -> None:
+        self.num, self.den, self.share = numerator, denominator, share
         self.least = -(-numerator // (denominator - numerator))     # smaller sets link only if equal
         self.starts = [self.least]
         while self.starts[-1] < limit:
@@ -76,25 +82,30 @@ class Sizes:
         """Most shingles in which a set of class k and a partner as large or larger differ."""
         return (self.starts[k + 1] - 1) * (self.den - self.num) // self.num
 
+    def spare(self, k: int) -> int:
+        """Blocks of class k beyond its differences and one."""
+        return SPARE + math.ceil(self.differences(k) * self.share)
+
 
 def keys_of(shingles: np.ndarray, sizes: Sizes) -> np.ndarray:
     """The block keys of a set of hashes.
 
-    With r differences and r + 1 + SPARE blocks, SPARE + 1 blocks agree. Empty
-    blocks emit a key only in sets with more than SPARE of them: if all blocks
-    that agree are empty, both sets have more.
+    With r differences and r + 1 + spare blocks, spare + 1 blocks agree. Empty
+    blocks emit a key only in sets with more than ``spare`` of them: if all
+    blocks that agree are empty, both sets have more.
     """
     out = []
     high = shingles >> np.uint64(32)
     for k in sizes.classes(len(shingles)):
-        m = sizes.differences(k) + 1 + SPARE
+        spare = sizes.spare(k)
+        m = sizes.differences(k) + 1 + spare
         block = (high * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         count = np.bincount(block, minlength=m)
         total = np.zeros(m, np.uint64)
         np.add.at(total, block, shingles)
         key = mix(total * np.uint64(0x9E3779B97F4A7C15) + np.arange(m, dtype=np.uint64) * np.uint64(0x100000001B3)
                   + np.uint64(k) + (count.astype(np.uint64) << np.uint64(48)))
-        out.append(key if (count == 0).sum() > SPARE else key[count > 0])
+        out.append(key if (count == 0).sum() > spare else key[count > 0])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -122,12 +133,12 @@ def _slices(b: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
         yield b.slice(lo, size)
 
 
-def sketches(docs: DataFrame, sizes: Sizes) -> DataFrame:
+def sketches(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, size of its set, the sum that names the set, its block keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in _slices(whole):
-                sets = shingle_sets(b.column("text").to_pylist())
+                sets = shingle_sets(b.column("text").to_pylist(), shingle)
                 f1 = np.array([int(s.sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
                 f2 = np.array([int(mix(s).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -207,7 +218,7 @@ def linked(sets: list[np.ndarray], sizes: Sizes) -> np.ndarray:
     return label
 
 
-def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, chunk: int = CHUNK) -> DataFrame:
+def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
     """(a, b): links between documents of different sets, one for each set at
     most in each task, that join the same documents as all links do. ``firsts``
     (f1, f2, n_shingles, first) names the least document of each set."""
@@ -238,7 +249,7 @@ def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, c
         for whole in batches:
             for b in _slices(whole):
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("bundle"), b.column("tasks"),
-                                                  _lists(shingle_sets(b.column("text").to_pylist()))],
+                                                  _lists(shingle_sets(b.column("text").to_pylist(), shingle))],
                                                  ["doc_id", "bundle", "tasks", "shingles"])
 
     def join(table: pa.Table) -> pa.Table:
@@ -265,24 +276,24 @@ def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, c
     return found.groupBy("task").applyInArrow(join, "a long, b long")
 
 
-def join_classes(docs: DataFrame, sizes: Sizes | None = None, chunk: int = CHUNK) -> DataFrame:
+def join_classes(docs: DataFrame, sizes: Sizes | None = None, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the least doc_id that links reach)."""
     sizes = sizes or Sizes()
-    sketch = written(sketches(docs, sizes), "jaccard-sketch")
+    sketch = written(sketches(docs, sizes, shingle), "jaccard-sketch")
     first = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
     first = written(first, "jaccard-first")
     rows = sketch.select("doc_id", "n_shingles", "f1", "f2")
     rows = written(rows.join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", "first"), "jaccard-rows")
     copies = rows.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    whole = components(links(docs, sketch, first, sizes, chunk).union(copies))
+    whole = components(links(docs, sketch, first, sizes, chunk, shingle).union(copies))
     return rows.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, sizes: Sizes | None = None, shingle: int = SHINGLE) -> DataFrame:
     """The rows of docs, all columns as they are, whose document has the least
     id of its class; of rows with one doc_id, one stays."""
-    classes = join_classes(docs)
+    classes = join_classes(docs, sizes, shingle=shingle)
     copies = classes.filter("component_id <> doc_id").select("doc_id").distinct()
     rest = docs.join(copies, "doc_id", "left_anti")
     # rows without an id cannot be told apart by it, so each stays
