@@ -347,6 +347,31 @@ def test_history_rewriting_is_reported():
     assert chat.render(turns, forgetful)[3] == [2]
 
 
+def test_late_rewrites_of_long_chats_are_reported():
+    turns = [{"role": ("user", "assistant")[k % 2], "content": f"why{k}#t{k}" if k == 30 else f"t{k}"} for k in range(100)]
+
+    def say(messages, bare=()):
+        return "".join(f"[{m['content'].split('#')[-1] if k in bare else m['content']}]" for k, m in enumerate(messages))
+
+    def last_forty(messages):
+        return say(messages[-40:])
+
+    def bare_after_three(messages):
+        return say(messages, range(len(messages) - 3))
+
+    def user_first(messages):
+        if messages[0]["role"] != "user":
+            raise ValueError("the first message is a user's")
+        return say(messages)
+
+    out, _, _, rewritten = chat.render(turns, last_forty)
+    assert out == last_forty(turns) and rewritten == list(range(40, 100))
+    out, _, _, rewritten = chat.render(turns, bare_after_three)
+    assert out == bare_after_three(turns) and rewritten == [33]
+    out, _, loss, rewritten = chat.render(turns, user_first)
+    assert out == say(turns) and not rewritten and [out[a:b] for a, b in loss] == [m["content"] for m in turns[1::2]]
+
+
 # 9 -------------------------------------------------------------------------
 
 def tiling(text, item, least=5):

@@ -8,9 +8,12 @@ rewrites history; the turns at which it does are reported. Rendering the turn
 once more with a placeholder as its text shows where in the span the text lies,
 which gives the loss mask (assistant texts only).
 
-Prefixes are rendered whole for the first ``WINDOW`` turns. Later ones are
+Prefixes are rendered whole, so the work grows with the square of a
+conversation's turns. A template that declares itself turn-wise (attribute
+``turnwise``: its output is that of each turn alone, one after the other, as in
+chatml) is rendered whole for the first ``WINDOW`` turns only; later turns are
 rendered from the last turn of the window before on, as long as that turn
-alone renders as it did there; where it does not, prefixes stay whole.
+alone renders as it did there.
 
 Rows are dealt by conversation and sorted by turn within each partition, and
 tasks stream them, holding one conversation at a time: a conversation is one
@@ -64,6 +67,9 @@ def chatml(messages: list[Message]) -> str:
     return "".join(f"{START}{_role_out(m['role'])}\n{escape(m['content'])}{END}\n" for m in messages)
 
 
+chatml.turnwise = True
+
+
 def parse_chatml(text: str) -> list[tuple[str, str]]:
     """(role, text) of every turn of a formatted conversation."""
     found = re.findall(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", text, re.S)
@@ -82,10 +88,11 @@ def _shared(a: str, b: str) -> int:
 def render(messages: list[Message], template: Template) -> tuple[str, list[tuple[int, int]], list[tuple[int, int]], list[int]]:
     """(formatted text, span of each turn, span of each assistant text, turns
     at which the template rewrote what it had given before)."""
+    turnwise = getattr(template, "turnwise", False)
     done, spans, texts, rewritten = "", [], [], []
     first, base, last = 0, 0, ""     # messages[first:] are rendered; their output begins at base
     for i, m in enumerate(messages):
-        if i and i % WINDOW == 0 and not rewritten:
+        if turnwise and i and i % WINDOW == 0 and not rewritten:
             lo, hi = spans[i - 1]
             if template(messages[i - 1:i]) == done[lo:hi]:
                 first, base, last = i - 1, lo, done[lo:hi]
