@@ -113,3 +113,17 @@ def test_spark_silhouette_and_argmax(spark):
     assert abs(s.score - naive_silhouette(x, np.array([i % 2 for i in range(6)]))) < 1e-9
     sc = df.sparkSession.createDataFrame([("a", 2, 0.5), ("a", 3, 0.5), ("a", 4, 0.2)], "g string, k int, score double")
     assert CL.argmax_k(sc, ["g"]).first().k == 2
+
+
+def test_kmeans_sweep_reaches_the_planted_k(spark, monkeypatch):
+    from tidings.plans import q_cluster
+
+    rng = np.random.default_rng(3)
+    rows = [(k, (100.0 * np.eye(9)[k % 9] + rng.normal(0, 0.1, 9)).tolist()) for k in range(36)]
+    df = spark.createDataFrame(rows, "member_idx long, embedding array<float>").coalesce(1)
+    monkeypatch.setattr(q_cluster, "_members", lambda spark, sf: df)
+    out = q_cluster.clu_kmeans_select_k(spark, "").collect()
+    assert {r.n_clusters for r in out} == {9} and len({(r.member_idx % 9, r.label) for r in out}) == 9
+    few = CL.kmeans_select_k(df.limit(2), "member_idx").collect()
+    assert sorted(r.label for r in few) == [0, 1] and {r.n_clusters for r in few} == {2}
+    assert CL.kmeans_select_k(df.limit(0), "member_idx").count() == 0

@@ -9,6 +9,8 @@ ever a Spark row. The k-means sweep (C3) is MLlib's, over all vectors.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KMEANS_SEED = 10
+KMEANS_FITS = 4      # fits of the sweep at one time
 
 
 # ------------------------------------------------------------------ numpy kernels
@@ -158,20 +161,37 @@ def ward_checks(clusters: DataFrame, points: DataFrame, group: list[str], idx: s
         F.when(small, F.col("_score") == float("inf")).otherwise(F.abs(F.col("_score") - F.col("_again")) < 1e-9).alias("score_is_silhouette"))
 
 
-def kmeans_select_k(df: DataFrame, idx: str, ks: range, vec: str = "embedding", seed: int = KMEANS_SEED) -> DataFrame:
+def kmeans_select_k(df: DataFrame, idx: str, ks: range | None = None, vec: str = "embedding", seed: int = KMEANS_SEED) -> DataFrame:
     """MLlib k-means for every k, the first k with the best MLlib
-    silhouette; per row idx, label, n_clusters, score."""
+    silhouette; per row idx, label, n_clusters, score.
+
+    Without ``ks``, every k of 2..n-1 that can differ: k-means has no more
+    clusters than distinct vectors. Two rows or fewer are a cluster each (score
+    +inf, as in C1); more rows of one vector are one cluster without a score.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
     x = df.select(idx, array_to_vector(F.col(vec).cast("array<double>")).alias("features")).persist()
-    best = (-np.inf, None, None)
-    for k in ks:
+    if ks is None:
+        n = x.count()
+        distinct = df.select(vec).distinct().count()
+        if n <= 2 or distinct < 2:
+            alone = F.row_number().over(Window.orderBy(idx)).cast("long") - 1      # of two rows at most
+            label, k, score = (alone, n, float("inf")) if n <= 2 else (F.lit(0).cast("long"), 1, None)
+            return x.select(idx, label.alias("label"), F.lit(k).cast("long").alias("n_clusters"), F.lit(score).cast("double").alias("score"))
+        ks = range(2, min(n - 1, distinct) + 1)
+
+    def fit(k: int) -> tuple:
         model = KMeans(k=k, seed=seed).fit(x)
-        score = ClusteringEvaluator().evaluate(model.transform(x))
-        if score > best[0]:
-            best = (score, k, model)
+        return ClusteringEvaluator().evaluate(model.transform(x)), k, model
+
+    best = (-np.inf, None, None)
+    with ThreadPool(KMEANS_FITS) as pool:
+        for found in pool.imap(fit, ks):     # in order of k
+            if found[0] > best[0]:
+                best = found
     score, k, model = best
     return model.transform(x).select(idx, F.col("prediction").cast("long").alias("label"), F.lit(k).cast("long").alias("n_clusters"),
                                      F.lit(score).alias("score"))

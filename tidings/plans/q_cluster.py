@@ -12,8 +12,6 @@ from .oracle_ctes import with_views
 from .q_sourcing import TOPIC_DAY_C as TOPIC_DAY
 from .q_sourcing import cluster_members
 
-KS = range(2, 6)     # cluster counts of the k-means sweep
-
 
 def _members(spark, sf):
     return cluster_members(spark, sf).select(*TOPIC_DAY, "member_idx", F.col("cluster").alias("label"), "embedding")
@@ -36,7 +34,7 @@ def clu_ward_select_k(spark, sf):
 def clu_kmeans_select_k(spark, sf):
     """Seeded MLlib k-means sweep over the inventory's vectors, scored by
     silhouette (no SQL twin)."""
-    return CL.kmeans_select_k(_members(spark, sf), "member_idx", KS)
+    return CL.kmeans_select_k(_members(spark, sf), "member_idx")
 
 
 def _silhouette_sql(points: str, group: str) -> str:
