@@ -56,3 +56,54 @@ d AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE equal) AS n_equ
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near, coalesce(dropped, '') AS dropped
 FROM (SELECT doc_id FROM documents) LEFT JOIN d USING (doc_id)
 """
+
+
+def _op11() -> str:
+    """Four rounds of assignment and averaging, one group of subqueries each."""
+    rounds = []
+    for k in range(5):
+        rounds.append(f"""
+a{k} AS MATERIALIZED (
+    SELECT r, vec_id, label, p, min(q) // 256 AS far, (min(q) % 256)::INTEGER AS e
+    FROM (SELECT x.r, x.vec_id, x.label, x.p,
+                 (list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v) + list_inner_product(b.v, b.v))::HUGEINT * 256 + b.e AS q
+          FROM x JOIN b{k} AS b USING (p)) GROUP BY ALL)""")
+        if k < 4:
+            rounds.append(f"""
+b{k + 1} AS MATERIALIZED (
+    SELECT p, e, coalesce(m.v, b.v) AS v
+    FROM b{k} AS b LEFT JOIN (
+        SELECT p, e, list(s ORDER BY i) AS v
+        FROM (SELECT x.p, a.e, i, floor(sum(x.v[i]) / count(*)) AS s
+              FROM x JOIN a{k} AS a USING (r, p), generate_series(1, 16) AS g(i) GROUP BY x.p, a.e, i) GROUP BY p, e) AS m USING (p, e))""")
+    return f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id, v) - 1 AS r, vec_id, label, v
+    FROM (SELECT vec_id, label, list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0)),
+x AS MATERIALIZED (SELECT r, vec_id, label, p, v[16 * p + 1:16 * p + 16] AS v FROM d, generate_series(0, 3) AS g(p)),
+b0 AS MATERIALIZED (SELECT p, r::INTEGER AS e, v FROM x WHERE r < 256),{",".join(rounds)},
+books AS (SELECT sha256(string_agg(y::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+          FROM (SELECT p, e, unnest(v) AS y, generate_subscripts(v, 1) AS i FROM b4)),
+c AS (SELECT r, vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(far)::BIGINT AS error FROM a4 GROUP BY ALL)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM c, books
+"""
+
+
+OP11_SQL = _op11()     # the tables' vectors have 64 numbers, 16 a part
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+                  sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+h AS (SELECT *, len(w) AS n, ('0x' || d[1:8])::BIGINT % (len(w) + 1) AS c1, ('0x' || d[9:16])::BIGINT % (len(w) + 1) AS c2,
+             ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4 FROM t),
+f AS (SELECT doc_id, text, n, CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain'
+                                   WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(w[1:least(c1, c2)], '') AS p, array_to_string(w[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+             array_to_string(w[greatest(c1, c2) + 1:], '') AS s FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f
+"""

@@ -9,9 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, kneser_ney, linededup, mixing, packing, quality, rules, secrets
-from .common import bucket_of, read
-from .oracles import OP4_SQL, OP8_SQL, OP10_SQL
+from . import (
+    chat,
+    codes,
+    decontaminate,
+    infill,
+    jaccard,
+    kneser_ney,
+    linededup,
+    mixing,
+    packing,
+    quality,
+    rules,
+    secrets,
+    toxicity,
+)
+from .common import bucket_of, read, written
+from .oracles import OP4_SQL, OP8_SQL, OP10_SQL, OP11_SQL, OP12_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +134,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every document that stand, equal or with one word changed, earlier in the corpus."""
     found = linededup.report(read(spark, sf_dir, "documents"))
     return found.withColumn("dropped", F.array_join(F.col("dropped").cast("array<string>"), ","))
+
+
+@query("op11_vector_codes", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product code of every vector, its error and the errors' sum per label."""
+    coded, books = codes.compress(read(spark, sf_dir, "embeddings"))
+    coded = written(coded, "codes")
+    sums = coded.groupBy(F.col("label").alias("_of")).agg(F.sum("error").alias("label_error"))
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("_of"))).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query("op12_infill", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document laid out for filling in the middle, and the digest of what is read back."""
+    laid = infill.infill(read(spark, sf_dir, "documents"))
+    return laid.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document; one in five is held out of training."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").filter(bucket_of(F.col("doc_id"), 5) != 0)
+    scores = toxicity.scored(docs, toxicity.fit(docs, labels))
+    return scores.select("doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted",
+                         F.size("clauses").alias("n_clauses"))
