@@ -61,6 +61,7 @@ def test_jaccard(docs, none):
     assert jaccard.join_classes(docs).count() == len(DOCS)
     kept = sorted((r.doc_id or 0) for r in jaccard.deduplicated(docs).collect())
     assert kept == [0, 1, 2, 3, 4, 6, 7] and jaccard.deduplicated(docs).columns == docs.columns
+    assert jaccard.deduplicated(none).count() == 0
     assert jaccard.join_classes(none).count() == 0
 
 
@@ -125,3 +126,14 @@ def test_linededup(docs, none):
     assert got == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, 0), (4, 2, 0), (5, 1, 1), (6, 1, 0), (7, 1, 0)]
     assert linededup.deduplicated(docs).columns == docs.columns and linededup.deduplicated(docs).count() == len(DOCS)
     assert linededup.report(none).count() == 0
+
+
+def test_jaccard_decides_row_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    docs = spark.createDataFrame([(1, a, 7), (2, a, 7), (2, b, 7), (3, c, 7), (3, d, 7), (3, d, 7), (4, d + " more", 7), (None, c, 7), (None, c, 7), (5, "", 7), (5, None, 7)],
+                                 "doc_id long, text string, _alone int")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in jaccard.deduplicated(docs).collect())
+    assert kept == sorted([(1, a), (2, b), (3, c), (3, d), (0, c), (0, c), (5, "")])
+    assert jaccard.deduplicated(docs).columns == docs.columns and {r._alone for r in jaccard.deduplicated(docs).collect()} == {7}
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.n_shingles) for r in jaccard.join_classes(docs).collect())
+    assert got == [(0, 0, 28), (0, 0, 28), (1, 1, 28), (2, 1, 28), (2, 2, 28), (3, 3, 28), (3, 3, 28), (3, 3, 28), (4, 3, 29), (5, 5, 0), (5, 5, 0)]

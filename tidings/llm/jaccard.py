@@ -3,7 +3,7 @@
 A document is the set of its distinct word shingles. Two link when
 ``DENOMINATOR * |A & B| >= NUMERATOR * |A | B|``. The steps:
 
-1. Equal sets are one class (by a 128-bit sum of their hashes); its least
+1. Equal sets are one node (by a 128-bit sum of their hashes); its least
    document stands for it from here on.
 2. The shingles of a set are hashed into groups, and the groups into blocks.
    Sets that link differ in at most r shingles, where r follows from the size,
@@ -11,9 +11,11 @@ A document is the set of its distinct word shingles. Two link when
    each of its blocks; sets of one size class that share a key are candidates.
    Sizes near a class border emit keys for both classes, and spare blocks
    let empty blocks emit nothing unless a set has several (see ``keys_of``).
-   No link is lost.
+   No link is lost. Keys are never written: what repeats within a batch of
+   documents is combined there, the rest is sorted by key in one shuffle, and a
+   stream over the sorted keys links each document to the least of its key.
 3. Candidates that hang together through keys form a bundle (connected
-   components of key to least holder). A bundle's sets meet in one task; a
+   components). A bundle's sets meet in one task; a
    bundle of more than ``CHUNK`` shingles is cut into chunks by hash, and every
    two chunks meet in a task of their own, so a task's memory is bounded.
 4. In a task the group counts of the sets are points of an R-tree. The sum of
@@ -26,7 +28,7 @@ A document is the set of its distinct word shingles. Two link when
 
 Defined cases: null and empty texts and texts without words have an empty set
 and link with nothing, equal ones included; fewer words than a shingle are one
-shingle; rows with one doc_id are one node that holds the links of all of them;
+shingle; of rows with one doc_id each is a document of its own;
 a row without a doc_id has no component; an empty table gives no rows; further
 columns are not read.
 """
@@ -37,6 +39,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +53,9 @@ NUMERATOR, DENOMINATOR = 90, 100
 CHUNK = 1_000_000        # shingles of one chunk
 LEAF = 16                # points of an R-tree leaf, and children of a node
 SPARE = 1                # blocks beyond r + 1, at least
-SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>"
+COMBINED = 2_000_000     # keys combined at once in a task
+SKETCH = "doc_id long, n_shingles long, f1 long, f2 long"
+SET = ["f1", "f2", "n_shingles"]
 
 
 class Sizes:
@@ -58,17 +63,19 @@ class Sizes:
 
     ``share``: further spare blocks, for each difference. A lower threshold has
     fewer shingles a block (about 4 at 0.8), so more blocks are empty.
+    ``width``: a class's end to its start. Wide classes allow more differences,
+    narrow ones have more sets near a border.
     """
 
     def __init__(self, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, limit: int = 1 << 40,
-                 share: float = 0.0) -> None:
+                 share: float = 0.0, width: float = 1.25) -> None:
         self.num, self.den, self.share = numerator, denominator, share
         self.least = -(-numerator // (denominator - numerator))     # smaller sets link only if equal
         self.starts = [self.least]
         while self.starts[-1] < limit:
             last = self.starts[-1]
             wide = last * denominator // numerator + 1                # the largest partner of the class before, and one
-            self.starts.append(max(wide, -(-last * 5 // 4)))
+            self.starts.append(max(wide, math.ceil(last * width)))
 
     def classes(self, n: int) -> list[int]:
         """Own class, and the one below if a partner may be in it."""
@@ -133,21 +140,76 @@ def _slices(b: pa.RecordBatch, size: int = 1000) -> Iterator[pa.RecordBatch]:
         yield b.slice(lo, size)
 
 
-def sketches(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, size of its set, the sum that names the set, its block keys."""
+def names_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums of hashes that name each set."""
+    return tuple(np.array([int(h(s).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64) for h in (lambda s: s, mix))
+
+
+def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """Per row: doc_id, size of its set, the sums that name the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in _slices(whole):
                 sets = shingle_sets(b.column("text").to_pylist(), shingle)
-                f1 = np.array([int(s.sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
-                f2 = np.array([int(mix(s).sum(dtype=np.uint64)) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1), pa.array(f2),
-                     _lists([keys_of(s, sizes) for s in sets])], ["doc_id", "n_shingles", "f1", "f2", "keys"])
+                f1, f2 = names_of(sets)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1), pa.array(f2)],
+                                                 ["doc_id", "n_shingles", "f1", "f2"])
 
     return docs.selectExpr("cast(doc_id AS long) doc_id", "text").mapInArrow(run, SKETCH)
 
 
+def _combined(keys: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
+    """(key, doc, other): each key once with its least document, and the links of other documents to it."""
+    key, doc = np.concatenate(keys), np.repeat(np.array(docs, np.int64), [len(k) for k in keys])
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    first = np.concatenate(([True], key[1:] != key[:-1]))
+    least = doc[first][np.cumsum(first) - 1]
+    pairs = np.unique(np.stack([doc, least])[:, doc != least], axis=1)
+    other = np.concatenate((np.zeros(first.sum(), np.int64), pairs[1]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate((key[first].view(np.int64), pairs[0]))), pa.array(np.concatenate((doc[first], pairs[0]))),
+         pa.array(other, mask=np.arange(len(other)) < first.sum())], ["key", "doc", "other"])
+
+
+def candidates(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE) -> DataFrame:
+    """(a, b): links that join all documents which share a block key."""
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held = [np.zeros(0, np.uint64)], [0], 0
+        for whole in batches:
+            for b in _slices(whole):
+                own = [keys_of(s, sizes) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
+                keys += own
+                ids += b.column("doc_id").to_pylist()
+                held += sum(map(len, own))
+                if held > COMBINED:
+                    yield _combined(keys, ids)
+                    keys, ids, held = keys[:1], ids[:1], 0
+        if held:
+            yield _combined(keys, ids)
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key = last_doc = None              # of the key that is being read
+        for b in batches:
+            key, doc, known = (b.column(k) for k in ("key", "doc", "other"))
+            linked = known.is_valid().to_numpy(zero_copy_only=False)
+            a, least = [doc.to_numpy()[linked]], [known.drop_null().to_numpy()]
+            key, doc = key.to_numpy()[~linked], doc.to_numpy()[~linked]
+            if len(key):
+                first = np.concatenate(([last_key is None or key[0] != last_key], key[1:] != key[:-1]))
+                starts = np.concatenate(([last_doc or 0], doc[first]))
+                a.append(doc)
+                least.append(starts[np.cumsum(first)])
+                last_key, last_doc = int(key[-1]), int(least[-1][-1])
+            a, least = np.concatenate(a), np.concatenate(least)
+            pairs = np.unique(np.stack([a, least])[:, a != least], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    rows = docs.selectExpr("cast(doc_id AS long) doc_id", "text").filter("doc_id IS NOT NULL")
+    keys = rows.mapInArrow(keyed, "key long, doc long, other long")
+    return keys.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(stars, "a long, b long")
+
+
 class CountTree:
     """R-tree over group-count points, packed by splitting on the widest coordinate."""
 
@@ -218,52 +280,59 @@ def linked(sets: list[np.ndarray], sizes: Sizes) -> np.ndarray:
     return label
 
 
-def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
-    """(a, b): links between documents of different sets, one for each set at
-    most in each task, that join the same documents as all links do. ``firsts``
-    (f1, f2, n_shingles, first) names the least document of each set."""
-    firsts = firsts.filter(F.col("n_shingles") >= sizes.least).select(F.col("first").alias("doc_id"), "f1", "f2")
-    keys = sketch.join(firsts, ["doc_id", "f1", "f2"], "left_semi").select("doc_id", F.explode("keys").alias("key"))
-    keys = written(keys, "jaccard-keys")
-    # written, so that the join below is one whose hot keys Spark can split
-    shared = keys.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_max")).filter("b < _max")
-    shared = written(shared.select("key", "b"), "jaccard-shared")
-    edges = keys.join(shared, "key").select(F.col("doc_id").alias("a"), "b").distinct()
-    bundles = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("bundle"))
-
-    size = sketch.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-    bundles = written(bundles.join(size, "doc_id"), "jaccard-bundles")
-    total = bundles.agg(F.sum("n")).first()[0] or 0
+def nodes_of(sketch: DataFrame) -> DataFrame:
+    """(f1, f2, n_shingles, first, node) of each set that is not empty: its least document and its node.
+
+    The node is that document's id; where rows with one doc_id begin several sets, all but one of these
+    get a hash far below the ids instead.
+    """
+    sets = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*SET).agg(F.min("doc_id").alias("first"))
+    sets = written(sets, "jaccard-sets")
+    several = sets.groupBy("first").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*SET)).alias("_keeps")).filter("_n > 1").drop("_n")
+    other = F.lit(-(1 << 62)) - F.pmod(F.xxhash64("first", *SET), F.lit(1 << 61))
+    node = F.when(F.col("_keeps").isNull() | (F.col("_keeps") == F.struct(*SET)), F.col("first")).otherwise(other)
+    return written(sets.join(several, "first", "left").select(*SET, "first", node.alias("node")), "jaccard-nodes")
+
+
+def links(docs: DataFrame, nodes: DataFrame, sizes: Sizes, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
+    """(a, b): links between nodes, one for each set at most in each task, that join the same nodes as all links do."""
+    bundles = components(candidates(docs, sizes, shingle)).select(F.col("node").alias("first"), F.col("component").alias("bundle"))
+    members = written(nodes.filter(F.col("n_shingles") >= sizes.least).join(bundles, "first"), "jaccard-members")
+    cut = members.groupBy("bundle").agg(F.sum("n_shingles").alias("total"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    cut = written(cut.select("bundle", "total", F.ceil(F.col("total") / chunk).alias("chunks")), "jaccard-bundles")
+    total = cut.agg(F.sum("total")).first()[0] or 0
     tasks = max(1, -(-total // chunk))
-    chunks = F.ceil(F.sum("n") / chunk).alias("chunks")
-    cut = bundles.groupBy("bundle").agg(chunks)
-    members = bundles.join(cut, "bundle").withColumn("part", F.pmod(F.xxhash64("doc_id"), "chunks"))
+    members = members.join(cut, "bundle").withColumn("part", F.pmod(F.xxhash64("node"), "chunks"))
     # two chunks meet in the task (i, j), i < j; whole bundles share tasks
     own = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
     meets = F.transform(F.filter(own, lambda j: j != F.col("part")),
                         lambda j: F.xxhash64("bundle", F.least("part", j), F.greatest("part", j)))
     alone = F.array(F.pmod(F.xxhash64("bundle"), F.lit(tasks)))
-    members = members.select("doc_id", "bundle", F.when(F.col("chunks") > 1, meets).otherwise(alone).alias("tasks"))
+    members = members.select(F.col("first").alias("doc_id"), "f1", "f2", "node", "bundle",
+                             F.when(F.col("chunks") > 1, meets).otherwise(alone).alias("tasks"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in _slices(whole):
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("bundle"), b.column("tasks"),
-                                                  _lists(shingle_sets(b.column("text").to_pylist(), shingle))],
-                                                 ["doc_id", "bundle", "tasks", "shingles"])
+                found = shingle_sets(b.column("text").to_pylist(), shingle)
+                f1, f2 = names_of(found)          # of rows with one doc_id, the one that holds the set
+                own = np.flatnonzero((f1 == b.column("f1").to_numpy()) & (f2 == b.column("f2").to_numpy()))
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(own)) for c in ("node", "bundle", "tasks")),
+                                                  _lists([found[k] for k in own])], ["node", "bundle", "tasks", "shingles"])
 
     def join(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        doc, bundle = table.column("doc_id").to_numpy(), table.column("bundle").to_numpy()
+        node, bundle = table.column("node").to_numpy(), table.column("bundle").to_numpy()
         column = table.column("shingles").combine_chunks()
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
         values, ends = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()
-        order = np.lexsort((doc, bundle))
+        order = np.lexsort((node, bundle))
+        order = order[np.concatenate(([True], np.diff(node[order]) != 0))]          # repeated rows
         a, b = [], []
         for rows in np.split(order, np.flatnonzero(np.diff(bundle[order])) + 1):
             label = linked([values[ends[k]:ends[k + 1]] for k in rows], sizes)
             first: dict[int, int] = {}
-            for k, name in zip(doc[rows].tolist(), label.tolist(), strict=True):
+            for k, name in zip(node[rows].tolist(), label.tolist(), strict=True):
                 if first.setdefault(name, k) != k:
                     a.append(k)
                     b.append(first[name])
@@ -271,31 +340,47 @@ def links(docs: DataFrame, sketch: DataFrame, firsts: DataFrame, sizes: Sizes, c
 
     # members grow with the documents, so they are never broadcast
     texts = docs.selectExpr("cast(doc_id AS long) doc_id", "text").join(members.hint("merge"), "doc_id")
-    found = texts.mapInArrow(sets, "doc_id long, bundle long, tasks array<long>, shingles array<long>")
-    found = found.select("doc_id", "bundle", "shingles", F.explode("tasks").alias("task"))
+    found = texts.mapInArrow(sets, "node long, bundle long, tasks array<long>, shingles array<long>")
+    found = found.select("node", "bundle", "shingles", F.explode("tasks").alias("task"))
     return found.groupBy("task").applyInArrow(join, "a long, b long")
 
 
+def _classes(docs: DataFrame, sizes: Sizes, chunk: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The sketch of each row, and of each set that is not empty: its least document, its class and the class's least document."""
+    sketch = written(sketches(docs, shingle), "jaccard-sketch")
+    nodes = nodes_of(sketch)
+    whole = components(links(docs, nodes, sizes, chunk, shingle))
+    classes = nodes.join(whole, "node", "left").select(*SET, "first", F.coalesce("component", "node").alias("class"))
+    return sketch, written(classes, "jaccard-classes")
+
+
 def join_classes(docs: DataFrame, sizes: Sizes | None = None, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the least doc_id that links reach)."""
-    sizes = sizes or Sizes()
-    sketch = written(sketches(docs, sizes, shingle), "jaccard-sketch")
-    first = sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("first"))
-    first = written(first, "jaccard-first")
-    rows = sketch.select("doc_id", "n_shingles", "f1", "f2")
-    rows = written(rows.join(first, ["f1", "f2", "n_shingles"], "left").select("doc_id", "n_shingles", "first"), "jaccard-rows")
-    copies = rows.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    whole = components(links(docs, sketch, first, sizes, chunk, shingle).union(copies))
-    return rows.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    sketch, classes = _classes(docs, sizes or Sizes(), chunk, shingle)
+    least = classes.groupBy("class").agg(F.min("first").alias("least"))
+    sets = written(classes.join(least, "class").select(*SET, "least"), "jaccard-least")
+    reach = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return sketch.join(sets, SET, "left").select("doc_id", "n_shingles", reach.alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, sizes: Sizes | None = None, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of docs, all columns as they are, whose document has the least
-    id of its class; of rows with one doc_id, one stays."""
-    classes = join_classes(docs, sizes, shingle=shingle)
-    copies = classes.filter("component_id <> doc_id").select("doc_id").distinct()
-    rest = docs.join(copies, "doc_id", "left_anti")
-    # rows without an id cannot be told apart by it, so each stays
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return rest.withColumn("_alone", alone).dropDuplicates(["doc_id", "_alone"]).drop("_alone")
+    """The rows of docs, all columns as they are, that stand first in their class, by doc_id; of rows with one
+    doc_id and equal sets, one stays. Rows without an id cannot be told apart by it, so each stays."""
+    _, classes = _classes(docs, sizes or Sizes(), CHUNK, shingle)
+    keep = classes.groupBy("class").agg(F.min(F.struct("first", *SET)).alias("k")).select(
+        *[F.col(f"k.{c}").alias(f"_{c}") for c in ("first", *SET)], F.lit(True).alias("_keeps"))
+
+    def named(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for t in texts:
+            parts = [shingle_sets(t.iloc[k:k + 1000].tolist(), shingle) for k in range(0, len(t), 1000)]
+            cols = [(*names_of(p), np.array([len(s) for s in p], np.int64)) for p in parts]
+            yield pd.DataFrame({c: np.concatenate([x[k] for x in cols] or [np.zeros(0, np.int64)]) for k, c in enumerate(SET)})
+
+    names = [f"_column_{k}" for k in range(len(docs.columns))]
+    doc_id, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    rows = docs.toDF(*names).withColumn("_set", F.pandas_udf(named, "f1 long, f2 long, n_shingles long")(text))
+    rows = rows.select(*names, *[F.col(f"_set.{c}").alias(f"_{c}") for c in SET], F.col(doc_id).cast("long").alias("_first"),
+                       F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id()).alias("_alone"))
+    key = ["_first", *[f"_{c}" for c in SET]]
+    rest = rows.join(keep, key, "left").filter("_keeps OR _n_shingles = 0 OR _first IS NULL").dropDuplicates([*key, "_alone"])
+    return rest.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
