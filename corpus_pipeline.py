@@ -21,7 +21,7 @@ from tidings.llm.queries import quality_score
 #: Near duplicates share 0.8 of their 5-word shingles (op3 has 0.9 of 3 words, by its contract). With 4 shingles
 #: a block or fewer, 1 spare block for 8 differences keeps empty blocks from emitting keys.
 SHINGLE = 5
-SIZES = jaccard.Sizes(80, 100, share=1 / 8)
+SIZES = jaccard.Sizes(80, 100, share=1 / 8, width=1.6)
 
 #: The tokenizer and the matching thresholds have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
