@@ -3,7 +3,8 @@ columns, for every operator of the package."""
 
 import pytest
 
-from tidings.llm import chat, decontaminate, jaccard, kneser_ney, linededup, mixing, packing, quality, rules, secrets
+from tidings.llm import chat, decontaminate, files, jaccard, kneser_ney, linededup, mixing, packing, quality, rules, secrets
+from tidings.session import scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, size long, taken long, place long, words string, key string, failed string"
 EXTRA = (1, 2, 3, "x", "y", "z")
@@ -82,6 +83,33 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_matrices_keep_ids_and_missing_ids(spark, docs, none):
+    path = scratch_path(spark, "small-matrices")
+    packed = packing.pack(docs, seq_len=128).drop("row_id")
+    back = packing.read_matrices(packing.write_matrices(packed, path, rows=50), path).drop("row_id")
+    assert sorted(map(str, back.collect())) == sorted(map(str, packed.collect())) and back.columns == packed.columns
+    assert packing.read_matrices(packing.write_matrices(packing.pack(none), path + "-none"), path + "-none").count() == 0
+
+
+def test_ids_that_do_not_fit_are_an_error(spark, docs, monkeypatch):
+    monkeypatch.setattr(packing.encoder(packing.TOKENIZER), "largest", 70_000)
+    with pytest.raises(ValueError, match="2 bytes"):
+        next(packing._pack_batches(iter([]), packing.SEQ_LEN, packing.TOKENIZER, 2, 0, packing.WINDOW_TOKENS))
+
+
+def test_paths_without_a_scheme_lie_in_the_default_file_system(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    old = hadoop.get("fs.defaultFS")
+    try:
+        hadoop.set("fs.defaultFS", "viewfs://cluster/")
+        hadoop.set("fs.viewfs.mounttable.cluster.link./x", "file:///tmp")
+        assert files.qualified(spark, "/x/y") == "viewfs://cluster/x/y"
+        assert files._local(files.qualified(spark, "/x/y")) is None
+    finally:
+        hadoop.set("fs.defaultFS", old or "file:///")
+    assert files._local(files.qualified(spark, "/x/y")) == "/x/y"
+
+
 def test_kneser_ney(docs, none):
     model = kneser_ney.train(docs)
     got = kneser_ney.score(docs, model).collect()

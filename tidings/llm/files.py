@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 import numpy as np
 import pyarrow.fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark understands it, with its file system: one without a scheme lies in the default one."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
 
 
 def _local(path: str) -> str | None:
@@ -17,6 +25,11 @@ def _local(path: str) -> str | None:
     return None if "://" in path else path
 
 
+def _remote(folder: str) -> tuple:
+    """The file system and path; the store that Hadoop calls s3a or s3n is s3 here."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", folder))
+
+
 def save(folder: str, name: str, array: np.ndarray) -> None:
     """Writes a raw array; a task that runs twice leaves one whole file."""
     local = _local(folder)
@@ -26,7 +39,7 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
         array.tofile(part)
         os.replace(part, f"{local}/{name}")
     else:
-        fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+        fs, at = _remote(folder)
         fs.create_dir(at)
         with fs.open_output_stream(f"{at}/{name}") as out:
             out.write(array.tobytes())
@@ -37,6 +50,6 @@ def load(folder: str, name: str, kind) -> np.ndarray:
     local = _local(folder)
     if local:
         return np.memmap(f"{local}/{name}", dtype=kind, mode="r")
-    fs, at = pyarrow.fs.FileSystem.from_uri(folder)
+    fs, at = _remote(folder)
     with fs.open_input_stream(f"{at}/{name}") as f:
         return np.frombuffer(f.read(), dtype=kind)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import written
-from .files import save
+from .files import load, qualified, save
 
 SEQ_LEN = 2048
 WINDOW_TOKENS = 1_000_000
@@ -49,7 +49,10 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     """text -> token ids, for a rank file of byte-level BPE. One for each worker process.
 
     A blank between two solid characters always begins a token, so such words
-    are encoded one by one and kept; a text with other white space than single
+    are encoded apart from each other. The words of a text that are not known
+    yet are encoded in one call and told apart by the tokens that begin with a
+    blank. Words are kept in two generations, the older one dropped when the
+    newer is full. A text with other white space than single
     blanks and line ends between words is encoded whole. The ids are the same.
     """
     if path in _ENCODERS:
@@ -59,29 +62,45 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     bpe = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    known: dict[str, bytes] = {}
+    begins = np.zeros(max(ranks.values()) + 1, dtype=bool)
+    begins[[r for t, r in ranks.items() if t[:1] == b" "]] = True
+    known: dict[str, bytes] = {}       # of a word: the ids of a blank and the word
+    older: dict[str, bytes] = {}
     loose = re.compile(r"\s\s|^\s|\s$")
 
-    def raw(text: str) -> bytes:
-        return np.array(bpe.encode_ordinary(text), dtype=np.uint32).tobytes()
+    def raw(text: str) -> np.ndarray:
+        return np.array(bpe.encode_ordinary(text), dtype=np.uint32)
+
+    def learn(words: list[str]) -> None:
+        new = []
+        for w in words:
+            ids = older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        if new:
+            ids = raw(" " + " ".join(new))
+            cuts = np.append(np.flatnonzero(begins[ids]), len(ids)).tolist()
+            data = memoryview(ids.tobytes())
+            for w, lo, hi in zip(new, cuts[:-1], cuts[1:], strict=True):
+                known[w] = bytes(data[4 * lo:4 * hi])
 
     def encode(text: str) -> np.ndarray:
-        if loose.search(text):
-            return np.frombuffer(raw(text), dtype=np.uint32)
-        parts = text.split(" ")
-        parts[1:] = [" " + p for p in parts[1:]]
+        nonlocal known, older
+        first, blank, rest = text.partition(" ")
+        if not blank or loose.search(text):
+            return raw(text)
+        words = rest.split(" ")
+        missing = [w for w in set(words) if w not in known]
+        if missing:
+            learn(missing)
+        ids = np.frombuffer(raw(first).tobytes() + b"".join(map(known.__getitem__, words)), dtype=np.uint32)
         if len(known) > CACHE_WORDS:
-            known.clear()
-        out = []
-        for p in parts:
-            ids = known.get(p)
-            if ids is None:
-                ids = raw(p)
-                if len(p) < 64:
-                    known[p] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype=np.uint32)
+            known, older = {}, known
+        return ids
 
+    encode.largest = max(ranks.values())
     _ENCODERS[path] = encode
     return encode
 
@@ -147,29 +166,33 @@ def _rows(pieces: list[tuple], seq_len: int, kind: type, pad: int, prefix: str)
     return pa.RecordBatch.from_pylist(out, schema=ARROW)
 
 
+def _pack_batches(batches: Iterator[pa.RecordBatch], seq_len: int, tokenizer: str, id_bytes: int, pad: int,
+                  window_tokens: int) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    encode, pieces, held, window, kind = encoder(tokenizer), [], 0, 0, f"<u{id_bytes}"
+    if encode.largest >= 1 << 8 * id_bytes:
+        raise ValueError(f"ids up to {encode.largest} do not fit into {id_bytes} bytes")
+    part = TaskContext.get().partitionId()
+    for b in batches:
+        for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            ids = encode(text or "").astype(kind)
+            for at in range(0, len(ids), seq_len):
+                piece = ids[at:at + seq_len]
+                pieces.append((doc, at, piece))
+                held += len(piece)
+                if held >= window_tokens:
+                    yield _rows(pieces, seq_len, kind, pad, f"{part}-{window}")
+                    pieces, held, window = [], 0, window + 1
+    if pieces:
+        yield _rows(pieces, seq_len, kind, pad, f"{part}-{window}")
+
+
 def pack(docs: DataFrame, seq_len: int = SEQ_LEN, tokenizer: str = TOKENIZER, id_bytes: int = 2, pad: int = 0,
          window_tokens: int = WINDOW_TOKENS) -> DataFrame:
-    """Packed rows of token ids of all documents."""
-    kind = {2: "<u2", 4: "<u4"}[id_bytes]
-
+    """Packed rows of token ids of all documents. A vocabulary that does not fit into ``id_bytes`` (2 or 4) is an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        encode, pieces, held, window, size = encoder(tokenizer), [], 0, 0, 0
-        part = TaskContext.get().partitionId()
-        for b in batches:
-            for doc, text in zip(b.column("doc_id"), b.column("text"), strict=True):
-                ids = encode(text.as_py() or "").astype(kind)
-                doc = doc.as_py()
-                for at in range(0, len(ids), seq_len):
-                    piece = ids[at:at + seq_len]
-                    pieces.append((doc, at, piece))
-                    held += len(piece)
-                    if held >= window_tokens:
-                        yield _rows(pieces, seq_len, kind, pad, f"{part}-{window}")
-                        pieces, held, window = [], 0, window + 1
-        if pieces:
-            yield _rows(pieces, seq_len, kind, pad, f"{part}-{window}")
+        return _pack_batches(batches, seq_len, tokenizer, id_bytes, pad, window_tokens)
 
     return docs.selectExpr("cast(doc_id AS long) doc_id", "text").mapInArrow(run, SCHEMA)
 
@@ -193,32 +216,73 @@ def unpacked(packed: DataFrame, id_bytes: int = 2) -> DataFrame:
     return packed.mapInArrow(run, "doc_id long, offset long, ids array<int>")
 
 
+#: the files of a block of rows, and their numbers
+FILES = {"cu": "<i4", "segments": "<i8", "docs": "<i8", "known": "u1", "offsets": "<i8"}
+
+
 def write_matrices(packed: DataFrame, path: str, rows: int = 8192) -> DataFrame:
     """Writes the rows as raw binary files of the shared folder ``path``, up to
     ``rows`` rows in each: ``<name>.ids`` and ``<name>.positions`` (matrices of
     rows x seq_len), ``<name>.cu`` (int32: the cumulative segment lengths of all
-    rows, one after another) and ``<name>.segments`` (int64: how many each row
-    has). Gives one row for each name (name, n_rows); names follow partition
-    and place, so a task that runs again replaces its own files."""
+    rows, one after another), ``<name>.segments`` (int64: how many each row
+    has), ``<name>.docs``, ``<name>.known`` and ``<name>.offsets`` (int64, uint8, int64: the
+    document of each segment, whether it has an id, and the offset). Gives one row for each name (name, n_rows);
+    names follow partition and place, so a task that runs again replaces its own files."""
+    path = qualified(packed.sparkSession, path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        def put(held: list[dict], k: int) -> pa.RecordBatch:
+        def put(held: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
             name = f"part-{TaskContext.get().partitionId():05d}-{k:05d}"
+            table = pa.Table.from_batches(held).combine_chunks()
             for of in ("ids", "positions"):
-                save(path, f"{name}.{of}", np.frombuffer(b"".join(r[of] for r in held), np.uint8))
-            save(path, f"{name}.cu", np.array([c for r in held for c in r["cu_seqlens"]], "<i4"))
-            save(path, f"{name}.segments", np.array([len(r["doc_ids"]) for r in held], "<i8"))
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(held)], pa.int64())], ["name", "n_rows"])
-
-        held, k = [], 0
+                save(path, f"{name}.{of}", np.frombuffer(b"".join(table.column(of).to_pylist()), np.uint8))
+            docs = table.column("doc_ids").combine_chunks()
+            parts = {"cu": table.column("cu_seqlens").combine_chunks().flatten(), "segments": docs.value_lengths(),
+                     "docs": docs.flatten().fill_null(0), "known": docs.flatten().is_valid().cast(pa.uint8()),
+                     "offsets": table.column("offsets").combine_chunks().flatten()}
+            for of, kind in FILES.items():
+                save(path, f"{name}.{of}", np.concatenate([np.asarray(c, kind) for c in _chunks(parts[of])]))
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(table)], pa.int64())], ["name", "n_rows"])
+
+        held, n, k = [], 0, 0
         for b in batches:
-            for r in b.to_pylist():
-                held.append(r)
-                if len(held) == rows:
+            while b.num_rows:
+                held.append(b.slice(0, rows - n))
+                n, b = n + held[-1].num_rows, b.slice(rows - n)
+                if n == rows:
                     yield put(held, k)
-                    held, k = [], k + 1
+                    held, n, k = [], 0, k + 1
         if held:
             yield put(held, k)
 
     return written(packed.mapInArrow(run, "name string, n_rows long"), "packed-files")
+
+
+def _chunks(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    return [c.to_numpy(zero_copy_only=False) for c in (column.chunks if isinstance(column, pa.ChunkedArray) else [column])]
+
+
+def read_matrices(files: DataFrame, path: str, tasks: int = 4096) -> DataFrame:
+    """The packed rows that ``write_matrices`` wrote (its result and path), one file or more in each of up to ``tasks`` tasks."""
+    path = qualified(files.sparkSession, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, n in zip(b.column("name").to_pylist(), b.column("n_rows").to_pylist(), strict=True):
+                cu, segments, docs, known, offsets = (load(path, f"{name}.{of}", kind) for of, kind in FILES.items())
+                edge = np.concatenate(([0], np.cumsum(segments)))
+                ends = np.cumsum(segments + 1)
+                lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values) for at, values in (
+                    (np.concatenate(([0], ends)), pa.array(cu)), (edge, pa.array(docs, mask=known == 0)), (edge, pa.array(offsets)))]
+                raw = []
+                for of in ("ids", "positions"):
+                    data = load(path, f"{name}.{of}", np.uint8)
+                    at = np.linspace(0, len(data), n + 1).astype(np.int32)
+                    raw.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)]))
+                yield pa.RecordBatch.from_arrays([pa.array([f"{name}-{k}" for k in range(n)]), pa.array(cu[ends - 1].astype(np.int32)),
+                                                  *raw, *lists], schema=ARROW)
+
+    count = files.count()
+    return files.repartition(max(1, min(count, tasks)), "name").mapInArrow(run, SCHEMA)

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import (
     chat,
     codes,
@@ -92,8 +93,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_token_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as packed rows of token ids."""
-    return packing.pack(read(spark, sf_dir, "documents"))
+    """All documents as packed rows of token ids, written as binary matrices and read back from them."""
+    path = scratch_path(spark, "matrices")
+    files = packing.write_matrices(packing.pack(read(spark, sf_dir, "documents")), path)
+    return packing.read_matrices(files, path)
 
 
 @query("op6_lm_score")
