@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidings.llm import decontaminate, jaccard, mixing, packing, quality
 from tidings.llm.common import read, written
 from tidings.llm.queries import quality_score
+from tidings.session import scratch_path
 
 #: Near duplicates share 0.8 of their 5-word shingles (op3 has 0.9 of 3 words, by its contract). With 4 shingles
 #: a block or fewer, 1 spare block for 8 differences keeps empty blocks from emitting keys.
@@ -49,8 +50,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed rows of token ids."""
-    return packing.pack(docs)
+    """Packed rows of token ids, written as binary matrices and read back from them."""
+    path = scratch_path(spark, "pipeline-matrices")
+    return packing.read_matrices(packing.write_matrices(packing.pack(docs), path), path)
 
 
 STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicates_stage), ("decontamination", decontamination_stage),
