@@ -165,3 +165,12 @@ def test_jaccard_decides_row_by_row(spark):
     assert jaccard.deduplicated(docs).columns == docs.columns and {r._alone for r in jaccard.deduplicated(docs).collect()} == {7}
     got = sorted((r.doc_id or 0, r.component_id or 0, r.n_shingles) for r in jaccard.join_classes(docs).collect())
     assert got == [(0, 0, 28), (0, 0, 28), (1, 1, 28), (2, 1, 28), (2, 2, 28), (3, 3, 28), (3, 3, 28), (3, 3, 28), (4, 3, 29), (5, 5, 0), (5, 5, 0)]
+
+
+def test_lines_of_rows_with_one_id_are_judged_by_their_texts(spark):
+    docs = spark.createDataFrame([(1, "a copied line\nfirst own line", 5), (2, "second own line\na copied line", 5), (2, "third own line\nfourth own line", 5),
+                                  (2, "third own line\nfourth own line", 5)], "doc_id long, text string, _id int")
+    got = linededup.deduplicated(docs)
+    assert got.columns == ["doc_id", "text", "_id"]
+    assert sorted((r.doc_id, r.text, r._id) for r in got.collect()) == sorted([
+        (1, "a copied line\nfirst own line", 5), (2, "second own line", 5), (2, "third own line\nfourth own line", 5), (2, "third own line\nfourth own line", 5)])

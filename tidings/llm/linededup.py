@@ -7,23 +7,26 @@ shorter lines must be equal. A line goes if such a line stands earlier, in
 order of (doc_id, line number), kept or not. Only DataFrame functions are used:
 
 1. Equal lines are one line at its earliest place (grouped minimum of hashes).
+   These get numbers in order of place, by one sort over ranges.
 2. One edit lies in the first or in the second half of a line, so similar
    lines have equal first or equal last halves. A line that shares no half with
-   another goes no further; no pair is lost by that.
-3. Each other line emits every variant with one word left out, as hashed keys:
-   with the gap left open (replaced words), and closed up, against the whole
-   lines of one word less.
+   another goes no further, and one that shares only its first half has its
+   edit in the rest; no pair is lost by that.
+3. Each other line emits every variant with one word of the part that may
+   differ left out, as hashed keys: with the gap left open (replaced words),
+   and closed up, against the whole lines of one word less.
 4. Lines with one open key differ in one word at one place; lines with one
-   closed key are a shorter line and longer ones. So the least place of the
+   closed key are a shorter line and longer ones. So the least number of the
    other kind in a key is an earlier similar line, if there is any. Each line is
    joined to it, and the edit distance of the two is verified word by word.
 
 Keys are grouped by minimum and never gathered, so a frequent line or a large
-family of variants costs a row for each variant.
+family of variants costs a row for each variant. The minima are written before
+they are joined, so hot keys of the join can be split.
 
 Defined cases: null and empty texts have no lines; lines without a word stay
 and are not counted; lines at one number of rows with one doc_id stand at the
-same place, and none of them makes another go; rows without a doc_id keep all
+same place, and none of them makes another go; each is judged by its own text; rows without a doc_id keep all
 lines; an empty table gives no rows; further columns are not read.
 """
 
@@ -43,14 +46,14 @@ def _lines(text: str = "text") -> Column:
 
 def _halves(n: Column, words: Column) -> Column:
     """Hashes of the words, at the front and at the end, that one edit in the
-    other half leaves alone, for partners of equal length, longer and shorter."""
+    other half leaves alone, for partners of equal length and longer, then (if they differ) for shorter ones."""
     def one(size: Column) -> list[Column]:
         return [F.xxhash64(F.lit(0), size, F.slice(words, F.lit(1), size)),
                 F.xxhash64(F.lit(1), size, F.slice(words, n - size + 1, size))]
 
     # lines of n words share n div 2 words or more with lines of n and n + 1, and (n - 1) div 2 with those of n - 1
-    keys = F.array(*one((n / 2).cast("int")), *one(((n - 1) / 2).cast("int")))
-    return F.when(n >= LEAST_WORDS, F.array_distinct(keys)).otherwise(F.array().cast("array<bigint>"))
+    wide, short = one((n / 2).cast("int")), one(((n - 1) / 2).cast("int"))
+    return F.when(n < LEAST_WORDS, F.array().cast("array<bigint>")).when(n % 2 == 1, F.array(*wide)).otherwise(F.array(*wide, *short))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -58,45 +61,70 @@ def lines_of(docs: DataFrame) -> DataFrame:
     d = docs.filter("doc_id IS NOT NULL").select("doc_id", F.posexplode(_lines()).alias("line", "_text"))
     d = d.filter(F.btrim("_text", F.lit(WHITE)) != "").select("doc_id", "line", words_of(F.col("_text")).alias("_words"))
     n = F.size("_words")
-    return d.select("doc_id", "line", F.xxhash64("_words").alias("h1"), F.xxhash64("_words", n).alias("h2"),
-                    _halves(n, F.col("_words")).alias("halves"))
+    return d.select("doc_id", "line", *_names(F.col("_words")), _halves(n, F.col("_words")).alias("halves"))
+
+
+def _names(words: Column) -> list[Column]:
+    return [F.xxhash64(words).alias("h1"), F.xxhash64(words, F.size(words)).alias("h2")]
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """(lid, doc_id, line, h1, h2, halves) of the distinct lines at their earliest places; lid follows the place."""
+    first = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line", "halves")).alias("first")).select("first.*", "h1", "h2")
+    ordered = first.repartitionByRange("doc_id", "line").sortWithinPartitions("doc_id", "line")
+    return written(ordered.select(F.monotonically_increasing_id().alias("lid"), "doc_id", "line", "h1", "h2", "halves"), "line-first")
 
 
 def _candidates(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(doc_id, line, words) of the distinct lines that share a half with another."""
-    keys = written(firsts.select("doc_id", "line", "h1", F.explode("halves").alias("half")), "line-halves")
-    shared = keys.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a < b").select("half")
-    chosen = keys.join(shared, "half", "left_semi").groupBy("doc_id").agg(F.collect_set("line").alias("_chosen"))
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id").withColumn("_lines", _lines())
+    """(lid, doc_id, line, shared, words) of the distinct lines that share a half with another; shared: which, as bits."""
+    keys = firsts.select("lid", F.posexplode("halves").alias("at", "half"))
+    shared = keys.groupBy("half").agg(F.min("lid").alias("a"), F.max("lid").alias("b")).filter("a < b").select("half")
+    found = keys.join(written(shared, "line-halves"), "half", "left_semi").groupBy("lid").agg(
+        F.bit_or(F.expr("shiftleft(1, at)")).alias("shared"))
+    chosen = written(firsts.select("lid", "doc_id", "line", "h1", "h2").join(found, "lid"), "line-chosen")
+    numbers = chosen.groupBy("doc_id").agg(F.collect_set("line").alias("_chosen"))
+    texts = docs.select("doc_id", "text").join(numbers, "doc_id").withColumn("_lines", _lines())
     one = F.explode(F.transform("_chosen", lambda i: F.struct(i.alias("line"), F.get("_lines", i).alias("text"))))
     rows = texts.select("doc_id", one.alias("_one")).select("doc_id", "_one.line", words_of(F.col("_one.text")).alias("words"))
     # of rows with one doc_id, the line that was chosen, not another one at its number
-    rows = rows.withColumn("h1", F.xxhash64("words")).join(firsts.select("doc_id", "line", "h1"), ["doc_id", "line", "h1"], "left_semi")
-    return written(rows.select("doc_id", "line", "h1", "words").dropDuplicates(["doc_id", "line"]), "line-candidates")
+    rows = rows.select("doc_id", "line", "words", *_names(F.col("words"))).join(chosen, ["doc_id", "line", "h1", "h2"])
+    return written(rows.select("lid", "doc_id", "line", "shared", "words").dropDuplicates(["lid"]), "line-candidates")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(key, role, place): role 0 a gap left open, 1 a whole line, 2 a gap closed up.
+    """(key, role, lid): role 0 a gap left open, 1 a whole line, 2 a gap closed up.
 
     A sequence is hashed as the xor of its words' hashes at their places, so
     leaving one out is an xor with a running value.
     """
     n = F.size("words")
-    w = lines.select(F.struct("doc_id", "line").alias("place"), n.alias("n"), F.posexplode("words").alias("j", "_word"))
-    w = w.select("place", "n", "j", F.xxhash64("_word", "j").alias("here"), F.xxhash64("_word", F.col("j") - 1).alias("moved"))
-    whole = Window.partitionBy("place")
-    upto = whole.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-    w = w.select("place", "n", "j", "here", F.bit_xor("here").over(upto).alias("here_to"), F.bit_xor("moved").over(upto).alias("moved_to"),
-                 F.bit_xor("here").over(whole.orderBy("j").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("here_all"),
-                 F.bit_xor("moved").over(whole.orderBy("j").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("moved_all"))
+    # the least shared half at the front, and at the end (no half: all the line is shared, nothing may differ)
+    wide, short = (F.col("n") / 2).cast("int"), ((F.col("n") - 1) / 2).cast("int")
+
+    def least(end: int) -> Column:
+        bit = F.col("shared")
+        return F.when(bit.bitwiseAND(4 << end) != 0, short).when(bit.bitwiseAND(1 << end) != 0, wide).otherwise(F.col("n"))
+
+    # by line first: the windows below then need no exchange of words
+    w = lines.repartition("lid").select("lid", "shared", n.alias("n"), F.posexplode("words").alias("j", "_word"))
+    w = w.withColumn("may", (F.col("j") >= least(0)) | (F.col("j") < F.col("n") - least(1)))
+    w = w.select("lid", "n", "j", "may", F.xxhash64("_word", "j").alias("here"), F.xxhash64("_word", F.col("j") - 1).alias("moved"))
+    whole = Window.partitionBy("lid").orderBy("j")
+    upto, every = whole.rowsBetween(Window.unboundedPreceding, 0), whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = w.select("lid", "n", "j", "may", "here", F.bit_xor("here").over(upto).alias("here_to"), F.bit_xor("moved").over(upto).alias("moved_to"),
+                 F.bit_xor("here").over(every).alias("here_all"), F.bit_xor("moved").over(every).alias("moved_all"))
     xor = Column.bitwiseXOR
     closed = xor(xor(xor(F.col("here_to"), F.col("here")), F.col("moved_all")), F.col("moved_to"))
-    gap_open = F.struct(F.lit(0).alias("role"), F.xxhash64("n", "j", xor(F.col("here_all"), F.col("here"))).alias("key"))
-    line = F.struct(F.lit(1).alias("role"), F.xxhash64("n", F.col("here_all")).alias("key"))
-    gap_closed = F.struct(F.lit(2).alias("role"), F.xxhash64(F.col("n") - 1, closed).alias("key"))
+
+    def key(role: int, hashed: Column) -> Column:
+        return F.struct(F.lit(role).cast("tinyint").alias("role"), hashed.alias("key"))
+
+    gap_open = key(0, F.xxhash64("n", "j", xor(F.col("here_all"), F.col("here"))))
+    line = F.when(F.col("j") == 0, key(1, F.xxhash64("n", F.col("here_all"))))
+    gap_closed = key(2, F.xxhash64(F.col("n") - 1, closed))
     # a run of equal words gives the same closed variant again and again
-    keys = F.when(F.col("j") == 0, F.array(gap_open, gap_closed, line)).otherwise(F.array(gap_open, gap_closed))
-    return w.select("place", F.explode(keys).alias("_key")).select("_key.key", "_key.role", "place")
+    keys = F.when(F.col("may"), F.array(gap_open, gap_closed, line)).otherwise(F.array(line))
+    return w.select("lid", F.explode(F.filter(keys, lambda k: k.isNotNull())).alias("_key")).select("_key.key", "_key.role", "lid")
 
 
 def _distance_one(a: Column, b: Column) -> Column:
@@ -110,33 +138,36 @@ def _distance_one(a: Column, b: Column) -> Column:
 
 
 def _near(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(doc_id, line) of the distinct lines with an earlier similar one."""
+    """(doc_id, line, h1, h2) of the distinct lines with an earlier similar one."""
     lines = _candidates(docs, firsts)
     keys = written(_variants(lines), "line-variants")
-    least = [F.min(F.when(F.col("role") == k, F.col("place"))).alias(f"m{k}") for k in range(3)]
-    groups = keys.groupBy("key").agg(F.min("place").alias("a"), F.max("place").alias("b"), *least).filter("a < b").drop("a", "b")
+    least = [F.min(F.when(F.col("role") == k, F.col("lid"))).alias(f"m{k}") for k in range(3)]
+    groups = keys.groupBy("key").agg(F.min("lid").alias("a"), F.max("lid").alias("b"), *least).filter("a < b").drop("a", "b")
+    groups = written(groups, "line-least")
     other = F.when(F.col("role") == 0, F.col("m0")).when(F.col("role") == 1, F.col("m2")).otherwise(F.col("m1"))
-    pairs = keys.join(groups, "key").withColumn("other", other).filter("other < place").select("place", "other").distinct()
-    words = lines.select(F.struct("doc_id", "line").alias("place"), "words")
-    pairs = pairs.join(words, "place").join(words.select(F.col("place").alias("other"), F.col("words").alias("others")), "other")
-    return pairs.filter(_distance_one(F.col("words"), F.col("others"))).select("place.doc_id", "place.line").distinct()
+    pairs = keys.join(groups, "key").withColumn("other", other).filter("other < lid").select("lid", "other").distinct()
+    before = lines.select(F.col("lid").alias("other"), F.struct("doc_id", "line").alias("place"), F.col("words").alias("others"))
+    pairs = pairs.join(lines.select("lid", "doc_id", "line", "words"), "lid").join(before, "other")
+    earlier = F.col("place") < F.struct("doc_id", "line")
+    found = pairs.filter(earlier & _distance_one(F.col("words"), F.col("others"))).select("lid").distinct()
+    return firsts.join(found, "lid", "left_semi").select("doc_id", "line", "h1", "h2")
 
 
 def decisions(docs: DataFrame) -> DataFrame:
     """Per doc_id: n_lines, n_equal and n_near (lines that go as equal or
-    similar to an earlier one), dropped (their numbers, ascending)."""
+    similar to an earlier one), dropped (their numbers, ascending), gone (number and hash of each)."""
     rows = written(lines_of(docs), "line-rows")
-    first = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line", "halves")).alias("first"))
-    firsts = written(first.select("first.*", "h1", "h2"), "line-first")
+    firsts = _firsts(rows)
+    place = ["doc_id", "line", "h1", "h2"]
     near = _near(docs, firsts).withColumn("_near", F.lit(True))
-    place = ["doc_id", "line"]
-    own = firsts.select(*place, "h1", "h2", F.lit(True).alias("_first")).join(near, place, "left")
+    own = firsts.select(*place, F.lit(True).alias("_first")).join(near, place, "left")
     # a line whose place is not the first of its text is a copy
-    marked = rows.select(*place, "h1", "h2").join(own, [*place, "h1", "h2"], "left")
+    marked = rows.select(*place).join(own, place, "left")
     equal, close = F.col("_first").isNull(), F.coalesce(F.col("_near"), F.lit(False))
     return marked.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if(equal).alias("n_equal"), F.count_if(~equal & close).alias("n_near"),
-        F.array_sort(F.collect_set(F.when(equal | close, F.col("line")))).alias("dropped"))
+        F.array_sort(F.collect_set(F.when(equal | close, F.struct("line", "h1")))).alias("gone")).withColumn(
+        "dropped", F.array_distinct(F.transform("gone", lambda g: g.line)))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -148,8 +179,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns as they are, with the lines that go taken out of the text."""
-    gone = decisions(docs).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped")).filter(F.size("_dropped") > 0)
-    d = docs.join(gone, docs["doc_id"] == gone["_id"], "left")
-    kept = F.array_join(F.filter(_lines(), lambda x, i: ~F.array_contains("_dropped", i)), "\n")
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept)
-    return d.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    names = [f"_column_{k}" for k in range(len(docs.columns))]
+    doc_id, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    gone = decisions(docs.select("doc_id", "text")).filter(F.size("gone") > 0).select("doc_id", "gone")
+    d = docs.toDF(*names)
+    d = d.join(gone, d[doc_id] == gone["doc_id"], "left")
+    kept = F.array_join(F.filter(_lines(text), lambda x, i: ~F.array_contains(
+        "gone", F.struct(i.alias("line"), F.xxhash64(words_of(x)).alias("h1")))), "\n")
+    left = F.when(F.col("gone").isNull(), F.col(text)).otherwise(kept)
+    return d.select(*[(left if n == text else F.col(n)).alias(c) for n, c in zip(names, docs.columns, strict=True)])
