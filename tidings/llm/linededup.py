@@ -83,7 +83,8 @@ def _candidates(docs: DataFrame, firsts: DataFrame) -> DataFrame:
         F.bit_or(F.expr("shiftleft(1, at)")).alias("shared"))
     chosen = written(firsts.select("lid", "doc_id", "line", "h1", "h2").join(found, "lid"), "line-chosen")
     numbers = chosen.groupBy("doc_id").agg(F.collect_set("line").alias("_chosen"))
-    texts = docs.select("doc_id", "text").join(numbers, "doc_id").withColumn("_lines", _lines())
+    # the numbers grow with the documents, so they are never broadcast
+    texts = docs.select("doc_id", "text").join(numbers.hint("merge"), "doc_id").withColumn("_lines", _lines())
     one = F.explode(F.transform("_chosen", lambda i: F.struct(i.alias("line"), F.get("_lines", i).alias("text"))))
     rows = texts.select("doc_id", one.alias("_one")).select("doc_id", "_one.line", words_of(F.col("_one.text")).alias("words"))
     # of rows with one doc_id, the line that was chosen, not another one at its number
