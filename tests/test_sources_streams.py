@@ -43,10 +43,49 @@ def test_bing_envelope_flatten(spark):
     good, bad = V.valid_articles(flat)
     assert good.count() == 9 and [r.missing_fields for r in bad.collect()] == ["url"]
     first = flat.filter("pos = 0").first()
-    assert first.title == "title 0" and first.provider_name == "X" and "inner" in first.clustered_articles
+    assert first.title == "title 0" and first.provider_name == "X" and first.original_query == "AI"
+    inner = V.clustered_articles(flat).filter("pos = 0").first()
+    assert (inner.title, inner.url, inner.inner_pos) == ("inner", "u", 0)
+    assert json.loads(first.article_data)["clusteredArticles"][0]["name"] == "inner"       # nested, not a string of JSON
     assert flat.filter("pos = 5").first().provider_name is None
 
 
+GOOD = {"bingnews": {"value": []}, "newsapi.org": {"status": "ok", "totalResults": 0, "articles": []},
+        "thenewsapi.com": {"meta": {"found": 0}, "data": []}}
+BAD = {"bingnews": [{"errors": [{"code": "X"}]}, {"_type": "ErrorResponse"}, {"totalEstimatedMatches": 3}],
+       "newsapi.org": [{"status": "error", "code": "X"}, {"totalResults": 1, "articles": []}, {"status": "ok"}],
+       "thenewsapi.com": [{"error": {"code": "X"}}, {"meta": {"found": 1}}, {"data": []}]}
+
+
+def test_every_line_is_data_or_quarantined(spark):
+    """Envelopes without a type, errors without a code, cut lines, wrong types and texts that are no object."""
+    for vendor, good in GOOD.items():
+        d = tempfile.mkdtemp(prefix="split-")
+        number = {"bingnews": "totalEstimatedMatches", "newsapi.org": "totalResults", "thenewsapi.com": "meta"}[vendor]
+        bad = [json.dumps(x) for x in BAD[vendor]] + ['{"value": [{"name": "cut', "null", "[]", "5", "{}", json.dumps({**good, number: "many"})]
+        with open(os.path.join(d, "p.json"), "w") as f:
+            f.write("\n".join([json.dumps(good), "", *bad, json.dumps({**good, "new_field": {"a": [1]}}), "  "]) + "\n")
+        env = V.read_envelopes(spark, d, vendor)
+        data, quarantine = V.split_errors(env, vendor)
+        assert data.count() == 2 and quarantine.count() == len(bad) and env.count() == len(bad) + 2
+        codes = [r.error_code for r in quarantine.collect()]
+        assert codes.count("malformed_json") == 5 and codes.count("missing_fields") >= 2 and codes.count("X") == 1
+        assert V.flatten(data, vendor).count() == 0
+
+
+def test_related_topics_of_drifting_shape(spark):
+    d = tempfile.mkdtemp(prefix="related-")
+    news = [{"name": "t", "url": "u", "provider": 5}, {"name": 7}, "text"]
+    lines = [{"envelope_id": "a", "value": [], "relatedTopics": [{"name": "n", "webSearchUrl": "w", "relatedNews": news}, {"name": "none"}, 3]},
+             {"envelope_id": "b", "value": [], "relatedTopics": "gone"}, {"envelope_id": "c", "value": []}]
+    with open(os.path.join(d, "p.json"), "w") as f:
+        f.write("\n".join(map(json.dumps, lines)))
+    data, quarantine = V.split_errors(V.read_envelopes(spark, d, "bingnews"), "bingnews")
+    got = [(r.envelope_id, r.topic_pos, r.related_topic, r.pos, r.title, r.url) for r in V.related_articles(data).collect()]
+    assert got == [("a", 0, "n", 0, "t", "u"), ("a", 0, "n", 1, "7", None), ("a", 0, "n", 2, None, None)]
+    assert data.count() == 3 and quarantine.count() == 0
+
+
 def test_commented_jsonl(spark):
     d = tempfile.mkdtemp(prefix="jsonl-")
     with open(os.path.join(d, "en.jsonl"), "w") as f:

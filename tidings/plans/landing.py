@@ -2,7 +2,9 @@
 
 Every (run, page of 100 hits) becomes one JSON envelope in its vendor's
 format; beside every 4th page (page % 4 = 3) stands an error envelope, as left
-by a try before, and the url of every document with doc_id % 13 = 0 is missing
+by a try before, beside every 3rd (page % 3 = 0) a line cut off in the middle,
+beside every 5th (page % 5 = 0) an envelope without its required fields;
+the url of every document with doc_id % 13 = 0 is missing
 (a required field). Pages come from an exact distributed rank on events alone;
 texts are cut to what a vendor sends beside the documents scan, and one grouped
 pass builds the envelopes of all vendors, each of one page, a bounded group.
@@ -24,8 +26,10 @@ from .q_functions import vendor_category
 CONTENT_CHARS, SNIPPET_CHARS = 200, 60
 
 
-def paged_hits(spark: SparkSession, sf: str) -> DataFrame:
+def paged_hits(spark: SparkSession, sf: str, vendors: tuple[str, ...] = ()) -> DataFrame:
     ev = A.with_raw_dates(A.hit_events(spark, sf))
+    if vendors:
+        ev = ev.filter(F.col("aggregator_id").isin(*vendors))
     ev = rank_within(ev, ["topic_id", "aggregator_id"], "event_id", name="arrival_rank")
     ev = ev.withColumn("page", F.floor((F.col("arrival_rank") - 1) / PAGE_SIZE).cast("long"))
     ev = ev.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
@@ -48,6 +52,8 @@ def _bing(x: Column) -> Column:
         x["vendor_category"].alias("category"), x["date_or_null"].alias("datePublished"), x["description"],
         (x["doc_id"] % 2 == 0).alias("headline"), x["doc_id"].cast("string").alias("id"),
         F.when(with_image, F.struct(F.struct(_image(x).alias("contentUrl"), F.lit(90).alias("height"), F.lit(120).alias("width")).alias("thumbnail"))).alias("image"),
+        F.when(x["doc_id"] % 7 == 0, F.array(F.struct(x["title"].alias("name"), x["url"], F.array(F.struct(x["lang"].alias("name"))).alias(
+            "clusteredArticles")))).alias("clusteredArticles"),
         F.array(F.struct(x["source"].alias("name")), F.struct(x["lang"].alias("name"))).alias("mentions"),
         x["title"].alias("name"),
         F.array(F.struct(x["source"].alias("name")), F.struct(F.concat(F.lit("via "), x["lang"]).alias("name"))).alias("provider"),
@@ -75,12 +81,18 @@ FIELDS = ("arrival_rank", "event_id", "doc_id", "title", "description", "content
 
 
 def _envelopes() -> Column:
-    """The lines of one page, by its vendor: the response, and an error before every 4th."""
+    """The lines of one page, by its vendor: what is left of tries before, and the response."""
     hits, n = F.col("_hits"), F.size("_hits")
     page, vendor, id_ = F.col("page"), F.col("aggregator_id"), F.col("envelope_id")
     limit = F.lit("rate limit exceeded").alias("message")
-    bing = (F.struct(id_, F.lit("News").alias("_type"),
-                     F.struct(F.col("topic").alias("originalQuery"), F.lit(False).alias("adultIntent")).alias("queryContext"),
+    topic, first = F.col("topic"), hits[0]
+    related = F.array(F.struct(topic.alias("name"), F.concat(F.lit("https://search/"), topic).alias("webSearchUrl"), F.array(
+        F.struct(first["title"].alias("name"), first["url"].alias("url"), first["description"].alias("description"))).alias("relatedNews")))
+    # the type and the related topics are not always there
+    bing = (F.struct(id_, F.when(page % 2 == 1, F.lit("News")).alias("_type"),
+                     F.struct(topic.alias("originalQuery"), F.lit(False).alias("adultIntent"),
+                              F.when(page % 2 == 0, F.concat(topic, F.lit(" news"))).alias("alteredQuery")).alias("queryContext"),
+                     F.when(page % 2 == 0, related).alias("relatedTopics"),
                      n.alias("totalEstimatedMatches"), F.transform(hits, _bing).alias("value")),
             F.struct(id_, F.lit("ErrorResponse").alias("_type"),
                      F.array(F.struct(F.lit("RateLimitExceeded").alias("code"), limit)).alias("errors")))
@@ -91,15 +103,17 @@ def _envelopes() -> Column:
                   F.struct(id_, F.struct(F.lit("rate_limit_reached").alias("code"), limit).alias("error")))
     out = None
     for name, (ok, bad) in ((BING, bing), (NEWSAPI_ORG, newsapi), (THENEWSAPI_COM, thenewsapi)):
-        lines = F.array_compact(F.array(F.when(page % 4 == 3, F.to_json(bad)), F.to_json(ok)))
+        lines = F.array_compact(F.array(
+            F.when(page % 4 == 3, F.to_json(bad)), F.when(page % 3 == 0, F.concat(F.lit('{"envelope_id":"'), id_, F.lit('","value":[{'))),
+            F.when(page % 5 == 0, F.to_json(F.struct(id_))), F.to_json(ok)))
         out = F.when(vendor == name, lines) if out is None else out.when(vendor == name, lines)
     return out
 
 
-def land(spark: SparkSession, sf: str) -> str:
-    """Write the envelopes as JSON lines under <scratch>/vendor=<id>/."""
+def land(spark: SparkSession, sf: str, *vendors: str) -> str:
+    """Write the envelopes (of some vendors, or all) as JSON lines under <scratch>/vendor=<id>/."""
     path = scratch_path(spark, "landed")
-    pages = paged_hits(spark, sf).groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
+    pages = paged_hits(spark, sf, vendors).groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
         F.array_sort(F.collect_list(F.struct(*FIELDS))).alias("_hits"))
     lines = pages.select(F.col("aggregator_id").alias("vendor"), F.explode(_envelopes()).alias("value"))
     lines.write.mode("overwrite").partitionBy("vendor").text(path)

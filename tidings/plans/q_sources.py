@@ -15,7 +15,7 @@ from .oracle_ctes import register, with_views
 from .q_functions import VENDOR_CAT_SQL
 
 register("paged_raw", ("raw_hits",), f"""
-SELECT *, topic_id || '/' || aggregator_id || '/' || CAST(page AS VARCHAR) AS envelope_id,
+SELECT *, 'Topic ' || split_part(topic_id, '_', 2) AS topic, topic_id || '/' || aggregator_id || '/' || CAST(page AS VARCHAR) AS envelope_id,
        CASE WHEN strpos(text, chr(10)) > 0 THEN split_part(text, chr(10), 2) ELSE '' END AS description,
        CASE WHEN doc_id % 13 = 0 THEN NULL ELSE url END AS url_or_null,
        NULLIF(raw_published, '') AS date_or_null, {VENDOR_CAT_SQL} AS vendor_category, url || '/image' AS image,
@@ -25,7 +25,7 @@ FROM (SELECT *, (rn - 1) // 100 AS page, (rn - 1) % 100 AS pos FROM (
 
 
 def _flat(spark, sf, vendor):
-    env = V.read_envelopes(spark, vendor_path(land(spark, sf), vendor), vendor)
+    env = V.read_envelopes(spark, vendor_path(land(spark, sf, vendor), vendor), vendor)
     data, _ = V.split_errors(env, vendor)
     return V.flatten(data, vendor)
 
@@ -43,14 +43,29 @@ MISSING = "CASE WHEN url_or_null IS NULL THEN 'url' ELSE '' END AS missing_field
     doc_id % 2 = 0 AS headline, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 3 = 0 THEN image END AS thumbnail_url,
     CASE WHEN doc_id % 3 = 0 THEN 90::BIGINT END AS thumbnail_height, CASE WHEN doc_id % 3 = 0 THEN 120::BIGINT END AS thumbnail_width,
     CASE WHEN doc_id % 5 = 0 THEN title END AS video_name, CASE WHEN doc_id % 5 = 0 THEN image END AS video_thumbnail_url,
-    CASE WHEN doc_id % 5 = 0 THEN url END AS video_motion_thumbnail_url, total_results, {MISSING}"""))
+    CASE WHEN doc_id % 5 = 0 THEN url END AS video_motion_thumbnail_url, total_results, topic AS original_query,
+    CASE WHEN page % 2 = 0 THEN topic || ' news' END AS altered_query, CASE WHEN doc_id % 7 = 0 THEN url END AS clustered_url,
+    CASE WHEN doc_id % 7 = 0 THEN lang END AS clustered_inner_title, {MISSING}"""))
 def src_bing_flatten(spark, sf):
     """Landed Bing envelopes -> one row per article (snake_case)."""
     f = _flat(spark, sf, BING)
     return f.select("envelope_id", "pos", "title", "url", "description", "date_published", "category", "provider_name",
                     F.array_join("providers", "|").alias("providers"), F.array_join("mentions", "|").alias("mentions"), "headline", "id",
                     "thumbnail_url", "thumbnail_height", "thumbnail_width", "video_name", "video_thumbnail_url",
-                    "video_motion_thumbnail_url", "total_results", "missing_fields")
+                    "video_motion_thumbnail_url", "total_results", "original_query", "altered_query",
+                    F.try_variant_get("clustered_articles", "$[0].url", "string").alias("clustered_url"),
+                    F.try_variant_get("clustered_articles", "$[0].clusteredArticles[0].name", "string").alias("clustered_inner_title"),
+                    "missing_fields")
+
+
+@query("src_bing_related", with_views("""
+SELECT envelope_id, 0 AS topic_pos, topic AS related_topic, 'https://search/' || topic AS web_search_url, 0 AS pos, title, url, description
+FROM paged_raw WHERE aggregator_id = 'bingnews' AND page % 2 = 0 AND pos = 0""", "paged_raw"))
+def src_bing_related(spark, sf):
+    """The news of related topics, from variant columns."""
+    env = V.read_envelopes(spark, vendor_path(land(spark, sf, BING), BING), BING)
+    r = V.related_articles(V.split_errors(env, BING)[0])
+    return r.select("envelope_id", "topic_pos", "related_topic", "web_search_url", "pos", "title", "url", "description")
 
 
 @query("src_newsapi_flatten", _data_sql(NEWSAPI_ORG, f"""title, url_or_null AS url, description,
@@ -80,38 +95,48 @@ def src_thenewsapi_flatten(spark, sf):
                     "relevance_score", "locale", "total_results", "missing_fields")
 
 
-@query("src_error_split", with_views("""
-SELECT DISTINCT envelope_id, aggregator_id AS vendor,
+CUT = """'{"envelope_id":"' || envelope_id || '","value":[{'"""
+LACKING = "CASE aggregator_id WHEN 'bingnews' THEN 'value' WHEN 'newsapi.org' THEN 'status,totalResults,articles' ELSE 'meta,data' END"
+
+
+@query("src_error_split", with_views(f"""
+SELECT envelope_id, aggregator_id AS vendor,
   CASE aggregator_id WHEN 'bingnews' THEN 'RateLimitExceeded' WHEN 'newsapi.org' THEN 'rateLimited'
        ELSE 'rate_limit_reached' END AS error_code, 'rate limit exceeded' AS error_message
-FROM paged_raw WHERE page % 4 = 3""", "paged_raw"))
+FROM (SELECT DISTINCT envelope_id, aggregator_id, page FROM paged_raw) p WHERE page % 4 = 3
+UNION ALL SELECT NULL, aggregator_id, 'malformed_json', {CUT} FROM (SELECT DISTINCT envelope_id, aggregator_id, page FROM paged_raw) p WHERE page % 3 = 0
+UNION ALL SELECT envelope_id, aggregator_id, 'missing_fields', {LACKING} FROM (SELECT DISTINCT envelope_id, aggregator_id, page FROM paged_raw) p WHERE page % 5 = 0""", "paged_raw"))
 def src_error_split(spark, sf):
-    """Error envelopes separated into a quarantine frame."""
+    """What is no data, with its reason; with the data envelopes that is every line read."""
     path = land(spark, sf)
     out = None
     for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):
         _, q = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
+        q = q.withColumn("envelope_id", F.when(F.col("error_code") != "malformed_json", F.col("envelope_id")))
         out = q if out is None else out.unionByName(q)
     return out
 
 
-@query("src_required_fields", with_views("""
+@query("src_required_fields", with_views(f"""
 SELECT aggregator_id AS vendor, envelope_id, CAST(pos AS INTEGER) AS pos,
   CASE WHEN aggregator_id = 'bingnews' THEN 'url'
        WHEN aggregator_id = 'newsapi.org' THEN CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,publishedAt'
                                                     WHEN url_or_null IS NULL THEN 'url' ELSE 'publishedAt' END
        ELSE CASE WHEN url_or_null IS NULL AND date_or_null IS NULL THEN 'url,published_at'
                  WHEN url_or_null IS NULL THEN 'url' ELSE 'published_at' END END AS missing_fields
-FROM paged_raw WHERE (url_or_null IS NULL OR (aggregator_id <> 'bingnews' AND date_or_null IS NULL))""", "paged_raw"))
+FROM paged_raw WHERE (url_or_null IS NULL OR (aggregator_id <> 'bingnews' AND date_or_null IS NULL))
+UNION ALL SELECT DISTINCT aggregator_id, envelope_id, NULL::INTEGER, {LACKING} FROM paged_raw WHERE page % 5 = 0""", "paged_raw"))
 def src_required_fields(spark, sf):
-    """Articles missing a required field are rejected with the field names."""
+    """Articles and envelopes (no pos) that miss a required field, with the field names."""
     path = land(spark, sf)
     out = None
     for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):
         env = V.read_envelopes(spark, vendor_path(path, vendor), vendor)
-        data, _ = V.split_errors(env, vendor)
+        data, q = V.split_errors(env, vendor)
         _, bad = V.valid_articles(V.flatten(data, vendor))
-        b = bad.select(F.lit(vendor).alias("vendor"), "envelope_id", "pos", "missing_fields")
+        b = bad.select(F.lit(vendor).alias("vendor"), "envelope_id", "pos", "missing_fields").unionByName(
+            q.filter("error_code = 'missing_fields'").select("vendor", "envelope_id", F.lit(None).cast("int").alias("pos"),
+                                                             F.col("error_message").alias("missing_fields")))
         out = b if out is None else out.unionByName(b)
     return out
 

@@ -2,8 +2,12 @@
 (S4) and required-field checks (S5).
 
 Responses are JSON lines, one envelope per line, read with an explicit
-schema (no inference). The recursive ``clusteredArticles`` field is kept as
-its raw JSON text (a string field in the read schema).
+schema (no inference). Fields that nest without end or drift
+(``clusteredArticles``, ``relatedTopics``) are VARIANT columns.
+
+Every line that is read goes one of two ways: data, or quarantine with a code
+and a message (error envelopes, lines that are no JSON of the schema, envelopes
+without a required field).
 """
 
 from __future__ import annotations
@@ -26,12 +30,14 @@ def _st(*fields: tuple[str, T.DataType]) -> T.StructType:
 NAME_ONLY = _st(("name", S))
 THUMB = _st(("contentUrl", S), ("height", L), ("width", L))
 BING_ARTICLE = _st(
-    ("category", S), ("clusteredArticles", S), ("datePublished", S), ("description", S), ("headline", B),
+    ("category", S), ("clusteredArticles", T.VariantType()), ("datePublished", S), ("description", S), ("headline", B),
     ("id", S), ("image", _st(("thumbnail", THUMB))), ("mentions", T.ArrayType(NAME_ONLY)), ("name", S),
     ("provider", T.ArrayType(NAME_ONLY)), ("url", S),
     ("video", _st(("name", S), ("thumbnailUrl", S), ("motionThumbnailUrl", S))))
 BING_ENVELOPE = _st(
-    ("envelope_id", S), ("_type", S), ("queryContext", _st(("originalQuery", S), ("adultIntent", B))),
+    ("envelope_id", S), ("_type", S), ("queryContext", _st(("originalQuery", S), ("adultIntent", B), ("alteredQuery", S),
+                                                                     ("alterationOverrideQuery", S))),
+    ("relatedTopics", T.VariantType()), ("content", S),
     ("totalEstimatedMatches", L),
     ("sort", T.ArrayType(_st(("name", S), ("id", S), ("isSelected", B), ("url", S)))),
     ("value", T.ArrayType(BING_ARTICLE)),
@@ -58,21 +64,44 @@ REQUIRED = {
 }
 
 
+# non-Optional fields of an envelope that is no error
+REQUIRED_ENVELOPE = {BING: ("value",), NEWSAPI_ORG: ("status", "totalResults", "articles"), THENEWSAPI_COM: ("meta", "data")}
+CORRUPT = "_corrupt_record"
+
+
 def read_envelopes(spark: SparkSession, path: str, vendor: str) -> DataFrame:
-    return spark.read.schema(ENVELOPES[vendor]).option("mode", "PERMISSIVE").json(path)
+    """One row per line with anything on it; a line that is not JSON of the
+    schema stands in ``_corrupt_record`` as it is.
+
+    Lines are read as text, so that whether a line is corrupt does not depend
+    on the columns a query reads.
+    """
+    schema = T.StructType([*ENVELOPES[vendor].fields, T.StructField(CORRUPT, S)])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # the text "null" is an object without fields to the parser, and no corrupt line
+    corrupt = F.coalesce(F.col(f"_e.{CORRUPT}"), F.when(F.trim("value") == "null", F.col("value")))
+    return lines.select("value", parsed.alias("_e")).select("_e.*", corrupt.alias("_line")).drop(CORRUPT).withColumnRenamed("_line", CORRUPT)
 
 
 def is_error(vendor: str) -> Column:
+    """Whether a readable envelope reports an error; never null."""
     if vendor == BING:
-        return F.coalesce(F.size("errors") > 0, F.lit(False)) | (F.col("_type") == "ErrorResponse")
+        return (F.coalesce(F.size("errors"), F.lit(0)) > 0) | (F.col("_type").eqNullSafe("ErrorResponse"))
     if vendor == NEWSAPI_ORG:
-        return F.col("status") == "error"
+        return F.col("status").eqNullSafe("error")
     return F.col("error").isNotNull()
 
 
+def missing_envelope_fields(vendor: str) -> Column:
+    """Comma list of the required envelope fields that are null."""
+    return F.array_join(F.array_compact(F.array(*[F.when(F.col(f).isNull(), F.lit(f)) for f in REQUIRED_ENVELOPE[vendor]])), ",")
+
+
 def split_errors(env: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
-    """(data envelopes, quarantined error envelopes with code and message)."""
-    err = is_error(vendor)
+    """(data envelopes, quarantine). Every row of ``env`` is in one of the two: quarantined are unreadable
+    lines (``malformed_json``, the line as message), error envelopes (the vendor's code and message) and envelopes
+    without a required field (``missing_fields``, their names as message)."""
     if vendor == BING:
         first = F.try_element_at(F.col("errors"), F.lit(1))   # null, not an error, when empty
         code, msg = first["code"], first["message"]
@@ -80,15 +109,20 @@ def split_errors(env: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
         code, msg = F.col("code"), F.col("message")
     else:
         code, msg = F.col("error.code"), F.col("error.message")
-    quarantine = env.filter(err).select("envelope_id", F.lit(vendor).alias("vendor"), code.alias("error_code"),
-                                        msg.alias("error_message"))
-    return env.filter(~err), quarantine
+    broken, err, missing = F.col(CORRUPT).isNotNull(), is_error(vendor), missing_envelope_fields(vendor)
+    why = F.when(broken, F.lit("malformed_json")).when(err, F.lit("error")).when(missing != "", F.lit("missing_fields"))
+    split = env.withColumn("_why", why)
+    quarantine = split.filter("_why IS NOT NULL").select(
+        "envelope_id", F.lit(vendor).alias("vendor"), F.when(F.col("_why") == "error", code).otherwise(F.col("_why")).alias("error_code"),
+        F.when(broken, F.col(CORRUPT)).when(err, msg).otherwise(missing).alias("error_message"))
+    return split.filter("_why IS NULL").drop("_why"), quarantine
 
 
 def _articles(env: DataFrame, vendor: str) -> DataFrame:
     arr, total = {BING: ("value", "totalEstimatedMatches"), NEWSAPI_ORG: ("articles", "totalResults"),
                   THENEWSAPI_COM: ("data", "meta.found")}[vendor]
-    return env.select("envelope_id", F.col(total).alias("total_results"), F.posexplode(arr).alias("pos", "a"))
+    context = ["queryContext"] if vendor == BING else []
+    return env.select("envelope_id", F.col(total).alias("total_results"), *context, F.posexplode(arr).alias("pos", "a"))
 
 
 def missing_fields(vendor: str) -> Column:
@@ -112,7 +146,9 @@ def flatten(env: DataFrame, vendor: str) -> DataFrame:
                 F.col("a.image.thumbnail.height").alias("thumbnail_height"), F.col("a.image.thumbnail.width").alias("thumbnail_width"),
                 F.col("a.video.name").alias("video_name"), F.col("a.video.thumbnailUrl").alias("video_thumbnail_url"),
                 F.col("a.video.motionThumbnailUrl").alias("video_motion_thumbnail_url"),
-                F.col("a.clusteredArticles").alias("clustered_articles")]
+                F.col("a.clusteredArticles").alias("clustered_articles"), F.col("queryContext.originalQuery").alias("original_query"),
+                F.col("queryContext.alteredQuery").alias("altered_query"),
+                F.col("queryContext.alterationOverrideQuery").alias("alteration_override_query")]
     elif vendor == NEWSAPI_ORG:
         cols = [F.col("a.title").alias("title"), F.col("a.url").alias("url"),
                 F.col("a.description").alias("description"), F.col("a.publishedAt").alias("published_at"),
@@ -130,6 +166,34 @@ def flatten(env: DataFrame, vendor: str) -> DataFrame:
                     missing_fields(vendor).alias("missing_fields"))
 
 
+def _each(variant: Column) -> Column:
+    """The items of a variant array, in order; none if it is something else."""
+    return F.posexplode(F.coalesce(F.try_variant_get(variant, "$", "array<variant>"), F.array().cast("array<variant>")))
+
+
+def _nested_article(a: Column) -> list[Column]:
+    fields = (("title", "name"), ("url", "url"), ("description", "description"), ("date_published", "datePublished"), ("category", "category"))
+    return [F.try_variant_get(a, f"$.{f}", "string").alias(c) for c, f in fields]
+
+
+def related_articles(env: DataFrame) -> DataFrame:
+    """The news of Bing's related topics, one row per article, from the
+    variant column; fields of any other type come out as null."""
+    t = env.select("envelope_id", _each(F.col("relatedTopics")).alias("topic_pos", "_t"))
+    t = t.select("envelope_id", "topic_pos", F.try_variant_get("_t", "$.name", "string").alias("related_topic"),
+                 F.try_variant_get("_t", "$.webSearchUrl", "string").alias("web_search_url"), F.try_variant_get("_t", "$.relatedNews", "variant").alias("_news"))
+    return t.select("envelope_id", "topic_pos", "related_topic", "web_search_url", _each(F.col("_news")).alias("pos", "_a")).select(
+        "envelope_id", "topic_pos", "related_topic", "web_search_url", "pos", *_nested_article(F.col("_a")))
+
+
+def clustered_articles(flat: DataFrame) -> DataFrame:
+    """The articles that stand inside Bing articles, however deep: one row
+    each of the first level, with its own clustered articles as a variant."""
+    c = flat.select("envelope_id", "pos", _each(F.col("clustered_articles")).alias("inner_pos", "_a"))
+    return c.select("envelope_id", "pos", "inner_pos", *_nested_article(F.col("_a")),
+                    F.try_variant_get("_a", "$.clusteredArticles", "variant").alias("clustered_articles"))
+
+
 def valid_articles(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with their missing fields)."""
     bad = F.length("missing_fields") > 0
