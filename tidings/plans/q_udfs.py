@@ -10,6 +10,7 @@ from ..functions.ids import lexicographic_date, sourced_article_id
 from ..operators import udfs as U
 from ..session import scratch_path
 from ..sources import bundles as BD
+from ..sources.stores import scan_objects, staged
 from . import adapters as A
 from .catalog import ISO, UUID_SQL, query
 from .oracle_ctes import register, with_views
@@ -115,10 +116,10 @@ def udf_embed(spark, sf):
                     F.round(total(F.zip_with("indices", "values", lambda i, x: x * (i + 1))), 4).alias("checksum"))
 
 
-def _stored_bundles(spark, sf):
-    path = scratch_path(spark, "bundles")
-    BD.store_bundles(digest(spark, sf), path)
-    return path
+def _bundle_files(spark, sf):
+    root = scratch_path(spark, "bundle-files")
+    BD.store_bundle_files(digest(spark, sf), root)
+    return root
 
 
 BUNDLE_KEYS_SQL = """
@@ -132,17 +133,20 @@ UNION ALL SELECT prefix || '/Medium_summary.txt', md5(medium_summary) FROM ({BUN
 UNION ALL SELECT prefix || '/Full_summary.txt', md5(full_summary) FROM ({BUNDLE_KEYS_SQL}) a
 UNION ALL SELECT prefix || '/__SUCCESS__', md5('') FROM ({BUNDLE_KEYS_SQL}) a""", "digest"))
 def sink_sourced_bundle(spark, sf):
-    """Four objects and a marker per sourced article written under one prefix."""
-    d = spark.read.parquet(_stored_bundles(spark, sf))
+    """Four objects and a marker per sourced article written under one prefix, by two sourcings of
+    half the articles and one again of all."""
+    path, d = scratch_path(spark, "bundles"), staged(digest(spark, sf), "digest")
+    for part in (d.filter("cluster % 2 = 0"), d.filter("cluster % 2 = 1"), d):
+        BD.store_bundles(part, path)
+    d = spark.read.parquet(path)
     return d.select("object_key", F.when(~F.col("object_key").endswith(".json"), F.md5("body")).alias("body_md5"))
 
 
 @query("src_prefix_scan", with_views(f"""
 SELECT DISTINCT 'sourced_candidate_articles/' || topic_id || '/' || date_published AS prefix FROM digest""", "digest"))
 def src_prefix_scan(spark, sf):
-    """Distinct article prefixes (object keys minus their last two parts)."""
-    d = spark.read.parquet(_stored_bundles(spark, sf))
-    return BD.article_prefixes(d)
+    """Distinct article prefixes (file paths minus their last two parts), from one file per object."""
+    return BD.article_prefixes(scan_objects(spark, _bundle_files(spark, sf)))
 
 
 @query("src_sourced_bundle", with_views(f"""
@@ -156,7 +160,7 @@ FROM (SELECT d.*, 'sourced_candidate_articles/' || topic_id || '/' || date_publi
       FROM digest d) x""",
     "digest", "cluster_members"))
 def src_sourced_bundle(spark, sf):
-    """Stored article JSON loaded back with its summary refs."""
-    r = BD.load_bundles(spark, _stored_bundles(spark, sf))
+    """Stored article files loaded back with their summary refs."""
+    r = BD.load_bundle_files(spark, _bundle_files(spark, sf))
     return r.select("article_id", "article_title", "article_dt_published", "article_topic_id", "article_topic",
                     F.array_join("source_article_ids", ",").alias("source_article_ids"), "short_summary_ref")

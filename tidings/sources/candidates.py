@@ -9,31 +9,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .stores import append_new, staged
+
 PARTITIONS = ["topic_id", "published_date"]
 
 
 def store_candidates(accepted: DataFrame, path: str) -> None:
     """Add accepted articles under topic + published day, flagged
     unsourced. Articles that the store has already are not added again, so a
-    rerun of a run changes nothing.
-
-    Rows are range-partitioned on (topic, day, article id) first: each
-    writer task gets a contiguous slice, so a topic-day lands in few files,
-    and a hot topic-day is split across several tasks instead of one.
+    rerun of a run changes nothing; only the topic-days of the new articles are
+    looked at for that.
     """
     out = accepted.withColumn("published_date", F.to_date("published_dt")).withColumn("is_sourced", F.lit(False))
     out = out.withColumn("aggregation_run_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("start_dt").cast("string")))
-    key = [*PARTITIONS, "article_id"]
-    try:
-        out = out.join(accepted.sparkSession.read.parquet(path).select(*key), key, "left_anti")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    out.repartitionByRange(*key).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    append_new(staged(out, "candidates-new"), path, PARTITIONS, ["article_id"])
 
 
 def load_unsourced(spark: SparkSession, path: str, topic_id: str | None = None,
