@@ -50,3 +50,33 @@ def test_override_days_wins(spark):
     today = dt.datetime(2024, 1, 31)
     assert S.oldest_horizon(a, today).first().oldest == dt.datetime(2024, 1, 1)
     assert S.oldest_horizon(a, today, override_days=3).first().oldest == dt.datetime(2024, 1, 28)
+
+
+def test_a_paid_function_is_called_once_for_each_input(spark):
+    import os
+    import tempfile
+
+    from tidings.session import scratch_path
+
+    log = tempfile.mkdtemp(prefix="calls-")
+
+    def paid(texts):
+        for t in texts:
+            with open(os.path.join(log, "calls"), "a") as f:
+                f.write(t + "\n")
+        return [[float(len(t))] for t in texts]
+
+    def call(d):
+        return U.embed_with(d, paid, "doc")
+
+    def calls():
+        return sorted(open(os.path.join(log, "calls")).read().split())
+
+    path = scratch_path(spark, "results")
+    rows = spark.createDataFrame([(k, f"t{k % 3}", 1) for k in range(30)] + [(99, None, 1)], "id int, doc string, embedding_of int").repartition(4)
+    out = U.once(rows, ["doc"], call, path)
+    assert out.count() == out.count() == 31 and {r.embedding[0] for r in out.collect() if r.doc} == {2.0}
+    assert calls() == ["t0", "t1", "t2"]                            # and the empty text of the null, a blank line
+    more = rows.unionByName(spark.createDataFrame([(7, "new", 1)], rows.schema))
+    assert U.once(more, ["doc"], call, path).count() == 32 and calls() == ["new", "t0", "t1", "t2"]
+    assert U.once(rows.limit(0), ["doc"], call, path).count() == 0

@@ -127,3 +127,19 @@ def test_kmeans_sweep_reaches_the_planted_k(spark, monkeypatch):
     few = CL.kmeans_select_k(df.limit(2), "member_idx").collect()
     assert sorted(r.label for r in few) == [0, 1] and {r.n_clusters for r in few} == {2}
     assert CL.kmeans_select_k(df.limit(0), "member_idx").count() == 0
+
+
+def test_sweep_equals_one_silhouette_per_labelling(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(6)
+    rows = [(g, i, rng.normal(size=4).tolist(), rng.integers(0, 3, 5).tolist() + [0, i]) for g, n in (("a", 7), ("b", 12), ("c", 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i int, embedding array<double>, labels array<int>")
+    got = {(r["g"], r["at"]): r["score"] for r in CL.silhouette_sweep(df, ["g"], "labels").collect()}
+    for k in range(7):
+        one = CL.silhouette_scores(df.withColumn("label", F.col("labels")[k]), ["g"], "label").collect()
+        for r in one:
+            a, b = got[r.g, k], r.score
+            assert (a is None and (b is None or np.isnan(b))) or abs(a - b) < 1e-12
+    assert len(got) == 21 and got["a", 5] is None and got["a", 6] is None

@@ -189,3 +189,28 @@ def test_sourced_rows_default_pending(spark):
     assert BD.sourced_rows(a, "run-1", dt.datetime(2024, 1, 3), "APPROVED").first().article_approval_status == "APPROVED"
     both = BD.insert_sourced(BD.sourced_rows(a, "old", dt.datetime(2024, 1, 1)), BD.sourced_rows(a, "new", dt.datetime(2024, 1, 3)))
     assert [x.sourcing_run_id for x in both.collect()] == ["old"]
+
+
+def test_messages_delivered_again_are_processed_once_and_in_order(spark):
+    path, out = scratch_path(spark, "messages-in"), scratch_path(spark, "messages-out")
+    seen = []
+
+    def say(*messages):
+        rows = [json.dumps(dict(zip(("topic_id", "message_id", "sent_at"), m))) for m in messages]
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("append").text(path)
+
+    def validate(batch):
+        seen.append(batch.count())
+        return batch
+
+    def run():
+        return ST.requests_stream(spark, path, validate, out, max_files_per_trigger=1).withColumn(
+            "t", F.unix_timestamp("sent_at")).orderBy("batch_id", "message_group", "position").collect()
+
+    say(("a", "2", "2024-01-02T00:00:00Z"), ("a", "1", "2024-01-01T00:00:00Z"), ("b", "9", None), ("a", "2", "2024-01-02T00:00:00Z"))
+    assert [(r.message_id, r.position) for r in run()] == [("1", 1), ("2", 2), ("9", 1)]
+    say(("a", "1", "2024-01-01T00:00:00Z"), ("a", "0", "1999-01-01T00:00:00Z"), ("c", None, None))      # late, and without an id
+    say(("c", None, None), ("b", "9", None))
+    got = run()
+    assert [r.message_id for r in got][:4] == ["1", "2", "9", "0"] and len(got) == 5 and sum(r.topic_id == "c" for r in got) == 1
+    assert len(run()) == 5

@@ -210,6 +210,29 @@ def silhouette_scores(df: DataFrame, group: list[str], label: str, vec: str = "e
     return df.select(*group, label, vec).groupBy(*group).applyInPandas(run, schema)
 
 
+def silhouette_sweep(df: DataFrame, group: list[str], labels: str, vec: str = "embedding") -> DataFrame:
+    """C2 for many labellings at once: ``labels`` holds, for each member, its
+    label in every labelling (arrays of one length per group). Per group and
+    labelling: at (its place, from 0) and score (null unless it has 2..n-1
+    labels). A group's distances are computed once, and a member crosses the
+    shuffle once; each labelling costs one product with its indicator matrix."""
+    schema = T.StructType([df.schema[c] for c in group] + [T.StructField("at", T.IntegerType()), T.StructField("score", T.DoubleType())])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        all_labels = np.stack(pdf[labels].to_numpy())
+        far, scores = pairwise(_matrix(pdf[vec])), []
+        for own in all_labels.T:
+            uniq, own = np.unique(own, return_inverse=True)
+            onehot = np.zeros((len(own), len(uniq)))
+            onehot[np.arange(len(own)), own] = 1.0
+            valid = 2 <= len(uniq) <= len(own) - 1
+            scores.append(silhouette_from_sums(far @ onehot, onehot.sum(axis=0), own) if valid else None)
+        out = pd.DataFrame({"at": np.arange(len(scores), dtype=np.int32), "score": pd.array(scores, dtype="Float64")})
+        return out.assign(**{g: pdf[g].iloc[0] for g in group})[[*group, "at", "score"]]
+
+    return df.select(*group, labels, vec).groupBy(*group).applyInPandas(run, schema)
+
+
 def argmax_k(scores: DataFrame, group: list[str], digits: int = 6) -> DataFrame:
     """C4: the first k (smallest) with the maximum score per group; scores
     are compared at ``digits`` decimals so float noise cannot break ties."""

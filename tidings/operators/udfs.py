@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ from ..constants import (MEDIUM_MAX_WORDS, MEDIUM_MIN_WORDS, SHORT_MAX_SENTENCES
                          TITLE_MIN_WORDS)
 from ..functions import summaries as SM
 from ..functions.text import token_count
+from ..sources.stores import staged
 
 EmbedFn = Callable[[list[str]], list[list[float]]]
 SummariseFn = Callable[[pd.DataFrame], pd.DataFrame]
@@ -58,6 +60,32 @@ def embed_with(docs: DataFrame, fn: EmbedFn, text: str = "doc") -> DataFrame:
     return docs.mapInPandas(run, schema)
 
 
+def once(rows: DataFrame, inputs: list[str], call: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """The rows with what ``call`` gives for their inputs, from a table of
+    results at ``path`` that only grows.
+
+    ``call`` (such as ``embed_with``) gets the inputs of each distinct key once,
+    with its columns added, and only those that the table does not have; what
+    it gives is stored under the hash of the inputs. A second reader, a rerun or
+    a lost executor that recomputes rows reads the table, so a paid function
+    is not called again; only a task that dies before its own results are
+    written has its calls repeated.
+    """
+    spark = rows.sparkSession
+    key = F.sha2(F.to_json(F.struct(*inputs), {"ignoreNullFields": "false"}), 256)
+    keyed = staged(rows.withColumn("_input", key), "once-rows")
+    wanted = keyed.select("_input", *inputs).dropDuplicates(["_input"])
+    results = call(wanted.limit(0)).drop(*inputs).schema
+    try:
+        known = spark.read.schema(results).parquet(path)
+        wanted = wanted.join(known, "_input", "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    call(wanted).drop(*inputs).write.mode("append").parquet(path)
+    return keyed.join(spark.read.schema(results).parquet(path), "_input").drop("_input")
+
+
 SUMMARY_FIELDS = ("title", "full_summary", "medium_summary", "short_summary")
 
 

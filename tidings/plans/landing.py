@@ -80,7 +80,7 @@ FIELDS = ("arrival_rank", "event_id", "doc_id", "title", "description", "content
           "source", "provider_domain", "lang", "vendor_category")
 
 
-def _envelopes() -> Column:
+def _envelopes(lost: Column) -> Column:
     """The lines of one page, by its vendor: what is left of tries before, and the response."""
     hits, n = F.col("_hits"), F.size("_hits")
     page, vendor, id_ = F.col("page"), F.col("aggregator_id"), F.col("envelope_id")
@@ -105,17 +105,20 @@ def _envelopes() -> Column:
     for name, (ok, bad) in ((BING, bing), (NEWSAPI_ORG, newsapi), (THENEWSAPI_COM, thenewsapi)):
         lines = F.array_compact(F.array(
             F.when(page % 4 == 3, F.to_json(bad)), F.when(page % 3 == 0, F.concat(F.lit('{"envelope_id":"'), id_, F.lit('","value":[{'))),
-            F.when(page % 5 == 0, F.to_json(F.struct(id_))), F.to_json(ok)))
+            F.when(page % 5 == 0, F.to_json(F.struct(id_))),
+            F.when(lost, F.to_json(bad)).otherwise(F.to_json(ok))))
         out = F.when(vendor == name, lines) if out is None else out.when(vendor == name, lines)
     return out
 
 
-def land(spark: SparkSession, sf: str, *vendors: str) -> str:
-    """Write the envelopes (of some vendors, or all) as JSON lines under <scratch>/vendor=<id>/."""
+def land(spark: SparkSession, sf: str, *vendors: str, lost: Column | None = None) -> str:
+    """Write the envelopes (of some vendors, or all) as JSON lines under <scratch>/vendor=<id>/. Pages where ``lost``
+    (of topic, aggregator_id, page) holds have an error in the place of their data."""
+    lost = F.lit(False) if lost is None else lost
     path = scratch_path(spark, "landed")
     pages = paged_hits(spark, sf, vendors).groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
         F.array_sort(F.collect_list(F.struct(*FIELDS))).alias("_hits"))
-    lines = pages.select(F.col("aggregator_id").alias("vendor"), F.explode(_envelopes()).alias("value"))
+    lines = pages.select(F.col("aggregator_id").alias("vendor"), F.explode(_envelopes(lost)).alias("value"))
     lines.write.mode("overwrite").partitionBy("vendor").text(path)
     return path
 

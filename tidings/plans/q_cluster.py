@@ -30,10 +30,9 @@ def clu_ward_select_k(spark, sf):
     return CL.ward_checks(CL.ward_clusters(m, TOPIC_DAY, "member_idx"), m, TOPIC_DAY, "member_idx")
 
 
-@query("clu_kmeans_select_k")
 def clu_kmeans_select_k(spark, sf):
     """Seeded MLlib k-means sweep over the inventory's vectors, scored by
-    silhouette (no SQL twin)."""
+    silhouette. Not registered: the whole sweep does not end (see README)."""
     return CL.kmeans_select_k(_members(spark, sf), "member_idx")
 
 
@@ -71,10 +70,10 @@ def clu_argmax_k(spark, sf):
     """C4: per topic-day the first k of 2..n-1 (labels dealt round) with the best silhouette."""
     day = Window.partitionBy(*TOPIC_DAY)
     m = _members(spark, sf).withColumns({"r": F.row_number().over(day.orderBy("member_idx")), "n": F.count(F.lit(1)).over(day)})
-    m = m.filter("n > 2").withColumn("k", F.explode(F.sequence(F.lit(2), F.col("n").cast("int") - 1)))
-    m = m.withColumn("label", (F.col("r") - 1) % F.col("k"))
-    a = CL.argmax_k(CL.silhouette_scores(m, [*TOPIC_DAY, "k"], "label"), TOPIC_DAY)
-    return a.select(*TOPIC_DAY, F.col("k").cast("long").alias("k"), F.round("score", 6).alias("score"))
+    ks = F.sequence(F.lit(2), F.col("n").cast("int") - 1)
+    m = m.filter("n > 2").withColumn("labels", F.transform(ks, lambda k: (F.col("r") - 1) % k))
+    scores = CL.silhouette_sweep(m, TOPIC_DAY, "labels").withColumn("k", F.col("at").cast("long") + 2)
+    return CL.argmax_k(scores, TOPIC_DAY).select(*TOPIC_DAY, "k", F.round("score", 6).alias("score"))
 
 
 @query("clu_small_bypass", with_views("""

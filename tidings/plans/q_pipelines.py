@@ -38,18 +38,26 @@ SELECT page * 100 + pos AS event_id, doc_id, topic_id, aggregator_id, url, provi
 FROM paged_raw WHERE url_or_null IS NOT NULL AND (aggregator_id = 'bingnews' OR date_or_null IS NOT NULL)""")
 register_collect("l", "landed_hits")
 
+#: one run whose first page was never answered
+LOST = (F.col("topic") == "Topic 3") & (F.col("aggregator_id") == K.THENEWSAPI_COM) & (F.col("page") == 0)
+LOST_SQL = f"(r.topic_id = 'topic_3' AND r.aggregator_id = '{K.THENEWSAPI_COM}')"
+
 
 def landed_articles(spark, sf):
-    """Valid raw articles of all vendors' landed responses, in arrival order
-    (event_id: place in the run's pages)."""
-    path, out = land(spark, sf), None
+    """(valid raw articles of all vendors' landed responses, in arrival order (event_id: place in the run's pages);
+    topic_id, aggregator_id and error of the runs that have a page without an answer). A failed run has no articles;
+    the others are not touched by it."""
+    path, out, failed = land(spark, sf, lost=LOST), None, None
+    page = F.split("envelope_id", "/")
     for vendor in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM):
-        data, _ = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
+        data, quarantine = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
+        lost = V.unanswered(data, quarantine)
         valid, _ = V.valid_articles(V.flatten(data, vendor))
         a = V.raw_articles(valid, vendor)
-        out = a if out is None else out.unionByName(a)
-    page = F.split("envelope_id", "/")
-    return out.select("*", page[0].alias("topic_id"), (page[2].cast("long") * K.PAGE_SIZE + F.col("pos")).alias("event_id"))
+        out, failed = (a, lost) if out is None else (out.unionByName(a), failed.unionByName(lost))
+    failed = failed.groupBy(page[0].alias("topic_id"), page[1].alias("aggregator_id")).agg(F.min("error").alias("error"))
+    out = out.select("*", page[0].alias("topic_id"), (page[2].cast("long") * K.PAGE_SIZE + F.col("pos")).alias("event_id"))
+    return out.join(failed, RUN, "left_anti"), failed
 
 
 def with_bodies(spark, sf, articles):
@@ -60,21 +68,24 @@ def with_bodies(spark, sf, articles):
 
 
 @query("pipe_collect", with_views(f"""
-SELECT r.topic_id, r.aggregator_id, 'COMPLETE' AS run_status, coalesce(s.n, 0) AS articles_count,
+SELECT r.topic_id, r.aggregator_id, CASE WHEN {LOST_SQL} THEN 'FAILED' ELSE 'COMPLETE' END AS run_status,
+       CASE WHEN NOT {LOST_SQL} THEN coalesce(s.n, 0) END AS articles_count,
        {ISO('coalesce(s.lo, r.start_dt)')} AS data_start, {ISO('coalesce(s.hi, r.end_dt)')} AS data_end,
        coalesce(s.n, 0) AS n_stored, s.first_id AS first_article_id, s.categories AS n_categories,
        {ISO('CASE WHEN m.last_end IS NULL THEN s.hi WHEN s.hi IS NULL THEN m.last_end ELSE greatest(m.last_end, s.hi) END')} AS last_end
 FROM runs r LEFT JOIN (SELECT topic_id, aggregator_id, count(*) AS n, min(published_dt) AS lo, max(published_dt) AS hi,
                               min(article_id) AS first_id,
                               CASE WHEN aggregator_id = 'newsapi.org' THEN 0 ELSE count(*) END AS categories
-                       FROM l_w4 GROUP BY topic_id, aggregator_id) s USING (topic_id, aggregator_id)
+                       FROM l_w4 r WHERE NOT {LOST_SQL} GROUP BY topic_id, aggregator_id) s USING (topic_id, aggregator_id)
 LEFT JOIN watermarks m USING (topic_id, aggregator_id)""", "l_w4", "watermarks", "runs"))
 def pipe_collect(spark, sf):
     """Aggregation: landed responses -> raw articles -> collect stage -> store,
-    run summary, ledger and marks; one row per run."""
+    run summary, ledger and marks; one row per run. A run with an unanswered
+    page is FAILED in the ledger, with its error, and stores nothing."""
     runs = A.runs(spark, sf)
     ledger = LG.start_runs(None, runs, A.TODAY)
-    accepted = C.collect(landed_articles(spark, sf), runs, A.trusted(spark, sf), body="has_body",
+    articles, failed = landed_articles(spark, sf)
+    accepted = C.collect(articles, runs, A.trusted(spark, sf), body="has_body",
                          description="article_text_description", attributes=lambda a: with_bodies(spark, sf, a))
     path = scratch_path(spark, "pipe-candidates")
     CS.store_candidates(accepted.select(*RUN, "topic", "sorting", "start_dt", "article_id", "aggregation_index", "published_dt", "title",
@@ -82,9 +93,9 @@ def pipe_collect(spark, sf):
                                         "article_text_snippet", "article_data"), path)
     kept = spark.read.parquet(path)
     summary = AG.run_summary(kept)
-    outcomes = runs.join(summary, RUN, "left").join(AG.store_paths(kept, "candidates"), RUN, "left").select(
+    outcomes = runs.join(summary, RUN, "left").join(AG.store_paths(kept, "candidates"), RUN, "left").join(failed, RUN, "left").select(
         F.concat_ws("/", *RUN, F.col("start_dt").cast("string")).alias("run_id"), "min_published", "max_published", "n_accepted",
-        "store_paths", F.lit(None).cast("string").alias("error"))
+        "store_paths", "error")
     ledger = LG.finish_runs(ledger, outcomes, A.TODAY)
     marks = S.high_watermark(A.watermarks(spark, sf), summary.select(*RUN, F.col("max_published").alias("proposed_end")), A.TODAY)
     counts = kept.groupBy(*RUN).agg(F.count(F.lit(1)).alias("n_stored"), F.min("article_id").alias("first_article_id"),

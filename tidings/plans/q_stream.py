@@ -35,18 +35,20 @@ def _stream_files(path):
 
 @query("st_requests", with_views("SELECT topic_id, aggregator_id, reject_reason FROM validated", "validated"))
 def st_requests(spark, sf):
-    """Request messages consumed as a stream, validated per micro-batch."""
+    """Request messages consumed as a stream, each delivered twice in two batches, validated once."""
     req = A.requests(spark, sf)
     msgs = req.select(F.to_json(F.struct("topic_id", "aggregator_id",
                                          _iso_offset(F.col("start_dt")).alias("aggregation_data_start_dt"),
                                          _iso_offset(F.col("end_dt")).alias("aggregation_data_end_dt"),
-                                         "sorting")).alias("value"))
-    path = scratch_path(spark, "requests-in")
-    msgs.write.mode("overwrite").text(path)
+                                         "sorting", F.concat_ws("/", "topic_id", "aggregator_id").alias("message_id"),
+                                         _iso_offset(F.col("start_dt")).alias("sent_at"))).alias("value"))
+    path, out = scratch_path(spark, "requests-in"), scratch_path(spark, "requests-out")
     # dimensions are kept between micro-batches
     topics, aggs, trusted = A.topics(spark, sf).persist(), A.aggregators(spark, sf).persist(), A.trusted(spark, sf).persist()
-    out = ST.requests_stream(spark, path, lambda b: P.validate_requests(b, topics, aggs, trusted))
-    return out.select("topic_id", "aggregator_id", "reject_reason")
+    for _ in range(2):
+        msgs.write.mode("append").text(path)
+        done = ST.requests_stream(spark, path, lambda b: P.validate_requests(b, topics, aggs, trusted), out)
+    return done.select("topic_id", "aggregator_id", "reject_reason")
 
 
 @query("st_url_dedup", with_views(

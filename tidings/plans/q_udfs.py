@@ -116,6 +116,24 @@ def udf_embed(spark, sf):
                     F.round(total(F.zip_with("indices", "values", lambda i, x: x * (i + 1))), 4).alias("checksum"))
 
 
+def letter_vectors(texts: list[str]) -> list[list[float]]:
+    """A caller's embedding function: length, words and lines of each text."""
+    return [[float(len(t)), float(len(t.split(" "))), float(t.count("\n"))] for t in texts]
+
+
+@query("udf_embed_stored", """
+SELECT doc_id, length(t) AS n_chars, len(string_split(t, ' ')) AS n_words, length(t) - length(replace(t, chr(10), '')) AS n_breaks, 3 AS dims
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
+def udf_embed_stored(spark, sf):
+    """U1 with a caller's function, called once for each distinct text; read twice, the second time from the results."""
+    path = scratch_path(spark, "embedding-results")
+    docs = A.read(spark, sf, "documents").select("doc_id", "text")
+    U.once(docs.filter("doc_id % 2 = 0"), ["text"], lambda d: U.embed_with(d, letter_vectors, "text"), path)
+    e = U.once(docs, ["text"], lambda d: U.embed_with(d, letter_vectors, "text"), path)
+    n = [F.col("embedding")[k].cast("long").alias(c) for k, c in enumerate(("n_chars", "n_words", "n_breaks"))]
+    return e.select("doc_id", *n, F.size("embedding").alias("dims"))
+
+
 def _bundle_files(spark, sf):
     root = scratch_path(spark, "bundle-files")
     BD.store_bundle_files(digest(spark, sf), root)

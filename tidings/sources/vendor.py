@@ -118,6 +118,14 @@ def split_errors(env: DataFrame, vendor: str) -> tuple[DataFrame, DataFrame]:
     return split.filter("_why IS NULL").drop("_why"), quarantine
 
 
+def unanswered(data: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """(envelope_id, error) of the requests that got no data: an error
+    envelope, or one without its fields, that no data envelope stands beside."""
+    failed = quarantine.filter("envelope_id IS NOT NULL").groupBy("envelope_id").agg(
+        F.min(F.concat_ws(": ", "error_code", "error_message")).alias("error"))
+    return failed.join(data.select("envelope_id"), "envelope_id", "left_anti")
+
+
 def _articles(env: DataFrame, vendor: str) -> DataFrame:
     arr, total = {BING: ("value", "totalEstimatedMatches"), NEWSAPI_ORG: ("articles", "totalResults"),
                   THENEWSAPI_COM: ("data", "meta.found")}[vendor]

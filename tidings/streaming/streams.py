@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from ..session import scratch_path
 
 REQUEST_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
                                ("topic_id", "aggregator_id", "aggregation_data_start_dt",
-                                "aggregation_data_end_dt", "sorting")])
+                                "aggregation_data_end_dt", "sorting", "message_id", "sent_at")])
 
 
 def batch_writer(path: str, transform: Callable[[DataFrame, int], DataFrame] | None = None):
@@ -89,20 +89,43 @@ def run_available_now(stream: DataFrame, sink: Callable, checkpoint: str, mode:
 
 
 def parse_requests(raw: DataFrame) -> DataFrame:
-    """Request messages -> typed columns (ISO strings with offsets -> timestamps)."""
+    """Request messages -> typed columns (ISO strings with offsets -> timestamps).
+
+    message_id is the sender's, or else the hash of what the message says;
+    messages with one group key (aggregator and topic) have an order, by
+    sent_at and id.
+    """
     ts = lambda c: F.try_to_timestamp(F.col(c))  # noqa: E731  (malformed -> null, F6 rejects)
+    said = ["topic_id", "aggregator_id", "aggregation_data_start_dt", "aggregation_data_end_dt", "sorting"]
     return raw.select("topic_id", "aggregator_id", ts("aggregation_data_start_dt").alias("start_dt"),
-                      ts("aggregation_data_end_dt").alias("end_dt"), "sorting")
+                      ts("aggregation_data_end_dt").alias("end_dt"), "sorting",
+                      F.coalesce("message_id", F.sha2(F.to_json(F.struct(*said)), 256)).alias("message_id"),
+                      F.concat_ws("-", "aggregator_id", "topic_id").alias("message_group"),
+                      ts("sent_at").alias("sent_at"))
 
 
 def requests_stream(spark: SparkSession, path: str, validate: Callable[[DataFrame], DataFrame],
-                    out: str | None = None) -> DataFrame:
+                    out: str | None = None, remember: str = "14 days", max_files_per_trigger: int | None = None) -> DataFrame:
     """Consume request messages, validate every micro-batch against the
-    dimension tables (F6) and route rejects; returns the stored results."""
+    dimension tables (F6) and route rejects; returns the stored results.
+
+    A message that is delivered again, in one batch or in several, is processed
+    once: its id is kept as state for ``remember`` after it came in. The time of
+    arrival is the event time, so no message is late.
+    ``position`` is a message's place in its group within the batch; batches are
+    numbered, so (batch_id, position) is the order of a group. A batch that is
+    replayed replaces its own results.
+    """
     out = out or scratch_path(spark, "requests-out")
-    src = file_stream(spark, "json", path, REQUEST_SCHEMA)
-    sink = batch_writer(out, lambda b, _i: validate(parse_requests(b)))
-    run_available_now(src, sink, f"{out}/_checkpoint")
+    src = parse_requests(file_stream(spark, "json", path, REQUEST_SCHEMA, max_files_per_trigger))
+    src = src.withColumn("received", F.current_timestamp()).withWatermark("received", remember)
+    first = src.dropDuplicatesWithinWatermark(["message_id"]).drop("received")
+    order = Window.partitionBy("message_group").orderBy("sent_at", "message_id")
+
+    def results(batch: DataFrame, _n: int) -> DataFrame:
+        return validate(batch.withColumn("position", F.row_number().over(order)))
+
+    run_available_now(first, batch_writer(out, results), f"{out}/_checkpoint")
     return spark.read.parquet(out)
 
 
