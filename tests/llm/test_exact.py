@@ -154,6 +154,29 @@ def test_sets_that_link_share_a_key():
             assert set(jaccard.keys_of(np.unique(a), sizes).tolist()) & set(jaccard.keys_of(np.unique(b), sizes).tolist())
 
 
+def test_sets_that_link_share_a_key_whatever_is_left_out():
+    rng = np.random.default_rng(8)
+    for sizes, share in ((jaccard.Sizes(), 10), (jaccard.Sizes(80, 100, share=1 / 8), 5)):
+        pool = np.unique(rng.integers(0, 2**64, 400, dtype=np.uint64))
+        for _ in range(400):
+            common = np.sort(rng.choice(pool, int(rng.integers(0, 300)), replace=False))
+            a = np.unique(np.concatenate((rng.choice(pool, int(rng.integers(1, 200)), replace=False), rng.integers(0, 2**64, int(rng.integers(0, 200)), dtype=np.uint64))))
+            gone = rng.permutation(len(a))[int(rng.integers(0, len(a) // share + 1)):]
+            b = np.unique(np.concatenate((a[gone], rng.choice(pool, int(rng.integers(0, len(a) // share + 1)), replace=False))))
+            both = len(np.intersect1d(a, b))
+            if sizes.den * both >= sizes.num * (len(a) + len(b) - both) and not np.array_equal(a, b):
+                assert set(jaccard.keys_of(a, sizes, common).tolist()) & set(jaccard.keys_of(b, sizes, common).tolist())
+
+
+def test_common_shingles_are_those_of_many_documents(spark):
+    docs = [(k, " ".join(f"d{k}x{j}" for j in range(20)) + " one license line for all of us here" * (k % 4 == 0)) for k in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    want = np.unique(np.concatenate(jaccard.shingle_sets(["one license line for all of us here"])))
+    found = jaccard.common_shingles(df, jaccard.Sizes(), share=0.1)
+    assert set(want.tolist()) <= set(found.tolist()) and len(found) == len(want)
+    assert len(jaccard.common_shingles(df.limit(0), jaccard.Sizes())) == 0
+
+
 def test_rtree_reaches_every_point_within_the_bound():
     points = np.random.default_rng(3).integers(0, 9, (300, 32)).astype(np.uint32)
     tree = jaccard.CountTree(points)

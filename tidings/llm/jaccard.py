@@ -5,7 +5,10 @@ A document is the set of its distinct word shingles. Two link when
 
 1. Equal sets are one node (by a 128-bit sum of their hashes); its least
    document stands for it from here on.
-2. The shingles of a set are hashed into groups, and the groups into blocks.
+2. Shingles that ``COMMON`` of the documents or more hold say little: two texts
+   with one license line are no candidates. They are counted first and left out
+   of the blocks (which are correct for any list of shingles to leave out). The
+   other shingles of a set are hashed into groups, and the groups into blocks.
    Sets that link differ in at most r shingles, where r follows from the size,
    so of r + 1 blocks one at least has equal content. Every set emits a key for
    each of its blocks; sets of one size class that share a key are candidates.
@@ -53,6 +56,7 @@ NUMERATOR, DENOMINATOR = 90, 100
 CHUNK = 1_000_000        # shingles of one chunk
 LEAF = 16                # points of an R-tree leaf, and children of a node
 SPARE = 1                # blocks beyond r + 1, at least
+COMMON = 1 / 1000        # share of the documents that hold a common shingle, at least
 COMBINED = 2_000_000     # keys combined at once in a task
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long"
 SET = ["f1", "f2", "n_shingles"]
@@ -92,16 +96,18 @@ class Sizes:
         return SPARE + math.ceil(self.differences(k) * self.share)
 
 
-def keys_of(shingles: np.ndarray, sizes: Sizes) -> np.ndarray:
-    """The block keys of a set of hashes.
+def keys_of(shingles: np.ndarray, sizes: Sizes, common: np.ndarray | None = None) -> np.ndarray:
+    """The block keys of a set of hashes, those in ``common`` (sorted) left out of the blocks.
 
     With r differences and r + 1 + spare blocks, spare + 1 blocks agree. Empty
     blocks emit a key only in sets with more than ``spare`` of them: if all
     blocks that agree are empty, both sets have more.
     """
-    out = []
+    out, n = [], len(shingles)
+    if common is not None and len(common) and n >= sizes.least:
+        shingles = shingles[common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] != shingles]
     high = shingles >> np.uint64(32)
-    for k in sizes.classes(len(shingles)):
+    for k in sizes.classes(n):
         spare = sizes.spare(k)
         m = sizes.differences(k) + 1 + spare
         block = (high * np.uint64(m) >> np.uint64(32)).astype(np.int64)
@@ -170,13 +176,47 @@ def _combined(keys: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
          pa.array(other, mask=np.arange(len(other)) < first.sum())], ["key", "doc", "other"])
 
 
-def candidates(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE) -> DataFrame:
+def common_shingles(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE, share: float = COMMON) -> np.ndarray:
+    """The hashes of shingles that about ``share`` of the documents or more hold, sorted.
+
+    Tasks count in portions of documents and send what half that share of a portion holds (twice at least), so a
+    portion sends 2 / share times a set's average size at most, and so many are the sums that are collected. The
+    list only steers how candidates are found, not which links there are.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def send(sets: list[np.ndarray]) -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(sets), return_counts=True)
+            often = n >= max(2, share * len(sets) / 2)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([None, *values[often].view(np.int64).tolist()], pa.int64()), pa.array([len(sets), *n[often].tolist()], pa.int64())], ["shingle", "n"])
+
+        sets, held = [], 0
+        for whole in batches:
+            for b in _slices(whole):
+                sets += [s for s in shingle_sets(b.column("text").to_pylist(), shingle) if len(s) >= sizes.least]
+                held = sum(map(len, sets))
+                if held > COMBINED:
+                    yield send(sets)
+                    sets, held = [], 0
+        if sets:
+            yield send(sets)
+
+    sums = docs.select("text").mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    sums = written(sums, "jaccard-common")
+    total = sums.filter("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
+    found = sums.filter((F.col("n") >= max(2, share * total)) & F.col("shingle").isNotNull()).select("shingle").collect()
+    return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
+
+
+def candidates(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE, share: float = COMMON) -> DataFrame:
     """(a, b): links that join all documents which share a block key."""
+    common = common_shingles(docs, sizes, shingle, share)
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, held = [np.zeros(0, np.uint64)], [0], 0
         for whole in batches:
             for b in _slices(whole):
-                own = [keys_of(s, sizes) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
+                own = [keys_of(s, sizes, common) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
                 keys += own
                 ids += b.column("doc_id").to_pylist()
                 held += sum(map(len, own))
