@@ -38,8 +38,11 @@ SELECT page * 100 + pos AS event_id, doc_id, topic_id, aggregator_id, url, provi
 FROM paged_raw WHERE url_or_null IS NOT NULL AND (aggregator_id = 'bingnews' OR date_or_null IS NOT NULL)""")
 register_collect("l", "landed_hits")
 
-#: one run whose first page was never answered
-LOST = (F.col("topic") == "Topic 3") & (F.col("aggregator_id") == K.THENEWSAPI_COM) & (F.col("page") == 0)
+def lost():
+    """One run's first page, which was never answered."""
+    return (F.col("topic") == "Topic 3") & (F.col("aggregator_id") == K.THENEWSAPI_COM) & (F.col("page") == 0)
+
+
 LOST_SQL = f"(r.topic_id = 'topic_3' AND r.aggregator_id = '{K.THENEWSAPI_COM}')"
 
 
@@ -47,14 +50,14 @@ def landed_articles(spark, sf):
     """(valid raw articles of all vendors' landed responses, in arrival order (event_id: place in the run's pages);
     topic_id, aggregator_id and error of the runs that have a page without an answer). A failed run has no articles;
     the others are not touched by it."""
-    path, out, failed = land(spark, sf, lost=LOST), None, None
+    path, out, failed = land(spark, sf, lost=lost()), None, None
     page = F.split("envelope_id", "/")
     for vendor in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM):
         data, quarantine = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
-        lost = V.unanswered(data, quarantine)
+        missing = V.unanswered(data, quarantine)
         valid, _ = V.valid_articles(V.flatten(data, vendor))
         a = V.raw_articles(valid, vendor)
-        out, failed = (a, lost) if out is None else (out.unionByName(a), failed.unionByName(lost))
+        out, failed = (a, missing) if out is None else (out.unionByName(a), failed.unionByName(missing))
     failed = failed.groupBy(page[0].alias("topic_id"), page[1].alias("aggregator_id")).agg(F.min("error").alias("error"))
     out = out.select("*", page[0].alias("topic_id"), (page[2].cast("long") * K.PAGE_SIZE + F.col("pos")).alias("event_id"))
     return out.join(failed, RUN, "left_anti"), failed
