@@ -82,6 +82,24 @@ def test_lexed_assignments(text, found):
     assert [text[a:b] for a, b, kind in secrets.spans_of(text) if kind == "lexed"] == found
 
 
+def test_adversarial_texts_take_linear_time():
+    import time
+
+    doubled = 'token_part = "aB3dE5gH"\n' + "token_part = token_part + token_part\n" * 3000
+    chained = 'token_0 = "aB3dE5gH"\n' + "".join(f'token_{k} = token_{k - 1} + "x{k}Q"\n' for k in range(1, 4000))
+    many = "".join(f"password = 'aB3dE5gH7jK{k}'\ndb_pwd = 'zY9xW8vU7t{k}'\n" for k in range(8000))
+    for text, least in ((doubled, 1), (chained, 4000), (many, 16000), ("a" * 500_000 + "_password = 'aB3dE5gH7jK9'", 1), ('"' * 300_000 + "pwd", 0)):
+        start = time.time()
+        assert len(secrets.spans_of(text)) >= least and time.time() - start < 8
+
+
+def test_long_names_and_appended_literals():
+    text = "n" * 300 + "_pwd = 'aB3dE5gH7jK9'"
+    assert [text[a:b] for a, b, _ in secrets.lexed_spans(text)] == ["aB3dE5gH7jK9"]
+    text = "part_pwd = 'aB3'\npart_pwd += 'dE5gH7jK9'"
+    assert [text[a:b] for a, b, _ in secrets.lexed_spans(text)] == ["aB3", "dE5gH7jK9"]
+
+
 # 2 -------------------------------------------------------------------------
 
 def test_quality_on_held_out_labels(spark):

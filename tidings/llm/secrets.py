@@ -3,7 +3,7 @@
 Base spans come from three patterns (see ``base_spans``). The lexer adds
 others: it reads the whole text as source or configuration syntax (``name =
 "literal"``, ``name: literal``, ``"name": "literal"``, ``name := ...``, ``name =>
-...``, ``obj["name"] = ...``, typed names), follows ``+`` and adjacent literals,
+...``, ``name += ...``, ``obj["name"] = ...``, typed names), follows ``+`` and adjacent literals,
 puts in the values of names assigned earlier in the text, and scores each
 resolved value: how sensitive the target name's words are, times how much the
 value looks like a key rather than a word, a placeholder or a path. The parts
@@ -19,8 +19,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,19 +34,21 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
-# fixed values: words of names, and how far each speaks for a secret
+# chosen: words of names, and how far each speaks for a secret
 NAME_WORDS = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "pass": 0.8, "secret": 1.0, "token": 0.9,
               "apikey": 1.0, "key": 0.4, "api": 0.4, "access": 0.3, "private": 0.4, "credential": 0.9, "credentials": 0.9,
               "auth": 0.6, "bearer": 0.9, "signing": 0.4, "encryption": 0.4, "client": 0.1}
 # fixed values: words of names that hold something about a secret, not one
 NAME_NOT = {"path", "file", "url", "uri", "name", "id", "type", "length", "len", "count", "hint", "policy", "expiry",
             "expires", "ttl", "prompt", "field", "label", "reset", "min", "max", "public"}
-PLACEHOLDER = re.compile(r"change.?me|example|placeholder|your[-_ ]|dummy|sample|redacted|\*{3,}|x{4,}|\.{3,}|^[<{$%\[(]|^(true|false|null|none|nil|undefined)$", re.I)
+_INSIDE = re.compile(r"change.?me|example|placeholder|your[-_ ]|dummy|sample|redacted|\*{3,}|x{4,}|\.{3,}", re.I)
+PLACEHOLDER = re.compile(_INSIDE.pattern + r"|^[<{$%\[(]|^(true|false|null|none|nil|undefined)$", re.I)
+HEAD = 4096      # characters of a constant that are kept to be looked at; its literals are looked at whole
 _HINT = re.compile("|".join(w for w, v in NAME_WORDS.items() if v >= 0.4 and w not in ("key", "api", "private", "signing", "encryption")) + "|private.?key|api.?key|access.?key|signing.?key|encryption.?key", re.I)
 
 _STRING = r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\''
-_PAIR = re.compile(rf"""(?:["'](?P<quoted>[A-Za-z_][A-Za-z0-9_. -]{{0,63}})["']\]?|(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]{{0,127}}))
-    (?:[ ]*:[ ]*[A-Za-z_][A-Za-z0-9_.\[\]]{{0,40}}(?=[ ]*=))?[ ]*(?::=|=>|=(?![=~])|:(?![:/]))[ ]*""", re.X)
+_PAIR = re.compile(rf"""(?:["'](?P<quoted>[A-Za-z_][A-Za-z0-9_. -]*+)["']\]?|(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+))
+    (?:[ ]*:[ ]*[A-Za-z_][A-Za-z0-9_.\[\]]{{0,40}}(?=[ ]*=))?[ ]*(?P<op>\+=|:=|=>|=(?![=~])|:(?![:/]))[ ]*""", re.X)
 _TERM = re.compile(rf"(?P<string>{_STRING})|(?P<word>[^\s\"'`,;(){{}}\[\]<>]+)")
 _PLUS = re.compile(r"[ ]*\+[ ]*(?:\\?\n[ ]*)?|[ ]+(?=[\"'])")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*$")
@@ -72,53 +76,104 @@ def name_score(name: str) -> float:
     return min(1.0, sum(NAME_WORDS.get(w, 0.0) for w in set(words)))
 
 
-def value_score(value: str, bare: bool) -> float:
-    """How much a literal looks like a secret (0 to 1)."""
-    if len(value) < (8 if bare else 6) or re.search(r"\s", value) or PLACEHOLDER.search(value):
-        return 0.0
-    if re.match(r"[a-z]+://|[./~]", value, re.I):
-        return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    if bare and (kinds < 2 or not re.search("[0-9]", value)):
-        return 0.0
-    return min(1.0, entropy / 3.2) * (1.0 if kinds >= 2 else 0.6)
+class Value:
+    """What is known of a constant: its beginning, length, characters, and the
+    places of its literals, its own and those of the constants it is built from.
+
+    The text itself is not kept, so a constant that is doubled line after line
+    costs no more than its parts. Counts are scaled down when they grow large;
+    only their shares matter.
+    """
+
+    __slots__ = ("head", "size", "counts", "placeholder", "bare", "parts", "uses", "told")
+
+    def __init__(self) -> None:
+        self.head, self.size, self.counts, self.placeholder, self.bare = "", 0.0, Counter(), False, False
+        self.parts: list[tuple[int, int]] = []
+        self.uses: list[Value] = []
+        self.told = False
+
+    def _add(self, head: str, size: float, counts: Counter) -> None:
+        self.head = (self.head + head)[:HEAD]
+        self.size += size
+        self.counts.update(counts)
+        if self.size > 1e12:
+            self.size *= 1e-6
+            self.counts = Counter({c: n * 1e-6 for c, n in self.counts.items()})
+
+    def literal(self, text: str, lo: int, hi: int, bare: bool) -> None:
+        own = text[lo:hi]
+        self._add(own[:HEAD], len(own), Counter(own))
+        self.placeholder = self.placeholder or bool(_INSIDE.search(own))
+        self.bare = self.bare or bare
+        if hi > lo:
+            self.parts.append((lo, hi))
+
+    def constant(self, other: Value) -> None:
+        self._add(other.head, other.size, other.counts)
+        self.placeholder, self.bare = self.placeholder or other.placeholder, self.bare or other.bare
+        self.uses.append(other)
+
+    def score(self) -> float:
+        """How much the constant looks like a secret (0 to 1)."""
+        chars = self.counts.keys()
+        if self.size < (8 if self.bare else 6) or any(c.isspace() for c in chars) or self.placeholder or PLACEHOLDER.search(self.head):
+            return 0.0
+        if re.match(r"[a-z]+://|[./~]", self.head, re.I):
+            return 0.0
+        total = math.fsum(self.counts.values())
+        shares = [n / total for n in self.counts.values()]
+        entropy = -sum(p * math.log2(p) for p in shares if p)
+        text = "".join(chars)
+        kinds = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        if self.bare and (kinds < 2 or not re.search("[0-9]", text)):
+            return 0.0
+        return min(1.0, entropy / 3.2) * (1.0 if kinds >= 2 else 0.6)
+
+    def places(self) -> Iterator[tuple[int, int]]:
+        """The literals that were not told yet, of this constant and those it is built from."""
+        stack = [self]
+        while stack:
+            v = stack.pop()
+            if not v.told:
+                v.told = True
+                yield from v.parts
+                stack += v.uses
 
 
 def lexed_spans(text: str) -> list[Span]:
     """Literals that end up in sensitive names, constants propagated."""
     if not _HINT.search(text):
         return []
-    known: dict[str, tuple[str, tuple[tuple[int, int], ...], bool]] = {}
+    known: dict[str, Value] = {}
     out: set[Span] = set()
     at = 0
     while m := _PAIR.search(text, at):
         name, at = m["quoted"] or m["name"], m.end()
-        value, parts, bare, n = "", [], False, 0
+        value, n = Value(), 0
+        if m["op"] == "+=" and name in known:
+            value.constant(known[name])
         while t := _TERM.match(text, at):
-            if t["string"] is not None:
-                lo, hi, more, plain = t.start() + 1, t.end() - 1, None, False
-            else:
-                lo, hi, plain = t.start(), t.end(), True
-                more = known.get(t["word"]) if _NAME.match(t["word"]) else None
+            more = known.get(t["word"]) if t["word"] is not None and _NAME.match(t["word"]) else None
+            plain = t["string"] is None and more is None
             if more:
-                value, bare = value + more[0], bare or more[2]
-                parts += more[1]
+                value.constant(more)
+            elif plain:
+                value.literal(text, t.start(), t.end(), True)
             else:
-                value, bare = value + text[lo:hi], bare or plain
-                parts.append((lo, hi))
+                value.literal(text, t.start() + 1, t.end() - 1, False)
             n += 1
             at = t.end()
             plus = _PLUS.match(text, at)
-            if not plus or not _TERM.match(text, plus.end()) or plain and "+" not in plus[0]:
+            if not plus or not _TERM.match(text, plus.end()) or t["string"] is None and "+" not in plus[0]:
                 break
             at = plus.end()
         if not n:
             continue
-        known[name] = (value, tuple(parts), bare)
-        if name_score(name) * value_score(value, bare) >= THRESHOLD:
-            out.update((lo, hi, "lexed") for lo, hi in parts if hi > lo)
+        known[name] = value
+        sensitive = name_score(name)
+        if sensitive and sensitive * value.score() >= THRESHOLD:
+            out.update((lo, hi, "lexed") for lo, hi in value.places())
     return sorted(out)
 
 
@@ -127,7 +182,13 @@ def spans_of(text: str | None) -> list[Span]:
     if not text:
         return []
     base = base_spans(text)
-    added = [s for s in lexed_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    starts = sorted(base)
+    ends = list(accumulate((b[1] for b in starts), max))        # the farthest end of the spans up to each
+    added = []
+    for s in lexed_spans(text):
+        k = bisect_right(starts, s[0], key=lambda b: b[0])
+        if not k or ends[k - 1] < s[1]:
+            added.append(s)
     return sorted(base + added, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
