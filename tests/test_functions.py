@@ -64,3 +64,37 @@ def test_html_article(spark):
     df = spark.createDataFrame([(html,), ("<html><body><script>x</script></body></html>",)], "h string")
     got = [(r[0], r[1]) for r in df.select(html_title(F.col("h")), html_body(F.col("h"))).collect()]
     assert got == [("T & U", "Head Body text ."), ("", "")]
+
+
+def body_of(spark, *pages):
+    return one(spark, html_body(F.col("x")), [(p,) for p in pages])
+
+
+def test_nested_boilerplate_leaves_no_text(spark):
+    nested_nav = "<body><nav>a<nav>b</nav>c</nav><p>Text one.</p><NAV>d</NAV></body>"
+    nested_ad = ("<body><article><p>First.</p><div class=\"box ad-slot\"><div>Buy<div>now</div></div>today</div> between "
+                 "<p>Second.</p></article></body>")
+    aside = "<body><article><aside><p>Also read <b>this</b></p><aside>x</aside></aside><p>Story.</p></article><footer>Imprint</footer></body>"
+    footer = "<body><div id='sidebar'><div><ul><li>z</li></ul></div></div><main><p>Main text</p></main><footer><p>(c)</p></footer></body>"
+    assert body_of(spark, nested_nav, nested_ad, aside, footer) == ["Text one.", "First. between Second.", "Story.", "Main text"]
+
+
+def test_words_inside_names_are_no_boilerplate(spark):
+    assert body_of(spark, '<body><div class="header gradient"><p>Shadow</p></div><p class=adagio>Music</p></body>') == ["Shadow Music"]
+
+
+def test_blocks_of_links_go_and_texts_with_links_stay(spark):
+    page = ('<body><p>A long enough sentence with <a href="/x">one link</a> and <a href="/y">another</a> in its text.</p>'
+            '<ul><li><a href="/1">Home</a></li><li><a href="/2">News</a></li></ul><h2><a href="/3">Headline</a></h2></body>')
+    assert body_of(spark, page) == ["A long enough sentence with one link and another in its text. Headline"]
+
+
+def test_raw_elements_unclosed_elements_and_empty_pages(spark):
+    assert body_of(spark, "<body><script>if (a < b) '<nav>'</script><p>Kept</p><div class='ad'>never closed <p>More",
+                   "plain words", "", None, "<!-- <nav> --><p>x</p>", "<p>cut <a href=") == [
+        "Kept never closed More", "plain words", "", None, "x", "cut <a href="]
+
+
+def test_long_page_with_many_blocks(spark):
+    page = "<body>" + "<div class='ad'><div>x</div></div><p>word</p>" * 3000 + "</body>"
+    assert body_of(spark, page) == [" ".join(["word"] * 3000)]

@@ -38,23 +38,98 @@ def html_title(html: Column) -> Column:
     return _squash(_unescape(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)))
 
 
+# elements that hold no article text; the words are chosen, in class, id or role of any element
+BOILERPLATE = ("nav", "aside", "footer", "form", "menu", "dialog", "figcaption")
+BOILERPLATE_WORDS = ("ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comments", "cookie", "menu",
+                     "nav", "navigation", "newsletter", "promo", "related", "share", "sidebar", "social", "sponsored")
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+# tags at which a block of text ends; the items of a list are one block
+BLOCK_TAGS = (r"(?i)</?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figure|h[1-6]|header|hr|main|ol|p|pre|section|"
+              r"table|td|th|tr|ul)(?![A-Za-z0-9-])[^>]*>")
+
+
+def _bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _tag(piece: Column) -> Column:
+    """What a piece (a tag and the text up to the next one) does to the nesting."""
+    name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1))
+    words = "|".join(BOILERPLATE_WORDS)
+    named = piece.rlike(rf"(?i)^<[^>]*\s(?:class|id|role)\s*=\s*(?:\"(?:[^\"]*[\s_-])?(?:{words})(?:[\s_-][^\"]*)?\""
+                        rf"|'(?:[^']*[\s_-])?(?:{words})(?:[\s_-][^']*)?'|(?:{words})(?=[\s>]))")
+    opens = piece.rlike("^<[A-Za-z]") & ~piece.rlike("^<[^>]*/>") & ~name.isin(*VOID)
+    return F.struct(name.alias("name"), opens.alias("opens"), piece.startswith("</").alias("closes"),
+                    (opens & ~name.isin("html", "body", "main", "article") & (name.isin(*BOILERPLATE) | named)).alias("drops"))
+
+
+def _without_boilerplate(html: Column) -> Column:
+    """The markup without boilerplate elements and all that is nested in them.
+
+    One pass over the tags keeps the outermost open boilerplate element and how
+    deep elements of its name are nested in it, and notes where it begins and
+    ends. An element that is never closed drops nothing.
+    """
+    span = "struct<name:string,depth:int,start:int,at:int,gone:array<struct<start:int,end:int>>>"
+    none = F.lit(None).cast("string")
+
+    def step(s: Column, t: Column) -> Column:
+        inside = s["name"].isNotNull()
+        change = F.when(~inside, F.when(t["drops"], 1).otherwise(0)).when(t["name"] != s["name"], 0).when(t["closes"], -1).when(t["opens"], 1).otherwise(0)
+        depth = s["depth"] + change
+        ends = inside & (depth == 0)
+        return F.struct(F.when(ends, none).when(inside, s["name"]).when(t["drops"], t["name"]).otherwise(none).alias("name"), depth.alias("depth"),
+                        F.when(inside, s["start"]).otherwise(s["at"]).alias("start"), (s["at"] + 1).alias("at"),
+                        F.when(ends, F.array_append(s["gone"], F.struct(s["start"].alias("start"), s["at"].alias("end"))))
+                        .otherwise(s["gone"]).alias("gone")).cast(span)
+
+    def kept(pieces: Column) -> Column:
+        first = F.struct(none, F.lit(0), F.lit(0), F.lit(0), F.array().cast("array<struct<start:int,end:int>>")).cast(span)
+        gone = F.aggregate(F.transform(pieces, _tag), first, step, lambda s: s["gone"])
+        return _bound(gone, lambda g: F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(g)), lambda k: _between(pieces, g, k))), ""))
+
+    def _between(pieces: Column, g: Column, k: Column) -> Column:
+        """What stands between the (k-1)-th and the k-th element; an element leaves the text behind its last tag."""
+        last = F.get(g, k - 1)["end"]
+        start, end = F.coalesce(last + 1, F.lit(0)), F.coalesce(F.get(g, k)["start"], F.size(pieces))
+        behind = F.coalesce(F.regexp_replace(F.get(pieces, last), "^<[^>]*>", " "), F.lit(""))
+        return F.concat(F.array(behind), F.slice(pieces, start + 1, F.greatest(end - start, F.lit(0))))
+
+    return _bound(F.regexp_extract_all(html, F.lit(r"<[^>]*>[^<]*|^[^<]+|<[^<>]*$"), 0), kept)
+
+
+def _text_blocks(markup: Column) -> Column:
+    """The blocks of the markup that are text: those with several links that hold more than half of its characters go."""
+    def chars(c: Column) -> Column:
+        return F.length(F.regexp_replace(c, r"<[^>]*>|\s+", ""))
+
+    def linked(block: Column) -> Column:
+        links = F.regexp_extract_all(block, F.lit(r"(?is)<a(?![A-Za-z0-9-])[^>]*>(.*?)</a>"), 1)
+        return _bound(links, lambda x: (F.size(x) > 1) & (chars(F.array_join(x, "")) * 2 > chars(block)))
+
+    return F.array_join(F.filter(F.split(markup, BLOCK_TAGS), lambda b: ~linked(b)), " ")
+
+
 def html_body(html: Column) -> Column:
     """Visible article text.
 
-    Drops script, style, nav, comments and ad blocks, keeps the <article>
-    element when there is one (else <body>), strips the remaining tags and
-    un-escapes the common entities. Empty result means "no body" (F3).
+    Comments and raw elements (script, style, ..) go first. Boilerplate elements
+    (``BOILERPLATE``, or named so by class, id or role) go with all that is
+    nested in them. Of the rest the <article> element is taken when there is
+    one (else <body>), split into blocks, and blocks made of links are left
+    out. Common entities are un-escaped. Empty result means "no body" (F3).
     """
-    c = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>", " ")
-    c = F.regexp_replace(c, r"(?is)<style[^>]*>.*?</style>", " ")
-    c = F.regexp_replace(c, r"(?is)<nav[^>]*>.*?</nav>", " ")
-    c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
-    c = F.regexp_replace(c, r"(?is)<div class=.ad.[^>]*>.*?</div>", " ")
-    article = F.regexp_extract(c, r"(?is)<article[^>]*>(.*)</article>", 1)
-    body = F.regexp_extract(c, r"(?is)<body[^>]*>(.*)</body>", 1)
-    c = F.when(F.length(article) > 0, article).when(F.length(body) > 0, body).otherwise(c)
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
-    return _squash(_unescape(c))
+    c = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
+    c = F.regexp_replace(c, r"(?is)<(script|style|noscript|template|svg|title)(?![A-Za-z0-9-])[^>]*>.*?</\1\s*>", " ")
+
+    def region(c: Column) -> Column:
+        article = F.regexp_extract(c, r"(?is)<article(?![A-Za-z0-9-])[^>]*>(.*)</article>", 1)
+        body = F.regexp_extract(c, r"(?is)<body(?![A-Za-z0-9-])[^>]*>(.*)</body>", 1)
+        return F.when(F.length(article) > 0, article).when(F.length(body) > 0, body).otherwise(c)
+
+    text = _text_blocks(_bound(_without_boilerplate(c), region))
+    return _squash(_unescape(F.regexp_replace(text, r"<[^>]*>", " ")))
 
 
 def strip_wrapping_quotes(s: Column) -> Column:
