@@ -111,3 +111,12 @@ def test_observed_counts_without_extra_job(spark):
     out, obs = P.observed(df.filter("v > 1"), "after_filter", ["v"])
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 2, "sum_v": 5}
+
+
+def test_observed_metrics_by_dimension(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
+    out, obs = P.observed(df, "by_k", counts={k: F.col("k") == k for k in "abc"})
+    out.write.format("noop").mode("overwrite").save()
+    assert [tuple(r) for r in P.observed_metrics(spark, "rows_of", obs, "k").collect()] == [
+        ("rows_of", '{"k":"a"}', 2), ("rows_of", '{"k":"b"}', 1), ("rows_of", '{"k":"c"}', 0)]
+    assert [tuple(r) for r in P.observed_metrics(spark, "rows_of", obs).collect()] == [("rows_of", "{}", 3)]

@@ -55,13 +55,18 @@ def _bound(value: Column, f) -> Column:
 
 def _tag(piece: Column) -> Column:
     """What a piece (a tag and the text up to the next one) does to the nesting."""
-    name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1))
     words = "|".join(BOILERPLATE_WORDS)
     named = piece.rlike(rf"(?i)^<[^>]*\s(?:class|id|role)\s*=\s*(?:\"(?:[^\"]*[\s_-])?(?:{words})(?:[\s_-][^\"]*)?\""
                         rf"|'(?:[^']*[\s_-])?(?:{words})(?:[\s_-][^']*)?'|(?:{words})(?=[\s>]))")
-    opens = piece.rlike("^<[A-Za-z]") & ~piece.rlike("^<[^>]*/>") & ~name.isin(*VOID)
-    return F.struct(name.alias("name"), opens.alias("opens"), piece.startswith("</").alias("closes"),
-                    (opens & ~name.isin("html", "body", "main", "article") & (name.isin(*BOILERPLATE) | named)).alias("drops"))
+
+    def nesting(name: Column) -> Column:
+        closes = piece.startswith("</")
+        opens = (name != "") & ~closes & ~name.isin(*VOID) & ~piece.rlike("^<[^>]*/>")
+        return _bound(opens, lambda o: F.struct(
+            name.alias("name"), o.alias("opens"), closes.alias("closes"),
+            (o & ~name.isin("html", "body", "main", "article") & (name.isin(*BOILERPLATE) | named)).alias("drops")))
+
+    return _bound(F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9-]*)", 1)), nesting)
 
 
 def _without_boilerplate(html: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import DOMAIN_CAP, NEEDS_TRUST
@@ -197,13 +199,24 @@ def run_status(ledger: DataFrame) -> DataFrame:
         F.round(F.count_if(F.col("status") == "FAILED") / F.count(F.lit(1)), 6).alias("failure_rate"))
 
 
-def observed(df: DataFrame, name: str, sums: list[str] | None = None):
+def observed(df: DataFrame, name: str, sums: list[str] | None = None, counts: dict[str, Column] | None = None):
     """A14 without an extra job: attach an ``Observation`` that counts the
-    rows (and sums the given columns) flowing through ``df`` while the
-    downstream action runs. Returns (df, observation); read
-    ``observation.get`` after the action."""
+    rows (sums the given columns, and counts the rows for which a condition of
+    ``counts`` holds) flowing through ``df`` while the downstream action runs.
+    Returns (df, observation); read ``observation.get`` after the action."""
     from pyspark.sql import Observation
 
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")] + [F.sum(c).alias(f"sum_{c}") for c in (sums or [])]
-    return df.observe(obs, *exprs), obs
+    return df.observe(obs, *exprs, *[F.count_if(c).alias(k) for k, c in (counts or {}).items()]), obs
+
+
+def observed_metrics(spark: SparkSession, name: str, observation, dimension: str | None = None) -> DataFrame:
+    """The counts of one observation in the form of ``metric_counts``: its rows, or one row for each value of the
+    dimension that was counted."""
+    got = observation.get
+    if dimension is None:
+        rows = [(name, "{}", got["rows"])]
+    else:
+        rows = [(name, json.dumps({dimension: k}, separators=(",", ":")), v) for k, v in sorted(got.items()) if k != "rows"]
+    return spark.createDataFrame(rows, "metric string, dimensions string, value long")

@@ -70,6 +70,41 @@ def with_bodies(spark, sf, articles):
     return named.join(bodies, "doc_id", "left")
 
 
+def collected(spark, sf, runs):
+    """(store of accepted candidates, failed runs, the accepted articles counted by aggregator while they are written)."""
+    articles, failed = landed_articles(spark, sf)
+    accepted = C.collect(articles, runs, A.trusted(spark, sf), body="has_body",
+                         description="article_text_description", attributes=lambda a: with_bodies(spark, sf, a))
+    accepted, counts = P.observed(accepted, "accepted", counts={k: F.col("aggregator_id") == k for k in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM)})
+    path = scratch_path(spark, "pipe-candidates")
+    CS.store_candidates(accepted.select(*RUN, "topic", "sorting", "start_dt", "article_id", "aggregation_index", "published_dt", "title",
+                                        "url", "provider_domain", "category", "author", "article_text_description",
+                                        "article_text_snippet", "article_data"), path)
+    return path, failed, counts
+
+
+def considered_inventories(spark, path):
+    """(the inventories of enough articles, ranked and written; their rows counted while they are written)."""
+    inv = CS.load_unsourced(spark, path).withColumnRenamed("published_date", "publishing_date")
+    considered, counts = P.observed(SO.rank_inventory(SO.sourceable(inv)), "considered")
+    work = scratch_path(spark, "pipe-inventory")
+    considered.write.parquet(work)
+    return spark.read.parquet(work).withColumn("day", F.col("publishing_date").cast("string")), counts
+
+
+@query("agg_observed_counts", with_views(f"""
+SELECT 'accepted' AS metric, '{{"aggregator_id":"' || a.id || '"}}' AS dimensions, count(r.url) AS value
+FROM (SELECT unnest(['{K.BING}', '{K.NEWSAPI_ORG}', '{K.THENEWSAPI_COM}']) AS id) a
+LEFT JOIN (SELECT * FROM l_w4 r WHERE NOT {LOST_SQL}) r ON r.aggregator_id = a.id GROUP BY a.id
+UNION ALL SELECT 'considered', '{{}}', coalesce(sum(n), 0)::BIGINT FROM (
+  SELECT count(*) AS n FROM inventory GROUP BY topic_id, publishing_date HAVING count(*) >= 6) x""", "l_w4", "inventory"))
+def agg_observed_counts(spark, sf):
+    """Counts that both services take while their main job writes, without a job of their own."""
+    _, _, accepted = collected(spark, sf, A.runs(spark, sf))
+    _, considered = considered_inventories(spark, stored(spark, sf))
+    return P.observed_metrics(spark, "accepted", accepted, "aggregator_id").unionByName(P.observed_metrics(spark, "considered", considered))
+
+
 @query("pipe_collect", with_views(f"""
 SELECT r.topic_id, r.aggregator_id, CASE WHEN {LOST_SQL} THEN 'FAILED' ELSE 'COMPLETE' END AS run_status,
        CASE WHEN NOT {LOST_SQL} THEN coalesce(s.n, 0) END AS articles_count,
@@ -87,13 +122,7 @@ def pipe_collect(spark, sf):
     page is FAILED in the ledger, with its error, and stores nothing."""
     runs = A.runs(spark, sf)
     ledger = LG.start_runs(None, runs, A.TODAY)
-    articles, failed = landed_articles(spark, sf)
-    accepted = C.collect(articles, runs, A.trusted(spark, sf), body="has_body",
-                         description="article_text_description", attributes=lambda a: with_bodies(spark, sf, a))
-    path = scratch_path(spark, "pipe-candidates")
-    CS.store_candidates(accepted.select(*RUN, "topic", "sorting", "start_dt", "article_id", "aggregation_index", "published_dt", "title",
-                                        "url", "provider_domain", "category", "author", "article_text_description",
-                                        "article_text_snippet", "article_data"), path)
+    path, failed, _ = collected(spark, sf, runs)
     kept = spark.read.parquet(path)
     summary = AG.run_summary(kept)
     outcomes = runs.join(summary, RUN, "left").join(AG.store_paths(kept, "candidates"), RUN, "left").join(failed, RUN, "left").select(
@@ -119,12 +148,7 @@ def pipe_source(spark, sf):
     summaries, bundles and table rows; flags and publishing dates; one row per
     sourced topic-day."""
     path = stored(spark, sf)
-    inv = CS.load_unsourced(spark, path).withColumnRenamed("published_date", "publishing_date")
-    considered = SO.rank_inventory(SO.sourceable(inv))
-    work = scratch_path(spark, "pipe-inventory")
-    considered.write.parquet(work)
-    considered = spark.read.parquet(work).withColumn("day", F.col("publishing_date").cast("string"))
-
+    considered, _ = considered_inventories(spark, path)
     docs = A.doc_attributes(A.read(spark, sf, "documents")).select("doc_id", "description", "text")
     texts = considered.join(docs, "doc_id")
     doc = F.get(embedding_docs("title_and_description_and_content_concat", F.col("title"), F.col("description"), F.col("text")), F.lit(0))
