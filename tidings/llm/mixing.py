@@ -3,7 +3,9 @@
 1. A document's size is its number of words. A source's target is its share by
    weight of the words of the whole corpus, at most ``MAX_EPOCHS`` times its
    own size; what that cuts off is shared out again by weight.
-2. The corpus is counted in blocks of equal size, and the blocks go to the
+2. The corpus is counted in blocks of equal size: at least ``BLOCKS``, and so
+   many more that an average shard and the source with the least target hold
+   ``PART_BLOCKS`` each, however large the corpus is. The blocks go to the
    sources by highest quotients target / (2 * seats + 1). A source's blocks go
    to its shards (hash parts of about ``SHARD_DOCS`` documents, so a hot source
    is many shards) in the same way, by shard size.
@@ -34,9 +36,9 @@ from .common import words_of, written
 
 MAX_EPOCHS = 3
 SHARD_DOCS = 4096
-BLOCKS = 1 << 20         # blocks the corpus is counted in, at most
+BLOCKS = 1 << 20         # blocks the corpus is counted in, at least (words permitting)
+PART_BLOCKS = 64         # blocks of an average shard and of the least target, at least
 GRID = 64                # divisors tried in one grouped sum
-ROUNDS = 4               # then GRID ** ROUNDS > 3 * BLOCKS: at most one seat of a part is open
 
 
 def _key(source: Column) -> Column:
@@ -80,6 +82,10 @@ def apportion(parts: DataFrame, group: list[str], votes: str, seats: str, key: l
     ``votes`` is a part's weight, ``seats`` the group's number of seats (the
     same in all its rows), ``key`` breaks ties. A part with no votes gets none.
     """
+    most = parts.agg(F.max(seats)).first()[0] or 0
+    rounds = 1
+    while GRID ** rounds <= 16 * most:      # then at most one seat of a part is open
+        rounds += 1
     votes_all = parts.groupBy(*group).agg(F.sum(F.col(votes).cast("double")).alias("_all_votes"))
     base = parts.join(votes_all, group).withColumn(
         "_ideal", F.when((F.col(seats) > 0) & (F.col(votes) > 0), F.col("_all_votes") / F.col(seats)))
@@ -92,7 +98,7 @@ def apportion(parts: DataFrame, group: list[str], votes: str, seats: str, key: l
     bounds = written(base.groupBy(*group, F.col(seats).alias("_total")).agg(F.count(F.lit(1)).alias("_parts"))
                      .select(*group, "_total", F.when(F.col("_total") > 0, F.col("_total") / (F.col("_total") + F.col("_parts")) / 2)
                              .otherwise(1.0).alias("_lo"), F.lit(3.0).alias("_hi")), "mix-bounds")
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         tried = F.explode(F.sequence(F.lit(1), F.lit(GRID - 1))).alias("_i")
         at = base.select(*group, votes, "_ideal", tried).join(bounds, group)
         step = (F.col("_hi") - F.col("_lo")) / GRID
@@ -127,8 +133,10 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = (1, 2, 3), b
                                                             F.count(F.lit(1)).alias("_docs")))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     sources = written(targets(sources.withColumn("weight", weight)), "mix-targets")
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, -(-total // blocks))
+    s = sources.agg(F.sum("source_size").alias("total"), F.min(F.when(F.col("target") > 0, F.col("target"))).alias("least"),
+                    F.sum(F.ceil(F.col("_docs") / shard_docs)).alias("shards")).first()
+    total = s["total"] or 0
+    block = max(1, min(-(-total // blocks), total // (PART_BLOCKS * (s["shards"] or 1)), int(s["least"] or 0) // PART_BLOCKS))
     sources = written(sources.withColumns({"_corpus": F.lit(0), "_seats": F.lit(total // block)}), "mix-seats")
     sources = apportion(sources, ["_corpus"], "target", "_seats", ["_source"])
     sources = written(sources.withColumn("_shards", F.ceil(F.col("_docs") / shard_docs)), "mix-quotas")
@@ -166,13 +174,16 @@ def mixed(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The documents of the mix, with the columns of docs: each whole copy a
     row, and the taken part of one more copy a row that ends after that word.
     A row without a taken word goes. Equal rows (doc_id and text) give the
-    copies of all of them, with the other columns of one."""
-    row = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    plan = mix(row.select(F.col("_row").alias("doc_id"), "text", "source"), seed).filter("taken > 0")
+    copies of all of them, with the other columns of one. Rows are told apart
+    by two 64-bit hashes of id and text."""
+    names = [f"_column_{k}" for k in range(len(docs.columns))]
+    doc_id, text, source = (names[docs.columns.index(c)] for c in ("doc_id", "text", "source"))
+    row = docs.toDF(*names).withColumn("_row", F.struct(F.xxhash64(doc_id, text), F.xxhash64(F.lit("mix"), text, doc_id)))
+    plan = mix(row.select(F.col("_row").alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")), seed).filter("taken > 0")
     plan = plan.groupBy(F.col("doc_id").alias("_row")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
     j = row.dropDuplicates(["_row"]).join(plan, "_row")
     whole, part = F.floor(F.col("_taken") / F.col("_size")).cast("int"), F.col("_taken") % F.col("_size")
-    texts = F.concat(F.array_repeat("text", whole),
-                     F.when(part > 0, F.array(first_words("text", part))).otherwise(F.array().cast("array<string>")))
-    out = j.select(*[c for c in docs.columns if c != "text"], F.explode(texts).alias("text"))
-    return out.select(*docs.columns)
+    texts = F.concat(F.array_repeat(text, whole),
+                     F.when(part > 0, F.array(first_words(text, part))).otherwise(F.array().cast("array<string>")))
+    out = j.select(*[n for n in names if n != text], F.explode(texts).alias(text))
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
