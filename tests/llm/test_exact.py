@@ -507,3 +507,64 @@ def test_line_dedup_equals_all_pairs(spark):
     assert got == want and sum(map(len, want.values())) > 20
     out = {r.doc_id: r.text for r in linededup.deduplicated(df).collect()}
     assert out == {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in want[d]) for d, t in docs.items()}
+
+
+def test_repeated_words_are_runs_and_not_pairs():
+    """10 000 times one word against an item of 400: 3.9 million equal windows, in bounded memory."""
+    import tracemalloc
+    seeds = decontaminate.Seeds([(0, "a " * 400), (1, "a " * 300 + "b c d e f")])
+    tracemalloc.start()
+    found = decontaminate.cover(["a " * 10_000], seeds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [[(0, 1.0), (1, 300 / 305)]] and peak < 100_000_000
+
+
+def test_runs_over_portions_are_joined(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(60):
+        item, text = ([rng.choice("ab") for _ in range(rng.randrange(1, 30))] for _ in range(2))
+        seeds = decontaminate.Seeds([(0, " ".join(item))])
+        hashes, at = word_hashes([" ".join(text)])
+        whole = seeds.runs(hashes, at).tolist()
+        monkeypatch.setattr(decontaminate, "PAIRS", 3)
+        assert seeds.runs(hashes, at).tolist() == whole
+        monkeypatch.undo()
+        n = min(5, len(item))
+        pairs = {(p, q) for p in range(len(text) - n + 1) for q in range(len(item) - n + 1) if text[p:p + n] == item[q:q + n]}
+        assert {(p + j, p + d + j) for _, _, d, p, c in whole for j in range(c)} == pairs
+        assert sum(r[4] for r in whole) == len(pairs)
+
+
+def test_seeds_in_many_blocks_find_the_same(spark):
+    items = spark.createDataFrame([(k, f"the item number {k} has its own eight words") for k in range(40)] + [(40, ""), (41, None), (42, " . ")],
+                                  "item_id long, text string")
+    texts = [f"x y the item number {k} has its own eight words z" for k in range(0, 40, 3)] + [None, "", "nothing here"]
+    blocks = decontaminate.seed_blocks(items, chars=200)
+    one = decontaminate.seed_blocks(items)
+    assert len(blocks) > 3 and len(one) == 1
+    got = [sorted(f) for f in decontaminate.cover(texts, *blocks)]
+    assert got == [sorted(f) for f in decontaminate.cover(texts, *one)]
+    assert [[i for i, c in f if c >= 0.8] for f in got[:3]] == [[0], [3], [6]] and got[-3:] == [[], [], []]
+
+
+def test_more_shards_than_blocks_still_meet_the_targets(spark):
+    """64 blocks asked for, 256 shards: the blocks grow with the shards, and the least source gets its share."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 9 AS int)) AS text",
+                                        "CASE WHEN id < 3 THEN 'a' WHEN id % 3 = 0 THEN 'b' ELSE 'c' END AS source")
+    rows = mixing.mix(docs, blocks=64, shard_docs=16).collect()
+    total = sum(r["size"] for r in rows)
+    block = max(1, min(total // 64, total // (64 * 251)))
+    for source in "abc":
+        own = [r for r in rows if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= block
+        assert all(r["taken"] <= 3 * r["size"] for r in own)
+    assert sum(1 for r in rows if r["taken"]) > 2000
+
+
+def test_mixed_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(k, "a b c d", "s", f"r{k}", k) for k in range(20)],
+                                 "doc_id long, text string, source string, _row string, _taken long")
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    assert {(r["doc_id"], r["_row"], r["_taken"]) for r in got.collect()} == {(k, f"r{k}", k) for k in range(20)}

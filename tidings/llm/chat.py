@@ -89,13 +89,14 @@ def render(messages: list[Message], template: Template) -> tuple[str, list[tuple
     """(formatted text, span of each turn, span of each assistant text, turns
     at which the template rewrote what it had given before)."""
     turnwise = getattr(template, "turnwise", False)
-    done, spans, texts, rewritten = "", [], [], []
-    first, base, last = 0, 0, ""     # messages[first:] are rendered; their output begins at base
+    settled, spans, texts, rewritten = [], [], [], []
+    first, base, last = 0, 0, ""     # messages[first:] are rendered as last, which begins at base; before it stands settled
     for i, m in enumerate(messages):
         if turnwise and i and i % WINDOW == 0 and not rewritten:
-            lo, hi = spans[i - 1]
-            if template(messages[i - 1:i]) == done[lo:hi]:
-                first, base, last = i - 1, lo, done[lo:hi]
+            lo, hi = spans[i - 1][0] - base, spans[i - 1][1] - base
+            if template(messages[i - 1:i]) == last[lo:hi]:
+                settled.append(last[:lo])
+                first, base, last = i - 1, base + lo, last[lo:hi]
         out = template(messages[first:i + 1])
         if out.startswith(last):
             at = len(last)
@@ -103,9 +104,8 @@ def render(messages: list[Message], template: Template) -> tuple[str, list[tuple
             rewritten.append(i)
             at = _shared(out, last)
         if rewritten and first:      # spans by whole prefixes from here on
-            first, base, out = 0, 0, template(messages[:i + 1])
+            settled, first, base, out = [], 0, 0, template(messages[:i + 1])
             at = min(at, len(out))
-        done = done[:base] + out
         spans.append((base + at, base + len(out)))
         if m["role"] == "assistant":
             probe = template([*messages[first:i], {**m, "content": HOLE}])
@@ -114,7 +114,7 @@ def render(messages: list[Message], template: Template) -> tuple[str, list[tuple
             if head >= 0 and head + tail <= len(out):
                 texts.append((base + head, base + len(out) - tail))
         last = out
-    return done, spans, texts, rewritten
+    return "".join([*settled, last]), spans, texts, rewritten
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
