@@ -3,11 +3,17 @@
 Base spans come from three patterns (see ``base_spans``). The lexer adds
 others: it reads the whole text as source or configuration syntax (``name =
 "literal"``, ``name: literal``, ``"name": "literal"``, ``name := ...``, ``name =>
-...``, ``name += ...``, ``obj["name"] = ...``, typed names), follows ``+`` and adjacent literals,
-puts in the values of names assigned earlier in the text, and scores each
+...``, ``name += ...``, ``obj["name"] = ...``, typed names, ``set("name", "literal")``,
+``<name>literal</name>``, ``key="name" value="literal"``; literals in one, three or
+back quotes, in parentheses over several lines, as items of a list in brackets or
+behind dashes, as a block behind ``|``), follows ``+`` and adjacent literals,
+puts in the values of names assigned earlier in the text (in ``f"{name}"`` and
+``${name}`` as well), and scores each
 resolved value: how sensitive the target name's words are, times how much the
 value looks like a key rather than a word, a placeholder or a path. The parts
-of values that score ``THRESHOLD`` or more are spans of the kind ``lexed``.
+of values that score ``THRESHOLD`` or more are spans of the kind ``lexed``. A
+literal of several lines is read once more for pairs of its own, and no text more
+than twice.
 
 Spans are in code points, the end exclusive. Defined cases: null and empty
 texts have no spans; rows with one doc_id are scanned one by one; an empty
@@ -46,11 +52,21 @@ PLACEHOLDER = re.compile(_INSIDE.pattern + r"|^[<{$%\[(]|^(true|false|null|none|
 HEAD = 4096      # characters of a constant that are kept to be looked at; its literals are looked at whole
 _HINT = re.compile("|".join(w for w, v in NAME_WORDS.items() if v >= 0.4 and w not in ("key", "api", "private", "signing", "encryption")) + "|private.?key|api.?key|access.?key|signing.?key|encryption.?key", re.I)
 
-_STRING = r'"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\''
-_PAIR = re.compile(rf"""(?:["'](?P<quoted>[A-Za-z_][A-Za-z0-9_. -]*+)["']\]?|(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+))
-    (?:[ ]*:[ ]*[A-Za-z_][A-Za-z0-9_.\[\]]{{0,40}}(?=[ ]*=))?[ ]*(?P<op>\+=|:=|=>|=(?![=~])|:(?![:/]))[ ]*""", re.X)
-_TERM = re.compile(rf"(?P<string>{_STRING})|(?P<word>[^\s\"'`,;(){{}}\[\]<>]+)")
+_STRING = "|".join((r'"""(?:[^"\\]++|\\[\s\S]|"(?!""))*+"""', r"'''(?:[^'\\]++|\\[\s\S]|'(?!''))*+'''", r"`(?:[^`\\]++|\\[\s\S])*+`",
+                    r'"(?:[^"\\\n]++|\\.)*+"', r"'(?:[^'\\\n]++|\\.)*+'"))
+_PAIR = re.compile(r"""\([ ]*["'](?P<arg>[A-Za-z_][A-Za-z0-9_.-]*+)["'][ ]*,[ ]*(?=["'`])
+    |<(?P<tag>[A-Za-z_][A-Za-z0-9_.-]*+)(?=(?:\s[^<>]*+)?>\s*(?P<content>[^<>\s]++)\s*</)
+    |(?<![A-Za-z0-9_.-])(?:name|key|id)[ ]*=[ ]*["'](?P<attr>[A-Za-z_][A-Za-z0-9_. -]*+)["'][ ]+value[ ]*=[ ]*(?=["'])
+    |(?:["'](?P<quoted>[A-Za-z_][A-Za-z0-9_. -]*+)["']\]?|(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+))
+    (?:[ ]*:[ ]*[A-Za-z_][A-Za-z0-9_.\[\]]{0,40}(?=[ ]*=))?[ ]*(?P<op>\+=|:=|=>|=(?![=~])|:(?![:/]))[ ]*""", re.X)
+_TERM = re.compile(rf"(?P<string>(?P<prefix>[fFrRbBuU]{{1,2}}(?=[\"']))?(?:{_STRING}))|(?P<word>[^\s\"'`,;(){{}}\[\]<>]+)")
 _PLUS = re.compile(r"[ ]*\+[ ]*(?:\\?\n[ ]*)?|[ ]+(?=[\"'])")
+_PLUS_LINES = re.compile(r"\s*\+?\s*")
+_OPEN = re.compile(r"[(\[]\s*(?=[fFrRbBuU]{0,2}[\"'`])")
+_COMMA = re.compile(r"\s*,\s*(?=[fFrRbBuU]{0,2}[\"'`])")
+_BLOCK = re.compile(r"[|>][+-]?[ ]*\n[ ]+")
+_ITEM = re.compile(r"""[ ]*(?:\#[^\n]*)?\n[ \t]*-[ ]+(?!["']?[A-Za-z_][A-Za-z0-9_.-]*+["']?[ ]*(?::\s|=[ "']))""", re.X)
+_HOLE = re.compile(r"\$?\{([^{}\n]*)\}")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*$")
 
 Span = tuple[int, int, str]
@@ -73,7 +89,7 @@ def name_score(name: str) -> float:
     words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name).lower())
     if not words or words[-1] in NAME_NOT:
         return 0.0
-    return min(1.0, sum(NAME_WORDS.get(w, 0.0) for w in set(words)))
+    return min(1.0, sum(NAME_WORDS.get(w, NAME_WORDS.get(w.removesuffix("s"), 0.0)) for w in set(words)))
 
 
 class Value:
@@ -141,36 +157,107 @@ class Value:
                 stack += v.uses
 
 
-def lexed_spans(text: str) -> list[Span]:
-    """Literals that end up in sensitive names, constants propagated."""
-    if not _HINT.search(text):
-        return []
-    known: dict[str, Value] = {}
-    out: set[Span] = set()
-    at = 0
-    while m := _PAIR.search(text, at):
-        name, at = m["quoted"] or m["name"], m.end()
-        value, n = Value(), 0
-        if m["op"] == "+=" and name in known:
-            value.constant(known[name])
-        while t := _TERM.match(text, at):
-            more = known.get(t["word"]) if t["word"] is not None and _NAME.match(t["word"]) else None
-            plain = t["string"] is None and more is None
+class Lexer:
+    """Reads the pairs of one text in order; ``known`` holds the constants so far."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.known = text, {}
+        self.at = self.read = 0         # where to go on, and the end of what was read
+        self.again: int | None = None   # the first literal of several lines that is to be read for pairs of its own
+
+    def _literal(self, value: Value, t: re.Match) -> None:
+        """A string literal, with the constants that it names in braces if it is one that does so."""
+        body = t.start() + len(t["prefix"] or "")
+        quotes = 3 if self.text[body:body + 3] in ('"""', "'''") and t.end() - body >= 6 else 1
+        lo, hi = body + quotes, t.end() - quotes
+        if self.again is None and lo >= self.read and "\n" in t["string"]:
+            self.again = lo
+        if "f" in (t["prefix"] or "").lower() or self.text[body] == "`":
+            for hole in _HOLE.finditer(self.text, lo, hi):
+                other = self.known.get(hole[1].strip())
+                if other is None:
+                    value.placeholder = True        # made when the program runs
+                else:
+                    value.literal(self.text, lo, hole.start(), False)
+                    value.constant(other)
+                    lo = hole.end()
+        value.literal(self.text, lo, hi, False)
+
+    def _chain(self, value: Value, join: re.Pattern = _PLUS) -> bool:
+        """The terms from here on that ``join`` holds together; whether there is one."""
+        n = 0
+        while t := _TERM.match(self.text, self.at):
+            more = self.known.get(t["word"]) if t["word"] is not None and _NAME.match(t["word"]) else None
             if more:
                 value.constant(more)
-            elif plain:
-                value.literal(text, t.start(), t.end(), True)
+            elif t["string"] is None:
+                value.literal(self.text, t.start(), t.end(), True)
             else:
-                value.literal(text, t.start() + 1, t.end() - 1, False)
+                self._literal(value, t)
             n += 1
-            at = t.end()
-            plus = _PLUS.match(text, at)
-            if not plus or not _TERM.match(text, plus.end()) or t["string"] is None and "+" not in plus[0]:
+            self.at = t.end()
+            plus = join.match(self.text, self.at)
+            after = plus and _TERM.match(self.text, plus.end())
+            if not after or "+" not in plus[0] and (t["string"] is None or after["string"] is None):
                 break
-            at = plus.end()
-        if not n:
-            continue
-        known[name] = value
+            self.at = plus.end()
+        return n > 0
+
+    def _items(self, following: re.Pattern) -> list[Value]:
+        """The items of a list from here on, each a value of its own."""
+        out = []
+        while True:
+            value = Value()
+            if not self._chain(value):
+                return out
+            out.append(value)
+            m = following.match(self.text, self.at)
+            if not m:
+                return out
+            self.at = m.end()
+
+    def values(self, m: re.Match, name: str) -> list[Value]:
+        """What the name of a pair is given."""
+        value = Value()
+        if m["tag"]:
+            value.literal(self.text, *m.span("content"), False)
+            return [value]
+        if m["op"] == "+=" and name in self.known:
+            value.constant(self.known[name])
+        if opened := _OPEN.match(self.text, self.at):
+            self.at = opened.end()
+            if opened[0][0] == "[":
+                return self._items(_COMMA)
+            return [value] if self._chain(value, _PLUS_LINES) else []
+        if m["op"] == ":":
+            if item := _ITEM.match(self.text, self.at):
+                self.at = item.end()
+                return self._items(_ITEM)
+            if block := _BLOCK.match(self.text, self.at):
+                self.at = block.end()
+        return [value] if self._chain(value) else []
+
+    def pairs(self) -> Iterator[tuple[str, Value]]:
+        """(name, value) of each pair, constants put in."""
+        while m := _PAIR.search(self.text, self.at):
+            self.at, self.again = m.end(), None
+            name = m["quoted"] or m["name"] or m["arg"] or m["attr"] or m["tag"]
+            found = self.values(m, name)
+            if len(found) == 1:
+                self.known[name] = found[0]
+            for value in found:
+                yield name, value
+            self.read = max(self.read, self.at)
+            if self.again is not None:
+                self.at = self.again
+
+
+def lexed_spans(text: str) -> list[Span]:
+    """Literals that end up in sensitive names, constants propagated."""
+    if not _HINT.search(text):
+        return []
+    out: set[Span] = set()
+    for name, value in Lexer(text).pairs():
         sensitive = name_score(name)
         if sensitive and sensitive * value.score() >= THRESHOLD:
             out.update((lo, hi, "lexed") for lo, hi in value.places())
