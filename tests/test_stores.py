@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidings.plans import catalog
 from tidings.session import scratch_path
 from tidings.sources import bundles as BD
 from tidings.sources import candidates as CS
@@ -90,3 +91,36 @@ def test_numeric_topics_stay_texts(spark):
 def test_other_errors_of_a_store_are_raised(spark):
     with pytest.raises(Exception, match="(?i)schema|parquet|path"):
         stores.stored_keys(spark, "nosuchscheme://x/y", candidates(spark, [1]), ["topic_id"], ["article_id"])
+
+
+def test_a_store_that_got_no_row_is_read(spark):
+    path = scratch_path(spark, "no-candidates")
+    CS.store_candidates(candidates(spark, [1]).limit(0), path)
+    left = CS.load_unsourced(spark, path)
+    assert left.count() == 0 and CS.mark_sourced(spark, path, left).count() == 0
+    assert {"article_id", "is_sourced", *CS.PARTITIONS} <= set(left.columns)
+    CS.store_candidates(candidates(spark, [1, 2]), path)
+    assert CS.mark_sourced(spark, path, CS.load_unsourced(spark, path).filter("article_id = 'a1'")).filter("is_sourced").count() == 1
+    assert [r.article_id for r in CS.load_unsourced(spark, path).collect()] == ["a2"]
+    path, none = scratch_path(spark, "no-bundles"), articles(spark, "x#1").limit(0)
+    BD.store_bundles(none, path)
+    assert BD.load_bundles(spark, path).count() == 0 and stores.read_table(spark, path).columns == ["object_key", "body", "topic_id", "publishing_day"]
+    root = scratch_path(spark, "no-files")
+    assert BD.store_bundle_files(none, root).count() == 0
+    assert stores.scan_objects(spark, root).count() == 0 and BD.load_bundle_files(spark, root).count() == 0
+
+
+@pytest.mark.parametrize("query, rows", [("agg_observed_counts", 4), ("pipe_collect", 3), ("pipe_source", 0), ("sink_candidates", 0), ("sink_mark_sourced", 0),
+                                         ("sink_sourced_bundle", 0), ("src_candidates_unsourced", 0), ("src_prefix_scan", 0), ("src_sourced_bundle", 0)])
+def test_queries_when_no_article_is_accepted(spark, tmp_path, query, rows):
+    spark.createDataFrame([(i, "title\nsecond line", "en", "src1") for i in range(4)], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, dt.datetime(2023, 1, 1, i), 8) for i in range(12)], "event_id long, ts timestamp, user_id long").write.parquet(
+        f"{tmp_path}/events.parquet")          # published before the window of every run
+    spark.createDataFrame([(i, [0.5] * 64, 0) for i in range(4)], "vec_id long, embedding array<float>, label int").write.parquet(
+        f"{tmp_path}/embeddings.parquet")
+    catalog.load_all()
+    got = catalog.QUERIES[query](spark, str(tmp_path)).collect()
+    assert len(got) == rows
+    if query == "agg_observed_counts":
+        assert {r.value for r in got} == {0}

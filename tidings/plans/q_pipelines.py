@@ -22,6 +22,7 @@ from ..session import scratch_path
 from ..sources import bundles as BD
 from ..sources import candidates as CS
 from ..sources import vendor as V
+from ..sources.stores import read_table
 from . import adapters as A
 from .catalog import ISO, query
 from .landing import land, vendor_path
@@ -123,7 +124,7 @@ def pipe_collect(spark, sf):
     runs = A.runs(spark, sf)
     ledger = LG.start_runs(None, runs, A.TODAY)
     path, failed, _ = collected(spark, sf, runs)
-    kept = spark.read.parquet(path)
+    kept = read_table(spark, path)
     summary = AG.run_summary(kept)
     outcomes = runs.join(summary, RUN, "left").join(AG.store_paths(kept, "candidates"), RUN, "left").join(failed, RUN, "left").select(
         F.concat_ws("/", *RUN, F.col("start_dt").cast("string")).alias("run_id"), "min_published", "max_published", "n_accepted",
@@ -178,7 +179,7 @@ def pipe_source(spark, sf):
     flagged = after.filter("is_sourced").groupBy("topic_id", F.col("published_date").cast("string").alias("day")).agg(
         F.count(F.lit(1)).alias("n_flagged"))
     sourced = articles.groupBy("topic_id", "day").agg(F.count(F.lit(1)).alias("n_sourced"), F.collect_set("date_published").alias("_dates"))
-    objects = spark.read.parquet(bundles).groupBy("topic_id", F.regexp_extract("object_key", "([^/]+)/[^/]+$", 1).alias("sourced_article_id")).agg(
+    objects = read_table(spark, bundles).groupBy("topic_id", F.regexp_extract("object_key", "([^/]+)/[^/]+$", 1).alias("sourced_article_id")).agg(
         F.count(F.lit(1)).alias("n"))
     objects = objects.join(table.select("sourced_article_id"), "sourced_article_id").groupBy("topic_id").agg(F.avg("n").alias("objects_per_article"))
     n = considered.groupBy("topic_id", "day").agg(F.count(F.lit(1)).alias("n_considered"))

@@ -10,6 +10,7 @@ from ..functions.dates import iso_utc
 from ..operators import sourcing as SO
 from ..session import scratch_path
 from ..sources import candidates as CS
+from ..sources.stores import read_table
 from . import adapters as A
 from .catalog import ISO, query
 from .oracle_ctes import register, with_views
@@ -60,7 +61,7 @@ def stored(spark, sf):
 def sink_candidates(spark, sf):
     """Accepted articles written under topic / published day and read back."""
     path = stored(spark, sf)
-    d = spark.read.parquet(path)
+    d = read_table(spark, path)
     return d.select("topic_id", F.col("published_date").cast("string").alias("published_date"), "article_id", "url",
                     "is_sourced")
 

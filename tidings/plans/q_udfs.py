@@ -10,7 +10,7 @@ from ..functions.ids import lexicographic_date, sourced_article_id
 from ..operators import udfs as U
 from ..session import scratch_path
 from ..sources import bundles as BD
-from ..sources.stores import scan_objects, staged
+from ..sources.stores import read_table, scan_objects, staged
 from . import adapters as A
 from .catalog import ISO, UUID_SQL, query
 from .oracle_ctes import register, with_views
@@ -156,7 +156,7 @@ def sink_sourced_bundle(spark, sf):
     path, d = scratch_path(spark, "bundles"), staged(digest(spark, sf), "digest")
     for part in (d.filter("cluster % 2 = 0"), d.filter("cluster % 2 = 1"), d):
         BD.store_bundles(part, path)
-    d = spark.read.parquet(path)
+    d = read_table(spark, path)
     return d.select("object_key", F.when(~F.col("object_key").endswith(".json"), F.md5("body")).alias("body_md5"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ids import sourced_keys
-from .stores import append_new, scan_objects, staged, write_objects
+from .stores import append_new, read_table, scan_objects, staged, write_objects
 
 REF_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in
                            ("article_id", "article_title", "article_dt_published", "article_topic_id", "article_topic")]
@@ -85,7 +85,7 @@ def _articles(objects: DataFrame) -> DataFrame:
 
 def load_bundles(spark: SparkSession, path: str) -> DataFrame:
     """Stored article JSON of complete bundles back as rows with their three summary refs."""
-    objects = spark.read.parquet(path).withColumn("_prefix", F.regexp_replace("object_key", "/[^/]*$", ""))
+    objects = read_table(spark, path).withColumn("_prefix", F.regexp_replace("object_key", "/[^/]*$", ""))
     done = objects.filter(F.col("object_key").endswith(f"/{MARKER}")).select("_prefix").distinct()
     return _articles(objects.filter(F.col("object_key").endswith(".json")).join(done, "_prefix", "left_semi"))
 

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .stores import append_new, staged
+from .stores import append_new, read_table, staged
 
 PARTITIONS = ["topic_id", "published_date"]
 
@@ -32,7 +32,7 @@ def load_unsourced(spark: SparkSession, path: str, topic_id: str | None = None,
                    day: dt.date | None = None) -> DataFrame:
     """One topic-day (or all) of not-yet-sourced candidates; the topic and
     day predicates prune directories, is_sourced is pushed to Parquet."""
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     if topic_id is not None:
         df = df.filter(F.col("topic_id") == topic_id)
     if day is not None:
@@ -59,7 +59,7 @@ def mark_sourced(spark: SparkSession, path: str, considered: DataFrame, key: str
     from ..session import checkpoint_dir
 
     checkpoint_dir(spark)
-    store = spark.read.parquet(path)
+    store = read_table(spark, path)
     touched = considered.select(*PARTITIONS).distinct()
     affected = store.join(touched, PARTITIONS, "left_semi")
     flag = considered.select(*PARTITIONS, key, F.lit(True).alias("_considered")).distinct()
@@ -68,4 +68,4 @@ def mark_sourced(spark: SparkSession, path: str, considered: DataFrame, key: str
                .drop("_considered")).checkpoint(eager=True)
     (updated.select(*store.columns).repartitionByRange(*PARTITIONS, key).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path))
-    return spark.read.parquet(path)
+    return read_table(spark, path)

@@ -11,8 +11,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from ..session import scratch_path
 
+COLUMNS = "_columns"        # beside the partitions; Spark's readers leave out names that begin so
+
 
 def _partition(columns: list[str]) -> Column:
     return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
@@ -33,13 +37,34 @@ def stored_keys(spark: SparkSession, path: str, like: DataFrame, partitions: lis
     return store.filter(_partition(partitions).isin(touched)).select(*partitions, *key)
 
 
+def _columns(spark: SparkSession, path: str) -> StructType | None:
+    """The columns of the table as its first append noted them, or else as its files have them; None: neither is there."""
+    for at in (f"{path}/{COLUMNS}", path):
+        try:
+            return spark.read.parquet(at).schema
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``append_new`` wrote; one that got no row so far has its columns too."""
+    columns = _columns(spark, path)
+    return (spark.read.schema(columns) if columns else spark.read).parquet(path)
+
+
 def append_new(rows: DataFrame, path: str, partitions: list[str], key: list[str]) -> None:
     """Adds the rows whose key the table does not have; nothing stored is
     touched, so a rerun changes nothing. ``rows`` is read twice: give stored rows.
 
     Rows are range-partitioned on partition columns and key, so a partition
-    lands in few files and a hot one is split over several tasks.
+    lands in few files and a hot one is split over several tasks. A partitioned
+    write of no rows leaves no file, so the first append notes the columns.
     """
+    if _columns(rows.sparkSession, path) is None:
+        last = [*[c for c in rows.columns if c not in partitions], *partitions]
+        rows.select(*last).limit(0).write.mode("overwrite").parquet(f"{path}/{COLUMNS}")
     held = stored_keys(rows.sparkSession, path, rows, partitions, key)
     if held is not None:
         rows = rows.join(held, [*partitions, *key], "left_anti").select(*rows.columns)
@@ -76,6 +101,8 @@ def write_objects(groups: DataFrame, root: str) -> DataFrame:
     marker. A group whose marker is there is left alone; one that a lost task
     wrote in part is written again. Gives (marker, written) of each group."""
     root = _qualified(groups.sparkSession, root)
+    fs, at = _files(root)
+    fs.create_dir(at)       # without groups, an empty folder
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, at = _files(root)
