@@ -80,3 +80,29 @@ def test_a_paid_function_is_called_once_for_each_input(spark):
     more = rows.unionByName(spark.createDataFrame([(7, "new", 1)], rows.schema))
     assert U.once(more, ["doc"], call, path).count() == 32 and calls() == ["new", "t0", "t1", "t2"]
     assert U.once(rows.limit(0), ["doc"], call, path).count() == 0
+
+
+def test_embed_default_counts_repeated_and_missing_keys(spark):
+    import hashlib
+    import math
+    from collections import Counter
+
+    rows = [(1, "One two two İ-x9"), (2, "two three"), (2, "three FOUR"), (3, None), (None, "two five"), (None, "five"), (4, "")]
+    texts = {k: " ".join((t or "").lower() for j, t in rows if j == k) for k, _ in rows}
+    feature = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64
+    words = {1: ["one", "two", "two", "i", "x9"], 2: ["two", "three", "three", "four"], None: ["two", "five", "five"], 3: [], 4: []}
+    assert set(words) == set(texts)
+    tf = {k: Counter(map(feature, w)) for k, w in words.items()}
+    df = Counter(f for c in tf.values() for f in c)
+    got = U.embed_default(spark.createDataFrame(rows, "id long, doc string"), "id", num_features=64).collect()
+    assert Counter(r.id for r in got) == Counter(k for k, _ in rows)
+    for r in got:
+        w = {f: n * math.log((len(rows) + 1) / (df[f] + 1)) for f, n in tf[r.id].items()} if r.id is not None else {}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        assert dict(zip(r.indices, r["values"], strict=True)) == pytest.approx({f: x / norm for f, x in w.items() if x})
+        assert r.indices == sorted(r.indices)
+
+
+def test_embed_default_shuffles_no_tokens_of_single_rows(spark):
+    plan = U.embed_default(spark.createDataFrame([(i, f"w{i} x") for i in range(50)], "id long, doc string"), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "regexp_extract_all" not in plan

@@ -2,15 +2,20 @@
 contract check (U3) and processing cost (A8).
 
 Caller-supplied functions run in ``mapInPandas`` (Arrow batches, one call
-per batch, never per row). The defaults are built-in functions: hashed TF-IDF
-for embeddings and string expressions for summaries.
+per batch, never per row). The defaults are hashed TF-IDF for embeddings (tokens
+counted in Arrow batches) and string expressions for summaries.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,28 +27,72 @@ from ..functions import summaries as SM
 from ..functions.text import token_count
 from ..sources.stores import staged
 
+KNOWN_TOKENS = 500_000     # tokens whose feature a task keeps
+
 EmbedFn = Callable[[list[str]], list[list[float]]]
 SummariseFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 
+def _token_counts(docs: DataFrame, key: str, text: str, num_features: int) -> DataFrame:
+    """Per row: the key, its text's features in order (``_f``) and how often each stands there (``_n``)."""
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("_f", T.ArrayType(T.IntegerType())),
+                           T.StructField("_n", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for b in batches:
+            features, counts, ends = [], [], [0]
+            for t in b.column("_text").to_pylist():
+                n: dict[int, int] = {}
+                for token, k in Counter(re.findall("[a-z0-9]+", t)).items():
+                    f = known.get(token)
+                    if f is None:
+                        f = known[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % num_features
+                    n[f] = n.get(f, 0) + k
+                found = sorted(n)
+                features += found
+                counts += map(n.__getitem__, found)
+                ends.append(len(features))
+                if len(known) > KNOWN_TOKENS:
+                    known.clear()
+            at = pa.array(ends, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(key), pa.ListArray.from_arrays(at, pa.array(features, pa.int32())),
+                                              pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))], [key, "_f", "_n"])
+
+    return docs.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("_text")).mapInArrow(run, schema)
+
+
 def embed_default(docs: DataFrame, key: str, text: str = "doc", num_features: int = 1 << 12) -> DataFrame:
     """U1 default: hashed TF-IDF with L2 norm as sparse vectors (key, indices,
     values): lower-case ASCII word tokens, feature = md5 prefix modulo
-    ``num_features``, idf = ln((n + 1) / (df + 1)). Built-in functions only;
-    counts are summed on the map side, and a document without tokens, or whose
-    tokens all stand in every document, has an empty vector."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    token = F.explode(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), 0)).alias("_token")
-    feature = (F.conv(F.substring(F.md5("_token"), 1, 8), 16, 10).cast("long") % num_features).cast("int")
-    tf = docs.select(key, token).groupBy(key, feature.alias("_f")).agg(F.count(F.lit(1)).alias("_tf"))
-    df = tf.groupBy("_f").agg(F.count(F.lit(1)).alias("_df"))      # at most num_features rows
-    w = tf.join(F.broadcast(df), "_f").withColumn("_w", F.col("_tf") * F.log((n_docs + 1) / (F.col("_df") + 1))).filter("_w <> 0")
-    v = w.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_f", "_w"))).alias("_v"), F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    v = v.select(F.col(key).alias("_key"), F.transform("_v", lambda x: x["_f"]).alias("indices"),
-                 F.transform("_v", lambda x: x["_w"] / F.col("_norm")).alias("values"))
-    out = docs.select(key).join(v, F.col(key) == F.col("_key"), "left")
-    return out.select(key, F.coalesce("indices", F.array().cast("array<int>")).alias("indices"),
-                      F.coalesce("values", F.array().cast("array<double>")).alias("values"))
+    ``num_features``, idf = ln((n + 1) / (df + 1)). Rows of one key are one
+    document, whose vector each of them gets; rows without a key count in n and
+    df (as one document) and have an empty vector, as has a document without
+    tokens or whose tokens all stand in every document.
+
+    Texts are read once, in tasks that count a row's tokens; the counts are
+    stored, and only rows whose key comes several times are shuffled.
+    """
+    spark = docs.sparkSession
+    counted = staged(_token_counts(docs, key, text, num_features), "token-counts")
+    several = staged(counted.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1 OR _key IS NULL"), "token-keys")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    alone, others = counted.join(several, same, "left_anti"), counted.join(several, same, "left_semi")
+    sums = others.select(key, F.explode(F.arrays_zip("_f", "_n")).alias("_t")).groupBy(key, F.col("_t._f").alias("_f")).agg(F.sum("_t._n").alias("_n"))
+    sums = staged(sums, "token-sums")
+    df = alone.select(F.explode("_f").alias("_f")).unionAll(sums.select("_f")).groupBy("_f").agg(F.count(F.lit(1)).alias("_df"))
+    n_docs = counted.count()
+    idf = [0.0] * num_features
+    for r in df.collect():          # at most num_features numbers
+        idf[r["_f"]] = math.log((n_docs + 1) / (r["_df"] + 1))
+    idf = F.lit(idf)
+    merged = sums.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.array_sort(F.collect_list(F.struct("_f", "_n"))).alias("_t"))
+    merged = others.select(key).join(merged, F.col(key) == F.col("_key"), "left").select(
+        key, F.coalesce("_t._f", F.array().cast("array<int>")).alias("_f"), F.coalesce("_t._n", F.array().cast("array<long>")).alias("_n"))
+    w = alone.unionAll(merged).select(key, F.filter(F.zip_with("_f", "_n", lambda i, n: F.struct(i.alias("_f"), (n * F.get(idf, i)).alias("_w"))),
+                                                    lambda x: x["_w"] != 0).alias("_v"))
+    w = w.withColumn("_norm", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x["_w"] * x["_w"])))
+    return w.select(key, F.col("_v._f").alias("indices"), F.transform("_v", lambda x: x["_w"] / F.col("_norm")).alias("values"))
 
 
 def embed_with(docs: DataFrame, fn: EmbedFn, text: str = "doc") -> DataFrame:
