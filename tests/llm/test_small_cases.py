@@ -174,3 +174,34 @@ def test_lines_of_rows_with_one_id_are_judged_by_their_texts(spark):
     assert got.columns == ["doc_id", "text", "_id"]
     assert sorted((r.doc_id, r.text, r._id) for r in got.collect()) == sorted([
         (1, "a copied line\nfirst own line", 5), (2, "second own line", 5), (2, "third own line\nfourth own line", 5), (2, "third own line\nfourth own line", 5)])
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    from tidings.llm.common import written
+
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        return {x for x in blocks.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    before, name = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    back = written(counts, "no-shuffle-files")
+    assert not shuffles() - before and back.count() == 7 and counts.count() == 7
+    assert spark.conf.get(name) == setting
+
+
+def test_packed_rows_pass_in_small_batches(spark, monkeypatch, tmp_path):
+    docs = spark.createDataFrame([(i, f"word{i} " * 300) for i in range(60)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(packing, "PIECE_ROWS", 3)
+    monkeypatch.setattr(packing, "BATCH_BYTES", 1 << 14)
+    packed = packing.pack(docs, 512).cache()
+    at = f"{tmp_path}/m"
+    back = packing.read_matrices(packing.write_matrices(packed, at, rows=20), at)
+    plain = lambda df: sorted(tuple(bytes(x) if isinstance(x, bytearray) else str(x) for x in r) for r in df.drop("row_id").collect())
+    assert plain(back) == plain(packed) and packed.count() > 40
+    with open(f"{at}/part-00000-00000.ids", "rb") as f:
+        assert packing.load_bytes(at, "part-00000-00000.ids", (1, 2, 20)) == f.read()[1024:2048]

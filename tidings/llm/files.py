@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow.fs
@@ -45,6 +47,34 @@ def save(folder: str, name: str, array: np.ndarray) -> None:
             out.write(array.tobytes())
 
 
+@contextmanager
+def appended(folder: str, name: str) -> Iterator[Callable[[bytes], object]]:
+    """Writes a raw array piece by piece; it is there, whole, at the end."""
+    local = _local(folder)
+    if local:
+        os.makedirs(local, exist_ok=True)
+        part = f"{local}/{name}.{uuid.uuid4().hex}"
+        with open(part, "wb") as out:
+            yield out.write
+        os.replace(part, f"{local}/{name}")
+    else:
+        fs, at = _remote(folder)
+        fs.create_dir(at)
+        with fs.open_output_stream(f"{at}/{name}") as out:
+            yield out.write
+
+
+def load_bytes(folder: str, name: str, share: tuple[int, int, int]) -> bytes:
+    """Rows lo to hi of n equal ones that a file holds; no others are read."""
+    local = _local(folder)
+    fs, at = (pyarrow.fs.LocalFileSystem(), local) if local else _remote(folder)
+    lo, hi, n = share
+    with fs.open_input_file(f"{at}/{name}") as f:
+        row = f.size() // n
+        f.seek(lo * row)
+        return f.read((hi - lo) * row)
+
+
 def load(folder: str, name: str, kind) -> np.ndarray:
     """A raw array: mapped into memory where the folder is mounted, else read."""
     local = _local(folder)

@@ -23,17 +23,21 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import written
-from .files import load, qualified, save
+from .common import settings, written
+from .files import appended, load, load_bytes, qualified
 
 SEQ_LEN = 2048
 WINDOW_TOKENS = 1_000_000
 CACHE_WORDS = 200_000
+PIECE_ROWS = 512         # rows written or read at once
+BATCH_BYTES = 4 << 20    # of packed rows between the executor and Python
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pattern that the public byte-level vocabulary splits text by
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -227,41 +231,40 @@ def write_matrices(packed: DataFrame, path: str, rows: int = 8192) -> DataFrame:
     rows, one after another), ``<name>.segments`` (int64: how many each row
     has), ``<name>.docs``, ``<name>.known`` and ``<name>.offsets`` (int64, uint8, int64: the
     document of each segment, whether it has an id, and the offset). Gives one row for each name (name, n_rows);
-    names follow partition and place, so a task that runs again replaces its own files."""
+    names follow partition and place, so a task that runs again replaces its own files. A task holds ``PIECE_ROWS`` rows
+    and a batch, not a block."""
     path = qualified(packed.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        def put(held: list[pa.RecordBatch], k: int) -> pa.RecordBatch:
-            name = f"part-{TaskContext.get().partitionId():05d}-{k:05d}"
-            table = pa.Table.from_batches(held).combine_chunks()
-            for of in ("ids", "positions"):
-                save(path, f"{name}.{of}", np.frombuffer(b"".join(table.column(of).to_pylist()), np.uint8))
-            docs = table.column("doc_ids").combine_chunks()
-            parts = {"cu": table.column("cu_seqlens").combine_chunks().flatten(), "segments": docs.value_lengths(),
-                     "docs": docs.flatten().fill_null(0), "known": docs.flatten().is_valid().cast(pa.uint8()),
-                     "offsets": table.column("offsets").combine_chunks().flatten()}
-            for of, kind in FILES.items():
-                save(path, f"{name}.{of}", np.concatenate([np.asarray(c, kind) for c in _chunks(parts[of])]))
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(table)], pa.int64())], ["name", "n_rows"])
-
-        held, n, k = [], 0, 0
-        for b in batches:
-            while b.num_rows:
-                held.append(b.slice(0, rows - n))
-                n, b = n + held[-1].num_rows, b.slice(rows - n)
-                if n == rows:
-                    yield put(held, k)
-                    held, n, k = [], 0, k + 1
-        if held:
-            yield put(held, k)
-
-    return written(packed.mapInArrow(run, "name string, n_rows long"), "packed-files")
-
-
-def _chunks(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
-    return [c.to_numpy(zero_copy_only=False) for c in (column.chunks if isinstance(column, pa.ChunkedArray) else [column])]
+        def pieces() -> Iterator[tuple[int, pa.RecordBatch]]:
+            n = 0
+            for b in batches:
+                while b.num_rows:
+                    piece = b.slice(0, min(PIECE_ROWS, rows - n % rows))
+                    yield n // rows, piece
+                    n, b = n + piece.num_rows, b.slice(piece.num_rows)
+
+        for k, block in groupby(pieces(), key=lambda p: p[0]):
+            name, n = f"part-{TaskContext.get().partitionId():05d}-{k:05d}", 0
+            with ExitStack() as files:
+                put = {of: files.enter_context(appended(path, f"{name}.{of}")) for of in ("ids", "positions", *FILES)}
+                for _, piece in block:
+                    n += piece.num_rows
+                    for of in ("ids", "positions"):
+                        put[of](b"".join(piece.column(of).to_pylist()))
+                    docs = piece.column("doc_ids")
+                    parts = {"cu": piece.column("cu_seqlens").flatten(), "segments": docs.value_lengths(),
+                             "docs": docs.flatten().fill_null(0), "known": docs.flatten().is_valid().cast(pa.uint8()),
+                             "offsets": piece.column("offsets").flatten()}
+                    for of, kind in FILES.items():
+                        put[of](np.asarray(parts[of].to_numpy(zero_copy_only=False), kind).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["name", "n_rows"])
+
+    # packed rows are wide: by their number alone, a task would hold a batch of 10000 in the executor and in Python
+    with settings(packed.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=str(BATCH_BYTES)):
+        return written(packed.mapInArrow(run, "name string, n_rows long"), "packed-files")
 
 
 def read_matrices(files: DataFrame, path: str, tasks: int = 4096) -> DataFrame:
@@ -276,13 +279,15 @@ def read_matrices(files: DataFrame, path: str, tasks: int = 4096) -> DataFrame:
                 ends = np.cumsum(segments + 1)
                 lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), values) for at, values in (
                     (np.concatenate(([0], ends)), pa.array(cu)), (edge, pa.array(docs, mask=known == 0)), (edge, pa.array(offsets)))]
-                raw = []
-                for of in ("ids", "positions"):
-                    data = load(path, f"{name}.{of}", np.uint8)
-                    at = np.linspace(0, len(data), n + 1).astype(np.int32)
-                    raw.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)]))
-                yield pa.RecordBatch.from_arrays([pa.array([f"{name}-{k}" for k in range(n)]), pa.array(cu[ends - 1].astype(np.int32)),
-                                                  *raw, *lists], schema=ARROW)
+                row_ids, totals = pa.array([f"{name}-{k}" for k in range(n)]), pa.array(cu[ends - 1].astype(np.int32))
+                for lo in range(0, n, PIECE_ROWS):
+                    size, raw = min(PIECE_ROWS, n - lo), []
+                    for of in ("ids", "positions"):
+                        data = load_bytes(path, f"{name}.{of}", (lo, lo + size, n))
+                        at = np.linspace(0, len(data), size + 1).astype(np.int32)
+                        raw.append(pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)]))
+                    yield pa.RecordBatch.from_arrays([row_ids.slice(lo, size), totals.slice(lo, size), *raw,
+                                                      *(x.slice(lo, size) for x in lists)], schema=ARROW)
 
     count = files.count()
     return files.repartition(max(1, min(count, tasks)), "name").mapInArrow(run, SCHEMA)
