@@ -110,6 +110,26 @@ def test_a_store_that_got_no_row_is_read(spark):
     assert stores.scan_objects(spark, root).count() == 0 and BD.load_bundle_files(spark, root).count() == 0
 
 
+def test_a_first_append_reads_nothing_that_is_not_there(spark, monkeypatch):
+    failed, read = [], type(spark.read).parquet
+
+    def parquet(self, *paths, **options):
+        try:
+            return read(self, *paths, **options)
+        except Exception as e:
+            failed.append(str(e))
+            raise
+
+    monkeypatch.setattr(type(spark.read), "parquet", parquet)
+    path, bundles = scratch_path(spark, "first-candidates"), scratch_path(spark, "first-bundles")
+    CS.store_candidates(candidates(spark, [1, 2]), path)
+    CS.store_candidates(candidates(spark, [2, 3]), path)
+    assert sorted(r.article_id for r in CS.load_unsourced(spark, path).collect()) == ["a1", "a2", "a3"]
+    BD.store_bundles(articles(spark, "x#1"), bundles)
+    assert BD.load_bundles(spark, bundles).count() == 1
+    assert not failed
+
+
 @pytest.mark.parametrize("query, rows", [("agg_observed_counts", 4), ("pipe_collect", 3), ("pipe_source", 0), ("sink_candidates", 0), ("sink_mark_sourced", 0),
                                          ("sink_sourced_bundle", 0), ("src_candidates_unsourced", 0), ("src_prefix_scan", 0), ("src_sourced_bundle", 0)])
 def test_queries_when_no_article_is_accepted(spark, tmp_path, query, rows):

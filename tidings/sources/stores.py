@@ -18,6 +18,12 @@ from ..session import scratch_path
 COLUMNS = "_columns"        # beside the partitions; Spark's readers leave out names that begin so
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system: reading a path that is not there is a failed query to Spark's listeners and event log."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def _partition(columns: list[str]) -> Column:
     return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
 
@@ -27,12 +33,9 @@ def stored_keys(spark: SparkSession, path: str, like: DataFrame, partitions: lis
     of ``like``; None if there is no table yet. The partitions that one append
     touches are listed (as many as the folders it writes), so all others are
     pruned before a file is opened, and only the key columns are read."""
-    try:
-        store = spark.read.schema(like.schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not _exists(spark, path):
         return None
+    store = spark.read.schema(like.schema).parquet(path)
     touched = [r[0] for r in like.select(_partition(partitions)).distinct().collect()]
     return store.filter(_partition(partitions).isin(touched)).select(*partitions, *key)
 
@@ -40,10 +43,12 @@ def stored_keys(spark: SparkSession, path: str, like: DataFrame, partitions: lis
 def _columns(spark: SparkSession, path: str) -> StructType | None:
     """The columns of the table as its first append noted them, or else as its files have them; None: neither is there."""
     for at in (f"{path}/{COLUMNS}", path):
+        if not _exists(spark, at):
+            continue
         try:
             return spark.read.parquet(at).schema
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        except AnalysisException as e:      # an append that stopped early
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
     return None
 
@@ -62,10 +67,12 @@ def append_new(rows: DataFrame, path: str, partitions: list[str], key: list[str]
     lands in few files and a hot one is split over several tasks. A partitioned
     write of no rows leaves no file, so the first append notes the columns.
     """
+    held = None
     if _columns(rows.sparkSession, path) is None:
         last = [*[c for c in rows.columns if c not in partitions], *partitions]
         rows.select(*last).limit(0).write.mode("overwrite").parquet(f"{path}/{COLUMNS}")
-    held = stored_keys(rows.sparkSession, path, rows, partitions, key)
+    else:
+        held = stored_keys(rows.sparkSession, path, rows, partitions, key)
     if held is not None:
         rows = rows.join(held, [*partitions, *key], "left_anti").select(*rows.columns)
     rows.repartitionByRange(*partitions, *key).write.mode("append").partitionBy(*partitions).parquet(path)
