@@ -106,3 +106,18 @@ def test_embed_default_counts_repeated_and_missing_keys(spark):
 def test_embed_default_shuffles_no_tokens_of_single_rows(spark):
     plan = U.embed_default(spark.createDataFrame([(i, f"w{i} x") for i in range(50)], "id long, doc string"), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan and "regexp_extract_all" not in plan
+
+
+def test_a_vector_s_norm_and_map_are_made_once_a_row(spark):
+    from tidings.operators import udfs as U
+
+    docs = spark.createDataFrame([("a", "x y y"), ("b", "x"), ("c", "z " + " ".join(f"w{i}" for i in range(400))), ("d", None)], "key string, doc string")
+    e = U.embed_default(docs, "key", num_features=256)
+    d = e.select("key", "indices", "values", U.dense_vector("indices", "values", 256).alias("v"))
+    rows = {r.key: r for r in d.collect()}
+    for r in rows.values():
+        assert len(r.v) == 256 and {i: x for i, x in enumerate(r.v) if x} == dict(zip(r.indices, r["values"], strict=True))
+        assert not r.indices or abs(sum(x * x for x in r.v) - 1) < 1e-9
+    assert rows["c"].indices and rows["d"].indices == []
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert "/ sqrt(aggregate(" not in plan and "try_element_at(map_from_arrays(" not in plan and "element_at(map_from_arrays(" not in plan

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,12 @@ def _token_counts(docs: DataFrame, key: str, text: str, num_features: int) -> Da
     return docs.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("_text")).mapInArrow(run, schema)
 
 
+def once_each(value: Column | str, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row: what a lambda takes from
+    outside, Spark puts into it and computes again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def embed_default(docs: DataFrame, key: str, text: str = "doc", num_features: int = 1 << 12) -> DataFrame:
     """U1 default: hashed TF-IDF with L2 norm as sparse vectors (key, indices,
     values): lower-case ASCII word tokens, feature = md5 prefix modulo
@@ -91,8 +97,16 @@ def embed_default(docs: DataFrame, key: str, text: str = "doc", num_features: in
         key, F.coalesce("_t._f", F.array().cast("array<int>")).alias("_f"), F.coalesce("_t._n", F.array().cast("array<long>")).alias("_n"))
     w = alone.unionAll(merged).select(key, F.filter(F.zip_with("_f", "_n", lambda i, n: F.struct(i.alias("_f"), (n * F.get(idf, i)).alias("_w"))),
                                                     lambda x: x["_w"] != 0).alias("_v"))
-    w = w.withColumn("_norm", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x["_w"] * x["_w"])))
-    return w.select(key, F.col("_v._f").alias("indices"), F.transform("_v", lambda x: x["_w"] / F.col("_norm")).alias("values"))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x["_w"] * x["_w"]))
+    vector = once_each("_v", lambda v: once_each(norm(v), lambda n: F.struct(
+        v["_f"].alias("indices"), F.transform(v, lambda x: x["_w"] / n).alias("values"))))
+    return w.select(key, vector.alias("_s")).select(key, "_s.indices", "_s.values")
+
+
+def dense_vector(indices: str, values: str, num_features: int) -> Column:
+    """A sparse vector as an array of ``num_features`` numbers."""
+    return once_each(F.map_from_arrays(indices, values), lambda by_feature: F.transform(
+        F.sequence(F.lit(0), F.lit(num_features - 1)), lambda i: F.coalesce(F.try_element_at(by_feature, i), F.lit(0.0))))
 
 
 def embed_with(docs: DataFrame, fn: EmbedFn, text: str = "doc") -> DataFrame:

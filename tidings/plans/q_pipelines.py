@@ -154,10 +154,8 @@ def pipe_source(spark, sf):
     texts = considered.join(docs, "doc_id")
     doc = F.get(embedding_docs("title_and_description_and_content_concat", F.col("title"), F.col("description"), F.col("text")), F.lit(0))
     vectors = U.embed_default(texts.select("article_id", doc.alias("doc")), "article_id", num_features=FEATURES)
-    by_feature = F.map_from_arrays("indices", "values")
-    dense = F.transform(F.sequence(F.lit(0), F.lit(FEATURES - 1)), lambda i: F.coalesce(F.try_element_at(by_feature, i), F.lit(0.0)))
     points = considered.select("topic_id", "day", F.col("inventory_rank").alias("member_idx"), "article_id").join(
-        vectors.select("article_id", dense.alias("embedding")), "article_id")
+        vectors.select("article_id", U.dense_vector("indices", "values", FEATURES).alias("embedding")), "article_id")
     labels = scratch_path(spark, "pipe-labels")
     CL.ward_clusters(points, ["topic_id", "day"], "member_idx").write.parquet(labels)
     labels = spark.read.parquet(labels).select("topic_id", "day", "member_idx", F.col("label").alias("cluster"))
