@@ -10,13 +10,17 @@ A document is the set of its distinct word shingles. Two link when
    of the blocks (which are correct for any list of shingles to leave out). The
    other shingles of a set are hashed into groups, and the groups into blocks.
    Sets that link differ in at most r shingles, where r follows from the size,
-   so of r + 1 blocks one at least has equal content. Every set emits a key for
-   each of its blocks; sets of one size class that share a key are candidates.
-   Sizes near a class border emit keys for both classes, and spare blocks
-   let empty blocks emit nothing unless a set has several (see ``keys_of``).
-   No link is lost. Keys are never written: what repeats within a batch of
-   documents is combined there, the rest is sorted by key in one shuffle, and a
-   stream over the sorted keys links each document to the least of its key.
+   so of r + 1 + spare blocks spare + 1 at least have equal content. Every set
+   emits a key for each of its blocks, and sets of one size class that share
+   spare + 1 keys are candidates. Sizes near a class border emit keys for both
+   classes. Keys are sorted in ``PARTS`` shuffles, one after the other, so that
+   the disk holds a part of them, and never written; a stream over them
+   gives the pairs of sets that share a key, whose keys are counted. A key of
+   more than ``PAIRED`` sets gives no pairs but is noted as hot: hot keys that
+   two sets may share, the fewer of either, count as shared, and what two sets
+   share in hot keys alone is found among the sets with spare + 1 of them, each
+   linked to the least of its key. So no link is lost, and sets that hold one
+   passage, of which some blocks agree by chance, do not hang together.
 3. Candidates that hang together through keys form a bundle (connected
    components). A bundle's sets meet in one task; a
    bundle of more than ``CHUNK`` shingles is cut into chunks by hash, and every
@@ -38,6 +42,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -58,6 +63,9 @@ LEAF = 16                # points of an R-tree leaf, and children of a node
 SPARE = 1                # blocks beyond r + 1, at least
 COMMON = 1 / 1000        # share of the documents that hold a common shingle, at least
 COMBINED = 2_000_000     # keys combined at once in a task
+PAIRED = 8               # sets of a key that are paired, at most; a key of more is a hot one
+PARTS = 2                # shuffles that the keys are dealt to, by their hash; each reads the documents again
+CLASS = np.uint64(255)   # the bits of a key that hold its size class
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long"
 SET = ["f1", "f2", "n_shingles"]
 
@@ -95,28 +103,29 @@ class Sizes:
         """Blocks of class k beyond its differences and one."""
         return SPARE + math.ceil(self.differences(k) * self.share)
 
+    def shared(self) -> list[int]:
+        """By class: the keys that two sets which link share, at least."""
+        return [self.spare(k) + 1 for k in range(len(self.starts) - 1)]
+
 
 def keys_of(shingles: np.ndarray, sizes: Sizes, common: np.ndarray | None = None) -> np.ndarray:
-    """The block keys of a set of hashes, those in ``common`` (sorted) left out of the blocks.
+    """The block keys of a set of hashes, those in ``common`` (sorted) left out of the blocks; the last bits hold the class.
 
-    With r differences and r + 1 + spare blocks, spare + 1 blocks agree. Empty
-    blocks emit a key only in sets with more than ``spare`` of them: if all
-    blocks that agree are empty, both sets have more.
+    With r differences and r + 1 + spare blocks, spare + 1 blocks agree, empty ones among them.
     """
     out, n = [], len(shingles)
     if common is not None and len(common) and n >= sizes.least:
         shingles = shingles[common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] != shingles]
     high = shingles >> np.uint64(32)
     for k in sizes.classes(n):
-        spare = sizes.spare(k)
-        m = sizes.differences(k) + 1 + spare
+        m = sizes.differences(k) + 1 + sizes.spare(k)
         block = (high * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         count = np.bincount(block, minlength=m)
         total = np.zeros(m, np.uint64)
         np.add.at(total, block, shingles)
         key = mix(total * np.uint64(0x9E3779B97F4A7C15) + np.arange(m, dtype=np.uint64) * np.uint64(0x100000001B3)
                   + np.uint64(k) + (count.astype(np.uint64) << np.uint64(48)))
-        out.append(key if (count == 0).sum() > spare else key[count > 0])
+        out.append(key & ~CLASS | np.uint64(k))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -162,18 +171,61 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.selectExpr("cast(doc_id AS long) doc_id", "text").mapInArrow(run, SKETCH)
 
 
-def _combined(keys: list[np.ndarray], docs: list[int]) -> pa.RecordBatch:
-    """(key, doc, other): each key once with its least document, and the links of other documents to it."""
-    key, doc = np.concatenate(keys), np.repeat(np.array(docs, np.int64), [len(k) for k in keys])
-    order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
-    first = np.concatenate(([True], key[1:] != key[:-1]))
-    least = doc[first][np.cumsum(first) - 1]
-    pairs = np.unique(np.stack([doc, least])[:, doc != least], axis=1)
-    other = np.concatenate((np.zeros(first.sum(), np.int64), pairs[1]))
+def _combined(keys: list[np.ndarray], sets: list[int]) -> pa.RecordBatch:
+    """(key, node, hot): each key once with each of its sets. A key of too many sets is named in ``hot`` by rows that
+    any task may read; one row without a set stands for them where the key is read."""
+    key, node = np.concatenate(keys).view(np.int64), np.repeat(np.array(sets, np.int64), [len(k) for k in keys])
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+    key, node = key[new], node[new]
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    many = np.diff(np.append(starts, len(key))) > PAIRED
+    hot, marks = np.repeat(many, np.diff(np.append(starts, len(key)))), key[starts[many]]
+    spread = mix((key[hot] ^ mix(node[hot].view(np.uint64)).view(np.int64)).view(np.uint64)).view(np.int64)
+    n = (len(key) - int(hot.sum()), int(hot.sum()), len(marks))
+    kind = np.repeat([0, 1, 2], n)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate((key[first].view(np.int64), pairs[0]))), pa.array(np.concatenate((doc[first], pairs[0]))),
-         pa.array(other, mask=np.arange(len(other)) < first.sum())], ["key", "doc", "other"])
+        [pa.array(np.concatenate((key[~hot], spread, marks))), pa.array(np.concatenate((node[~hot], node[hot], marks)), mask=kind == 2),
+         pa.array(np.concatenate((key[~hot], key[hot], marks)), mask=kind != 1)], ["key", "node", "hot"])
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, kind) of the rows of ``_combined``, sorted by key and set: two sets that share a key, with its class;
+    a set and a hot key it has, with the complement of the class."""
+    key, node, marks = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)     # of the last key so far
+    open_key = None                         # the last key, if it is hot
+    for b in itertools.chain(batches, [None]):
+        named = [np.zeros(0, np.int64)] * 2
+        if b is not None:
+            known, own = b.column("hot").is_valid().to_numpy(zero_copy_only=False), b.column("node")
+            named = [own.filter(b.column("hot").is_valid()).to_numpy(), b.column("hot").drop_null().to_numpy()]
+            key = np.concatenate((key, b.column("key").to_numpy()[~known]))
+            marks = np.concatenate((marks, own.is_null().to_numpy(zero_copy_only=False)[~known]))
+            node = np.concatenate((node, own.fill_null(0).to_numpy()[~known]))
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1]) | marks[1:] | marks[:-1]))[:len(key)]
+        key, node, marks = key[new], node[new], marks[new]
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[:len(key)])
+        sizes = np.diff(np.append(starts, len(key)))
+        many = (sizes > PAIRED) | (np.logical_or.reduceat(marks, starts) if len(starts) else np.zeros(0, bool)) | (key[starts] == open_key)
+        held = b is not None and len(starts) > 0 and not many[-1]
+        open_key = int(key[-1]) if len(starts) and many[-1] else None if len(starts) else open_key
+        end = starts[-1] if held else len(key)
+        hot = np.repeat(many, sizes)
+        told = np.flatnonzero(hot & ~marks)
+        group = np.repeat(np.arange(len(starts)), sizes)
+        cold = np.flatnonzero(~hot[:end])
+        i, j = [], []
+        for d in range(1, PAIRED):
+            at = np.flatnonzero(group[cold[d:]] == group[cold[:-d]])
+            i.append(cold[at])
+            j.append(cold[at + d])
+        i, j = np.concatenate(i), np.concatenate(j)
+        classes = lambda keys: (keys & 255).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((node[i], node[told], named[0]))), pa.array(np.concatenate((node[j], key[told], named[1]))),
+             pa.array(np.concatenate((classes(key[i]), ~classes(key[told]), ~classes(named[1]))))], ["a", "b", "kind"])
+        key, node, marks = key[end:], node[end:], marks[end:]
 
 
 def common_shingles(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE, share: float = COMMON) -> np.ndarray:
@@ -209,43 +261,43 @@ def common_shingles(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE, share
 
 
 def candidates(docs: DataFrame, sizes: Sizes, shingle: int = SHINGLE, share: float = COMMON) -> DataFrame:
-    """(a, b): links that join all documents which share a block key."""
+    """(a, b): links of sets, named by the first of their sums, that join all sets which may link."""
     common = common_shingles(docs, sizes, shingle, share)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [np.zeros(0, np.uint64)], [0], 0
+    def keyed(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[pa.RecordBatch]:
+        keys, names, held = [np.zeros(0, np.uint64)], [0], 0
         for whole in batches:
             for b in _slices(whole):
-                own = [keys_of(s, sizes, common) for s in shingle_sets(b.column("text").to_pylist(), shingle)]
+                found = shingle_sets(b.column("text").to_pylist(), shingle)
+                own = [k[(k >> np.uint64(8)) % np.uint64(PARTS) == part] for k in (keys_of(s, sizes, common) for s in found)]
                 keys += own
-                ids += b.column("doc_id").to_pylist()
+                names += names_of(found)[0].tolist()
                 held += sum(map(len, own))
                 if held > COMBINED:
-                    yield _combined(keys, ids)
-                    keys, ids, held = keys[:1], ids[:1], 0
+                    yield _combined(keys, names)
+                    keys, names, held = keys[:1], names[:1], 0
         if held:
-            yield _combined(keys, ids)
-
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last_doc = None              # of the key that is being read
-        for b in batches:
-            key, doc, known = (b.column(k) for k in ("key", "doc", "other"))
-            linked = known.is_valid().to_numpy(zero_copy_only=False)
-            a, least = [doc.to_numpy()[linked]], [known.drop_null().to_numpy()]
-            key, doc = key.to_numpy()[~linked], doc.to_numpy()[~linked]
-            if len(key):
-                first = np.concatenate(([last_key is None or key[0] != last_key], key[1:] != key[:-1]))
-                starts = np.concatenate(([last_doc or 0], doc[first]))
-                a.append(doc)
-                least.append(starts[np.cumsum(first)])
-                last_key, last_doc = int(key[-1]), int(least[-1][-1])
-            a, least = np.concatenate(a), np.concatenate(least)
-            pairs = np.unique(np.stack([a, least])[:, a != least], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
-
-    rows = docs.selectExpr("cast(doc_id AS long) doc_id", "text").filter("doc_id IS NOT NULL")
-    keys = rows.mapInArrow(keyed, "key long, doc long, other long")
-    return keys.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(stars, "a long, b long")
+            yield _combined(keys, names)
+
+    rows = docs.filter("doc_id IS NOT NULL").select("text")
+    met = None
+    for part in range(PARTS):
+        keys = rows.mapInArrow(lambda batches, part=part: keyed(batches, part), "key long, node long, hot long")
+        found = keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_met, "a long, b long, kind int")
+        found = written(found, "jaccard-met")
+        met = found if met is None else met.union(found)
+    least = F.get(F.array(*[F.lit(n) for n in sizes.shared()]), F.col("kind"))
+    pairs = met.filter("kind >= 0").groupBy("a", "b", "kind").agg(F.count(F.lit(1)).alias("n"))
+    pairs = written(pairs.select("a", "b", "kind", (least - F.col("n")).alias("lacks")), "jaccard-pairs")
+    hot = written(met.filter("kind < 0").selectExpr("a AS node", "b AS key", "~kind AS kind").distinct(), "jaccard-hot")
+    many = written(hot.groupBy("node", "kind").agg(F.count(F.lit(1)).alias("hot")), "jaccard-many")
+    near = pairs.filter("lacks > 0")
+    for c in ("a", "b"):
+        near = near.join(many.withColumnRenamed("node", c), [c, "kind"]).filter("hot >= lacks").drop("hot")
+    strong = written(hot.join(many.filter(F.col("hot") >= least), ["node", "kind"]).select("key", "node"), "jaccard-strong")
+    first = written(strong.groupBy("key").agg(F.min("node").alias("first")), "jaccard-first")
+    stars = strong.join(first, "key").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    return pairs.filter("lacks <= 0").select("a", "b").union(near.select("a", "b")).union(stars)
 
 
 class CountTree:
@@ -334,8 +386,8 @@ def nodes_of(sketch: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, sizes: Sizes, chunk: int = CHUNK, shingle: int = SHINGLE) -> DataFrame:
     """(a, b): links between nodes, one for each set at most in each task, that join the same nodes as all links do."""
-    bundles = components(candidates(docs, sizes, shingle)).select(F.col("node").alias("first"), F.col("component").alias("bundle"))
-    members = written(nodes.filter(F.col("n_shingles") >= sizes.least).join(bundles, "first"), "jaccard-members")
+    bundles = components(candidates(docs, sizes, shingle)).select(F.col("node").alias("f1"), F.col("component").alias("bundle"))
+    members = written(nodes.filter(F.col("n_shingles") >= sizes.least).join(bundles, "f1"), "jaccard-members")
     cut = members.groupBy("bundle").agg(F.sum("n_shingles").alias("total"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     cut = written(cut.select("bundle", "total", F.ceil(F.col("total") / chunk).alias("chunks")), "jaccard-bundles")
     total = cut.agg(F.sum("total")).first()[0] or 0
