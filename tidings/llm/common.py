@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, settings, shuffles_dropped  # noqa: F401
 
 WHITE = " \t\n\x0b\f\r"          # \x20 and \x09-\x0D
 WHITE_RUN = "[ \\x09-\\x0D]+"    # the same as a Java regular expression
@@ -29,25 +26,12 @@ def bucket_of(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """SQL settings that hold inside (names with ``__`` for dots), as they were before afterwards."""
-    before = {k: spark.conf.get(k.replace("__", "."), None) for k in values}
-    try:
-        for k, v in values.items():
-            spark.conf.set(k.replace("__", "."), v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k.replace("__", ".")) if v is None else spark.conf.set(k.replace("__", "."), v)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read again: lineage
     ends here, and what is read more than once is computed once. The write's
     shuffle files go when it ends, not when the driver next collects garbage,
     so the disk holds those of one write at a time."""
     path = scratch_path(df.sparkSession, name)
-    with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+    with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,27 +12,40 @@ pass builds the envelopes of all vendors, each of one page, a bounded group.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BING, NEWSAPI_ORG, PAGE_SIZE, THENEWSAPI_COM
 from ..functions.ids import uuid_of
 from ..operators.sizing import rank_within
-from ..session import scratch_path
+from ..session import remove, scratch_path, shuffles_dropped
+from ..sources.stores import staged
 from . import adapters as A
 from .q_functions import vendor_category
 
 # documented vendor forms: content is the article cut at 200 characters, a snippet its first 60
 CONTENT_CHARS, SNIPPET_CHARS = 200, 60
+# hits that lie on the disk at once as landed lines, at most: so many for each document, or so many in all
+DOCUMENT_HITS, LEAST_HITS = 2, 1 << 18
 
 
-def paged_hits(spark: SparkSession, sf: str, vendors: tuple[str, ...] = ()) -> DataFrame:
+def paged_events(spark: SparkSession, sf: str, vendors: tuple[str, ...] = ()) -> DataFrame:
+    """The events with their place in the pages of their run, without texts."""
     ev = A.with_raw_dates(A.hit_events(spark, sf))
     if vendors:
         ev = ev.filter(F.col("aggregator_id").isin(*vendors))
     ev = rank_within(ev, ["topic_id", "aggregator_id"], "event_id", name="arrival_rank")
     ev = ev.withColumn("page", F.floor((F.col("arrival_rank") - 1) / PAGE_SIZE).cast("long"))
-    ev = ev.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
+    return ev.withColumn("envelope_id", F.concat_ws("/", "topic_id", "aggregator_id", F.col("page").cast("string")))
+
+
+def paged_hits(spark: SparkSession, sf: str, vendors: tuple[str, ...] = ()) -> DataFrame:
+    return with_texts(spark, sf, paged_events(spark, sf, vendors))
+
+
+def with_texts(spark: SparkSession, sf: str, ev: DataFrame) -> DataFrame:
     h = A.with_documents(spark, sf, ev, content=F.substring("text", 1, CONTENT_CHARS),
                          snippet=F.substring("text", 1, SNIPPET_CHARS)).drop("text")
     return h.withColumns({
@@ -114,13 +127,35 @@ def _envelopes(lost: Column) -> Column:
 def land(spark: SparkSession, sf: str, *vendors: str, lost: Column | None = None) -> str:
     """Write the envelopes (of some vendors, or all) as JSON lines under <scratch>/vendor=<id>/. Pages where ``lost``
     (of topic, aggregator_id, page) holds have an error in the place of their data."""
-    lost = F.lit(False) if lost is None else lost
     path = scratch_path(spark, "landed")
-    pages = paged_hits(spark, sf, vendors).groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
+    _write_lines(paged_hits(spark, sf, vendors), path, lost)
+    return path
+
+
+def _write_lines(hits: DataFrame, path: str, lost: Column | None) -> None:
+    lost = F.lit(False) if lost is None else lost
+    pages = hits.groupBy("envelope_id", "page", "aggregator_id", "topic").agg(
         F.array_sort(F.collect_list(F.struct(*FIELDS))).alias("_hits"))
     lines = pages.select(F.col("aggregator_id").alias("vendor"), F.explode(_envelopes(lost)).alias("value"))
-    lines.write.mode("overwrite").partitionBy("vendor").text(path)
-    return path
+    with shuffles_dropped(hits.sparkSession):
+        lines.write.mode("overwrite").partitionBy("vendor").text(path)
+
+
+def landings(spark: SparkSession, sf: str, lost: Column | None = None) -> Iterator[str]:
+    """The lines of ``land``, a portion of the pages at a time: each path has a folder for every vendor and is removed
+    when the next is asked for, so the disk holds one portion, whatever the number of hits."""
+    ev = staged(paged_events(spark, sf).select("event_id", "topic_id", "aggregator_id", "doc_id", "raw_published", "arrival_rank",
+                                               "page", "envelope_id"), "landed-events")
+    n_docs = A.read(spark, sf, "documents").count()
+    portions = max(1, -(-ev.count() // max(LEAST_HITS, DOCUMENT_HITS * n_docs)))
+    for k in range(portions):
+        path = scratch_path(spark, "landed")
+        _write_lines(with_texts(spark, sf, ev.filter(F.pmod(F.xxhash64("envelope_id"), F.lit(portions)) == k)), path, lost)
+        for vendor in (BING, NEWSAPI_ORG, THENEWSAPI_COM):      # one without a page has no folder yet
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(vendor_path(path, vendor))
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
+        yield path
+        remove(spark, path)
 
 
 def vendor_path(path: str, vendor: str) -> str:

@@ -18,14 +18,14 @@ from ..operators import publish as P
 from ..operators import schedule as S
 from ..operators import sourcing as SO
 from ..operators import udfs as U
-from ..session import scratch_path
+from ..session import remove, scratch_path
 from ..sources import bundles as BD
 from ..sources import candidates as CS
 from ..sources import vendor as V
-from ..sources.stores import read_table
+from ..sources.stores import read_table, staged, staged_at
 from . import adapters as A
 from .catalog import ISO, query
-from .landing import land, vendor_path
+from .landing import landings, vendor_path
 from .oracle_ctes import register, with_views
 from .q_collect import register_collect
 from .q_sourcing import stored
@@ -47,21 +47,44 @@ def lost():
 LOST_SQL = f"(r.topic_id = 'topic_3' AND r.aggregator_id = '{K.THENEWSAPI_COM}')"
 
 
-def landed_articles(spark, sf):
-    """(valid raw articles of all vendors' landed responses, in arrival order (event_id: place in the run's pages);
-    topic_id, aggregator_id and error of the runs that have a page without an answer). A failed run has no articles;
-    the others are not touched by it."""
-    path, out, failed = land(spark, sf, lost=lost()), None, None
+def landed_articles(envelopes):
+    """(valid raw articles of the vendors' envelopes, in arrival order (event_id: place in the run's pages); topic_id,
+    aggregator_id and error of the runs that have a page without an answer)."""
+    out, failed = None, None
     page = F.split("envelope_id", "/")
-    for vendor in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM):
-        data, quarantine = V.split_errors(V.read_envelopes(spark, vendor_path(path, vendor), vendor), vendor)
+    for vendor, env in envelopes.items():
+        data, quarantine = V.split_errors(env, vendor)
         missing = V.unanswered(data, quarantine)
         valid, _ = V.valid_articles(V.flatten(data, vendor))
         a = V.raw_articles(valid, vendor)
         out, failed = (a, missing) if out is None else (out.unionByName(a), failed.unionByName(missing))
-    failed = failed.groupBy(page[0].alias("topic_id"), page[1].alias("aggregator_id")).agg(F.min("error").alias("error"))
-    out = out.select("*", page[0].alias("topic_id"), (page[2].cast("long") * K.PAGE_SIZE + F.col("pos")).alias("event_id"))
-    return out.join(failed, RUN, "left_anti"), failed
+    failed = failed.select(page[0].alias("topic_id"), page[1].alias("aggregator_id"), "error")
+    return out.select("*", page[0].alias("topic_id"), (page[2].cast("long") * K.PAGE_SIZE + F.col("pos")).alias("event_id")), failed
+
+
+def first_arrivals(articles, runs):
+    """The articles of each run up to the last one that ``paged`` keeps. Of the others only run and place are shuffled."""
+    keys = staged(articles.select(*RUN, "event_id"), "arrival-keys")
+    last = staged(C.paged(keys, runs).groupBy(*RUN).agg(F.max("event_id").alias("_last")), "arrival-last")
+    return articles.join(last, RUN).filter(F.col("event_id") <= F.col("_last")).select(*articles.columns)
+
+
+def arrived(spark, sf, runs):
+    """(the first arrivals of all runs that have an answer to each page; the runs that have not, with an error). Lines are
+    landed, read and parsed a portion of the pages at a time. An article that is not among the first of a portion and
+    of those kept so far is not among the first of the run. A failed run has no articles; the others are not touched by it."""
+    kept, at, failed = None, None, None
+    for path in landings(spark, sf, lost=lost()):
+        parsed = {v: scratch_path(spark, "envelopes") for v in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM)}
+        articles, missing = landed_articles({v: staged_at(V.read_envelopes(spark, vendor_path(path, v), v), to) for v, to in parsed.items()})
+        missing = staged(missing, "unanswered")
+        failed = missing if failed is None else failed.unionByName(missing)
+        articles, before, at = articles if kept is None else articles.unionByName(kept), at, scratch_path(spark, "arrivals")
+        kept = staged_at(first_arrivals(articles, runs), at)
+        for done in (*parsed.values(), *filter(None, [before])):
+            remove(spark, done)
+    failed = staged(failed.groupBy(*RUN).agg(F.min("error").alias("error")), "failed-runs")
+    return kept.join(failed, RUN, "left_anti"), failed
 
 
 def with_bodies(spark, sf, articles):
@@ -73,7 +96,7 @@ def with_bodies(spark, sf, articles):
 
 def collected(spark, sf, runs):
     """(store of accepted candidates, failed runs, the accepted articles counted by aggregator while they are written)."""
-    articles, failed = landed_articles(spark, sf)
+    articles, failed = arrived(spark, sf, runs)
     accepted = C.collect(articles, runs, A.trusted(spark, sf), body="has_body",
                          description="article_text_description", attributes=lambda a: with_bodies(spark, sf, a))
     accepted, counts = P.observed(accepted, "accepted", counts={k: F.col("aggregator_id") == k for k in (K.BING, K.NEWSAPI_ORG, K.THENEWSAPI_COM)})
@@ -101,7 +124,7 @@ UNION ALL SELECT 'considered', '{{}}', coalesce(sum(n), 0)::BIGINT FROM (
   SELECT count(*) AS n FROM inventory GROUP BY topic_id, publishing_date HAVING count(*) >= 6) x""", "l_w4", "inventory"))
 def agg_observed_counts(spark, sf):
     """Counts that both services take while their main job writes, without a job of their own."""
-    _, _, accepted = collected(spark, sf, A.runs(spark, sf))
+    _, _, accepted = collected(spark, sf, staged(A.runs(spark, sf), "runs"))
     _, considered = considered_inventories(spark, stored(spark, sf))
     return P.observed_metrics(spark, "accepted", accepted, "aggregator_id").unionByName(P.observed_metrics(spark, "considered", considered))
 
@@ -121,7 +144,7 @@ def pipe_collect(spark, sf):
     """Aggregation: landed responses -> raw articles -> collect stage -> store,
     run summary, ledger and marks; one row per run. A run with an unanswered
     page is FAILED in the ledger, with its error, and stores nothing."""
-    runs = A.runs(spark, sf)
+    runs = staged(A.runs(spark, sf), "runs")
     ledger = LG.start_runs(None, runs, A.TODAY)
     path, failed, _ = collected(spark, sf, runs)
     kept = read_table(spark, path)

@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +54,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """SQL settings that hold inside (names with ``__`` for dots), as they were before afterwards."""
+    before = {k: spark.conf.get(k.replace("__", "."), None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k.replace("__", "."), v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k.replace("__", ".")) if v is None else spark.conf.set(k.replace("__", "."), v)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Inside, the shuffle files of a query go when it ends, not when the driver next collects garbage."""
+    return settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
+
+
 _LOCAL_CHECKPOINT: str | None = None
 
 
@@ -80,11 +100,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared checkpoint folder, of any file system; the
     writer makes the folder. It is removed when the application ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None:      # not stopped yet
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
+from ..session import scratch_path, shuffles_dropped
 
 COLUMNS = "_columns"        # beside the partitions; Spark's readers leave out names that begin so
 
@@ -79,9 +79,14 @@ def append_new(rows: DataFrame, path: str, partitions: list[str], key: list[str]
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:
-    """The same rows, written to the shared folder and read again."""
-    path = scratch_path(rows.sparkSession, name)
-    rows.write.parquet(path)
+    """The same rows, written to the shared folder and read again; the write's shuffle files go when it ends."""
+    return staged_at(rows, scratch_path(rows.sparkSession, name))
+
+
+def staged_at(rows: DataFrame, path: str) -> DataFrame:
+    """``staged`` at a path, for what is removed before the end."""
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
